@@ -8,11 +8,14 @@ pre-aggregated row per (key, chunk).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from math import isqrt
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.functions.lineage import cut_lineage
+
 
 def previous_row(
     df: DataFrame,
@@ -92,27 +95,59 @@ def _join_chunks(near: DataFrame, per_chunk: DataFrame, keys: Sequence[str]) ->
     return near.join(renamed, condition, "left")
 
 
-def preceding_counts(counts: DataFrame, value: str, weights: Sequence[str], buckets: int = 1024) -> DataFrame:
-    """For one row per distinct ``value``: the sum of each weight over all smaller values.
+@dataclass(frozen=True)
+class RankedCounts:
+    """``rows`` with a ``<weight>_before`` column per weight; ``totals`` over non-null values."""
+
+    rows: DataFrame
+    totals: dict[str, int]
+    nulls: dict[str, int]
+
+
+def preceding_counts(counts: DataFrame, value: str, weights: Sequence[str], buckets: int = 1024) -> RankedCounts:
+    """For one row per distinct ``value``: the sum of each weight over all smaller values, exactly.
 
-    Columns ``<weight>_before`` are added.  The values are cut into about equal buckets at
-    approximate quantiles; a window sums inside a bucket and at most ``buckets`` + 1 bucket totals
-    give the offsets, so nothing data-sized meets in one task.  The result is exact.
+    ``counts`` is checkpointed, because three passes read it: approximate quantiles cut the values
+    into about equal buckets, one aggregate totals the buckets (at most ``buckets`` + 1 rows reach the
+    driver), and a window inside each bucket finishes the sums.  NULL values rank after all others.
     """
     side = max(2, isqrt(buckets))
     points = [i / (side * side) for i in range(1, side * side)]
-    splits = counts.agg(F.percentile_approx(value, points, 100 * side * side)).scalar()
-    # Two steps of at most ``side`` comparisons find the bucket of a value.
-    cut = counts.withColumn("_splits", splits)
-    heads = F.filter("_splits", lambda s, i: (i + 1) % side == 0)
-    cut = cut.withColumn("_coarse", F.size(F.filter(heads, lambda s: s < F.col(value))))
-    tail = F.slice("_splits", F.col("_coarse") * side + 1, F.lit(side - 1))
-    fine = F.size(F.filter(tail, lambda s: s < F.col(value)))
-    cut = cut.withColumn("_bucket", F.col("_coarse") * side + fine).drop("_splits", "_coarse")
+    stored = cut_lineage(counts)
+    splits = sorted(set(stored.agg(F.percentile_approx(value, points, 10 * side * side)).first()[0] or ()))
+    cut = stored.withColumn("_bucket", _bucket_of(value, splits, side, stored.schema[value].dataType.simpleString()))
+    totals = {
+        r["_bucket"]: r for r in cut.groupBy("_bucket").agg(*[F.sum(w).alias(w) for w in weights]).collect()
+    }
+    null_row = totals.pop(None, None)
+    offsets = {w: [0] * (len(splits) + 2) for w in weights}
+    for w in weights:
+        for b in range(len(splits) + 1):
+            offsets[w][b + 1] = offsets[w][b] + (totals[b][w] if b in totals else 0)
+    overall = {w: offsets[w][-1] for w in weights}
     inside = Window.partitionBy("_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    totals = cut.groupBy("_bucket").agg(*[F.sum(w).alias(f"_t_{w}") for w in weights])
-    earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)  # at most buckets + 1 rows
-    offsets = totals.select("_bucket", *[F.coalesce(F.sum(f"_t_{w}").over(earlier), F.lit(0)).alias(f"_o_{w}") for w in weights])
-    near = cut.select("*", *[F.coalesce(F.sum(w).over(inside), F.lit(0)).alias(f"_n_{w}") for w in weights])
-    joined = near.join(F.broadcast(offsets), "_bucket")
-    return joined.select(*counts.columns, *[(F.col(f"_n_{w}") + F.col(f"_o_{w}")).alias(f"{w}_before") for w in weights])
+    before = {
+        f"{w}_before": F.when(F.col(value).isNull(), F.lit(overall[w])).otherwise(
+            F.coalesce(F.sum(w).over(inside), F.lit(0)) + F.get(_literal_array(offsets[w], "bigint"), F.col("_bucket"))
+        )
+        for w in weights
+    }
+    rows = cut.withColumns(before).drop("_bucket")
+    return RankedCounts(rows, overall, {w: null_row[w] if null_row else 0 for w in weights})
+
+
+def _bucket_of(value: str, splits: list, side: int, kind: str) -> Column:
+    """Number of splits below the value, found in two steps of about ``side`` comparisons."""
+    if not splits:
+        return F.when(F.col(value).isNotNull(), F.lit(0))
+    every = _literal_array(splits, kind)
+    heads = _literal_array(splits[side - 1 :: side], kind)
+    coarse = F.size(F.filter(heads, lambda s: s < F.col(value)))
+    group = F.slice(every, coarse * side + 1, F.lit(side))
+    found = coarse * side + F.size(F.filter(group, lambda s: s < F.col(value)))
+    return F.when(F.col(value).isNotNull(), F.least(found, F.lit(len(splits))))
+
+
+def _literal_array(values: list, kind: str) -> Column:
+    """Constant array; one text literal instead of one expression per element."""
+    return F.split(F.lit(",".join(str(v) for v in values)), ",").cast(f"array<{kind}>") if values else F.array().cast(f"array<{kind}>")

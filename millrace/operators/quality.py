@@ -9,7 +9,7 @@ from fnmatch import fnmatchcase
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.keys import newest_per_key
@@ -214,43 +214,25 @@ def stability_continuous(
     """
     value = F.datediff(F.col(column).cast("date"), F.lit(DAY_ZERO)) if as_days else F.col(column)
     counts = _period_counts(source, value, date_column, bench, target, target_source, target_date_column)
-    filled = counts.where("val is not null")
-    ranked = preceding_counts(filled, "val", ["cb", "ct"], buckets)
-    n = counts.agg(
-        F.struct(
-            F.sum(F.when(F.col("val").isNotNull(), F.col("cb"))).alias("b"),
-            F.sum(F.when(F.col("val").isNotNull(), F.col("ct"))).alias("t"),
-        )
-    ).scalar()
-    every = ranked.unionByName(
-        counts.where("val is null").select(
-            "val", "cb", "ct", n.getField("b").alias("cb_before"), n.getField("t").alias("ct_before")
-        )
-    )
-    nb, nt = F.nullif(n.getField("b"), F.lit(0)), F.nullif(n.getField("t"), F.lit(0))
-    binned = every.withColumns(
-        {
-            "bin_b": F.floor((F.col("cb_before") + 1) * 10 / nb),
-            "bin_t": F.floor((F.col("ct_before") + 1) * 10 / nt),
-        }
+    ranked = preceding_counts(counts, "val", ["cb", "ct"], buckets)
+    n, nulls = ranked.totals, ranked.nulls
+    binned = ranked.rows.withColumns(
+        {f"bin_{c}": F.floor((F.col(f"{c}_before") + 1) * 10 / F.nullif(F.lit(n[c]), F.lit(0))) for c in ("cb", "ct")}
     )
-    b = binned.where("cb > 0").groupBy(F.col("bin_b").alias("decile")).agg(
+    b = binned.where("cb > 0").groupBy(F.col("bin_cb").alias("decile")).agg(
         F.min("val").cast("double").alias("lbound"), F.max("val").cast("double").alias("own_max"), F.sum("cb").alias("qty")
     )
-    t = binned.where("ct > 0").groupBy(F.col("bin_t").alias("t_decile")).agg(F.sum("ct").alias("t_qty"))
-    all_rows = counts.agg(F.struct(F.sum("cb").alias("b"), F.sum("ct").alias("t"))).scalar()
+    t = binned.where("ct > 0").groupBy(F.col("bin_ct").alias("t_decile")).agg(F.sum("ct").alias("t_qty"))
+    rows_b, rows_t = n["cb"] + nulls["cb"], n["ct"] + nulls["ct"]
     joined = b.join(t, F.col("decile") == F.col("t_decile"), "left").select(
         "decile",
         "lbound",
         "own_max",
-        (F.col("qty") / all_rows.getField("b")).alias("pct_bench"),
-        (F.col("t_qty") / all_rows.getField("t")).alias("pct_target"),
+        (F.col("qty") / F.lit(rows_b)).alias("pct_bench"),
+        (F.col("t_qty") / F.lit(rows_t)).alias("pct_target"),
     )
     share = F.coalesce("pct_target", F.lit(0.0)) if smooth_missing else F.col("pct_target")
-    # The frame holds one row per bin, so the next bin's bound is looked up in a small array.
-    bounds = b.agg(F.sort_array(F.collect_list(F.struct("decile", "lbound")))).scalar()
-    joined = joined.withColumn("_bounds", bounds)
-    following = F.get(F.filter("_bounds", lambda x: x["decile"] > F.col("decile")), F.lit(0)).getField("lbound")
+    following = F.lead("lbound").over(Window.orderBy("decile"))  # one row per bin
     last = F.col("own_max") if last_bound is None else F.lit(float(last_bound))
     rows = joined.select(
         F.col("decile").cast("string").alias("group_cd"),
