@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import math
 from collections.abc import Iterator, Sequence
+from types import SimpleNamespace
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -374,7 +375,7 @@ def _judge_in_order(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 continue
             verdict = _judge(row, points)
             out.append(verdict)
-            _remember(points, row.key_date, (verdict["ztest"], row.ts, row.log_id), pd.Series(verdict))
+            _remember(points, row.key_date, (verdict["ztest"], row.ts, row.log_id), SimpleNamespace(**verdict))
         frame = pd.DataFrame(out, columns=[c.split()[0] for c in VERDICT_SCHEMA.split(", ")])
         for c in ("key_diff", "value", "avg", "std", "cnt", "min", "max"):
             frame[c] = frame[c].astype("Int64")

@@ -1,6 +1,6 @@
 """Named queries over the given tables and their SQL counterparts."""
 
-from millrace.plans import loading, metrics  # noqa: F401
+from millrace.plans import anomalies, checking, loading, metrics  # noqa: F401
 from millrace.plans.registry import QUERIES
 
 __all__ = ["QUERIES"]
