@@ -72,14 +72,15 @@ def repair_stages(c: Column) -> list[tuple[str, Column]]:
 
 
 def repair_json(df: DataFrame, column: str) -> DataFrame:
-    """Add ``repaired`` and ``stage``: the first stage whose text is valid JSON; NULL when none is."""
-    stages = repair_stages(F.col(column))
-    stage, text = F.lit(None).cast("string"), F.lit(None).cast("string")
-    for name, candidate in reversed(stages):
-        valid = F.coalesce(is_json(candidate), F.lit(False))
-        stage = F.when(valid, F.lit(name)).otherwise(stage)
-        text = F.when(valid, candidate).otherwise(text)
-    return df.withColumn("_r", F.struct(text.alias("repaired"), stage.alias("stage"))).select(*df.columns, "_r.*")
+    """Add ``repaired`` and ``stage``: the first stage whose text is valid JSON; NULL when none is.
+
+    Valid texts are recognised first, so only broken ones go through the repair stages."""
+    (first, c), *later = repair_stages(F.col(column))
+    valid = is_json(c)
+    candidates = F.array(*[F.struct(text.alias("repaired"), F.lit(name).alias("stage")) for name, text in later])
+    helped = F.get(F.filter(candidates, lambda x: F.coalesce(is_json(x["repaired"]), F.lit(False))), F.lit(0))
+    chosen = F.when(valid, F.struct(c.alias("repaired"), F.lit(first).alias("stage"))).otherwise(helped)
+    return df.withColumn("_r", chosen).select(*df.columns, F.col("_r.repaired").alias("repaired"), F.col("_r.stage").alias("stage"))
 
 
 def repair_totals(repaired: DataFrame) -> DataFrame:

@@ -73,13 +73,15 @@ def explode_envelopes(files: DataFrame) -> DataFrame:
     return envelope_rows(files).distinct()
 
 
-def envelope_rows(files: DataFrame) -> DataFrame:
+def envelope_rows(files: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """The exploded elements before de-duplication; ``keep`` carries file columns along."""
     unparsed = files.where(~F.coalesce(F.col("is_parsed").cast("boolean"), F.lit(False)))
     elements = F.from_json(json_field("json_text", "data"), ELEMENT)
-    rows = unparsed.select("file_name", F.explode(elements).alias("e")).select("file_name", "e.schema", "e.payload")
+    rows = unparsed.select("file_name", *keep, F.explode(elements).alias("e")).select("file_name", *keep, "e.schema", "e.payload")
     message_id = json_field("payload", "message_id")
     return rows.select(
         "file_name",
+        *keep,
         F.lower(json_field("schema", "name")).alias("schema_name"),
         F.md5("schema").alias("schema_version_md5"),
         message_id.alias("message_id"),

@@ -34,8 +34,7 @@ def interval_seconds(text: Column) -> Column:
     return F.when(text.isNotNull(), total)
 
 
-def _rest(message: Column, known: Sequence[str]) -> Column:
-    fields = F.from_json(message, "map<string,string>")
+def _rest(fields: Column, known: Sequence[str]) -> Column:
     kept = F.map_filter(fields, lambda k, _: ~k.isin(*known))
     return F.when(F.size(kept) > 0, F.to_json(kept))
 
@@ -43,27 +42,29 @@ def _rest(message: Column, known: Sequence[str]) -> Column:
 def pair_runs(log: DataFrame) -> DataFrame:
     """Start rows with their end row: waiting time and duration in seconds, JSON fields, leftover keys.
 
-    ``log``: id, parent, ts, action, message (JSON).  A start without end stays, with NULL end columns."""
+    ``log``: id, parent, ts, action, message (JSON, parsed once).  A start without end stays, with NULL
+    end columns."""
+    fields = F.from_json("message", "map<string,string>")
     a = log.where("parent is null").select(
-        F.col("id").alias("beg_id"), F.col("ts").alias("beg_ts"), F.col("action").alias("beg_action"), F.col("message").alias("_a")
+        F.col("id").alias("beg_id"), F.col("ts").alias("beg_ts"), F.col("action").alias("beg_action"), fields.alias("_a")
     )
     b = log.where("parent is not null").select(
         F.col("parent").alias("_parent"), F.col("id").alias("end_id"), F.col("ts").alias("end_ts"),
-        F.col("action").alias("end_action"), F.col("message").alias("_b"),
+        F.col("action").alias("end_action"), fields.alias("_b"),
     )
-    ready = json_field("_a", "ready").try_cast("timestamp")
+    ready = F.col("_a")["ready"].try_cast("timestamp")
     return a.join(b, F.col("beg_id") == F.col("_parent"), "left").select(
         "beg_id", "beg_ts", "beg_action",
-        json_field("_a", "swf").alias("swf"),
-        json_field("_a", "wf").alias("wf"),
-        json_field("_a", "td").try_cast("int").alias("td"),
+        F.col("_a")["swf"].alias("swf"),
+        F.col("_a")["wf"].alias("wf"),
+        F.col("_a")["td"].try_cast("int").alias("td"),
         ready.alias("ready"),
         (F.unix_timestamp("beg_ts") - F.unix_timestamp(ready)).alias("wait_s"),
         _rest(F.col("_a"), START_KEYS).alias("beg_msg"),
         seconds_between("end_ts", "beg_ts").alias("duration_s"),
         "end_id", "end_ts", "end_action",
-        json_field("_b", "reselt").alias("reselt"),
-        json_field("_b", "msg").alias("msg"),
+        F.col("_b")["reselt"].alias("reselt"),
+        F.col("_b")["msg"].alias("msg"),
         _rest(F.col("_b"), END_KEYS).alias("end_msg"),
     )
 
@@ -158,6 +159,10 @@ def latest_entities(snapshots: DataFrame) -> DataFrame:
 
 
 STATUS_LIST = "array<struct<effective_from string, status string, log string>>"
+LOAD_FIELDS = (
+    "alive string, auto string, start_dttm string, end_dttm string, profile string, wf_id string, status string, status_log string, "
+    f"loading_status {STATUS_LIST}"
+)
 
 
 def statuses(msg: Column | str) -> Column:
@@ -168,20 +173,21 @@ def latest_loads(snapshots: DataFrame) -> DataFrame:
     """Newest state per load.  An aborted load has status ABORTED as of its end; otherwise the status
     counts from the newest ``effective_from`` in the status list."""
     last = newest_per_key(snapshots.where("obj = 'loading'").select("id", "ts", "url", "msg"), ["id"], ["ts"])
-    aborted = json_field("msg", "alive") == "ABORTED"
-    end = json_field("msg", "end_dttm").try_cast("timestamp")
-    newest = F.array_max(F.transform(statuses("msg"), lambda s: s["effective_from"])).try_cast("timestamp")
-    return last.select(
+    parsed = last.withColumn("p", F.from_json("msg", LOAD_FIELDS))
+    aborted = F.col("p.alive") == "ABORTED"
+    end = F.col("p.end_dttm").try_cast("timestamp")
+    newest = F.array_max(F.transform("p.loading_status", lambda s: s["effective_from"])).try_cast("timestamp")
+    return parsed.select(
         "id", "ts", "url",
-        json_field("msg", "alive").alias("alive"),
-        json_field("msg", "auto").alias("auto"),
-        json_field("msg", "start_dttm").try_cast("timestamp").alias("start_dttm"),
+        F.col("p.alive").alias("alive"),
+        F.col("p.auto").alias("auto"),
+        F.col("p.start_dttm").try_cast("timestamp").alias("start_dttm"),
         end.alias("end_dttm"),
-        json_field("msg", "profile").alias("profile"),
-        json_field("msg", "wf_id").try_cast("bigint").alias("wf_id"),
+        F.col("p.profile").alias("profile"),
+        F.col("p.wf_id").try_cast("bigint").alias("wf_id"),
         F.when(aborted, end).otherwise(newest).alias("status_dttm"),
-        F.when(aborted, "ABORTED").otherwise(json_field("msg", "status")).alias("status"),
-        json_field("msg", "status_log").alias("status_log"),
+        F.when(aborted, "ABORTED").otherwise(F.col("p.status")).alias("status"),
+        F.col("p.status_log").alias("status_log"),
         "msg",
     )
 
@@ -285,10 +291,11 @@ def exchange_batches(log: DataFrame) -> DataFrame:
 
     ``log``: id, ts, wf_name, wf_key, wf_data (JSON)."""
     numbers = ("cnt", "sum_len", "min_len", "max_len")
-    rows = log.select(
-        "wf_name", "id", "wf_key", "ts", json_field("wf_data", "type").alias("type"),
-        *[json_field("wf_data", n).try_cast("bigint").alias(n) for n in numbers],
-        interval_seconds(json_field("wf_data", "time")).alias("time_s"),
+    parsed = log.withColumn("p", F.from_json("wf_data", "type string, cnt bigint, sum_len bigint, min_len bigint, max_len bigint, time string"))
+    rows = parsed.select(
+        "wf_name", "id", "wf_key", "ts", F.col("p.type").alias("type"),
+        *[F.col(f"p.{n}").alias(n) for n in numbers],
+        interval_seconds(F.col("p.time")).alias("time_s"),
     )
     grouped = rows.groupBy("wf_name", "id", "wf_key", "type").agg(
         F.count(F.lit(1)).alias("_n"),

@@ -93,14 +93,12 @@ def _movements(t):
 def _relations(t):
     spans = fx.intervals(t, overlaps=False)
     base = spans.selectExpr(
-        "user_id", "5000 + event_id % 40 as pos", "date_start", "date_finish"
+        "user_id", "1 + event_id % 1500 as pos", "date_start", "date_finish"
     )
     a = base.selectExpr("pos as id_object", "user_id as id_connection_object", "'A008' as connection_type", "date_start", "date_finish")
-    b = t.part.where("p_partkey % 10 = 1").selectExpr(
-        "5000 + p_partkey % 40 as id_object", "p_partkey as id_connection_object", "'B007' as connection_type", *_DATED
-    )
-    c = t.part.where("p_size > 25 and p_partkey % 10 = 2").selectExpr(
-        "5000 + p_partkey % 40 as id_object", "p_partkey + 100000 as id_connection_object", "'BZ71' as connection_type", *_DATED
+    b = t.part.selectExpr("p_partkey as id_object", "p_partkey + 200000 as id_connection_object", "'B007' as connection_type", *_DATED)
+    c = t.part.where("p_size > 25").selectExpr(
+        "p_partkey as id_object", "p_partkey + 100000 as id_connection_object", "'BZ71' as connection_type", *_DATED
     )
     return a.unionByName(b).unionByName(c)
 
@@ -117,9 +115,9 @@ _DATED_SQL = "date '2024-01-01' + cast(p_partkey % 25 as int) as date_start, dat
     fx.with_sql(
         fx.intervals_sql(overlaps=False),
         "mv as (select user_id as i_pernr, cast(ts as date) as d, event_type as atype, 'm' || (event_id % 4) as ar, event_id as org_id from events)",
-        "pp as (select 5000 + event_id % 40 as pos, user_id as per, date_start as s, date_finish as e from intervals)",
-        f"pj as (select 5000 + p_partkey % 40 as pos, p_partkey as job, date_start as s, date_finish as e from (select *, {_DATED_SQL} from part where p_partkey % 10 = 1))",
-        f"pe as (select 5000 + p_partkey % 40 as pos, p_partkey + 100000 as et, date_start as s, date_finish as e from (select *, {_DATED_SQL} from part where p_size > 25 and p_partkey % 10 = 2))",
+        "pp as (select 1 + event_id % 1500 as pos, user_id as per, date_start as s, date_finish as e from intervals)",
+        f"pj as (select p_partkey as pos, p_partkey + 200000 as job, date_start as s, date_finish as e from (select *, {_DATED_SQL} from part))",
+        f"pe as (select p_partkey as pos, p_partkey + 100000 as et, date_start as s, date_finish as e from (select *, {_DATED_SQL} from part where p_size > 25))",
         "lagged as (select *, lag(org_id) over (partition by i_pernr order by d, atype, ar, org_id) as prev from mv)",
     )
     + """select m.d as cal_date, m.i_pernr, m.atype as code_movement_type, m.ar as movement_motiv, cast(case when atype = 'signup' and ar = 'm1' then 1 else 0 end as int) as permanent_movement,
