@@ -24,28 +24,21 @@ def row_hash(columns: Iterable[Column | str], compat: bool = False) -> Column:
     return F.md5(F.concat_ws(FIELD_SEPARATOR, *[F.coalesce(t, F.lit(NULL_MARKER)) for t in texts]))
 
 
-def recency(columns: Sequence[str]) -> Column:
-    """Ordering key under which ``max`` picks the newest row; a NULL counts as newest."""
-    parts = []
-    for c in columns:
-        parts += [F.col(c).isNull(), F.col(c)]
-    return F.struct(*[p.alias(f"o{i}") for i, p in enumerate(parts)])
-
-
 def newest_per_key(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], carry: dict[str, Column] | None = None
 ) -> DataFrame:
     """One row per key: the newest by ``order``, plus the aggregates in ``carry``.
 
-    A partial aggregate runs before the shuffle, so a key that holds a large share of
-    the rows sends one row per map task.  Columns outside ``keys`` and ``order`` break ties.
+    A NULL counts as newest; the other columns break ties.  The whole row is one struct that starts with
+    its ordering, so ``max`` picks it without a second copy of the ordering, and a partial aggregate
+    runs before the shuffle: a key that holds a large share of the rows sends one row per map task.
     """
     carry = carry or {}
-    rest = [c for c in df.columns if c not in keys]
-    ties = [c for c in rest if c not in order and c not in carry and _orderable(df, c)]
-    aggs = [F.max_by(F.struct(*rest), recency([*order, *ties])).alias("_newest")]
+    rest = [c for c in df.columns if c not in keys and c not in order and c not in carry]
+    position = [p for c in order if c not in keys for p in (F.col(c).isNull().alias(f"_null_{c}"), F.col(c))]
+    aggs = [F.max(F.struct(*position, *rest)).alias("_newest")] if position or rest else []
     aggs += [expr.alias(f"_carry_{name}") for name, expr in carry.items()]
-    grouped = df.groupBy(*keys).agg(*aggs)
+    grouped = df.groupBy(*keys).agg(*aggs) if aggs else df.select(*keys).distinct()
     out = []
     for c in df.columns:
         if c in carry:
@@ -58,15 +51,6 @@ def newest_per_key(
     return grouped.select(*out)
 
 
-def _orderable(df: DataFrame, name: str) -> bool:
-    return df.schema[name].dataType.typeName() not in ("map", "variant")
-
-
-def same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Join condition under which two NULL keys match."""
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
-
-
 def keep_matching(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``df`` whose key occurs in ``other`` (NULL keys match)."""
     return _key_filter(df, other, keys, "left_semi")

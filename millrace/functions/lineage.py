@@ -26,7 +26,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def cut_lineage(df: DataFrame, eager: bool = False) -> DataFrame:
-    """Reliable checkpoint of ``df``."""
+def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
+    """Reliable checkpoint of ``df``: computed once now, read from shared storage by every later use."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)

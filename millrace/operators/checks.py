@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.keys import keep_matching, newest_per_key
+from millrace.functions.lineage import cut_lineage
 from millrace.functions.ordered import previous_row, running
 from millrace.functions.parsing import extract, is_json, safe_cast
 
@@ -61,17 +62,18 @@ def temporal_duplicates(
     Only the offending keys enter the sweep: +1 at a start, -1 after an end, running sum per key.  The
     boundary dates inside a segment are the difference of two date ranks, so dates never meet rows.
     """
-    offenders = overlapping_keys(df, keys, start, end)
+    # Few keys offend; they are stored once because the sweep reads them several times.
+    offenders = cut_lineage(overlapping_keys(df, keys, start, end))
     bad = keep_matching(df.where(F.col(start) <= F.col(end)), offenders, keys)
     edges = bad.select(*keys, F.col(start).cast("date").alias("_d"), F.lit(1).alias("_step")).unionByName(
         bad.select(*keys, F.date_add(F.col(end), 1).alias("_d"), F.lit(-1).alias("_step"))
     )
-    steps = edges.groupBy(*keys, "_d").agg(F.sum("_step").alias("_step"))
+    steps = cut_lineage(edges.groupBy(*keys, "_d").agg(F.sum("_step").alias("_step")))
     year = F.year("_d")
     level = running(steps, keys, ["_d"], {"_level": ("sum", "_step")}, year)
     segments = previous_row(level, keys, ["_d"], {"_next": "_d"}, year, ahead=True)
     segments = segments.where("_level > 1 and _next is not null")
-    ranks = _boundary_ranks(df, start, end)
+    ranks = cut_lineage(_boundary_ranks(df, start, end))
     low = ranks.select(F.col("_p").alias("_d"), F.col("_r").alias("_lo"))
     high = ranks.select(F.col("_p").alias("_next"), F.col("_r").alias("_hi"))
     counted = segments.join(low, "_d").join(high, "_next").where("_hi > _lo")

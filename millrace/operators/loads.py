@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.keys import drop_matching, keep_matching, newest_per_key, recency, row_hash
+from millrace.functions.keys import drop_matching, keep_matching, newest_per_key, row_hash
+from millrace.functions.lineage import cut_lineage
+from millrace.functions.marks import above, edge, span
 from millrace.functions.parsing import json_field
 
 
@@ -141,18 +144,30 @@ def snapshot_replace(
     largest ``d`` of each ``g``.
     """
     return target_without(new, target, keys, partition_column).unionByName(
-        snapshot_rows(new, target, keys, order, limiter)
+        snapshot_rows(new, target, keys, partition_column, order, limiter)
     )
 
 
-def snapshot_rows(new, target, keys, order, limiter) -> DataFrame:
-    """The rows a snapshot replace inserts."""
-    staged = new.unionByName(keep_matching(target, new, keys).select(*new.columns))
+def snapshot_rows(
+    new: DataFrame,
+    target: DataFrame,
+    keys: Sequence[str],
+    partition_column: str,
+    order: Sequence[str] = ("actual_date", "ctl_loading", "load_date"),
+    limiter: tuple[str, str] | None = ("report_date", "actual_date"),
+) -> DataFrame:
+    """The rows a snapshot replace inserts: the content of the affected partition values.
+
+    With the partition column among the keys only the target partitions between the batch's first
+    and last value are read, and ``replace_partitions`` can publish this frame alone."""
+    old = target
+    if partition_column in keys:
+        low, high = span(new, partition_column)
+        if low is not None:
+            old = target.where(F.col(partition_column).between(low, high) | F.col(partition_column).isNull())
+    staged = new.unionByName(keep_matching(old, new, keys).select(*new.columns))
     versions = newest_per_key(staged, [*keys, "hash"], order, {"mod_date": F.min("mod_date")})
-    rest = [c for c in versions.columns if c not in keys]
-    ties = [c for c in rest if c not in order and c != "mod_date"]
-    newest = versions.groupBy(*keys).agg(F.max_by(F.struct(*rest), recency([*order, *ties])).alias("_row"))
-    rows = newest.select(*keys, "_row.*").select(*new.columns)
+    rows = newest_per_key(versions, keys, order).select(*new.columns)
     if limiter is None:
         return rows
     group, day = limiter
@@ -186,14 +201,13 @@ def refresh_mart(
     All changed days go through one plan; there is no loop over days.
     """
     changed = changed_slices(source, mart, watermark, inclusive)
-    return snapshot_replace(template(changed), mart, keys, partition_column, order, limiter)
+    # The rendered slices are read by the key match, the merge and the partition list: store them once.
+    return snapshot_replace(cut_lineage(template(changed)), mart, keys, partition_column, order, limiter)
 
 
 def changed_slices(source: DataFrame, mart: DataFrame, watermark: str, inclusive: bool = True) -> DataFrame:
     """Source rows at or after the largest watermark of the mart (all rows if it is empty)."""
-    top = mart.agg(F.max(watermark)).scalar()
-    moved = F.col(watermark) >= top if inclusive else F.col(watermark) > top
-    return source.where(moved | top.isNull())
+    return above(source, watermark, edge(mart, watermark), inclusive)
 
 
 def cast_to(df: DataFrame, like: DataFrame) -> DataFrame:
@@ -203,8 +217,7 @@ def cast_to(df: DataFrame, like: DataFrame) -> DataFrame:
 
 def append_above_mark(source: DataFrame, target: DataFrame, key: str, where: Column | str | None = None) -> DataFrame:
     """Source rows with a key above the target's largest, cast to the target's types."""
-    top = target.agg(F.max(key)).scalar()
-    rows = source.where((F.col(key) > top) | top.isNull())
+    rows = above(source, key, edge(target, key))
     if where is not None:
         rows = rows.where(where)
     return cast_to(rows, target)
@@ -230,7 +243,8 @@ def resume_mark(runs: DataFrame, workflow: str, target: DataFrame, key: str) ->
 
 def load_from_run_log(source: DataFrame, runs: DataFrame, workflow: str, target: DataFrame, key: str) -> DataFrame:
     """Source rows above the resume mark of the run log."""
-    return source.where(F.col(key) > resume_mark(runs, workflow, target, key).scalar())
+    mark = resume_mark(runs, workflow, target, key).first()["mark"]
+    return above(source, key, F.lit(mark))
 
 
 def resume_key(
@@ -287,10 +301,7 @@ def reload_newer(raw: DataFrame, target: DataFrame, key: str | None = None) -> t
 
 
 def newer_rows(raw: DataFrame, target: DataFrame, key: str | None = None) -> DataFrame:
-    if key is None:
-        return raw
-    top = target.agg(F.max(key)).scalar()
-    return raw.where((F.col(key) > top) | top.isNull())
+    return raw if key is None else above(raw, key, edge(target, key))
 
 
 def date_range_replace(
@@ -304,9 +315,11 @@ def date_range_replace(
         rows = rows.where(F.col(day) < F.col(valid_from))
     if id_column:
         rows = rows.where(F.col(id_column) != -1)
-    span = batch.agg(F.struct(F.min(day).alias("lo"), F.max(day).alias("hi"))).scalar()
-    outside = ~F.col(day).between(span.getField("lo"), span.getField("hi"))
-    return target.where(F.coalesce(outside, F.lit(True))).unionByName(rows.select(*target.columns))
+    low, high = span(batch, day)
+    kept = target
+    if low is not None:
+        kept = target.where((F.col(day) < low) | (F.col(day) > high) | F.col(day).isNull())
+    return kept.unionByName(rows.select(*target.columns))
 
 
 def rename_and_cast(df: DataFrame, mapping: Mapping[str, tuple[str, str]]) -> DataFrame:
@@ -326,16 +339,18 @@ def poll_marks(marks: DataFrame, sources: Sequence[tuple[str, str, DataFrame]])
     """Newest value per (source, field) against the last one seen.
 
     ``marks`` (source, field, value, ts) is the append-only log of seen values.  Output: old
-    and new value and whether it moved.  Only rows above the old mark are scanned."""
+    and new value and whether it moved.  One mark per polled source reaches the driver, and only
+    rows above it are scanned."""
     seen = newest_per_key(marks.select("source", "field", "ts", "value"), ["source", "field"], ["ts"])
+    polled = [(F.col("source") == name) & (F.col("field") == field) for name, field, _ in sources]
+    last = {(r["source"], r["field"]): r["value"] for r in seen.where(reduce(lambda a, b: a | b, polled)).collect()}
     frames = []
     for name, field, df in sources:
-        mine = seen.where((F.col("source") == name) & (F.col("field") == field))
-        old = mine.agg(F.max("value").cast("bigint")).scalar()
-        moved = df.where((F.col(field) > old) | old.isNull()).agg(F.max(field).cast("bigint").alias("new_value"))
+        old = last.get((name, field))
+        moved = above(df, field, None if old is None else F.lit(old)).agg(F.max(field).cast("bigint").alias("new_value"))
         frames.append(
             moved.select(
-                F.lit(name).alias("source"), F.lit(field).alias("field"), old.alias("old_value"), "new_value"
+                F.lit(name).alias("source"), F.lit(field).alias("field"), F.lit(old).cast("bigint").alias("old_value"), "new_value"
             )
         )
     out = frames[0]

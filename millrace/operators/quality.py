@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.keys import newest_per_key
+from millrace.functions.marks import on_days
 from millrace.functions.ordered import preceding_counts, previous_row
 from millrace.functions.periods import add_months, interval_start
 
@@ -40,7 +41,7 @@ def aggregate_drift(
     ``aggregate`` is any SQL aggregate.  Growth gives a negative value."""
     earlier = interval_start(day, unit, quantity)
     by_day = (
-        df.where(_day(date_column).isin(day, earlier))
+        df.where(on_days(F.col(date_column), [day, earlier]))
         .groupBy(_day(date_column).alias("_day"))
         .agg(F.expr(aggregate).cast("double").alias("_value"))
     )
@@ -55,7 +56,7 @@ def grouped_drift(
     """Largest drift over the groups that occur on both dates."""
     earlier = interval_start(day, unit, quantity)
     by_day = (
-        df.where(_day(date_column).isin(day, earlier) & F.expr(group).isNotNull())
+        df.where(on_days(F.col(date_column), [day, earlier]) & F.expr(group).isNotNull())
         .groupBy(F.expr(group).alias("_group"), _day(date_column).alias("_day"))
         .agg(F.expr(aggregate).cast("double").alias("_value"))
     )
@@ -137,10 +138,6 @@ class Period:
     def ending(day: dt.date, unit: str, quantity: int) -> "Period":
         return Period(interval_start(day, unit, quantity), day)
 
-    @staticmethod
-    def month_ending(day: Column) -> "Period":
-        return Period(F.add_months(day, -1), day)
-
     def holds(self, column: Column) -> Column:
         return column.between(_lit(self.first), _lit(self.last))
 
@@ -333,7 +330,7 @@ def period_volume(df: DataFrame, checks: Sequence[VolumeCheck], as_of: dt.date)
     end, prev, prev2 = volume_dates(as_of, first.unit, first.offset)
     day = _day(first.date_column)
     counted = (
-        df.where(day.isin(end, prev, prev2))
+        df.where(on_days(F.col(first.date_column), [end, prev, prev2]))
         .groupBy(day.alias("rd"))
         .agg(F.count(F.lit(1)).alias("_all"), *[F.count(c.field).alias(f"c{i}") for i, c in enumerate(checks)])
     )
@@ -502,15 +499,15 @@ def stability_suite(
     """Stability of every active rule of ``table``: benchmark = month up to the newest stage date,
     target = month up to the newest raw date, both read from the stage table (or ``read_from``)."""
     rows = stage if read_from is None else read_from
+    newest: dict[str, list[dt.date]] = {}  # one date per date column and table reaches the driver
     frames = []
     for rule in rules:
         if not rule.on or rule.table != table or rule.kind not in _STABILITY:
             continue
-        bench = stage.agg(F.max(_day(rule.date_column))).scalar()
-        target = raw.agg(F.max(_day(rule.date_column))).scalar()
-        result = _STABILITY[rule.kind](
-            rows, rule.field, rule.date_column, Period.month_ending(bench), Period.month_ending(target)
-        )
+        if rule.date_column not in newest:
+            newest[rule.date_column] = [df.agg(F.max(_day(rule.date_column))).first()[0] for df in (stage, raw)]
+        bench, target = (Period.ending(day, "month", 1) for day in newest[rule.date_column])
+        result = _STABILITY[rule.kind](rows, rule.field, rule.date_column, bench, target)
         if "group_cd" in result.columns:
             result = result.where("group_cd = '9999'").select("psi")
         frames.append(result.select(F.lit(rule.name).alias("rule_name"), F.lit(rule.kind).alias("rule_type"), "psi"))

@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from millrace.functions.lineage import cut_lineage
 from millrace.functions.parsing import json_field
 from millrace.operators import anomaly
 from millrace.operators import runlog as ops
@@ -195,7 +196,8 @@ def _api(t):
        from c join ends on ends.user_id = c.id""",
 )
 def workflow_catalogue(t):
-    out = ops.workflow_catalogue(_api(t), "hr")
+    # The snapshot table is read six times, so it is stored once.
+    out = ops.workflow_catalogue(cut_lineage(_api(t)), "hr")
     return out.select("id", "name", "category", "scheduled", "deleted", "connected", "wf_sched", "param", "wf_interval_s")
 
 

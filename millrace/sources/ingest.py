@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.functions.marks import span
+
 EMPTY_DATES = ("", " ", "00000000", "0000-00-00")  # fixed values
 TRUE_FLAGS = ("X", "1")  # fixed values
 EXPORT_ID, PERIOD, BATCH_ID = "hexportid", "hexpperio", "ctl_loading"  # fixed column names
@@ -77,7 +79,9 @@ def backfill_mark(target: DataFrame, from_id: int | None, batch_id: str = BATCH_
     """Inclusive watermark of a restart: None = the target's largest id, -1 = below its smallest
     (negated) id, less than -1 = that id from the raw side, otherwise ``from_id`` itself."""
     if from_id is None:
-        return F.coalesce(target.agg(F.max(batch_id)).scalar(), F.lit(0))
+        high = span(target, batch_id)[1]
+        return F.lit(0) if high is None else high
     if from_id == -1:
-        return F.coalesce(-target.agg(F.min(batch_id)).scalar(), F.lit(0))
+        low = span(target, batch_id)[0]
+        return F.lit(0) if low is None else -low
     return F.lit(-from_id - 1 if from_id < -1 else from_id - 1)
