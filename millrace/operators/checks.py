@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from millrace.functions.keys import keep_matching, newest_per_key
 from millrace.functions.lineage import cut_lineage
-from millrace.functions.ordered import previous_row, running
+from millrace.functions.ordered import running
 from millrace.functions.parsing import extract, is_json, safe_cast
 
 FAR_PAST, FAR_FUTURE = "2000-01-01", "9999-12-31"  # fixed values: open ends of a mapping
@@ -37,21 +37,19 @@ def null_counts(df: DataFrame) -> DataFrame:
 # --- temporal uniqueness -------------------------------------------------------------------
 
 
-def overlapping_keys(
-    df: DataFrame, keys: Sequence[str], start: str, end: str, chunk: Column | None = None
-) -> DataFrame:
+def overlapping_keys(df: DataFrame, keys: Sequence[str], start: str, end: str) -> DataFrame:
     """Keys with two intervals (closed ends) that share a day.
 
-    A key has such a pair exactly when some interval starts at or before the largest end of those
-    ordered before it.  The running maximum works in chunks of the start year, so a key with
-    very many intervals is not sorted in one task.
+    A key has such a pair exactly when two intervals start together, or some interval starts at or before
+    the largest end of those that start earlier.  Intervals are first reduced to one row per (key,
+    start), so the window holds at most one row per start date, however many rows a key has.
     """
-    chunk = F.year(start) if chunk is None else chunk
-    counted = df.where(F.col(start) <= F.col(end)).groupBy(*keys, start, end).agg(F.count(F.lit(1)).alias("_same"))
-    twins = counted.where("_same > 1").select(*keys)
-    swept = running(counted, keys, [start, end], {"_reach": ("max", end)}, chunk, before_only=True)
-    clashes = swept.where(F.col(start) <= F.col("_reach")).select(*keys)
-    return twins.unionByName(clashes).distinct()
+    starts = df.where(F.col(start) <= F.col(end)).groupBy(*keys, F.col(start).alias("_s")).agg(
+        F.count(F.lit(1)).alias("_n"), F.max(end).alias("_e")
+    )
+    earlier = Window.partitionBy(*keys).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    swept = starts.withColumn("_reach", F.max("_e").over(earlier))
+    return swept.where((F.col("_n") > 1) | (F.col("_s") <= F.col("_reach"))).select(*keys).distinct()
 
 
 def temporal_duplicates(
@@ -59,20 +57,22 @@ def temporal_duplicates(
 ) -> DataFrame:
     """Offending keys with cnt = rows valid, summed over the boundary dates on which the key has more than one.
 
-    Only the offending keys enter the sweep: +1 at a start, -1 after an end, running sum per key.  The
-    boundary dates inside a segment are the difference of two date ranks, so dates never meet rows.
+    Only the offending keys enter the sweep: +1 at a start, -1 after an end, added up per (key, date) and
+    then along the dates of the key (one row per date).  The boundary dates inside a segment are the
+    difference of two date ranks, so dates never meet rows.
     """
     # Few keys offend; they are stored once because the sweep reads them several times.
     offenders = cut_lineage(overlapping_keys(df, keys, start, end))
     bad = keep_matching(df.where(F.col(start) <= F.col(end)), offenders, keys)
-    edges = bad.select(*keys, F.col(start).cast("date").alias("_d"), F.lit(1).alias("_step")).unionByName(
-        bad.select(*keys, F.date_add(F.col(end), 1).alias("_d"), F.lit(-1).alias("_step"))
+    edges = F.array(
+        F.struct(F.col(start).cast("date").alias("_d"), F.lit(1).alias("_step")),
+        F.struct(F.date_add(F.col(end), 1).alias("_d"), F.lit(-1).alias("_step")),
     )
-    steps = cut_lineage(edges.groupBy(*keys, "_d").agg(F.sum("_step").alias("_step")))
-    year = F.year("_d")
-    level = running(steps, keys, ["_d"], {"_level": ("sum", "_step")}, year)
-    segments = previous_row(level, keys, ["_d"], {"_next": "_d"}, year, ahead=True)
-    segments = segments.where("_level > 1 and _next is not null")
+    steps = bad.select(*keys, F.inline(edges)).groupBy(*keys, "_d").agg(F.sum("_step").alias("_step"))
+    along = Window.partitionBy(*keys).orderBy("_d")
+    segments = steps.select(
+        *keys, "_d", F.sum("_step").over(along).alias("_level"), F.lead("_d").over(along).alias("_next")
+    ).where("_level > 1 and _next is not null")
     ranks = cut_lineage(_boundary_ranks(df, start, end))
     low = ranks.select(F.col("_p").alias("_d"), F.col("_r").alias("_lo"))
     high = ranks.select(F.col("_p").alias("_next"), F.col("_r").alias("_hi"))

@@ -6,12 +6,13 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.keys import drop_matching, keep_matching, newest_per_key, row_hash
 from millrace.functions.lineage import cut_lineage
 from millrace.functions.marks import above, edge, span
+from millrace.functions.ordered import previous_row
 from millrace.functions.parsing import json_field
 
 
@@ -124,8 +125,8 @@ def raw_to_history(
     merged = _first_seen_merge(batch, history, keys, order, "mod_date", "hash", False)
     if not add_valid_to:
         return merged
-    following = F.lead("mod_date").over(Window.partitionBy(*keys).orderBy("mod_date", "hash"))
-    return merged.withColumn("valid_to", F.date_sub(following, 1))
+    linked = previous_row(merged, keys, ["mod_date", "hash"], {"_next": "mod_date"}, F.to_date("mod_date"), ahead=True)
+    return linked.withColumn("valid_to", F.date_sub("_next", 1)).drop("_next")
 
 
 def snapshot_replace(

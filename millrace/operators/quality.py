@@ -578,7 +578,7 @@ def validity_gaps(
     df: DataFrame, keys: Sequence[str], start: str, end: str, tie: Sequence[str] = (), chunk: Column | None = None
 ) -> DataFrame:
     """Rows of an interval history that start neither on the previous end nor on the day after it."""
-    chunk = F.year(end) if chunk is None else chunk
+    chunk = F.col(end) if chunk is None else chunk
     linked = previous_row(df, keys, [end, *tie], {"_previous_end": end}, chunk)
     gap = F.coalesce("_previous_end", start)
     return linked.where((F.col(start) != gap) & (F.date_sub(F.col(start), 1) != gap)).drop("_previous_end")

@@ -7,11 +7,11 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.lineage import cut_lineage
-from millrace.functions.ordered import previous_row, running
+from millrace.functions.ordered import previous_row
 
 MAX_DEPTH = 16  # fixed value: levels below the root
 OPEN_END = dt.date(9999, 12, 31)  # fixed value
@@ -140,7 +140,7 @@ def interval_join(
 
     ``span`` (``day_span``) bounds the days of ``rows``.  Periods are clipped to it and cut by calendar year, and
     the year joins the key: a key with very many rows and very many periods is spread over its years
-    and compares a row only with the periods of that year.
+    and compares a row only with the periods of that year (at most one per day where they do not overlap).
     """
     low, high = span
     cut = periods.where((F.col(start) <= high) & (F.col(end) >= low)).withColumn(
@@ -190,7 +190,7 @@ def movement_detail(
         )
 
     tie = ["action_date", "action_type", "action_reason", "org_id"]
-    rows = previous_row(movements, ["i_pernr"], tie, {"_previous_org": "org_id"}, F.year("action_date"))
+    rows = previous_row(movements, ["i_pernr"], tie, {"_previous_org": "org_id"}, F.col("action_date"))
     flags = permanent.select(
         F.col("code_movement_type").alias("_code"), F.col("movement_motive").alias("_motive"), "permanent_movement"
     )
@@ -250,9 +250,10 @@ def events_to_intervals(
     base = movements.select(key, F.col(day).cast("date").alias("_d"), F.col(action).alias("_a"))
     base = base.withColumn("_d", F.when(F.col("_a") == rehire, F.date_sub("_d", 1)).otherwise(F.col("_d")))
     synthetic = base.where(F.col("_a") == rehire).select(key, F.date_add("_d", 1).alias("_d"), F.lit(again).alias("_a"))
-    # Equal actions of one day are counted together and spread again, so the order is total.
+    # Equal actions of one day are counted together and spread again: the order is total, and the
+    # window holds a few rows per day of a key, however many rows the key has.
     every = base.unionByName(synthetic).groupBy(key, "_d", "_a").agg(F.count(F.lit(1)).alias("_n"))
-    ranked = running(every, [key], ["_d", "_a"], {"_upto": ("sum", "_n")}, F.year("_d"))
+    ranked = every.withColumn("_upto", F.sum("_n").over(Window.partitionBy(key).orderBy("_d", "_a")))
     each = ranked.withColumn("_i", F.explode(F.sequence(F.col("_upto") - F.col("_n") + 1, F.col("_upto"))))
     pair = F.when(F.col("_a").isin(*hire), F.col("_i") + 1).when(F.col("_a").isin(*leave), F.col("_i"))
     grouped = each.withColumn("_pair", pair).where("_pair <> 1").groupBy(key, "_pair").agg(

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.ordered import previous_row
 from millrace.operators.anomaly import z_table_rows
 from millrace.plans.registry import Tables
 
@@ -97,14 +98,16 @@ def z_table_sql() -> str:
 
 def intervals(t: Tables, overlaps: bool = True) -> DataFrame:
     """Per user: each event starts an interval that ends the day before the next event."""
-    ends = t.events.selectExpr(
+    events = t.events.select("user_id", "event_id", "event_type", "ts")
+    linked = previous_row(events, ["user_id"], ["ts", "event_id"], {"next_ts": "ts"}, F.date_trunc("hour", "ts"), ahead=True)
+    ends = linked.selectExpr(
         "user_id",
         "event_id",
         "event_type",
         "cast(ts as date) as date_start",
-        "date_sub(cast(lead(ts) over (partition by user_id order by ts, event_id) as date), 1) as next_start",
-    ).withColumn("date_finish", F.coalesce("next_start", F.lit("9999-12-31").cast("date")))
-    kept = ends.where("date_start <= date_finish").drop("next_start")
+        "coalesce(date_sub(cast(next_ts as date), 1), date '9999-12-31') as date_finish",
+    )
+    kept = ends.where("date_start <= date_finish")
     if not overlaps:
         return kept
     longer = F.when(
