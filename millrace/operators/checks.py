@@ -17,7 +17,8 @@ from millrace.functions.parsing import extract, is_json, safe_cast
 
 FAR_PAST, FAR_FUTURE = "2000-01-01", "9999-12-31"  # fixed values: open ends of a mapping
 KEY_DATE, LOAD_DATE, PERIOD_DATE = "actual_date", "load_date", "report_date"  # fixed column names
-ARCHIVE_PATTERN = r"^NIFI__SF__hrpl_as__([\w|\d]+)_\d{8}_\d{6}_(\d+)_(\d+)_(\d+)\.csv\.zip$"  # fixed pattern
+# Fixed pattern after the prefix: source, date, time, part number, number of parts, row count.
+ARCHIVE_TAIL = r"([\w|\d]+)_\d{8}_\d{6}_(\d+)_(\d+)_(\d+)\.csv\.zip$"
 
 
 def null_counts(df: DataFrame) -> DataFrame:
@@ -326,10 +327,11 @@ def stale_statistics(tables: DataFrame, log: DataFrame, as_of, days: int, limit:
 # --- reconciliation ------------------------------------------------------------------------
 
 
-def archive_completeness(df: DataFrame, batch: str, exported: str, archive: str, pattern: str = ARCHIVE_PATTERN) -> DataFrame:
+def archive_completeness(df: DataFrame, batch: str, exported: str, archive: str, prefix: str) -> DataFrame:
     """Per (batch, export time, source): all archive parts present, and rows loaded = rows announced.
 
-    The file name carries source, part number, number of parts and row count."""
+    The file name is ``prefix`` followed by source, date, time, part number, number of parts and row count."""
+    pattern = f"^{prefix}{ARCHIVE_TAIL}"
     per_file = df.groupBy(batch, exported, archive).agg(F.count(F.lit(1)).alias("cnt"))
     parsed = per_file.select(
         batch,

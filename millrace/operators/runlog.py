@@ -16,6 +16,14 @@ END_KEYS = ("wf", "swf", "reselt", "msg")  # fixed values: fields taken out of a
 CALL_KINDS = ("pgSQL function", "SQL statement", "External table")  # fixed values
 FINISHED = ("COMPLETED", "ABORTED")  # fixed values
 RETRY_MINUTES = 30  # fixed value
+# Phrases of a result text and their codes, in the order they are tried.
+RESULT_HEADS = (("ok ", 1), ("no ", 0), ("empty ", -1), ("expire ", -3))
+RESULT_PHRASES = (
+    ("query_canceled or statement_timeout", -2),
+    ("uniq check error", -4),
+    ("ztest error", -5),
+    ("pxf server error", -8),
+)
 
 
 def seconds_between(later: Column | str, earlier: Column | str) -> Column:
@@ -426,17 +434,11 @@ def outcome_code(text: Column | str) -> Column:
     c = F.col(text) if isinstance(text, str) else text
     low = F.lower(c)
     head = F.concat(low, F.lit(" "))
-    code = (
-        F.when(head == " ", 1)
-        .when(head.startswith("ok "), 1)
-        .when(head.startswith("no "), 0)
-        .when(head.startswith("empty "), -1)
-        .when(head.startswith("expire "), -3)
-        .when(low.contains("query_canceled or statement_timeout"), -2)
-        .when(low.contains("uniq check error"), -4)
-        .when(low.contains("ztest error"), -5)
-        .when(low.contains("pxf server error"), -8)
-        .otherwise(-9)
-    )
+    code = F.when(head == " ", 1)
+    for text_head, value in RESULT_HEADS:
+        code = code.when(head.startswith(text_head), value)
+    for phrase, value in RESULT_PHRASES:
+        code = code.when(low.contains(phrase), value)
+    code = code.otherwise(-9)
     own = [safe_cast(json_field(c, name), "int") for name in ("result", "res")]
     return F.coalesce(*own, code)

@@ -74,7 +74,7 @@ def z_of_helper(t):
 def _rolling_inputs(t):
     fresh = ops.daily_points(t.events.where("ts >= timestamp '2024-01-15'"), F.col("event_type"), "ts", "count(*)", dt.datetime(2024, 2, 2))
     stored = ops.daily_points(
-        t.events.where("ts < timestamp '2024-01-20' and event_id % 2 = 0"), F.col("event_type"), "ts", "count(*)", dt.datetime(2024, 2, 1)
+        t.events.where("ts < timestamp '2024-01-20'"), F.col("event_type"), "ts", "count(*) * 2 + 1", dt.datetime(2024, 2, 1)
     )
     return fresh, stored
 
@@ -82,7 +82,7 @@ def _rolling_inputs(t):
 def _rolling_sql(days, lo, hi):
     return f"""with {fx.z_table_sql()},
       pts as (select event_type, cast(ts as date) as day, 2 as calc, count(*) as v from events where ts >= timestamp '2024-01-15' group by 1, 2
-        union all select event_type, cast(ts as date), 1, count(*) from events where ts < timestamp '2024-01-20' and event_id % 2 = 0 group by 1, 2),
+        union all select event_type, cast(ts as date), 1, count(*) * 2 + 1 from events where ts < timestamp '2024-01-20' group by 1, 2),
       newest as (select * from pts qualify row_number() over (partition by event_type, day order by calc desc) = 1),
       rolled as (select a.event_type, a.day, cast(sum(b.v) as bigint) as v from newest a join newest b
         on a.event_type = b.event_type and b.day between a.day - {days} and a.day group by 1, 2),

@@ -186,9 +186,9 @@ def archives(t):
     named = e.join(sizes, (F.col("export_time") == F.col("d")) & (F.col("s") == F.col("s2")) & (F.col("part") == F.col("p2"))).selectExpr(
         "day(export_time) as ctl_loading",
         "export_time",
-        "concat('NIFI__SF__hrpl_as__src', s, '_', date_format(export_time, 'yyyyMMdd'), '_101500_', part, '_', case when day(export_time) % 5 = 0 then 4 else 3 end, '_', announced, '.csv.zip') as archive_name",
+        "concat('EXPORT__src', s, '_', date_format(export_time, 'yyyyMMdd'), '_101500_', part, '_', case when day(export_time) % 5 = 0 then 4 else 3 end, '_', announced, '.csv.zip') as archive_name",
     )
-    return ops.archive_completeness(named, "ctl_loading", "export_time", "archive_name")
+    return ops.archive_completeness(named, "ctl_loading", "export_time", "archive_name", "EXPORT__")
 
 
 @query(

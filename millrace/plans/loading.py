@@ -351,16 +351,16 @@ def poll_marks(t):
 
 @query(
     "L20_append_changed_versions",
-    """with stored as (select user_id as id, event_type as msg from events where event_id % 3 <> 0
+    """with stored as (select user_id as id, event_type as msg from events where ts < timestamp '2024-01-20'
          qualify row_number() over (partition by user_id order by ts desc, event_type desc) = 1),
-       incoming as (select user_id as id, event_type as msg from events where event_id % 3 = 0
+       incoming as (select user_id as id, event_type as msg from events where ts >= timestamp '2024-01-20'
          qualify row_number() over (partition by user_id order by ts desc, event_id desc) = 1)
        select i.id, i.msg from incoming i left join stored s on s.id = i.id and s.msg = i.msg where s.id is null""",
 )
 def append_changed_versions(t):
     ev = t.events.select(F.col("user_id").alias("id"), "ts", F.col("event_type").alias("msg"), "event_id")
-    stored = ev.where("event_id % 3 <> 0").drop("event_id")
-    incoming = newest_per_key(ev.where("event_id % 3 = 0"), ["id"], ["ts", "event_id"]).select("id", "msg")
+    stored = ev.where("ts < timestamp '2024-01-20'").drop("event_id")
+    incoming = newest_per_key(ev.where("ts >= timestamp '2024-01-20'"), ["id"], ["ts", "event_id"]).select("id", "msg")
     return ops.append_changed_versions(incoming, stored, ["id"], "msg", "ts")
 
 

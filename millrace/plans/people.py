@@ -118,16 +118,16 @@ def consensus(t):
     return _resolved(t).where("kind in ('true', 'false')")
 
 
-_COPIES = """copies as (select event_id as id, user_id, event_type, cast(ts as date) as data_date, event_id % 4 as messageid from events where event_id % 5 <> 0
-  union all select event_id + 1000000, user_id, event_type, cast(ts as date) + cast(event_id % 3 as int), event_id % 4 from events where event_id % 7 = 0 and event_id % 5 <> 0)"""
+_COPIES = """copies as (select event_id as id, user_id, event_type, cast(ts as date) as data_date, event_id % 4 as messageid from events
+  union all select event_id + 1000000, user_id, event_type, cast(ts as date) + cast(event_id % 3 as int), event_id % 4 from events where event_id % 7 = 0)"""
 _DUPLICATES = """dups as (select distinct max(id) as id from (select *, md5(user_id || event_type || messageid) as k, unnest([data_date, data_date + 1]) as w from copies) group by w, k having count(*) > 1)"""
 
 
 def _copies(t):
-    e = t.events.where("event_id % 5 <> 0").selectExpr(
+    e = t.events.selectExpr(
         "event_id as id", "user_id", "event_type", "cast(ts as date) as data_date", "event_id % 4 as messageid"
     )
-    more = t.events.where("event_id % 7 = 0 and event_id % 5 <> 0").selectExpr(
+    more = t.events.where("event_id % 7 = 0").selectExpr(
         "event_id + 1000000 as id", "user_id", "event_type", "date_add(cast(ts as date), cast(event_id % 3 as int)) as data_date", "event_id % 4 as messageid"
     )
     return e.unionByName(more)
