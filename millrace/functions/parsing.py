@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 UUID_PATTERN = "^[0-9a-fA-F]{8}-?[0-9a-fA-F]{4}-?[0-9a-fA-F]{4}-?[0-9a-fA-F]{4}-?[0-9a-fA-F]{12}$"
+SCALAR_JSON = r"^\s*(\".*\"|-?[0-9][-+.0-9eE]*|true|false|null)\s*$"
 TRUE_WORDS = ("t", "true", "y", "yes", "on", "1")  # fixed values
 FALSE_WORDS = ("f", "false", "n", "no", "off", "0")  # fixed values
 
@@ -25,9 +26,18 @@ def extract(c: Column | str, pattern: str, group: int = 1) -> Column:
 
 
 def is_json(c: Column | str) -> Column:
-    """True for a valid JSON text (object, array or scalar), false otherwise, NULL for NULL."""
+    """True for a valid JSON text (object, array or scalar), false otherwise, NULL for NULL.
+
+    Reading the outer keys (or counting the elements) rejects most broken texts cheaply; only what
+    passes is parsed in full, because a failing full parse costs an exception per row."""
     c = _col(c)
-    return F.when(c.isNotNull(), F.try_parse_json(c).isNotNull())
+    start = F.substring(F.ltrim(c), 1, 1)
+    plausible = (
+        F.when(start == "{", F.json_object_keys(c).isNotNull())
+        .when(start == "[", F.json_array_length(c).isNotNull())
+        .otherwise(c.rlike(SCALAR_JSON))
+    )
+    return F.when(c.isNotNull(), F.when(plausible, F.try_parse_json(c).isNotNull()).otherwise(F.lit(False)))
 
 
 def safe_cast(c: Column | str, kind: str) -> Column:
