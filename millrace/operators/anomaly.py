@@ -301,7 +301,7 @@ def growth_verdicts(candidates: DataFrame, history: DataFrame, config: DataFrame
     restore = (F.col("ztest") == F.lit(False)) & F.col("lst").isNotNull()
 
     def kept(name):
-        now = F.round(F.col(name)).cast("bigint")
+        now = F.round(F.round(F.col(name), 9)).cast("bigint")  # binary noise must not decide a half
         return F.when(restore, F.col(f"lst.h_{name}").cast("bigint")).otherwise(now).alias(name)
 
     return judged.select(
@@ -471,7 +471,7 @@ def _judge(row, points) -> dict:
 
 
 def _half_up(x: float) -> int:
-    return int(math.floor(abs(x) + 0.5)) * (1 if x >= 0 else -1)
+    return int(math.floor(round(abs(x), 9) + 0.5)) * (1 if x >= 0 else -1)
 
 
 # --- configuration and view ----------------------------------------------------------------

@@ -193,7 +193,7 @@ _VERDICT_SQL = (
              when z between coalesce(zfr, -5) and coalesce(zto, 5) then true else false end as ok from sc)""",
     )
     + """select round(z, 6) as zscore, 'tb_' || user_id as object, kd as key_date, rc as rows_count, cast(dif as int) as key_diff, val as value,
-         case when ok = false and has then 1 else cast(round(a) as bigint) end as avg, case when ok = false and has then 2 else cast(round(s) as bigint) end as std,
+         case when ok = false and has then 1 else cast(round(round(a, 9)) as bigint) end as avg, case when ok = false and has then 2 else cast(round(round(s, 9)) as bigint) end as std,
          case when ok = false and has then 3 else n end as cnt, case when ok = false and has then 4 else mn end as min,
          case when ok = false and has then 5 else mx end as max, lid as log_id, ok as ztest, back from jd"""
 )

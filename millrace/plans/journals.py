@@ -153,7 +153,7 @@ def _api(t):
       'profile', 'HR', 'scheduled', user_id % 4 <> 0, 'deleted', user_id % 7 = 0, 'singleLoading', true, 'engine', 'x', 'type', 'principal', 'eventAwaitStrategy', 'and',
       'statusNotifications', 'n', 'wf_time_sched', named_struct('sched', 'daily'), 'wf_event_sched', if(user_id % 3 = 0, array(
         named_struct('active', 'true', 'profile', 'HR', 'stat_id', '5', 'entity_id', cast(user_id as string)),
-        named_struct('active', 'true', 'profile', 'HR', 'stat_id', '5', 'entity_id', cast(user_id + 1000 as string)),
+        named_struct('active', 'true', 'profile', 'HR', 'stat_id', '5', 'entity_id', cast(user_id + 1000000 as string)),
         named_struct('active', 'false', 'profile', 'HR', 'stat_id', '6', 'entity_id', '1')), null),
       'param', array(named_struct('param', 'wf_interval', 'prior_value', concat(user_id % 3 + 1, ' days')), named_struct('param', 'cost', 'prior_value', '$5')))"""
     ext = "to_json(named_struct('wf', {b}, 'connectedEntities', array(user_id + 1, user_id + 2), 'connectedStats', array()))"
@@ -191,7 +191,7 @@ def _api(t):
        select c.id, case when ext then 'wf_' || c.id else 'wf_' || c.id || '_l' end as name, 'hr.cat_' || (c.id % 5) as category, c.id % 4 <> 0 as scheduled, c.id % 7 = 0 as deleted,
          case when ext then (c.id + 1) || ': ' || 'ent' || c.id || ', ' || (c.id + 2) || ': ' || case when c.id + 1 in (select user_id from u) then 'ent' || (c.id + 1) else '' end
            else (c.id + 1) || ': ent' || c.id end as connected,
-         case when c.id % 3 = 0 then 'and: HR [5] {' || (c.id + 1000) || ' (), ' || c.id || ' (' || strftime(fin, '%Y-%m-%d %H:%M:%S') || ')}' else 'sched: daily' end as wf_sched,
+         case when c.id % 3 = 0 then 'and: HR [5] {' || (c.id + 1000000) || ' (), ' || c.id || ' (' || strftime(fin, '%Y-%m-%d %H:%M:%S') || ')}' else 'sched: daily' end as wf_sched,
          'wf_interval: ' || (c.id % 3 + 1) || ' days; cost: %5' as param, (c.id % 3 + 1) * 86400 as wf_interval_s
        from c join ends on ends.user_id = c.id""",
 )
