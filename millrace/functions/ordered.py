@@ -1,8 +1,8 @@
 """Order-dependent values without sending one key, or all rows, to a single task.
 
-The per-key helpers cut every key into chunks (a monotone expression of the order, such as
-the month).  A window runs inside (key, chunk); what a chunk needs from the earlier ones is one
-pre-aggregated row per (key, chunk).
+The per-key helpers cut every key into chunks (a monotone expression of the order, such as the day).  A
+window runs inside (key, chunk).  What a chunk needs from its neighbours is one pre-aggregated row per
+(key, chunk); it joins the chunk as an extra row, so the data is shuffled once and never joined.
 """
 
 from __future__ import annotations
@@ -29,20 +29,18 @@ def previous_row(
 
     ``order`` must be unique within a key; ``chunk`` must not decrease along it.
     """
-    sources = list(dict.fromkeys(fields.values()))
-    row = F.struct(*sources)
-    position = F.struct(*order)
+    row = F.struct(*dict.fromkeys(fields.values()))
     step, edge_of = (F.lead, F.min_by) if ahead else (F.lag, F.max_by)
     cut = df.withColumn("_chunk", chunk)
-    inside = Window.partitionBy(*keys, "_chunk").orderBy(*order)
-    edges = cut.groupBy(*keys, "_chunk").agg(edge_of(row, position).alias("_edge"))
+    edges = cut.groupBy(*keys, "_chunk").agg(edge_of(row, F.struct(*order)).alias("_row"))
     across = Window.partitionBy(*keys).orderBy("_chunk")
-    edges = edges.withColumn("_edge", step("_edge").over(across)).where("_edge is not null")
-    near = cut.withColumn("_near", step(row).over(inside))
-    joined = _join_chunks(near, edges, keys)
-    found = F.coalesce(F.col("_near"), F.col("_edge"))
-    added = [found.getField(src).alias(name) for name, src in fields.items()]
-    return joined.select(*df.columns, *added)
+    edges = edges.withColumn("_row", step("_row").over(across)).where("_row is not null")
+    # The neighbour's edge row sorts before the chunk (after it when looking ahead).
+    extra = edges.withColumn("_place", F.lit(2 if ahead else 0))
+    both = cut.withColumns({"_row": row, "_place": F.lit(1)}).unionByName(extra, allowMissingColumns=True)
+    inside = Window.partitionBy(*keys, "_chunk").orderBy("_place", *order)
+    found = both.withColumn("_found", step("_row").over(inside)).where("_place = 1")
+    return found.select(*df.columns, *[F.col("_found").getField(src).alias(name) for name, src in fields.items()])
 
 
 def running(
@@ -57,42 +55,21 @@ def running(
 
     ``before_only`` leaves the row itself out.
     """
-    cut = df.withColumn("_chunk", chunk)
-    inside = Window.partitionBy(*keys, "_chunk").orderBy(*order)
-    inside = inside.rowsBetween(Window.unboundedPreceding, -1 if before_only else 0)
+    values = {
+        f"_v_{name}": F.when(F.col(c).isNotNull(), F.lit(1)).cast("bigint") if kind == "count" else F.col(c)
+        for name, (kind, c) in aggregates.items()
+    }
+    pick = {name: F.max if kind == "max" else F.sum for name, (kind, _) in aggregates.items()}
+    cut = df.withColumns({"_chunk": chunk, **values})
+    totals = cut.groupBy(*keys, "_chunk").agg(*[pick[n](f"_v_{n}").alias(f"_v_{n}") for n in aggregates])
     across = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    totals = cut.groupBy(*keys, "_chunk").agg(*[_AGG[k](c).alias(f"_t_{n}") for n, (k, c) in aggregates.items()])
-    for name, (kind, _) in aggregates.items():
-        joined_kind = "sum" if kind == "count" else kind
-        totals = totals.withColumn(f"_p_{name}", _AGG[joined_kind](f"_t_{name}").over(across))
-    totals = totals.drop(*[f"_t_{n}" for n in aggregates])
-    near = cut.select("*", *[_AGG[k](c).over(inside).alias(f"_n_{n}") for n, (k, c) in aggregates.items()])
-    joined = _join_chunks(near, totals, keys)
-    out = []
-    for name, (kind, _) in aggregates.items():
-        near_value, prefix = F.col(f"_n_{name}"), F.col(f"_p_{name}")
-        if kind == "max":
-            value = F.greatest(near_value, prefix)
-        else:
-            value = F.coalesce(near_value + prefix, near_value, prefix)
-            value = F.coalesce(value, F.lit(0)) if kind == "count" else value
-        out.append(value.alias(name))
-    return joined.select(*df.columns, *out)
-
-
-_AGG = {"sum": F.sum, "max": F.max, "count": F.count}
-
-
-def _join_chunks(near: DataFrame, per_chunk: DataFrame, keys: Sequence[str]) -> DataFrame:
-    renamed = per_chunk.select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys],
-        F.col("_chunk").alias("_k_chunk"),
-        *[c for c in per_chunk.columns if c not in (*keys, "_chunk")],
-    )
-    condition = F.col("_chunk").eqNullSafe(F.col("_k_chunk"))
-    for k in keys:
-        condition = condition & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    return near.join(renamed, condition, "left")
+    extra = totals.withColumns({f"_v_{n}": pick[n](f"_v_{n}").over(across) for n in aggregates}).withColumn("_place", F.lit(0))
+    both = cut.withColumn("_place", F.lit(1)).unionByName(extra, allowMissingColumns=True)
+    inside = Window.partitionBy(*keys, "_chunk").orderBy("_place", *order)
+    inside = inside.rowsBetween(Window.unboundedPreceding, -1 if before_only else 0)
+    out = {n: pick[n](f"_v_{n}").over(inside) for n in aggregates}
+    out = {n: F.coalesce(v, F.lit(0)) if aggregates[n][0] == "count" else v for n, v in out.items()}
+    return both.withColumns(out).where("_place = 1").select(*df.columns, *aggregates)
 
 
 @dataclass(frozen=True)

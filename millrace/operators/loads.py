@@ -30,13 +30,7 @@ class LoadConfig:
 
 def configured_load(source: DataFrame, target: DataFrame, config: LoadConfig) -> DataFrame:
     """New target content under the configured mode."""
-    rows = source
-    if config.source_sql:
-        rows = source.sparkSession.sql(config.source_sql, source=source)
-    if config.fields:
-        rows = rows.selectExpr(*config.fields)
-    if config.distinct:
-        rows = rows.distinct()
+    rows = configured_rows(source, config)
     match config.mode.upper():
         case "TRUNCATE":
             return rows
@@ -49,6 +43,26 @@ def configured_load(source: DataFrame, target: DataFrame, config: LoadConfig) ->
     raise ValueError(f"unknown load mode {config.mode}")
 
 
+def configured_rows(source: DataFrame, config: LoadConfig) -> DataFrame:
+    """Sub-query, projection and distinct of the configuration over the source."""
+    rows = source
+    if config.source_sql:
+        rows = source.sparkSession.sql(config.source_sql, source=source)
+    if config.fields:
+        rows = rows.selectExpr(*config.fields)
+    return rows.distinct() if config.distinct else rows
+
+
+def rows_to_append(source: DataFrame, target: DataFrame, config: LoadConfig) -> DataFrame:
+    """Only the rows that an INSERT or EXCEPT load adds, for a sink that appends."""
+    rows = configured_rows(source, config)
+    if config.mode.upper() == "INSERT":
+        return rows
+    if config.mode.upper() == "EXCEPT":
+        return new_rows_only(rows, target, config.except_fields)
+    raise ValueError(f"mode {config.mode} rewrites the target")
+
+
 def replace_keys(rows: DataFrame, target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     """Drop target rows whose key occurs in the source, then add ``rows``.
 

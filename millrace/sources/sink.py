@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from millrace.operators.anomaly import accepted
 
@@ -39,7 +38,7 @@ def publish(df: DataFrame, path: str, partition_by: Sequence[str] = (), file_row
     spark = df.sparkSession
     version = current_version(spark, path) + 1
     target = f"{path}/v{version}"
-    writer = df.write.option("compression", "zstd")
+    writer = (balanced(df, partition_by) if partition_by else df).write.option("compression", "zstd")
     if file_rows:
         writer = writer.option("maxRecordsPerFile", file_rows)
     if partition_by:
@@ -64,19 +63,18 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
 
 
 def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
-    """Overwrite only the partition values that ``df`` holds.
-
-    Rows are clustered by partition value and a salt taken from all columns, so a value that holds
-    a large share of the rows is written by several tasks.
-    """
-    spark = df.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    salt = F.pmod(F.xxhash64(*df.columns), F.lit(max(1, min(16, parts))))
+    """Overwrite only the partition values that ``df`` holds."""
     (
-        df.repartition(*partition_by, salt)
+        balanced(df, partition_by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "zstd")
         .partitionBy(*partition_by)
         .parquet(path)
     )
+
+
+def balanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Cluster rows by partition value before a write; adaptive execution splits a value that holds a
+    large share of the rows and merges small ones, so files come out even."""
+    return df.hint("rebalance", *partition_by)

@@ -32,10 +32,20 @@ def append_available(stream: DataFrame, target: str, checkpoint: str, partition_
 
 
 def merge_available(stream: DataFrame, merge: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
-    """Hand every micro-batch to ``merge(batch, batch_id)``, which publishes a new table version, and stop.
+    """Hand every non-empty micro-batch to ``merge(batch, batch_id)``, which publishes a new version, and stop.
 
-    ``batch_id`` lets the merge recognise a batch that is replayed after a failure."""
-    return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    ``batch_id`` lets the merge recognise a batch that is replayed after a failure.  The batch is kept
+    while it is merged, so that a stateful stream is evaluated once."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            if not batch.isEmpty():
+                merge(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    return stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def stream_envelopes(files: DataFrame, arrived: str, delay: str = "2 days") -> DataFrame:

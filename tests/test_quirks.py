@@ -264,3 +264,10 @@ def test_row_growth_of_empty_status_list(spark):
     snap = spark.createDataFrame([(1, dt.datetime(2024, 1, 1), "loading", "u", '{"alive":"ACTIVE"}')], "id int, ts timestamp, obj string, url string, msg string")
     row = runlog.latest_loads(snap).first()
     assert row.status_dttm is None and row.alive == "ACTIVE"
+
+
+def test_rows_to_append(spark):
+    a = spark.createDataFrame([(1, "x"), (1, "x"), (2, "y")], "k int, v string")
+    target = a.where("k = 2")
+    assert loads.rows_to_append(a, target, loads.LoadConfig("INSERT")).count() == 3
+    assert rows_of(loads.rows_to_append(a, target, loads.LoadConfig("EXCEPT"))) == [(1, "x")]
