@@ -67,25 +67,28 @@ def z_of_date(
 ) -> DataFrame:
     """Score of one date within the window that ends on it.
 
-    Mean and population deviation come from one aggregate, read as a scalar sub-query.  Plain
-    values count once per (date, value) unless ``distinct_points`` is off."""
+    Plain values count once per (date, value) unless ``distinct_points`` is off."""
     first = interval_start(day, unit, quantity)
     on = F.col(date_column).cast("date")
     points = _daily(df.where(on.between(F.lit(first), F.lit(day))), date_column, value)
-    if distinct_points and "(" not in value:
-        points = points.distinct()
-    stats = points.agg(F.struct(F.avg("value").alias("avg"), F.stddev_pop("value").alias("std"))).scalar()
-    avg, std = stats.getField("avg"), stats.getField("std")
-    scored = points.where(F.col("day") == F.lit(day)).withColumn("zscore", _score(F.col("value"), avg, std))
-    out = with_p_value(scored, table)
+    avg, std = F.avg("value").alias("avg"), F.stddev_pop("value").alias("std")
+    if "(" in value:
+        # One point per date: the score needs a single pass.
+        of_day = F.max(F.when(F.col("day") == F.lit(day), F.struct("day", "value"))).alias("p")
+        scored = points.agg(avg, std, of_day).where("p is not null").select("avg", "std", "p.*")
+    else:
+        points = points.distinct() if distinct_points else points
+        stats = points.agg(F.struct(avg, std)).scalar()
+        scored = points.where(F.col("day") == F.lit(day)).select("*", stats.getField("avg").alias("avg"), stats.getField("std").alias("std"))
+    out = with_p_value(scored.withColumn("zscore", _score(F.col("value"), F.col("avg"), F.col("std"))), table)
     return out.select(
         *([F.lit(report_as).alias("object_name")] if report_as else []),
         F.col("day").alias("date_field_value"),
         F.round("value", 6).alias("field_value"),
         F.lit(first).alias("date_from"),
         F.lit(day).alias("date_to"),
-        F.round(avg, 6).alias("avg_value"),
-        F.round(std, 6).alias("stddev_value"),
+        F.round("avg", 6).alias("avg_value"),
+        F.round("std", 6).alias("stddev_value"),
         F.round("zscore", 6).alias("zscore"),
         F.round(100 * F.col("p_value"), 4).alias("confidence_percentage"),
     )
@@ -100,10 +103,13 @@ def max_z_of_means(df: DataFrame, column: str, date_column: str, day: dt.date, u
     """Largest |z| of the daily means in the window; mean and deviation over all dates."""
     first = interval_start(day, unit, quantity)
     means = df.groupBy(F.col(date_column).cast("date").alias("day")).agg(F.avg(column).alias("value"))
-    stats = means.agg(F.struct(F.avg("value").alias("avg"), F.stddev_pop("value").alias("std"))).scalar()
-    z = F.abs(_score(F.col("value"), stats.getField("avg"), stats.getField("std")))
-    inside = means.where(F.col("day").between(F.lit(first), F.lit(day)))
-    return inside.agg(F.round(F.max(z), 4).alias("max_z"))
+    inside = F.when(F.col("day").between(F.lit(first), F.lit(day)), F.col("value"))
+    # The largest |z| belongs to the smallest or the largest mean of the window, so one pass is enough.
+    stats = means.agg(
+        F.avg("value").alias("avg"), F.stddev_pop("value").alias("std"), F.min(inside).alias("low"), F.max(inside).alias("high")
+    )
+    far = F.greatest(*[F.abs(_score(F.col(c), F.col("avg"), F.col("std"))) for c in ("low", "high")])
+    return stats.select(F.round(far, 4).alias("max_z"))
 
 
 def rolling_z(

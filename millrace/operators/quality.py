@@ -142,20 +142,23 @@ class Period:
         return column.between(_lit(self.first), _lit(self.last))
 
 
-def _period_counts(source, value, date_column, bench, target, target_source, target_date_column):
-    """One row per distinct value with its count in either period (cb, ct)."""
+def _in_periods(source, value, date_column, bench, target, target_source, target_date_column):
+    """Rows (val, b, t): the value and whether it lies in the benchmark and in the target period.
+
+    Both periods of one table come from one scan."""
     day = F.col(date_column).cast("date")
     if target_source is None:
         in_b, in_t = bench.holds(day), target.holds(day)
-        return (
-            source.where(in_b | in_t)
-            .groupBy(value.alias("val"))
-            .agg(F.count_if(in_b).alias("cb"), F.count_if(in_t).alias("ct"))
-        )
+        return source.where(in_b | in_t).select(value.alias("val"), in_b.alias("b"), in_t.alias("t"))
     other = F.col(target_date_column or date_column).cast("date")
-    b = source.where(bench.holds(day)).select(value.alias("val"), F.lit(1).alias("b"), F.lit(0).alias("t"))
-    t = target_source.where(target.holds(other)).select(value.alias("val"), F.lit(0).alias("b"), F.lit(1).alias("t"))
-    return b.unionAll(t).groupBy("val").agg(F.sum("b").alias("cb"), F.sum("t").alias("ct"))
+    b = source.where(bench.holds(day)).select(value.alias("val"), F.lit(True).alias("b"), F.lit(False).alias("t"))
+    t = target_source.where(target.holds(other)).select(value.alias("val"), F.lit(False).alias("b"), F.lit(True).alias("t"))
+    return b.unionAll(t)
+
+
+def _period_counts(*where):
+    """One row per distinct value with its count in either period (cb, ct)."""
+    return _in_periods(*where).groupBy("val").agg(F.count_if("b").alias("cb"), F.count_if("t").alias("ct"))
 
 
 def _psi_term(b: Column, t: Column) -> Column:
@@ -179,14 +182,40 @@ def stability_categorical(
     A missing share counts as 1e-4 inside the logarithm; a NULL category matches the text
     ``xxx``; the first 100 characters identify a category."""
     value = F.substring(F.col(column).cast("string"), 1, 100)
-    counts = _period_counts(source, value, date_column, bench, target, target_source, target_date_column)
-    totals = counts.agg(F.struct(F.sum("cb").alias("b"), F.sum("ct").alias("t"))).scalar()
-    key = F.coalesce(F.col("val"), F.lit("xxx"))
-    b = counts.where("cb > 0").select(key.alias("kb"), (F.col("cb") / totals.getField("b")).alias("pb"))
-    t = counts.where("ct > 0").select(key.alias("kt"), (F.col("ct") / totals.getField("t")).alias("pt"))
-    joined = b.join(t, F.col("kb") == F.col("kt"), "full_outer")
-    term = _psi_term(F.coalesce("pb", F.lit(0.0)), F.coalesce("pt", F.lit(0.0)))
-    return joined.agg(F.round(F.abs(F.sum(term)), 4).alias("psi"))
+    rows = _in_periods(source, value, date_column, bench, target, target_source, target_date_column)
+    filled = F.col("val").isNotNull()
+    counts = rows.groupBy(F.coalesce("val", F.lit("xxx")).alias("key")).agg(
+        *[F.count_if(F.col(side) & ~filled).alias(f"{side}_null") for side in ("b", "t")],
+        *[F.count_if(F.col(side) & filled).alias(f"{side}_text") for side in ("b", "t")],
+    )
+    # A key is one category, except that NULL and the text xxx meet under the same key.
+    listed = {}
+    for side in ("b", "t"):
+        some = F.filter(F.array(f"{side}_null", f"{side}_text"), lambda n: n > 0)
+        listed[side] = F.when(F.size(some) > 0, some).otherwise(F.array(F.lit(0).cast("bigint")))
+    lists = counts.select(listed["b"].alias("lb"), listed["t"].alias("lt"), (F.col("b_null") + F.col("b_text")).alias("tb"), (F.col("t_null") + F.col("t_text")).alias("tt"))
+    every_b = lists.select("*", F.posexplode("lb").alias("i", "b"))
+    pairs = every_b.select("i", "b", "tb", "tt", F.posexplode("lt").alias("j", "t"))
+    # One aggregate: with the totals B and T taken out of the logarithms, the sum needs no second pass.
+    b, t, eps = F.col("b"), F.col("t"), F.ln(F.lit(ZERO_SHARE))
+    both, only_b, only_t = (b > 0) & (t > 0), (b > 0) & (t == 0), (b == 0) & (t > 0)
+    once = (F.col("i") == 0) & (F.col("j") == 0)
+
+    def total(condition, x):
+        return F.coalesce(F.sum(F.when(condition, x)), F.lit(0.0))
+
+    sums = pairs.agg(
+        total(both, b * (F.ln(b) - F.ln(t))).alias("b_log"), total(both, t * (F.ln(b) - F.ln(t))).alias("t_log"),
+        total(both, b).alias("b_both"), total(both, t).alias("t_both"),
+        total(only_b, b * (F.ln(b) - eps)).alias("b_only_log"), total(only_b, b).alias("b_only"),
+        total(only_t, t * (eps - F.ln(t))).alias("t_only_log"), total(only_t, t).alias("t_only"),
+        F.nullif(total(once, F.col("tb")), F.lit(0.0)).alias("B"), F.nullif(total(once, F.col("tt")), F.lit(0.0)).alias("T"),
+    )
+    psi = F.expr(
+        """coalesce((b_log + b_only_log) / B, 0) - coalesce((t_log + t_only_log) / T, 0)
+         + coalesce((ln(T) - ln(B)) * (b_both / B - t_both / T), 0) - coalesce(ln(B) * b_only / B, 0) - coalesce(ln(T) * t_only / T, 0)"""
+    )
+    return sums.select(F.round(F.abs(psi), 4).alias("psi"))
 
 
 def stability_continuous(

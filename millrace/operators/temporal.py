@@ -247,12 +247,16 @@ def events_to_intervals(
     action belongs to pair n (a leave) or n + 1 (a hire); pair 1 has no start and is dropped; an open
     pair ends on 9999-12-31.
     """
-    base = movements.select(key, F.col(day).cast("date").alias("_d"), F.col(action).alias("_a"))
-    base = base.withColumn("_d", F.when(F.col("_a") == rehire, F.date_sub("_d", 1)).otherwise(F.col("_d")))
-    synthetic = base.where(F.col("_a") == rehire).select(key, F.date_add("_d", 1).alias("_d"), F.lit(again).alias("_a"))
+    on, what = F.col(day).cast("date"), F.col(action)
+
+    def act(d, a):
+        return F.struct(d.alias("_d"), a.alias("_a"))
+
+    split = F.array(act(F.date_sub(on, 1), what), act(on, F.lit(again)))
+    base = movements.select(key, F.inline(F.when(what == rehire, split).otherwise(F.array(act(on, what)))))
     # Equal actions of one day are counted together and spread again: the order is total, and the
     # window holds a few rows per day of a key, however many rows the key has.
-    every = base.unionByName(synthetic).groupBy(key, "_d", "_a").agg(F.count(F.lit(1)).alias("_n"))
+    every = base.groupBy(key, "_d", "_a").agg(F.count(F.lit(1)).alias("_n"))
     ranked = every.withColumn("_upto", F.sum("_n").over(Window.partitionBy(key).orderBy("_d", "_a")))
     each = ranked.withColumn("_i", F.explode(F.sequence(F.col("_upto") - F.col("_n") + 1, F.col("_upto"))))
     pair = F.when(F.col("_a").isin(*hire), F.col("_i") + 1).when(F.col("_a").isin(*leave), F.col("_i"))
