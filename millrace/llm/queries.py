@@ -29,3 +29,10 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     from millrace.llm import quality_rules
 
     return quality_rules.judge(table(spark, sf_dir, "documents"))
+
+
+@query("op2_simhash_near_dedup")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from millrace.llm import simhash
+
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
