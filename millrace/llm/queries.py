@@ -36,3 +36,10 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     from millrace.llm import simhash
 
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op4_best_fit_packing")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from millrace.llm import packing
+
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
