@@ -43,3 +43,10 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     from millrace.llm import packing
 
     return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op7_source_mixing")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from millrace.llm import mixing
+
+    return mixing.mix_documents(table(spark, sf_dir, "documents"))
