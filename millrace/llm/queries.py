@@ -50,3 +50,28 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     from millrace.llm import mixing
 
     return mixing.mix_documents(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op3_line_dedup",
+    r"""
+    with line as (
+        select doc_id, coalesce(doc_id, 9223372036854775807) as owner_id, line.i as i, line.x as x
+        from (select doc_id, unnest(list_transform(string_split(coalesce(text, ''), chr(10)), lambda x, i: {'i': i, 'x': x})) as line from documents)
+    ), keyed as (
+        select *, translate(trim(x, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as k from line
+    ), shared as (
+        select k, min(owner_id) as keeper from keyed where length(k) >= 10 group by k having count(distinct owner_id) > 1
+    ), judged as (
+        select keyed.*, shared.keeper is not null and shared.keeper <> owner_id as gone from keyed left join shared using (k)
+    )
+    select doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped,
+        sha256(coalesce(string_agg(x, chr(10) order by i) filter (not gone), '')) as kept_sha256
+    from judged group by doc_id
+    """,
+)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from millrace.llm import line_dedup
+
+    return line_dedup.report(table(spark, sf_dir, "documents"))
