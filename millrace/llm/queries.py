@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.llm import secret_scan, url_filter
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -75,3 +77,13 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     from millrace.llm import line_dedup
 
     return line_dedup.report(table(spark, sf_dir, "documents"))
+
+
+@query("op5_url_filters", url_filter.oracle())
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
+@query("op9_secret_scans", secret_scan.oracle())
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.report(table(spark, sf_dir, "documents"))
