@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import secret_scan, url_filter
+from millrace.llm import secret_scan, topk, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -87,3 +87,22 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_secret_scans", secret_scan.oracle())
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.report(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op1_topk_search",
+    """
+    with v as (
+        select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as q from embeddings
+        where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    ), pair as (
+        select a.vec_id as query_id, b.vec_id as vec_id,
+            list_sum(list_transform(list_zip(a.q, b.q), lambda p: coalesce(p[1], 0) * coalesce(p[2], 0)))::bigint as score
+        from v a join v b on a.vec_id <> b.vec_id where a.vec_id % 50 = 0
+    )
+    select query_id, (row_number() over (partition by query_id order by score desc, vec_id))::int as rank, vec_id, score
+    from pair qualify rank <= 5
+    """,
+)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"))
