@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import secret_scan, topk, url_filter
+import corpus_pipeline
+from millrace.llm import line_dedup, mixing, packing, quality_rules, secret_scan, simhash, topk, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -28,29 +29,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 @query("op8_quality_rules")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from millrace.llm import quality_rules
-
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
 
 @query("op2_simhash_near_dedup")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from millrace.llm import simhash
-
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 @query("op4_best_fit_packing")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from millrace.llm import packing
-
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
 @query("op7_source_mixing")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from millrace.llm import mixing
-
     return mixing.mix_documents(table(spark, sf_dir, "documents"))
 
 
@@ -74,8 +67,6 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from millrace.llm import line_dedup
-
     return line_dedup.report(table(spark, sf_dir, "documents"))
 
 
@@ -106,3 +97,6 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"))
+
+
+query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
