@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from millrace.llm import line_dedup, mixing, packing, quality_rules, secret_scan, simhash, topk, url_filter
+from millrace.llm import line_dedup, mixing, packing, quality_rules, secret_scan, simhash, suffix_dedup, topk, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -99,4 +99,9 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"))
 
 
+@query("op6_suffix_array_dedup")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.report(table(spark, sf_dir, "documents"))
+
+
 query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
