@@ -1,27 +1,28 @@
 """Scoring texts with a hierarchical Pitman-Yor language model learned from the corpus.
 
-The words of a text, lower-cased, and its end are drawn from one restaurant over words.  Its parent spells a word byte
-by byte: restaurants for the last two bytes, which share parents for the last one, which share one for none, above a
-uniform choice.  Probabilities are over the words seen in training and one more token for all others, as in the base
-score; that token has all that the spelling leaves for words not seen.
+The tokens of a text are its lower-cased words and its end.  A token is drawn from the restaurant of its context, the
+class of the token before it; all context restaurants share one parent, whose own parent is the uniform choice among
+the words seen in training and one more token for all others.  Contexts are ``CONTEXTS`` classes by hash, so the number
+of restaurants does not grow with the corpus, while what is counted in them does.
 
-Counting, seating and scoring are Spark jobs over the table of distinct words; a Gibbs sweep redraws the tables of all
-words, then those of the byte restaurants (``pitman_yor``), whose number is bounded by the alphabet and not by the
-corpus: at most 257 ** 3 dishes, which bounds what is broadcast.  After ``BURN_IN`` sweeps the predictive probabilities
-of ``KEEP`` sweeps are averaged.
+A Gibbs sweep draws the number of tables of every word in every context, which are the customers of the parent, then
+the tables of the parent (``pitman_yor``).  One row holds a word with all its contexts, so a sweep is a map over rows
+and a few sums; words are drawn at once, given the sums of the sweep before.  Discounts come from counts of counts, strengths
+are those of a grid that predict left-out tokens best.  After ``BURN_IN`` sweeps the predictive probabilities of
+``KEEP`` sweeps are averaged.
 
-For scoring, texts are dealt into blocks by hash.  Each block asks once for each of its distinct words, the answers
-come back to the block, and the sums of a text are made where the text is.
+For scoring, texts are dealt into blocks by hash.  Each block asks once for each of its distinct words, with the
+contexts it needs; the answers come back to the block, and the sums of a text are made where the text is.  Words are
+told apart by 64-bit hashes.
 
 Defined cases: a null text is empty and has one token, its end; a null id is learned from; repeated rows count as often
-as they come; an empty training set leaves the uniform spelling; extra columns are ignored.
+as they come; without training tokens every token is unknown; extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -34,11 +35,13 @@ from millrace.llm import pitman_yor as py
 from millrace.llm.storage import block_count, drop_stored, stored
 
 BURN_IN = 2
-KEEP = 3
+KEEP = 2
+CONTEXTS = 64  # a context is one bit of a long
 SEED = 11
 END = b""
 BLOCK_CHARS = 16_000_000
-_FLUSH = 400_000
+_FLUSH_WORDS = 400_000
+_FLUSH_TOKENS = 6_000_000
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -49,168 +52,329 @@ def is_held_out(doc_id: int | None) -> bool:
     return doc_id is not None and zlib.crc32(str(doc_id).encode()) % 7 == 2
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """(word, c) over the tokens of the training rows of ``docs`` (doc_id, text)."""
+class Numbered:
+    """Texts as numbers of words, each token with its context; words are numbered as they come."""
 
-    def go(batches):
-        counts: Counter = Counter()
+    def __init__(self):
+        self.number: dict[bytes, int] = {}
+        self.ids: list[np.ndarray] = []
+        self.n_tokens = 0
+
+    def add(self, text: str | None) -> None:
+        words = tokens(text)
+        number = self.number
+        self.ids.append(np.fromiter((number.setdefault(w, len(number)) for w in words), np.int32, len(words)))
+        self.n_tokens += len(words)
+
+    def hashes(self) -> np.ndarray:
+        return np.fromiter(map(xxh64_intdigest, self.number), np.uint64, len(self.number)).view(np.int64)
+
+    def tokens(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Word number and context of all tokens, text after text; a text starts in the context of an end."""
+        words = np.concatenate(self.ids) if self.ids else np.zeros(0, np.int32)
+        kinds = _context(hashes)
+        before = np.empty(len(words), np.int64)
+        if len(words):
+            before[1:] = kinds[words[:-1]]
+            before[np.cumsum([0, *map(len, self.ids[:-1])])] = _context(np.array([xxh64_intdigest(END)], np.uint64).view(np.int64))[0]
+        return words.astype(np.int64), before
+
+
+def _context(hashes: np.ndarray) -> np.ndarray:
+    return ((hashes.view(np.uint64) >> np.uint64(40)) % np.uint64(CONTEXTS)).astype(np.int64)
 
-        def flushed():
-            return pa.RecordBatch.from_pydict({"word": pa.array(counts.keys(), pa.binary()), "c": pa.array(counts.values(), pa.int64())})
+
+def pair_counts(docs: DataFrame) -> DataFrame:
+    """(wh, u, c): how often a word comes in a context, over the training rows of ``docs`` (doc_id, text)."""
+
+    def go(batches):
+        seen = Numbered()
+
+        def counted():
+            hashes = seen.hashes()
+            words, contexts = seen.tokens(hashes)
+            keys, c = np.unique(words * CONTEXTS + contexts, return_counts=True)
+            for at in range(0, len(keys), 200_000):
+                part = keys[at : at + 200_000]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(hashes[part // CONTEXTS]), pa.array((part % CONTEXTS).astype(np.int32)), pa.array(c[at : at + 200_000])], names=["wh", "u", "c"]
+                )
 
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if not is_held_out(doc_id):
-                    counts.update(tokens(text))
-                if len(counts) > _FLUSH:
-                    yield flushed()
-                    counts = Counter()
-        yield flushed()
+                    seen.add(text)
+                if len(seen.number) > _FLUSH_WORDS or seen.n_tokens > _FLUSH_TOKENS:
+                    yield from counted()
+                    seen = Numbered()
+        yield from counted()
 
-    return docs.select("doc_id", "text").mapInArrow(go, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
-
-
-def _letters(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes and lengths of an Arrow column of words."""
-    words = column.to_pylist()
-    lengths = np.fromiter(map(len, words), np.int64, len(words))
-    return np.frombuffer(b"".join(words), np.uint8), lengths
+    return docs.select("doc_id", "text").mapInArrow(go, "wh long, u int, c long").groupBy("wh", "u").agg(F.sum("c").alias("c"))
 
 
 @dataclass
-class Sweep:
-    """What a sweep leaves behind beside the table of words."""
+class Sums:
+    """Tables by context and of the parent, after a sweep; customers of the parent are all tables of the contexts."""
+
+    tables: np.ndarray
+    root_tables: int
 
-    tables: int
-    spelling: py.ByteModel
+    @property
+    def root_customers(self) -> int:
+        return int(self.tables.sum())
 
 
 @dataclass
-class Model:
-    words: DataFrame  # word, c, p: averaged predictive probability
-    n_tokens: int
+class Setting:
+    """What the sweeps are given: customers by context, words, discounts and strengths of contexts and parent."""
+
+    customers: np.ndarray
     n_words: int
-    unknown: float  # averaged predictive probability of a word that was not seen
+    d: float
+    strength: float
+    root_d: float
+    root_strength: float
+
+    def root(self, sums: Sums, customers, tables):
+        """Parent's probability of words with so many customers and tables there."""
+        rest = (self.root_strength + self.root_d * sums.root_tables) / (self.n_words + 1)
+        return (customers - self.root_d * tables + rest) / (self.root_strength + sums.root_customers)
+
+    def back(self, sums: Sums) -> np.ndarray:
+        """By context: the share that goes to the parent."""
+        return (self.strength + self.d * sums.tables) / (self.strength + self.customers)
+
+
+_STATE = "wh long, u array<int>, c array<long>, t array<long>, kept array<long>, root_t long, root_p array<double>"
+
+
+def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Values of a list column, and the row of each."""
+    lengths = np.diff(column.offsets.to_numpy())
+    return column.flatten().to_numpy(), np.repeat(np.arange(len(column)), lengths)
+
+
+def _like(column: pa.Array, values: np.ndarray) -> pa.Array:
+    offsets = column.offsets.to_numpy()
+    return pa.ListArray.from_arrays(pa.array((offsets - offsets[0]).astype(np.int32)), pa.array(values))
 
 
-def _seat_words(state: DataFrame, broadcast, n_tokens: int, d: float, turn: int, add: bool, draw: bool) -> DataFrame:
-    """Add the predictive probabilities under the last sweep to ``p``, the parent's part of it to ``r``; draw the tables anew."""
+def _sweep(state: DataFrame, setting: Setting, sums: Sums, turn: int, keep: bool) -> DataFrame:
+    """Take down the present seating if it is kept, then draw all tables anew."""
 
     def go(batches):
-        sweep: Sweep = broadcast.value
         for batch in batches:
-            words, c = batch.column(0), batch.column(1).to_numpy()
-            t, p, r = (batch.column(k).to_numpy() for k in (2, 3, 4))
-            log_parent = sweep.spelling.log_probability(*_letters(words))
-            if add:
-                part = (py.STRENGTH + d * sweep.tables) * np.exp(log_parent) / (py.STRENGTH + n_tokens)
-                p, r = p + part + (c - d * t) / (py.STRENGTH + n_tokens), r + part
-            if draw and len(c):
-                rng = np.random.default_rng([SEED, turn, xxh64_intdigest(words[0].as_py()), len(c)])
-                t = py.draw_tables(c, d, py.STRENGTH + d * (sweep.tables - t), log_parent, rng)
-            yield pa.RecordBatch.from_arrays([words, batch.column(1), pa.array(t), pa.array(p), pa.array(r)], names=["word", "c", "t", "p", "r"])
+            wh = batch.column(0).to_numpy()
+            u, row = _lists(batch.column(1))
+            c, t, kept = (_lists(batch.column(k))[0] for k in (2, 3, 4))
+            root_t = batch.column(5).to_numpy()
+            root_p = batch.column(6)
+            here = setting.root(sums, np.bincount(row, t, len(wh)), root_t)
+            if keep:
+                kept = kept + t
+                old, old_row = _lists(root_p)
+                values = np.concatenate([old, here])[np.argsort(np.concatenate([old_row, np.arange(len(wh))]), kind="stable")]
+                count = len(values) // max(1, len(wh))
+                root_p = pa.ListArray.from_arrays(pa.array(np.arange(len(wh) + 1, dtype=np.int32) * count), pa.array(values))
+            rng = np.random.default_rng([SEED, turn, abs(int(wh[0])) if len(wh) else 0, len(wh)])
+            t = py.draw_tables(c, setting.d, setting.strength + setting.d * (sums.tables[u] - t), np.log(here)[row], rng)
+            customers = np.bincount(row, t, len(wh)).astype(np.int64)
+            strength = setting.root_strength + setting.root_d * (sums.root_tables - root_t)
+            root_t = py.draw_tables(customers, setting.root_d, strength, np.full(len(wh), -math.log(setting.n_words + 1)), rng)
+            like = batch.column(1)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), like, batch.column(2), _like(like, t), _like(like, kept), pa.array(root_t), root_p], names=batch.schema.names
+            )
+
+    return state.mapInArrow(go, _STATE)
+
+
+def _by_context(state: DataFrame, column: str) -> tuple[np.ndarray, int]:
+    """Sums of a list column by context, and the tables of the parent; one row per context reaches the driver."""
 
-    return state.mapInArrow(go, "word binary, c long, t long, p double, r double")
+    def go(batches):
+        total, root = np.zeros(CONTEXTS), 0
+        for batch in batches:
+            total += np.bincount(_lists(batch.column(0))[0], _lists(batch.column(1))[0], CONTEXTS)
+            root += int(batch.column(2).to_numpy().sum())
+        yield pa.RecordBatch.from_pydict({"u": np.arange(CONTEXTS + 1), "n": np.append(total.astype(np.int64), root)})
+
+    rows = state.select("u", column, "root_t").mapInArrow(go, "u long, n long").groupBy("u").agg(F.sum("n").alias("n")).collect()
+    found = {r["u"]: r["n"] for r in rows}
+    return np.array([found.get(k, 0) for k in range(CONTEXTS)], np.int64), found.get(CONTEXTS, 0)
 
 
-def _byte_customers(state: DataFrame) -> tuple[int, np.ndarray, np.ndarray]:
-    """(tables of all words, keys, customers): every table sends the spelling of its word to the byte restaurants."""
+STRENGTHS = tuple(10.0**k for k in range(8))
+ROOT_STRENGTHS = (0.001, 0.01, 0.1, 0.2, 0.5, 1.0, 2.0, 5.0, 10.0)  # per word
+
+
+def _strength(state: DataFrame, customers: np.ndarray, dishes: np.ndarray, d: float, n_words: int) -> float:
+    """Strength of the contexts that predicts every token best from all the others."""
+    total = int(customers.sum())
 
     def go(batches):
-        found: Counter = Counter()
+        sums = np.zeros(len(STRENGTHS))
         for batch in batches:
-            t = batch.column(1).to_numpy()
-            data, lengths = _letters(batch.column(0))
-            keys, starts = py.spell(data, lengths)
-            sums = np.bincount(keys, np.repeat(t, lengths + 1)) if len(keys) else np.zeros(0)
-            at = np.flatnonzero(sums)
-            found.update(dict(zip(at.tolist(), sums[at].astype(np.int64).tolist(), strict=True)))
-            found[-1] += int(t.sum())
-        yield pa.RecordBatch.from_pydict({"key": pa.array(found.keys(), pa.int64()), "n": pa.array(found.values(), pa.int64())})
-
-    rows = state.select("word", "t").mapInArrow(go, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    table = rows.toArrow()  # at most 257 ** 3 + 1 rows
-    keys, n = table.column("key").to_numpy(), table.column("n").to_numpy()
-    order = np.argsort(keys)
-    keys, n = keys[order], n[order]
-    tables = int(n[0]) if len(keys) and keys[0] == -1 else 0
-    return tables, keys[keys >= 0], n[keys >= 0]
+            u, row = _lists(batch.column(0))
+            c = _lists(batch.column(1))[0]
+            parent = ((np.bincount(row, c, len(batch.column(0))) + 1) / (total + n_words + 1))[row]
+            sums += [py.left_out_log(c, customers[u], dishes[u], parent, d, s).sum() for s in STRENGTHS]
+        yield pa.RecordBatch.from_pydict({"k": np.arange(len(STRENGTHS)), "s": sums})
+
+    rows = state.select("u", "c").mapInArrow(go, "k long, s double").groupBy("k").agg(F.sum("s").alias("s")).collect()
+    return STRENGTHS[max(rows, key=lambda r: r["s"])["k"]] if rows else STRENGTHS[0]
+
+
+def _root_strength(state: DataFrame, d: float, n_words: int) -> float:
+    """The same for the parent, whose dishes start with one customer per context."""
+    rows = state.groupBy(F.size("u").alias("c")).count().collect()  # at most CONTEXTS rows
+    c, n = (np.array([r[k] for r in rows], np.float64) for k in (0, 1))
+    total = float((c * n).sum())
+
+    def predicted(s: float) -> float:
+        return float((n * py.left_out_log(c, np.full(len(c), total), np.full(len(c), float(n_words)), np.full(len(c), 1 / (n_words + 1)), d, s)).sum())
+
+    return max((s * max(1, n_words) for s in ROOT_STRENGTHS), key=predicted)
+
+
+@dataclass
+class Model:
+    table: DataFrame | None  # wh, c and as bytes: u, customers less discounted tables by context, parent's probabilities
+    n_tokens: int
+    n_words: int
+    own: np.ndarray  # by context: what one customer is worth
+    back: np.ndarray  # kept sweep, context: share of the parent
+    unknown: np.ndarray  # by kept sweep: parent's probability of a word that was not seen
 
 
 def learn(docs: DataFrame, burn_in: int = BURN_IN, keep: int = KEEP) -> Model:
     """Model of the training rows of ``docs`` (doc_id, text)."""
-    context = docs.sparkSession.sparkContext
-    counted = stored(word_counts(docs).select("word", "c", F.lit(1).cast("long").alias("t"), F.lit(0.0).alias("p"), F.lit(0.0).alias("r")))
-    whole = counted.agg(F.sum("c").alias("n"), F.count("*").alias("v"), F.count_if(F.col("c") == 1).alias("once"), F.count_if(F.col("c") == 2).alias("twice")).first()
-    n_tokens, d = whole["n"] or 0, py.discount_of(whole["once"], whole["twice"])
-    rng = np.random.default_rng(SEED)
-    state, sweep, left = counted, Sweep(0, py.flat_model()), []
-    for turn in range(burn_in + keep + 1):
-        tables, keys, customers = _byte_customers(state)
-        spelling = py.seat_bytes(keys, customers, sweep.spelling, rng) if len(keys) else sweep.spelling
-        sweep = Sweep(tables, spelling)
-        if turn > burn_in:
-            left.append((py.STRENGTH + d * tables) / (py.STRENGTH + n_tokens))
-        sent = context.broadcast(sweep)
-        new = stored(_seat_words(state, sent, n_tokens, d, turn, turn > burn_in, turn < burn_in + keep))
+    pairs = pair_counts(docs).groupBy("wh").agg(F.sort_array(F.collect_list(F.struct("u", "c"))).alias("x"))  # CONTEXTS at most
+    ones = F.transform("x", lambda _: F.lit(1).cast("long"))
+    zeros = F.transform("x", lambda _: F.lit(0).cast("long"))
+    state = stored(pairs.select("wh", F.col("x.u").alias("u"), F.col("x.c").alias("c"), ones.alias("t"), zeros.alias("kept"), F.lit(1).cast("long").alias("root_t"), F.array().cast("array<double>").alias("root_p")))
+    count = lambda k: F.sum(F.size(F.filter("c", lambda c: c == k)))
+    first = state.agg(F.count("*").alias("v"), count(1).alias("once"), count(2).alias("twice"), F.count_if(F.size("u") == 1).alias("r1"), F.count_if(F.size("u") == 2).alias("r2")).first()
+    n_words = first["v"]
+    customers = _by_context(state, "c")[0]
+    tables, root_tables = _by_context(state, "t")
+    d, root_d = py.discount(first["once"] or 0, first["twice"] or 0), py.discount(first["r1"], first["r2"])
+    setting = Setting(customers, n_words, d, _strength(state, customers, tables, d, n_words), root_d, _root_strength(state, root_d, n_words))
+    sums, back, unknown = Sums(tables, root_tables), [], []
+    for turn in range(burn_in + keep):
+        kept = turn >= burn_in
+        if kept:
+            back.append(setting.back(sums))
+            unknown.append(setting.root(sums, 0, 0))
+        new = stored(_sweep(state, setting, sums, turn, kept))
         drop_stored(state)
-        state = new
-    spelled = state.agg(F.sum("r")).first()[0] or 0.0
-    unknown = max(1e-300, (math.fsum(left) - spelled) / keep)
-    return Model(state.select("word", "c", (F.col("p") / keep).alias("p")), n_tokens, whole["v"], unknown)
+        state, sums = new, Sums(*_by_context(new, "t"))
+    return Model(_packed(state, d, keep), int(customers.sum()), n_words, 1 / (setting.strength + customers), np.array(back), np.array(unknown))
 
 
-def _hash(word: bytes) -> int:
-    value = xxh64_intdigest(word)
-    return value - (1 << 64) if value >> 63 else value
+def _packed(state: DataFrame, d: float, keep: int) -> DataFrame:
+    """Rows of the model as bytes, to be small in a shuffle."""
+
+    def go(batches):
+        for batch in batches:
+            (u, row), c, kept = _lists(batch.column(1)), _lists(batch.column(2))[0], _lists(batch.column(3))[0]
+            cuts = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(batch.column(0))))]).tolist()
+            u_bytes, e_bytes = u.astype(np.uint8).tobytes(), (c - d * kept / keep).astype("<f4").tobytes()
+            q_bytes = _lists(batch.column(4))[0].astype("<f4").tobytes()
+            ends = list(zip(cuts, cuts[1:], strict=False))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    pa.array(np.bincount(row, c, len(ends)).astype(np.int64)),
+                    pa.array([u_bytes[a:b] for a, b in ends], pa.binary()),
+                    pa.array([e_bytes[4 * a : 4 * b] for a, b in ends], pa.binary()),
+                    pa.array([q_bytes[4 * keep * k : 4 * keep * (k + 1)] for k in range(len(ends))], pa.binary()),
+                ],
+                names=["wh", "c", "us", "es", "qs"],
+            )
+
+    return state.select("wh", "u", "c", "kept", "root_p").mapInArrow(go, "wh long, c long, us binary, es binary, qs binary")
+
+
+def _asked(batches):
+    """Per block its distinct words, numbered by the order of their hashes, and the contexts each stands in."""
+    seen: dict[int, Numbered] = {}
+    for batch in batches:
+        for text, block in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            seen.setdefault(block, Numbered()).add(text)
+    for block, numbered in seen.items():
+        hashes = numbered.hashes()
+        words, contexts = numbered.tokens(hashes)
+        distinct, place = np.unique(hashes, return_inverse=True)
+        keys = np.unique(place[words] * CONTEXTS + contexts)
+        place = keys // CONTEXTS
+        masks = np.bitwise_or.reduceat(np.uint64(1) << (keys % CONTEXTS).astype(np.uint64), np.searchsorted(place, np.arange(len(distinct))))
+        for at in range(0, len(distinct), 100_000):
+            part = slice(at, min(len(distinct), at + 100_000))
+            n = part.stop - at
+            yield pa.RecordBatch.from_pydict(
+                {"block": np.full(n, block, np.int32), "place": np.arange(at, part.stop, dtype=np.int32), "h": distinct[part], "mask": masks[part].view(np.int64)}
+            )
+
+
+def _answered(batches):
+    """Of each word only the contexts that were asked for."""
+    for batch in batches:
+        us, es = [], []
+        for mask, u, e in zip(batch.column(2).to_pylist(), batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True):
+            if len(u) > 1 or not mask >> u[0] & 1:
+                wanted = [k for k, x in enumerate(u) if mask >> x & 1]
+                u, e = bytes(u[k] for k in wanted), b"".join(e[4 * k : 4 * k + 4] for k in wanted)
+            us.append(u)
+            es.append(e)
+        arrays = [batch.column(0), batch.column(1), batch.column(3), pa.array(us, pa.binary()), pa.array(es, pa.binary()), batch.column(6)]
+        yield pa.RecordBatch.from_arrays(arrays, names=["block", "place", "c", "us", "es", "qs"])
 
 
 def score(docs: DataFrame, model: Model, chars_per_block: int = BLOCK_CHARS) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): counts and log10 probabilities of its tokens."""
     blocks = block_count(docs, chars_per_block=chars_per_block)
-    dealt = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(blocks))).repartition(blocks, "block")
-
-    def asked(batches):
-        seen: dict[int, set[bytes]] = {}
-        for batch in batches:
-            for text, block in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                seen.setdefault(block, set()).update(tokens(text))
-        for block, words in seen.items():
-            hashes = np.fromiter(map(_hash, words), np.int64, len(words))
-            for at in range(0, len(hashes), 100_000):
-                part = hashes[at : at + 100_000]
-                yield pa.RecordBatch.from_pydict({"block": np.full(len(part), block, np.int64), "h": part})
-
-    def hashed(batches):
-        for batch in batches:
-            h = [_hash(w) for w in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), batch.column(1), batch.column(2)], names=["wh", "c", "p"])
-
-    known = model.words.mapInArrow(hashed, "wh long, c long, p double")
-    answers = dealt.mapInArrow(asked, "block long, h long").join(known, F.col("h") == F.col("wh")).select("block", "wh", "c", "p")
-    n, base_total, unknown = model.n_tokens, model.n_tokens + model.n_words + 1, model.unknown
+    block = F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(blocks)).cast("int")
+    dealt = docs.select("doc_id", "text", block.alias("block")).repartition(blocks, "block")
+    asked = dealt.mapInArrow(_asked, "block int, place int, h long, mask long")
+    found = asked.join(model.table, F.col("h") == F.col("wh")).select("block", "place", "mask", "c", "us", "es", "qs")
+    answers = found.mapInArrow(_answered, "block int, place int, c long, us binary, es binary, qs binary")
+    n, base_total = model.n_tokens, model.n_tokens + model.n_words + 1
+    own, back, unknown = model.own, model.back, model.unknown
 
     def sums(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        order = np.argsort(answers.column("wh").to_numpy())
-        wh, c_of, p_of = (answers.column(k).to_numpy()[order] for k in ("wh", "c", "p"))
-        number: dict[bytes, int] = {}
-        docs_ids = [np.array([number.setdefault(w, len(number)) for w in tokens(t)], np.int32) for t in texts.column("text").to_pylist()]
-        words = list(number)
-        hashes = np.fromiter(map(_hash, words), np.int64, len(words))
-        at = np.minimum(np.searchsorted(wh, hashes), max(0, len(wh) - 1))
-        hit = wh[at] == hashes if len(wh) else np.zeros(len(words), bool)
-        c, p = np.zeros(len(words), np.int64), np.full(len(words), unknown)
-        c[hit], p[hit] = c_of[at[hit]], p_of[at[hit]]
-        log_p, base = np.log10(p), np.log10((c + 1) / base_total)
+        numbered = Numbered()
+        for text in texts.column("text").to_pylist():
+            numbered.add(text)
+        hashes = numbered.hashes()
+        words, contexts = numbered.tokens(hashes)
+        distinct, place = np.unique(hashes, return_inverse=True)
+        words = place[words]
+        at = answers.column("place").to_numpy()
+        c = np.zeros(len(distinct), np.int64)
+        c[at] = answers.column("c").to_numpy()
+        parent = np.tile(unknown, (len(distinct), 1))
+        parent[at] = np.frombuffer(b"".join(answers.column("qs").to_pylist()), "<f4").reshape(len(at), -1) if len(at) else parent[at]
+        us = answers.column("us").to_pylist()
+        keys = np.repeat(at.astype(np.int64), np.fromiter(map(len, us), np.int64, len(us))) * CONTEXTS + np.frombuffer(b"".join(us), np.uint8)
+        worth = np.frombuffer(b"".join(answers.column("es").to_pylist()), "<f4")[np.argsort(keys, kind="stable")].astype(np.float64)
+        keys = np.sort(keys)
+        asked_keys = words * CONTEXTS + contexts
+        hit = np.minimum(np.searchsorted(keys, asked_keys), max(0, len(keys) - 1))
+        p = np.where(keys[hit] == asked_keys, worth[hit], 0.0) * own[contexts] if len(keys) else np.zeros(len(words))
+        for k in range(len(unknown)):
+            p += back[k][contexts] * parent[words, k] / len(unknown)
+        ends = np.cumsum([len(k) for k in numbered.ids])
+        starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
         ids = texts.column("doc_id").to_pylist()
         return pa.table({
             "doc_id": pa.array(ids, pa.int64()),
             "held_out": pa.array(map(is_held_out, ids), pa.bool_()),
-            "n_tokens": pa.array([len(k) for k in docs_ids], pa.int64()),
-            "n_known": pa.array([int((c[k] > 0).sum()) for k in docs_ids], pa.int64()),
+            "n_tokens": pa.array(ends - starts),
+            "n_known": pa.array(np.add.reduceat((c[words] > 0).astype(np.int64), starts)),
             "train_tokens": pa.array([n] * len(ids), pa.int64()),
-            "base_score": pa.array([math.fsum(base[k]) for k in docs_ids], pa.float64()),
-            "score": pa.array([math.fsum(log_p[k]) for k in docs_ids], pa.float64()),
+            "base_score": pa.array(np.add.reduceat(np.log10((c + 1) / base_total)[words], starts)),
+            "score": pa.array(np.add.reduceat(np.log10(np.maximum(p, 1e-300)), starts)),
         })
 
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"

@@ -1,4 +1,4 @@
-"""Seating of hierarchical Pitman-Yor restaurants, and a byte-level hierarchy of context restaurants.
+"""Seating of hierarchical Pitman-Yor restaurants.
 
 A restaurant with discount d and strength s that has served dish w to c customers at t tables gives it probability
 (c - d t + (s + d T) parent(w)) / (s + C); T and C are the sums over its dishes.  Every table is a customer of the
@@ -14,14 +14,12 @@ around the mode, or from the normal curve where these are many.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 
 EXACT = 64
 _WINDOW = 200
-STRENGTH = 1.0
 
 
 @lru_cache(maxsize=8)
@@ -94,87 +92,12 @@ def draw_tables(c: np.ndarray, d: float, strength: np.ndarray, log_parent: np.nd
     return out
 
 
-def discount(c: np.ndarray) -> float:
+def discount(once: int, twice: int) -> float:
     """Discount by the numbers of dishes with one and with two customers."""
-    return discount_of(int((c == 1).sum()), int((c == 2).sum()))
-
-
-def discount_of(once: int, twice: int) -> float:
-    return float(min(0.9, max(0.1, once / max(1, once + 2 * twice))))
-
-
-SYMBOLS = 257  # bytes and the end of a word, which also stands before its first byte
-_END = 256
-
-
-def spell(data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Keys (symbol before last, last symbol, symbol) of all symbols of the words, and where each word's keys begin."""
-    ends = np.cumsum(lengths + 1) - 1
-    starts = ends - lengths
-    symbols = np.full(int(ends[-1]) + 1 if len(ends) else 0, _END, np.int64)
-    inside = np.ones(len(symbols), bool)
-    inside[ends] = False
-    symbols[inside] = data
-    last = np.concatenate([[_END], symbols[:-1]]) if len(symbols) else symbols
-    before = np.concatenate([[_END], last[:-1]]) if len(symbols) else symbols
-    before = before.copy()
-    before[starts] = _END
-    return (before * SYMBOLS + last) * SYMBOLS + symbols, starts
-
-
-@dataclass
-class ByteModel:
-    """Restaurants for the contexts of two, one and no symbols; at most SYMBOLS ** 3 dishes whatever the corpus."""
-
-    keys: np.ndarray  # sorted keys with customers
-    tables: tuple[np.ndarray, np.ndarray, np.ndarray]
-    own: np.ndarray  # (c - d t) / (s + C) per key
-    back: np.ndarray  # (s + d T) / (s + C) per context of two
-    pair: np.ndarray  # probabilities by (last symbol, symbol)
-    single: np.ndarray  # probabilities by symbol
-
-    def log_probability(self, data: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-        """Natural log of the probability of each word's spelling, its end included."""
-        keys, starts = spell(data, lengths)
-        if not len(starts):
-            return np.zeros(0)
-        at = np.minimum(np.searchsorted(self.keys, keys), max(0, len(self.keys) - 1))
-        own = np.where(self.keys[at] == keys, self.own[at], 0.0) if len(self.keys) else 0.0
-        p = own + self.back[keys // SYMBOLS] * self.pair[keys % (SYMBOLS * SYMBOLS)]
-        return np.add.reduceat(np.log(p), starts)
-
-
-def flat_model() -> ByteModel:
-    none = np.zeros(0, np.int64)
-    pairs = np.full(SYMBOLS * SYMBOLS, 1.0 / SYMBOLS)
-    return ByteModel(none, (none, none, none), np.zeros(0), np.ones(SYMBOLS * SYMBOLS), pairs, np.full(SYMBOLS, 1.0 / SYMBOLS))
-
-
-def _level(c: np.ndarray, context: np.ndarray, contexts: int, parent: np.ndarray, before: np.ndarray | None, rng: np.random.Generator):
-    """One Gibbs pass over the dishes of one level: tables, own shares, shares passed to the parent."""
-    d = discount(c)
-    before = np.ones(len(c), np.int64) if before is None or len(before) != len(c) else before
-    others = np.bincount(context, before, contexts)[context] - before
-    t = draw_tables(c, d, STRENGTH + d * others, np.log(parent), rng)
-    total = STRENGTH + np.bincount(context, c, contexts)
-    own = (c - d * t) / total[context]
-    back = (STRENGTH + d * np.bincount(context, t, contexts)) / total
-    return t, own, back
-
-
-def seat_bytes(keys: np.ndarray, c: np.ndarray, old: ByteModel, rng: np.random.Generator) -> ByteModel:
-    """A Gibbs sweep over the byte restaurants, given the customers at the contexts of two symbols."""
-    square = SYMBOLS * SYMBOLS
-    known = old.tables if len(old.keys) == len(keys) else (None, None, None)
-    t2, own2, back2 = _level(c, keys // SYMBOLS, square, old.pair[keys % square], known[0], rng)
-    c1_all = np.bincount(keys % square, t2, square).astype(np.int64)
-    keys1 = np.flatnonzero(c1_all)
-    t1, own1, back1 = _level(c1_all[keys1], keys1 // SYMBOLS, SYMBOLS, old.single[keys1 % SYMBOLS], known[1], rng)
-    c0_all = np.bincount(keys1 % SYMBOLS, t1, SYMBOLS).astype(np.int64)
-    keys0 = np.flatnonzero(c0_all)
-    t0, own0, back0 = _level(c0_all[keys0], np.zeros(len(keys0), np.int64), 1, np.full(len(keys0), 1.0 / SYMBOLS), known[2], rng)
-    single = np.full(SYMBOLS, back0[0] / SYMBOLS)
-    single[keys0] += own0
-    pair = (back1[:, None] * single[None, :]).ravel()
-    pair[keys1] += own1
-    return ByteModel(keys, (t2, t1, t0), own2, back2, pair, single)
+    return float(min(0.9, max(0.05, once / max(1, once + 2 * twice))))
+
+
+def left_out_log(c: np.ndarray, total: np.ndarray, tables: np.ndarray, parent: np.ndarray, d: float, strength: float) -> np.ndarray:
+    """log probability of the customers of dishes when each is left out in turn, with one table per dish."""
+    own = np.where(c > 1, c - 1 - d, 0.0)
+    return c * (np.log(own + (strength + d * tables) * parent) - np.log(strength + total - 1 + 1e-9))
