@@ -144,12 +144,11 @@ def repeat_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Rows of the same id, text and source are one document that stands for the copies of all of them.
     """
     mixed = mix(stored(sizes(docs, id_col, text_col, source_col)), weights, max_copies)
-    copies = mixed.groupBy(F.coalesce("doc_id", F.lit(-1)).alias("_id"), "_th", F.col("source").alias("_source")).agg(F.sum("copies").alias("_copies"))
-    keyed = docs.select("*", *row_key(id_col, text_col))
-    once = W.partitionBy("_id", "_th", source_col).orderBy("_th")
-    first = keyed.withColumn("_nth", F.row_number().over(once)).where("_nth = 1")
-    right = copies.withColumnsRenamed({"_id": "_cid", "_th": "_cth"})
-    match = (F.col("_id") == F.col("_cid")) & (F.col("_th") == F.col("_cth")) & F.col(source_col).cast("string").eqNullSafe(F.col("_source"))
-    joined = first.join(right, match)
-    repeated = joined.withColumn("_again", F.explode(F.array_repeat(F.lit(1), F.col("_copies").cast("int"))))
-    return repeated.select(*docs.columns)
+    keys = [F.coalesce("doc_id", F.lit(-1)).alias("_cid"), F.col("_th").alias("_cth"), F.col("source").alias("_csource")]
+    copies = mixed.groupBy(*keys).agg(F.sum("copies").alias("copies"))
+    keyed = docs.select(F.struct("*").alias("row"), *row_key(id_col, text_col), F.col(source_col).cast("string").alias("_source"))
+    once = W.partitionBy("_id", "_th", "_source").orderBy("_th")
+    first = keyed.withColumn("nth", F.row_number().over(once)).where("nth = 1")
+    match = (F.col("_id") == F.col("_cid")) & (F.col("_th") == F.col("_cth")) & F.col("_source").eqNullSafe(F.col("_csource"))
+    again = F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))
+    return first.join(copies, match).select("row", again.alias("again")).select("row.*")

@@ -117,11 +117,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, max_bits: int = 2) -> DataFrame:
     """Rows of ``docs`` with one row left per component: the smallest id, then the smallest text hash."""
-    keyed = docs.select("*", *row_key(id_col, text_col))
-    found = stored(fingerprints(keyed, ["_id", "_th"], text_col, width))
+    keyed = docs.select(F.struct("*").alias("row"), *row_key(id_col, text_col), F.col(text_col).alias("text"))
+    found = stored(fingerprints(keyed, ["_id", "_th"], "text", width))
     first = found.groupBy("fp").agg(F.min(F.struct("_id", "_th")).alias("first"))
     keep = classes(found, max_bits).join(first, "fp").groupBy("root").agg(F.min("first").alias("first"))
     keep = keep.select(F.col("first._id").alias("_id"), F.col("first._th").alias("_th"))
     once = W.partitionBy("_id", "_th").orderBy("_th")  # repeated rows: one of them
-    left = keyed.join(keep, ["_id", "_th"], "left_semi").withColumn("_nth", F.row_number().over(once))
-    return left.where("_nth = 1").select(*docs.columns)
+    left = keyed.drop("text").join(keep, ["_id", "_th"], "left_semi").withColumn("nth", F.row_number().over(once))
+    return left.where("nth = 1").select("row.*")
