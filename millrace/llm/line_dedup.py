@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from xxhash import xxh3_128_intdigest
 
 from millrace.llm import cuckoo
@@ -118,8 +119,11 @@ class LineIndex:
         return total.where("refs > 1").select("k1", "k2", "owner")
 
     def dropped(self) -> DataFrame:
-        """(doc, keys): the line keys that a document loses; never more than it has lines."""
-        lost = self.postings.join(self.repeated(), ["k1", "k2"]).where("doc <> owner")
+        """(doc, keys): the line keys that a document loses; never more than it has lines.
+
+        The repeated lines are written first: a join of two plain shuffles is one that Spark can split at a hot line.
+        """
+        lost = self.postings.join(stored(self.repeated()), ["k1", "k2"]).where("doc <> owner")
         return lost.groupBy("doc").agg(F.collect_set(F.struct("k1", "k2")).alias("keys"))
 
 
@@ -201,9 +205,10 @@ def rewrite(text: str | None, lost: set[tuple[int, int]]) -> tuple[int, int, str
     return len(lines), len(lines) - len(kept), "\n".join(kept)
 
 
-def _with_lost(docs: DataFrame, index: LineIndex, id_col: str) -> DataFrame:
+def _with_lost(rows: DataFrame, index: LineIndex) -> DataFrame:
+    """``rows`` (with the column ``_owner``) and the keys that each loses."""
     lost = index.dropped().select(F.col("doc").alias("_doc"), F.col("keys").alias("_lost"))
-    return docs.withColumn("_owner", document_id(id_col)).join(lost, F.col("_owner") == F.col("_doc"), "left").drop("_owner", "_doc")
+    return rows.join(lost, F.col("_owner") == F.col("_doc"), "left").drop("_owner", "_doc")
 
 
 def _lost_set(value) -> set[tuple[int, int]]:
@@ -212,20 +217,21 @@ def _lost_set(value) -> set[tuple[int, int]]:
 
 def dedup_lines(docs: DataFrame, index: LineIndex, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the lines that the index calls repeated left out, except at their owner; null texts stay null."""
-    columns = docs.columns
-    at = columns.index(text_col)
+    others = [c for c in docs.columns if c != text_col]
+    rest = F.struct(*[docs[c] for c in others], F.lit(True).alias("_row")).alias("_rest")
+    rows = docs.select(rest, docs[text_col].alias("_text"), document_id(id_col).alias("_owner"))
 
     def run(batches):
         for batch in batches:
             texts = [
-                None if t is None else rewrite(t, _lost_set(lost))[2] if lost else t
-                for t, lost in zip(batch.column(at).to_pylist(), batch.column(len(columns)).to_pylist(), strict=True)
+                rewrite(t, _lost_set(lost))[2] if t is not None and lost else t
+                for t, lost in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)
             ]
-            arrays = list(batch.columns[: len(columns)])
-            arrays[at] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays(arrays, names=columns)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["_rest", "_text"])
 
-    return _with_lost(docs, index, id_col).mapInArrow(run, docs.schema)
+    joined = _with_lost(rows, index)
+    done = joined.mapInArrow(run, T.StructType([joined.schema["_rest"], T.StructField("_text", T.StringType())]))
+    return done.select(*[F.col("_text").alias(c) if c == text_col else F.col("_rest").getField(c).alias(c) for c in docs.columns])
 
 
 def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", batches: int = 2) -> DataFrame:
@@ -242,5 +248,5 @@ def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", batc
             kinds = (pa.int64(), pa.int64(), pa.string())
             yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, cols, kinds)], names=["doc_id", "n_lines", "n_dropped", "kept_sha256"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return _with_lost(rows, index, "doc_id").mapInArrow(run, "doc_id long, n_lines long, n_dropped long, kept_sha256 string")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), document_id(id_col).alias("_owner"))
+    return _with_lost(rows, index).mapInArrow(run, "doc_id long, n_lines long, n_dropped long, kept_sha256 string")
