@@ -113,11 +113,6 @@ def _first_seen_merge(batch, old, keys, order, mod_date, hash_name, touch_only_m
     return merged.unionByName(drop_matching(before, batch, identity))
 
 
-def history_is_much_larger(new: DataFrame, old: DataFrame, factor: int = 10) -> bool:
-    """Size rule for ``touch_only_matching``; counts both frames (an action)."""
-    return old.count() > factor * new.count()
-
-
 def raw_to_history(
     raw: DataFrame,
     history: DataFrame,
@@ -239,21 +234,18 @@ def append_above_mark(source: DataFrame, target: DataFrame, key: str, where: Col
 
 
 def resume_mark(runs: DataFrame, workflow: str, target: DataFrame, key: str) -> DataFrame:
-    """Where to resume: the ``lid`` in the message of the newest successful run, else the
-    target's largest key, else -1.  ``runs`` has workflow, start_id, end_action, message."""
-    last = (
-        runs.where((F.col("workflow") == workflow) & (F.col("end_action") == "end"))
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.max_by(json_field("message", "lid").try_cast("bigint"), "start_id").alias("lid"),
-        )
-        .select(F.when(F.col("n") > 0, F.struct("lid")).alias("run"))
+    """Where to resume: the ``lid`` in the message of the newest successful run, or -1 if that message only has
+    a date; the target's largest key when there is no such run or its message has neither; -1 for an empty target.
+    ``runs`` has workflow, start_id, end_action, message."""
+    last = runs.where((F.col("workflow") == workflow) & (F.col("end_action") == "end")).agg(
+        F.max_by(
+            F.struct(json_field("message", "lid").try_cast("bigint").alias("lid"), json_field("message", "dt").try_cast("timestamp").alias("dt")),
+            "start_id",
+        ).alias("run")
     )
     top = target.agg(F.max(key).cast("bigint")).scalar()
-    logged = F.col("run.lid")
-    return last.select(
-        F.coalesce(F.when(F.col("run").isNull(), top).otherwise(logged), F.lit(-1)).alias("mark")
-    )
+    told = F.col("run.lid").isNotNull() | F.col("run.dt").isNotNull()
+    return last.select(F.coalesce(F.when(told, F.col("run.lid")).otherwise(top), F.lit(-1)).alias("mark"))
 
 
 def load_from_run_log(source: DataFrame, runs: DataFrame, workflow: str, target: DataFrame, key: str) -> DataFrame:
@@ -351,65 +343,76 @@ def rename_and_cast(df: DataFrame, mapping: Mapping[str, tuple[str, str]]) -> Da
 
 
 def poll_marks(marks: DataFrame, sources: Sequence[tuple[str, str, DataFrame]]) -> DataFrame:
-    """Newest value per (source, field) against the last one seen.
+    """Newest value per (source, field) against the last one seen, both as text, with the type of the field.
 
-    ``marks`` (source, field, value, ts) is the append-only log of seen values.  Output: old
-    and new value and whether it moved.  One mark per polled source reaches the driver, and only
-    rows above it are scanned."""
+    ``marks`` (source, field, value, ts) is the append-only log of seen values, kept as text; a value is
+    compared in the type of its field.  Output: old and new value and whether it moved.  One mark per polled
+    source reaches the driver, and only rows above it are scanned."""
     seen = newest_per_key(marks.select("source", "field", "ts", "value"), ["source", "field"], ["ts"])
     polled = [(F.col("source") == name) & (F.col("field") == field) for name, field, _ in sources]
     last = {(r["source"], r["field"]): r["value"] for r in seen.where(reduce(lambda a, b: a | b, polled)).collect()}
     frames = []
     for name, field, df in sources:
-        old = last.get((name, field))
-        moved = above(df, field, None if old is None else F.lit(old)).agg(F.max(field).cast("bigint").alias("new_value"))
+        old, kind = last.get((name, field)), df.schema[field].dataType
+        moved = above(df, field, None if old is None else F.lit(old).cast(kind)).agg(F.max(field).cast("string").alias("new_value"))
         frames.append(
             moved.select(
-                F.lit(name).alias("source"), F.lit(field).alias("field"), F.lit(old).cast("bigint").alias("old_value"), "new_value"
+                F.lit(name).alias("source"), F.lit(field).alias("field"), F.lit(kind.simpleString()).alias("type"),
+                F.lit(old).cast("string").alias("old_value"), "new_value",
             )
         )
-    out = frames[0]
-    for frame in frames[1:]:
-        out = out.unionByName(frame)
-    return out.select(
+    return reduce(DataFrame.union, frames).select(
         "source",
         "field",
+        "type",
         "old_value",
         F.coalesce("new_value", "old_value").alias("new_value"),
         F.col("new_value").isNotNull().alias("changed"),
     )
 
 
-def append_changed_versions(incoming: DataFrame, stored: DataFrame, keys: Sequence[str], value: str, ts: str) -> DataFrame:
-    """Incoming rows whose value differs from the newest stored version of the key."""
+def append_changed_versions(
+    incoming: DataFrame, stored: DataFrame, keys: Sequence[str], value: str, ts: str, always: Column | None = None
+) -> DataFrame:
+    """Incoming rows whose value differs from the newest stored version of the key.
+
+    Rows with a NULL key are skipped; rows for which ``always`` holds are appended whatever is stored."""
     latest = newest_per_key(stored.select(*keys, ts, value), keys, [ts]).select(
         *[F.col(k).alias(f"_k_{k}") for k in keys], F.col(value).alias("_v")
     )
-    same = F.col(value).eqNullSafe(F.col("_v"))
+    same = F.col(value) == F.col("_v")
+    named = F.lit(True)
     for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    return incoming.join(latest, same, "left_anti")
+        same = same & (F.col(k) == F.col(f"_k_{k}"))
+        named = named & F.col(k).isNotNull()
+    if always is None:
+        return incoming.where(named).join(latest, same, "left_anti")
+    free = F.coalesce(always, F.lit(False))
+    changed = incoming.where(named & ~free).join(latest, same, "left_anti")
+    return changed.unionByName(incoming.where(free))
 
 
 def incremental_extract(
     rows: DataFrame,
-    day: str,
+    ts: str,
     confirmed: DataFrame,
     retry: DataFrame,
     as_of,
-    max_dates: int = 100,
+    max_dates: int | None = None,
 ) -> DataFrame:
     """Rows of the dates still to be exported, each as JSON with its increment key.
 
-    Dates: after the last confirmed export (or since yesterday if none), plus the dates in
-    ``retry`` (column day); the first ``max_dates`` of them in date order go out in this batch,
-    the others in the next one."""
-    last = confirmed.agg(F.max("day")).scalar()
-    since = F.coalesce(F.date_add(last, 1), F.date_sub(F.lit(as_of).cast("date"), 1))
-    fresh = rows.where(F.col(day) >= since).select(F.col(day).alias("_day"))
-    again = retry.select(F.col("day").alias("_day"))
-    dates = fresh.distinct().union(again.distinct()).distinct().orderBy("_day").limit(max_dates)
-    return rows.join(dates, F.col(day) == F.col("_day"), "left_semi").select(
+    Dates are those of rows later than midnight of the last confirmed date, or later than yesterday's midnight;
+    all dates when nothing is confirmed; plus the dates in ``retry`` (column day).  With ``max_dates`` the
+    first of them in date order go out in this batch, the others in the next one."""
+    last = confirmed.agg(F.max("day").cast("date").cast("timestamp")).scalar()
+    day = F.col(ts).cast("date")
+    yesterday = F.date_sub(F.lit(as_of).cast("date"), 1).cast("timestamp")
+    fresh = rows.where(last.isNull() | (F.col(ts) > last) | (F.col(ts) > yesterday)).select(day.alias("_day"))
+    dates = fresh.distinct().union(retry.select(F.col("day").cast("date").alias("_day"))).distinct()
+    if max_dates is not None:
+        dates = dates.orderBy("_day").limit(max_dates)
+    return rows.join(dates, day == F.col("_day"), "left_semi").select(
         F.date_format(day, "yyyyMMdd").alias("increment_key"),
         F.to_json(F.struct(*rows.columns)).alias("payload"),
     )

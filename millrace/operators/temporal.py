@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from millrace.functions.lineage import cut_lineage
 from millrace.functions.ordered import previous_row
 
-MAX_DEPTH = 16  # fixed value: levels below the root
+LEVELS = 16  # fixed value: level columns of the flat table
 OPEN_END = dt.date(9999, 12, 31)  # fixed value
 HIRE, LEAVE = ("S1", "S3"), ("S2", "S4")  # fixed values: action codes
 REHIRE, AGAIN = "S4", "S3"  # fixed values: a rehire counts as leaving the day before and starting again
@@ -27,16 +27,16 @@ def overlaps(s1: Column, e1: Column, s2: Column, e2: Column) -> Column:
 # --- hierarchies ---------------------------------------------------------------------------
 
 
-def tree_paths(edges: DataFrame, roots: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
+def tree_paths(edges: DataFrame, roots: DataFrame) -> DataFrame:
     """Every path below the roots with the days on which all of its edges are valid.
 
     ``edges``: child, parent, date_start, date_finish.  ``roots``: one column ``root``.  Output:
     org_id, parent_org_id, lvl, date_start, date_finish (of the last edge), valid_from, valid_to (of the
     whole path), lvl_0_org_id and ``path``, one (id, s, e) struct per level.
 
-    The recursion runs over edges once, level by level, not once per day.  Each level is written to
-    a reliable checkpoint, so a level is computed once and an executor may be lost.  An edge
-    must overlap its parent edge; a node that occurs on its own path is not followed.
+    The recursion runs over edges once, level by level, not once per day, until a level is empty.  Each
+    level is written to a reliable checkpoint, so a level is computed once and an executor may be lost.
+    An edge must overlap its parent edge; a node that occurs on its own path is not followed, so it ends.
     """
     step = edges.select(
         F.col("child").alias("_c"), F.col("parent").alias("_p"), F.col("date_start").alias("_s"), F.col("date_finish").alias("_e")
@@ -50,8 +50,8 @@ def tree_paths(edges: DataFrame, roots: DataFrame, max_depth: int = MAX_DEPTH) -
         F.col("_p").alias("lvl_0_org_id"), F.array(link).alias("path"),
     )
     levels = [cut_lineage(level)]
-    for depth in range(2, max_depth + 1):
-        above = levels[-1]
+    while True:
+        above, depth = levels[-1], len(levels) + 1
         grown = above.join(step, F.col("org_id") == F.col("_p")).where(
             overlaps(F.col("date_start"), F.col("date_finish"), F.col("_s"), F.col("_e"))
             & (F.greatest("valid_from", "_s") <= F.least("valid_to", "_e"))
@@ -67,9 +67,8 @@ def tree_paths(edges: DataFrame, roots: DataFrame, max_depth: int = MAX_DEPTH) -
             )
         )
         if below.isEmpty():
-            break
+            return reduce(DataFrame.unionByName, levels)
         levels.append(below)
-    return reduce(DataFrame.unionByName, levels)
 
 
 def _days(first: dt.date, last: dt.date) -> Column:
@@ -87,15 +86,18 @@ def daily_tree(paths: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
     )
 
 
-def flat_levels(paths: DataFrame, first: dt.date, last: dt.date, depth: int = MAX_DEPTH) -> DataFrame:
+def flat_levels(paths: DataFrame, first: dt.date, last: dt.date, depth: int = LEVELS) -> DataFrame:
     """One row per day and path prefix with the node and validity of every level.
 
-    Equal paths have equal validity, so they are made distinct before the days are exploded."""
+    A path with more than ``depth`` levels is an error: none is cut.  Equal paths have equal validity, so they are made distinct before the days are exploded."""
     columns = [
         F.get("path", F.lit(k - 1)).getField(part).alias(f"lvl_{k}_{name}")
         for k in range(1, depth + 1)
         for part, name in (("id", "org_id"), ("s", "date_start"), ("e", "date_end"))
     ]
+    longest = _inside(paths, first, last).agg(F.max(F.size("path"))).first()[0] or 0
+    if longest > depth:
+        raise ValueError(f"paths have {longest} levels, the table only {depth}")
     distinct = _inside(paths, first, last).select("lvl_0_org_id", "path", "valid_from", "valid_to").distinct()
     last_node = F.element_at("path", -1).getField("id")
     return distinct.select(

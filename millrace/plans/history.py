@@ -11,6 +11,7 @@ from millrace.plans import fixtures as fx
 from millrace.plans.registry import query
 
 FIRST, LAST = dt.date(2024, 1, 10), dt.date(2024, 1, 20)
+TURN_FIRST, TURN_LAST = dt.date(2024, 12, 29), dt.date(2025, 1, 3)
 _OPEN = "9999-12-31"
 
 
@@ -57,6 +58,26 @@ def daily_tree(t):
     return ops.daily_tree(_paths(t), FIRST, LAST)
 
 
+@query(
+    "T1_deep_tree",
+    """with recursive step as (select greatest(max(p_partkey) // 20, 1) as n from part),
+       edges as (select p_partkey + 1 as child, greatest(p_partkey + 1 - n, 0) as parent, date '2024-01-01' + cast(p_partkey % 3 as int) as s from part, step),
+       tree as (select child, parent, 1 as lvl, s, s as vf from edges where parent = 0
+         union all select x.child, x.parent, t.lvl + 1, x.s, greatest(t.vf, x.s) from tree t join edges x on x.parent = t.child)
+       select cast(d as date) as cal_date, child as org_id, parent as parent_org_id, lvl, s as date_start, date '9999-12-31' as date_finish
+       from tree, unnest(generate_series(date '2024-01-02', date '2024-01-04', interval 1 day)) as days(d) where d >= vf""",
+)
+def deep_tree(t):
+    """A forest of chains of about twenty levels, whatever the number of parts."""
+    step = t.part.agg(F.greatest(F.floor(F.max("p_partkey") / 20), F.lit(1)).cast("bigint")).scalar()
+    edges = t.part.select(
+        (F.col("p_partkey") + 1).alias("child"), F.greatest(F.col("p_partkey") + 1 - step, F.lit(0)).cast("bigint").alias("parent"),
+        F.date_add(F.lit(dt.date(2024, 1, 1)), (F.col("p_partkey") % 3).cast("int")).alias("date_start"), F.lit(ops.OPEN_END).alias("date_finish"),
+    )
+    roots = t.part.agg(F.lit(0).cast("bigint").alias("root"))
+    return ops.daily_tree(ops.tree_paths(edges, roots), dt.date(2024, 1, 2), dt.date(2024, 1, 4))
+
+
 _LEVELS = ", ".join(
     f"cast(ids[{k}] as bigint) as lvl_{k}_org_id, ss[{k}] as lvl_{k}_date_start, es[{k}] as lvl_{k}_date_end" for k in range(1, 17)
 )
@@ -75,13 +96,15 @@ def flat_levels(t):
 
 @query(
     "T3_published_levels",
-    _TREE
-    + f"select distinct date '2024-02-01' as load_date, d as cal_date, cast(child as bigint) as org_id, lvl as org_id_lvl, cast(1 as bigint) as lvl_1_org_id, {_SHIFTED} from tree",
+    _TREE.replace("2024-01-10", "2024-12-29").replace("2024-01-20", "2025-01-03")
+    + f"""select distinct case when d < date '2025-01-01' then date '2024-01-31' else date '2025-02-01' end as load_date, d as cal_date,
+      cast(child as bigint) as org_id, lvl as org_id_lvl, cast(1 as bigint) as lvl_1_org_id, {_SHIFTED} from tree""".replace("\n", " "),
 )
 def published_levels(t):
-    rebuilt = ops.published_levels(ops.flat_levels(_paths(t), FIRST, LAST), dt.date(2024, 2, 1))
-    older = rebuilt.withColumn("load_date", F.lit(dt.date(2024, 1, 31)))
-    return ops.replace_year(older, rebuilt, 2024)
+    """The table as of January 2024 over the turn of the year, with the year 2025 rebuilt later."""
+    flat = ops.flat_levels(_paths(t), TURN_FIRST, TURN_LAST)
+    older = ops.published_levels(flat, dt.date(2024, 1, 31))
+    return ops.replace_year(older, ops.published_levels(flat, dt.date(2025, 2, 1)), 2025)
 
 
 def _movements(t):

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -205,6 +207,15 @@ def _ended_runs(t):
     )
 
 
+def _all_runs(t):
+    """Every seventh event is a run of its own workflow: with lid, with a date only, without either, or failed."""
+    message = "case event_id % 4 when 0 then concat('{\"lid\": ', event_id, '}') when 1 then '{\"dt\": \"2024-01-05 00:00:00\"}' when 2 then 'loaded' end"
+    return t.events.selectExpr(
+        "concat('wf_', user_id % 7) as workflow", "event_id as start_id",
+        "case when event_type = 'error' then 'error' else 'end' end as end_action", f"{message} as message",
+    )
+
+
 @query(
     "L11_load_from_run_log",
     """with last as (select max_by(event_id, event_id) as lid from events where user_id = 7 and event_type <> 'error')
@@ -216,9 +227,27 @@ def load_from_run_log(t):
     return rows.select("event_id", "user_id", "event_type")
 
 
+@query(
+    "L11_resume_marks",
+    """with w as (select unnest(range(9)) as k), top as (select k, (select max(event_id) from events where event_type = 'signup' and user_id % 9 = k) as m from w),
+       run as (select user_id % 7 as k, max(event_id) as id from events where event_type <> 'error' group by 1)
+       select 'wf_' || top.k as workflow, cast(coalesce(case when id % 4 = 0 then id when id % 4 = 1 then -1 else m end, -1) as bigint) as mark
+       from top left join run on run.k = top.k""",
+)
+def resume_marks(t):
+    """Nine workflows: the newest run has a lid, only a date or neither; two have never run."""
+    runs, frames = _all_runs(t), []
+    for k in range(9):
+        target = t.events.where(f"event_type = 'signup' and user_id % 9 = {k}")
+        frames.append(ops.resume_mark(runs, f"wf_{k}", target, "event_id").select(F.lit(f"wf_{k}").alias("workflow"), "mark"))
+    return reduce(DataFrame.union, frames)
+
+
 @query(
     "L12_resume_key",
-    """select true as rolled_back, min(event_id) as lid from events where event_type = 'click'""",
+    """with hit as (select count(*) > 0 as yes from events where event_type = 'error' and user_id % 2 = 0 and user_id % 5 = 2)
+       select yes as rolled_back, case when yes then (select coalesce(min(event_id), 0) from events where event_type = 'click')
+         else (select coalesce(max(event_id), 0) from events where event_type = 'view') end as lid from hit""",
 )
 def resume_key(t):
     errors = t.events.select(
@@ -328,55 +357,76 @@ def rename_and_cast(t):
 
 @query(
     "L19_poll_marks",
-    """select 'events' as source, 'event_id' as field, (select max(event_id) from events where user_id < 20) as old_value,
-         max(event_id) as new_value, max(event_id) > (select max(event_id) from events where user_id < 20) as changed from events
-       union all select 'orders', 'o_orderkey', max(o_orderkey), max(o_orderkey), false from orders
-       union all select 'part', 'p_partkey', null, max(p_partkey), true from part""",
+    """with e as (select max(event_id) as n, max(event_id) filter (user_id < 20) as o from events),
+         d as (select max(cast(o_orderdate as date)) as n, max(cast(o_orderdate as date)) filter (o_custkey % 3 = 0) as o from orders),
+         s as (select max(ts) as n, max(ts) filter (user_id < 20) as o from events)
+       select 'events' as source, 'event_id' as field, 'bigint' as type, cast(o as varchar) as old_value, cast(n as varchar) as new_value, n > o as changed from e
+       union all select 'orders', 'o_orderkey', 'bigint', cast(max(o_orderkey) as varchar), cast(max(o_orderkey) as varchar), false from orders
+       union all select 'part', 'p_partkey', 'bigint', null, cast(max(p_partkey) as varchar), true from part
+       union all select 'orders', 'day', 'date', cast(o as varchar), cast(n as varchar), n > o from d
+       union all select 'events', 'second', 'timestamp', strftime(date_trunc('second', o), '%Y-%m-%d %H:%M:%S'), strftime(date_trunc('second', n), '%Y-%m-%d %H:%M:%S'),
+         date_trunc('second', n) > date_trunc('second', o) from s""",
 )
 def poll_marks(t):
-    marks = (
-        t.events.where("user_id < 20")
-        .select(F.lit("events").alias("source"), F.lit("event_id").alias("field"), F.col("event_id").alias("value"), F.col("event_id").alias("ts"))
-        .unionByName(
-            t.orders.select(
-                F.lit("orders").alias("source"), F.lit("o_orderkey").alias("field"),
-                F.col("o_orderkey").alias("value"), F.col("o_orderkey").alias("ts"),
-            )
-        )
-    )
-    return ops.poll_marks(
-        marks, [("events", "event_id", t.events), ("orders", "o_orderkey", t.orders), ("part", "p_partkey", t.part)]
-    )
+    """Marks of whole numbers, a date and a timestamp; one source has none yet."""
+    seconds = t.events.select("user_id", "event_id", F.date_trunc("second", "ts").alias("second"))
+    days = t.orders.select("o_custkey", "o_orderkey", F.col("o_orderdate").cast("date").alias("day"))
+
+    def seen(df, source, field):
+        value = F.col(field).cast("string").alias("value")
+        return df.select(F.lit(source).alias("source"), F.lit(field).alias("field"), value, F.col(field).cast("timestamp").cast("bigint").alias("ts"))
+
+    def seen_number(df, source, field):
+        return df.select(F.lit(source).alias("source"), F.lit(field).alias("field"), F.col(field).cast("string").alias("value"), F.col(field).alias("ts"))
+
+    marks = [
+        seen_number(seconds.where("user_id < 20"), "events", "event_id"), seen_number(days, "orders", "o_orderkey"),
+        seen(days.where("o_custkey % 3 = 0"), "orders", "day"), seen(seconds.where("user_id < 20"), "events", "second"),
+    ]
+    polled = [("events", "event_id", seconds), ("orders", "o_orderkey", days), ("part", "p_partkey", t.part), ("orders", "day", days), ("events", "second", seconds)]
+    return ops.poll_marks(reduce(DataFrame.union, marks), polled)
 
 
 @query(
     "L20_append_changed_versions",
-    """with stored as (select user_id as id, event_type as msg from events where ts < timestamp '2024-01-20'
-         qualify row_number() over (partition by user_id order by ts desc, event_type desc) = 1),
-       incoming as (select user_id as id, event_type as msg from events where ts >= timestamp '2024-01-20'
-         qualify row_number() over (partition by user_id order by ts desc, event_id desc) = 1)
-       select i.id, i.msg from incoming i left join stored s on s.id = i.id and s.msg = i.msg where s.id is null""",
+    """with e as (select case when event_id % 11 <> 0 then user_id end as id, event_type as msg, ts, event_id from events),
+       stored as (select id, msg from e where ts < timestamp '2024-01-20' and id is not null qualify row_number() over (partition by id order by ts desc, msg desc) = 1),
+       incoming as (select id, msg, event_id from e where ts >= timestamp '2024-01-20'
+         qualify row_number() over (partition by id order by ts desc, event_id desc) <= 1 or id is null)
+       select i.id, i.msg from incoming i left join stored s on s.id = i.id and s.msg = i.msg
+       where (s.id is null and i.id is not null) or i.event_id % 13 = 0""",
 )
 def append_changed_versions(t):
-    ev = t.events.select(F.col("user_id").alias("id"), "ts", F.col("event_type").alias("msg"), "event_id")
+    """Rows without id are skipped, rows marked as information always come through."""
+    named = F.when(F.col("event_id") % 11 != 0, F.col("user_id")).alias("id")
+    ev = t.events.select(named, "ts", F.col("event_type").alias("msg"), "event_id")
     stored = ev.where("ts < timestamp '2024-01-20'").drop("event_id")
-    incoming = newest_per_key(ev.where("ts >= timestamp '2024-01-20'"), ["id"], ["ts", "event_id"]).select("id", "msg")
-    return ops.append_changed_versions(incoming, stored, ["id"], "msg", "ts")
+    new = ev.where("ts >= timestamp '2024-01-20'")
+    incoming = newest_per_key(new.where("id is not null"), ["id"], ["ts", "event_id"]).select("id", "msg", "event_id")
+    incoming = incoming.unionByName(new.where("id is null").select("id", "msg", "event_id"))
+    return ops.append_changed_versions(incoming, stored, ["id"], "msg", "ts", F.col("event_id") % 13 == 0).select("id", "msg")
 
 
 @query(
     "L21_incremental_extract",
-    """with d as (select cast(ts as date) as day, event_id, user_id from events),
-       dates as (select distinct day from (select day from d where day >= date '2024-01-25'
-          union select date '2024-01-03' union select date '2024-01-05') order by day limit 5)
-       select strftime(day, '%Y%m%d') as increment_key, event_id, user_id from d where day in (select day from dates)""",
+    """with d as (select ts, cast(ts as date) as day, event_id, user_id from events),
+       flow(flow, last) as (values ('never', null), ('earlier', date '2024-01-24'), ('yesterday', date '2024-01-29'), ('today', date '2024-01-30')),
+       dates as (select distinct flow, day from d, flow where last is null or ts > cast(last as timestamp) or ts > timestamp '2024-01-29'
+          union select flow, day from flow, (values (date '2024-01-03'), (date '2024-01-05')) as retry(day))
+       select flow, strftime(day, '%Y%m%d') as increment_key, event_id, user_id from d join dates using (day)""",
 )
 def incremental_extract(t):
-    d = t.events.select(F.col("ts").cast("date").alias("day"), "event_id", "user_id")
-    confirmed = d.where("day <= date '2024-01-24'").select("day")
-    retry = d.where("day in (date '2024-01-03', date '2024-01-05')").select("day")
-    out = ops.incremental_extract(d, "day", confirmed, retry, dt.date(2024, 1, 30), max_dates=5)
-    return out.select(
+    """Flows that never confirmed, confirmed some days ago, yesterday and today."""
+    rows = t.events.select("ts", "event_id", "user_id")
+    days = t.events.select(F.col("ts").cast("date").alias("day")).distinct()
+    retry = days.where("day in (date '2024-01-03', date '2024-01-05')")
+    frames = []
+    for flow, last in (("never", "1999-01-01"), ("earlier", "2024-01-24"), ("yesterday", "2024-01-29"), ("today", "2024-01-30")):
+        confirmed = days.where(F.col("day") <= F.lit(last).cast("date"))
+        out = ops.incremental_extract(rows, "ts", confirmed, retry, dt.date(2024, 1, 30))
+        frames.append(out.select(F.lit(flow).alias("flow"), "*"))
+    return reduce(DataFrame.union, frames).select(
+        "flow",
         "increment_key",
         F.get_json_object("payload", "$.event_id").cast("bigint").alias("event_id"),
         F.get_json_object("payload", "$.user_id").cast("bigint").alias("user_id"),
