@@ -207,16 +207,14 @@ _CASTS = (
 )
 
 
-def profile_columns(df: DataFrame, columns: Sequence[str] | None = None, limit: int | None = None) -> DataFrame:
+def profile_columns(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """One row per column: distinct, null and total counts, frequencies, lengths, min/max as text,
     how many distinct values can be cast, and the inferred class.
 
     The frame is unpivoted to (column, value) and pre-aggregated, so a value that fills a
     third of a column costs one row per map task, and casts run once per distinct value.
-    ``limit`` caps the profiled rows.
     """
     columns = list(columns or df.columns)
-    rows = df.limit(limit) if limit else df
     numbers = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
     text = [
         F.struct(
@@ -228,7 +226,7 @@ def profile_columns(df: DataFrame, columns: Sequence[str] | None = None, limit:
         )
         for i, c in enumerate(columns)
     ]
-    pairs = rows.select(F.inline(F.array(*text)))
+    pairs = df.select(F.inline(F.array(*text)))
     per_value = pairs.groupBy("fld_num", "fld_name", "fld_type", "v").agg(F.count(F.lit(1)).alias("n"), F.first("d").alias("d"))
     v, length = F.col("v"), F.length("v")
     is_array = F.coalesce(F.from_json(_brackets(v), "array<string>"), F.from_json(v, "array<string>")).isNotNull()
@@ -272,7 +270,7 @@ def _brackets(v: Column) -> Column:
 def _inferred_class() -> Column:
     dist, filled = F.col("dist_cnt"), F.col("is_not_null")
     gap = F.when(filled, 0).otherwise(1)
-    rules = [
+    rules = [  # fixed values: names and order of the classes
         (F.col("null_cnt") == F.col("cnt"), "null"),
         (dist == F.col("cnt_bool") + gap, "bool"),
         ((dist == 1) & filled, "one"),
@@ -486,25 +484,26 @@ def _tile_end(k: Column, n: int) -> Column:
 def most_frequent_name(df: DataFrame, row_id: str, text: str, dictionary: DataFrame, code: str, name: str) -> DataFrame:
     """Most frequent dictionary name in the code range named by a text such as ``... коды 10-12)``.
 
-    '' when there is none, for NULL and for 'nan'.  The dictionary is reduced to counts per (code,
-    name); each text explodes only the codes of its own range."""
+    '' when there is none, for NULL and for 'nan'.  A range without an end is its first code; a text without
+    a dash is a code itself.  The dictionary is reduced to counts per (code, name); each distinct range is cut
+    to the codes of the dictionary and meets them bucket by bucket, at most ``BUCKETS`` of them."""
     value = F.col(text)
-    tail = F.substring(F.split_part(value, F.lit("коды "), F.lit(2)), 1, 5)
-    low_text = F.when(value.contains("-"), F.split_part(tail, F.lit("-"), F.lit(1))).otherwise(value)
-    high_text = F.when(
-        value.contains("-") & (F.split_part(tail, F.lit("-"), F.lit(2)) != ")"), F.split_part(tail, F.lit("-"), F.lit(2))
-    ).otherwise(low_text)
-    ranges = df.select(
-        row_id,
-        text,
-        F.trim(low_text).try_cast("int").alias("_lo"),
-        F.trim(F.regexp_replace(high_text, r"\)$", "")).try_cast("int").alias("_hi"),
-    )
-    # Texts repeat, so the dictionary is searched once per distinct range.
-    wanted = ranges.select("_lo", "_hi").where("_lo <= _hi").distinct()
-    codes = wanted.select("_lo", "_hi", F.explode(F.sequence("_lo", "_hi")).alias("_code"))
+    low_text = F.when(value.contains("-"), F.regexp_extract(value, _CODES, 1)).otherwise(F.trim(value))
+    high_text = F.when(value.contains("-"), F.coalesce(F.nullif(F.regexp_extract(value, _CODES, 2), F.lit("")), low_text)).otherwise(low_text)
+    ranges = df.select(row_id, text, low_text.try_cast("int").alias("_lo"), high_text.try_cast("int").alias("_hi"))
     counts = dictionary.groupBy(F.col(code).cast("int").alias("_dc"), F.col(name).alias("_name")).agg(F.count(F.lit(1)).alias("_n"))
-    freq = codes.join(counts, F.col("_code") == F.col("_dc")).groupBy("_lo", "_hi", "_name").agg(F.sum("_n").alias("_n"))
+    first, last = dictionary.agg(F.min(F.col(code).cast("int")), F.max(F.col(code).cast("int"))).first()
+    first, last = (0, -1) if first is None else (first, last)
+    width = (last - first) // BUCKETS + 1
+    # Texts repeat, so the dictionary is searched once per distinct range.
+    wanted = ranges.select("_lo", "_hi").where("_lo <= _hi").where((F.col("_hi") >= first) & (F.col("_lo") <= last)).distinct()
+
+    def bucket(x: Column) -> Column:
+        return F.floor((x - first) / width).cast("int")
+
+    cut = F.sequence(bucket(F.greatest("_lo", F.lit(first))), bucket(F.least("_hi", F.lit(last))))
+    met = wanted.withColumn("_b", F.explode(cut)).join(counts.withColumn("_cb", bucket(F.col("_dc"))), F.col("_b") == F.col("_cb"))
+    freq = met.where(F.col("_dc").between(F.col("_lo"), F.col("_hi"))).groupBy("_lo", "_hi", "_name").agg(F.sum("_n").alias("_n"))
     best = freq.groupBy(F.col("_lo").alias("_blo"), F.col("_hi").alias("_bhi")).agg(
         F.min_by("_name", F.struct(-F.col("_n"), F.col("_name"))).alias("_best")
     )
@@ -512,6 +511,10 @@ def most_frequent_name(df: DataFrame, row_id: str, text: str, dictionary: DataFr
     return joined.select(row_id, text, F.coalesce("_best", F.lit("")).alias("main_name"))
 
 
+BUCKETS = 1024
+_CODES = r"коды\s*(\d+)\s*-\s*(\d*)"
+
+
 def field_mapping(source: DataFrame, target: DataFrame, renames: dict[str, str] | None = None) -> DataFrame:
     """Source-to-target comparison: one row per column pair with both types, whether they agree, and
     how many filled source values the target type cannot hold (NULL for a column without partner).

@@ -179,9 +179,8 @@ def stability_categorical(
 ) -> DataFrame:
     """Population stability of a category between two periods: abs(sum((b - t) ln(b / t))).
 
-    A missing share counts as 1e-4 inside the logarithm; a NULL category matches the text
-    ``xxx``; the first 100 characters identify a category."""
-    value = F.substring(F.col(column).cast("string"), 1, 100)
+    A missing share counts as 1e-4 inside the logarithm; a NULL category matches the text ``xxx``."""
+    value = F.col(column).cast("string")
     rows = _in_periods(source, value, date_column, bench, target, target_source, target_date_column)
     filled = F.col("val").isNotNull()
     counts = rows.groupBy(F.coalesce("val", F.lit("xxx")).alias("key")).agg(
@@ -335,7 +334,7 @@ def volume_dates(as_of: dt.date, unit: str = "month", offset: int = -1) -> tuple
 
 @dataclass(frozen=True)
 class VolumeCheck:
-    """Volume of one field at the period end against earlier period ends."""
+    """Check of one field at the period end by the metric of that name, the volume against earlier period ends by default."""
 
     table: str
     field: str
@@ -346,6 +345,7 @@ class VolumeCheck:
     offset: int = -1
     metric: str = "nonnull_volume"
     active: bool = True
+    params: Mapping[str, object] = field(default_factory=dict)
 
 
 VERDICT_SCHEMA = "metric string, tbl string, fn string, res int, dt date, val2chk bigint, ratio_1 double, ratio_3 double, error string"
@@ -357,11 +357,11 @@ def period_volume(df: DataFrame, checks: Sequence[VolumeCheck], as_of: dt.date)
     res is 1 or 0 (ratio inside or outside the bounds) and -1 when the period end has no rows."""
     first = checks[0]
     end, prev, prev2 = volume_dates(as_of, first.unit, first.offset)
-    day = _day(first.date_column)
+    day = _quoted(first.date_column).cast("date")
     counted = (
-        df.where(on_days(F.col(first.date_column), [end, prev, prev2]))
+        df.where(on_days(_quoted(first.date_column), [end, prev, prev2]))
         .groupBy(day.alias("rd"))
-        .agg(F.count(F.lit(1)).alias("_all"), *[F.count(c.field).alias(f"c{i}") for i, c in enumerate(checks)])
+        .agg(F.count(F.lit(1)).alias("_all"), *[F.count(_quoted(c.field)).alias(f"c{i}") for i, c in enumerate(checks)])
     )
     on_end, on_prev = F.col("rd") == F.lit(end), F.col("rd") == F.lit(prev)
     wide = counted.agg(
@@ -401,6 +401,54 @@ def period_volume(df: DataFrame, checks: Sequence[VolumeCheck], as_of: dt.date)
     )
 
 
+def _quoted(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def _psi(function, **options):
+    """Stability of a field over the period that ends at the check date against the period before it."""
+
+    def metric(df: DataFrame, c: VolumeCheck, end: dt.date) -> DataFrame:
+        target = Period.ending(end, c.unit, 1)
+        bench = Period.ending(target.first - dt.timedelta(days=1), c.unit, 1)
+        out = function(df, c.field, c.date_column, bench, target, **options)
+        return out.where("group_cd = '9999'").select("psi") if "group_cd" in out.columns else out.select("psi")
+
+    return metric
+
+
+#: Metrics by name: each gives one value of a field at a date, judged by the bounds of the check.
+METRICS: dict[str, Callable[[DataFrame, VolumeCheck, dt.date], DataFrame]] = {
+    "aggregate_drift": lambda df, c, end: aggregate_drift(df, c.date_column, c.params.get("aggregate", f"sum({c.field})"), end, c.unit, 1),
+    "grouped_drift": lambda df, c, end: grouped_drift(df, c.date_column, c.field, c.params.get("aggregate", "count(1)"), end, c.unit, 1),
+    "freshness": lambda df, c, end: freshness(df, c.field, end, c.unit).select("date_diff"),
+    "nonnull_ratio": lambda df, c, end: non_null_ratio(df, [c.field], c.date_column, interval_start(end, c.unit, 1), end).select("nonnull_ratio"),
+    "out_of_range": lambda df, c, end: out_of_range(df, c.field, c.params.get("kind", "double"), c.params["low"], c.params["high"]),
+    "insane_dates": lambda df, c, end: insane_dates(df, c.field),
+    "stability_categorical": _psi(lambda *a, **o: stability_categorical(*a, **o)),
+    "stability_continuous": _psi(lambda *a, **o: stability_continuous(*a, **o)),
+}
+
+
+def metric_verdict(df: DataFrame, check: VolumeCheck, as_of: dt.date) -> DataFrame:
+    """Verdict row of one check by a metric of METRICS: 1 or 0 (value inside or outside the bounds), -1 without a value."""
+    end = volume_dates(as_of, check.unit, check.offset)[0]
+    out = METRICS[check.metric](df, check, end)
+    found = out.agg(F.max(out.columns[-1]).cast("double").alias("value"))
+    inside = F.col("value").between(F.lit(check.low).cast("double"), F.lit(check.high).cast("double"))
+    return found.select(
+        F.lit(check.metric).alias("metric"),
+        F.lit(check.table).alias("tbl"),
+        F.lit(check.field).alias("fn"),
+        F.when(F.col("value").isNull(), F.lit(-1)).when(inside, F.lit(1)).otherwise(F.lit(0)).alias("res"),
+        F.lit(end).alias("dt"),
+        F.lit(None).cast("bigint").alias("val2chk"),
+        F.round("value", 6).alias("ratio_1"),
+        F.lit(None).cast("double").alias("ratio_3"),
+        F.when(F.col("value").isNull(), F.lit("Empty data")).alias("error"),
+    )
+
+
 def check_suite(
     spark: SparkSession,
     checks: Sequence[VolumeCheck],
@@ -408,34 +456,47 @@ def check_suite(
     as_of: dt.date,
     metric_mask: str = "%",
     table_mask: str = "%",
-    chunk: int = 450,
 ) -> DataFrame:
     """One verdict row per active check under the masks.
 
-    Checks on the same table and period share a scan; at most ``chunk`` checks go into one
-    aggregate.  A check that cannot be analysed (unknown table or column) gives res -99."""
+    Volume checks on the same table and period share a scan; other metrics are found by name.  A check that
+    cannot be analysed gives res -99 and does not touch the others."""
     chosen = [c for c in checks if c.active and _like(c.metric, metric_mask) and _like(c.table, table_mask)]
     groups: dict[tuple, list[VolumeCheck]] = {}
     frames, failed = [], []
+
+    def fail(c: VolumeCheck, text: str) -> None:
+        failed.append((c.metric, c.table, c.field, -99, None, None, None, None, text))
+
     for c in chosen:
         known = tables.get(c.table)
         if known is None or c.field not in known.columns or c.date_column not in known.columns:
-            failed.append((c.metric, c.table, c.field, -99, None, None, None, None, "unknown table or column"))
-            continue
-        groups.setdefault((c.table, c.date_column, c.unit, c.offset), []).append(c)
+            fail(c, "unknown table or column")
+        elif c.metric == "nonnull_volume":
+            groups.setdefault((c.table, c.date_column, c.unit, c.offset), []).append(c)
+        elif c.metric not in METRICS:
+            fail(c, "unknown metric")
+        else:
+            _analysed(frames, [c], lambda part: metric_verdict(tables[part[0].table], part[0], as_of), fail)
     for (table, *_), members in groups.items():
-        for start in range(0, len(members), chunk):
-            part = members[start : start + chunk]
-            try:
-                frames.append(period_volume(tables[table], part, as_of))
-            except AnalysisException as error:
-                text = str(error)[:200]
-                failed += [(c.metric, c.table, c.field, -99, None, None, None, None, text) for c in part]
+        _analysed(frames, members, lambda part, table=table: period_volume(tables[table], part, as_of), fail)
     if failed or not frames:
         frames.append(spark.createDataFrame(failed, VERDICT_SCHEMA))
     return reduce(DataFrame.unionByName, frames)
 
 
+def _analysed(frames: list[DataFrame], part: list[VolumeCheck], build, fail) -> None:
+    """Add the verdicts of ``part``; if they cannot be analysed together, check by check."""
+    try:
+        frames.append(build(part))
+    except (AnalysisException, KeyError) as error:
+        if len(part) == 1:
+            fail(part[0], str(error))
+            return
+        for c in part:
+            _analysed(frames, [c], build, fail)
+
+
 def _like(text: str, mask: str) -> bool:
     return fnmatchcase(text, mask.replace("%", "*").replace("_", "?"))
 
@@ -463,16 +524,8 @@ def suite_summary(verdicts: DataFrame) -> DataFrame:
     )
 
 
-def suite_report(
-    verdicts: DataFrame,
-    max_err: int = 1,
-    max_no: int = 100,
-    max_ok: int = 1,
-    only_err: bool = False,
-    merge_ok: bool = True,
-) -> DataFrame:
-    """Grouped detail: one row per (metric, table, result, date, message) with its feature list,
-    replaced by a count when the list is longer than the limit of its result class."""
+def suite_report(verdicts: DataFrame, only_err: bool = False, merge_ok: bool = True) -> DataFrame:
+    """Grouped detail: one row per (metric, table, result, date, message) with its number of features and their list."""
     msg = F.to_json(F.struct("res", "dt", "val2chk", "ratio_1", "ratio_3", "error"))
     if merge_ok:
         msg = F.when(F.col("res") > 0, F.to_json(F.struct(F.lit(1).alias("res"), "dt"))).otherwise(msg)
@@ -481,18 +534,7 @@ def suite_report(
         .groupBy("metric", "tbl", "res", "dt", "msg")
         .agg(F.sort_array(F.collect_set("fn")).alias("fns"))
     )
-    limit = F.when(F.col("res") < 0, max_err).when(F.col("res") == 0, max_no).otherwise(max_ok)
-    size = F.size("fns")
-    rows = grouped.select(
-        "metric",
-        "tbl",
-        "res",
-        "dt",
-        "msg",
-        F.when(size > limit, F.concat(F.lit("Count: "), size.cast("string")))
-        .otherwise(F.concat_ws(", ", "fns"))
-        .alias("feature"),
-    )
+    rows = grouped.select("metric", "tbl", "res", "dt", "msg", F.size("fns").alias("features"), F.concat_ws(", ", "fns").alias("feature"))
     return rows.where("res <= 0") if only_err else rows
 
 

@@ -260,12 +260,13 @@ def bucket_frequency(t):
 
 @query(
     "C14_most_frequent_name",
-    """with txt as (select user_id, event_id % 9 as k, case event_id % 9 when 0 then null when 1 then 'nan' when 2 then 'группа (коды 10-)' when 3 then 'группа (коды 10-14)' when 4 then '12'
-           when 5 then 'группа (коды 90-99)' else cast(20 + event_id % 9 as varchar) end as val, event_id from events),
-       dict as (select p_partkey % 50 as code, p_brand as name, count(*) as n from part group by 1, 2),
-       rg as (select event_id, val, case when val like '%-%' then try_cast(split_part(substr(split_part(val, 'коды ', 2), 1, 5), '-', 1) as int) else try_cast(val as int) end as lo,
-           case when val like '%-)%' then try_cast(split_part(substr(split_part(val, 'коды ', 2), 1, 5), '-', 1) as int)
-             when val like '%-%' then try_cast(split_part(substr(split_part(val, 'коды ', 2), 1, 5), '-', 2) as int) else try_cast(val as int) end as hi from txt),
+    """with txt as (select event_id, case event_id % 11 when 0 then null when 1 then 'nan' when 2 then 'группа (коды 10-)' when 3 then 'группа (коды 10-14)'
+           when 4 then '12' when 5 then 'группа (коды 90-99)' when 6 then 'группа (коды 100-105)' when 7 then 'группа (коды 1-' || (100000 + user_id) || ')'
+           when 8 then 'группа (коды 1000 - 1999)' else cast(20 + event_id % 9 as varchar) end as val from events),
+       dict as (select p_partkey as code, p_brand as name, count(*) as n from part group by 1, 2),
+       rg as (select event_id, val, try_cast(case when val like '%-%' then regexp_extract(val, 'коды\\s*(\\d+)\\s*-', 1) else val end as int) as lo,
+           try_cast(case when val like '%-%' then coalesce(nullif(regexp_extract(val, 'коды\\s*\\d+\\s*-\\s*(\\d+)', 1), ''), regexp_extract(val, 'коды\\s*(\\d+)\\s*-', 1))
+             else val end as int) as hi from txt),
        fr as (select lo, hi, name, sum(n) as n from (select distinct lo, hi from rg) r join dict on code between lo and hi group by 1, 2, 3),
        best as (select lo, hi, name from fr qualify row_number() over (partition by lo, hi order by n desc, name) = 1)
        select event_id, val, coalesce(name, '') as main_name from rg left join best b on b.lo = rg.lo and b.hi = rg.hi""",
@@ -273,10 +274,11 @@ def bucket_frequency(t):
 def frequent_name(t):
     rows = t.events.selectExpr(
         "event_id",
-        "case event_id % 9 when 0 then null when 1 then 'nan' when 2 then 'группа (коды 10-)' when 3 then 'группа (коды 10-14)' when 4 then '12' "
-        "when 5 then 'группа (коды 90-99)' else cast(20 + event_id % 9 as string) end as val",
+        "case event_id % 11 when 0 then null when 1 then 'nan' when 2 then 'группа (коды 10-)' when 3 then 'группа (коды 10-14)' when 4 then '12' "
+        "when 5 then 'группа (коды 90-99)' when 6 then 'группа (коды 100-105)' when 7 then concat('группа (коды 1-', 100000 + user_id, ')') "
+        "when 8 then 'группа (коды 1000 - 1999)' else cast(20 + event_id % 9 as string) end as val",
     )
-    dictionary = t.part.selectExpr("p_partkey % 50 as code", "p_brand as name")
+    dictionary = t.part.selectExpr("p_partkey as code", "p_brand as name")
     return ops.most_frequent_name(rows, "event_id", "val", dictionary, "code", "name")
 
 

@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from millrace.functions.periods import interval_start_sql
+from millrace.functions.periods import interval_start, interval_start_sql
 from millrace.operators import quality as ops
 from millrace.operators.quality import Period, Rule, VolumeCheck
 from millrace.plans import fixtures as fx
@@ -115,6 +115,16 @@ def stability_categorical(t):
     )
 
 
+@query(
+    "Q7_stability_long_values",
+    _psi_categ_sql("repeat('x', 150) || event_type || user_id % 50", "events", "ts", ("2024-01-03", "2024-01-10"), ("2024-01-13", "2024-01-20")),
+)
+def stability_long_values(t):
+    """Categories that differ only after 150 equal characters."""
+    rows = t.events.selectExpr("ts", "concat(repeat('x', 150), event_type, user_id % 50) as category")
+    return ops.stability_categorical(rows, "category", "ts", Period.ending(dt.date(2024, 1, 10), "week", 1), Period.ending(DAY, "week", 1))
+
+
 def _psi_cont_sql(value, table, date, b, t):
     def side(lo, hi):
         return f"""(select decile, min(val) as lbound, max(val) as own_max, count(*) as qty, count(*) / sum(count(*)) over () as pct from (
@@ -184,6 +194,13 @@ CHECKS = [
     VolumeCheck("events", "value", "ts", low=0.1, high=9.0),
     VolumeCheck("orders", "no_such_column", "o_orderdate", low=0.1, high=9.0),
     VolumeCheck("part", "p_size", "p_size", low=0.1, high=9.0, active=False),
+    VolumeCheck("orders", "o_totalprice", "o_orderdate", metric="aggregate_drift", low=-0.5, high=0.5),
+    VolumeCheck("lineitem", "l_shipdate", "l_shipdate", metric="freshness", unit="day", low=-9999, high=0),
+    VolumeCheck("lineitem", "l_tax", "l_shipdate", metric="nonnull_ratio", low=1.0, high=1.0),
+    VolumeCheck("lineitem", "l_quantity", "l_shipdate", metric="out_of_range", low=0, high=0, params={"low": 1, "high": 10}),
+    VolumeCheck("lineitem", "l_returnflag", "l_shipdate", metric="stability_categorical", low=0, high=0.5),
+    VolumeCheck("lineitem", "l_discount", "l_shipdate", metric="out_of_range", low=0, high=0, params={"kind": "no such type", "low": 1, "high": 10}),
+    VolumeCheck("lineitem", "l_discount", "l_shipdate", metric="no_such_metric"),
 ]
 
 
@@ -200,9 +217,31 @@ def _vol_sql(table, field, date, lo, hi):
         count({field}) filter (cast({date} as date) in (date '1998-04-30', date '1998-05-31')) / 2 as a from {table})"""
 
 
+_END, _BEFORE = dt.date(1998, 6, 30), interval_start(dt.date(1998, 6, 30), "month", 1)
+_SHIFT = Period.ending(_BEFORE - dt.timedelta(days=1), "month", 1)
+
+
+def _metric_sql(metric, table, field, value, low, high, end="date '1998-06-30'"):
+    return f"""select '{metric}', '{table}', '{field}', cast(case when v is null then -1 when v between {low} and {high} then 1 else 0 end as int), {end}
+      from (select ({value}) as v)"""
+
+
 _SUITE_SQL = "suite as (" + " union all ".join(
-    _vol_sql(c.table, c.field, c.date_column, c.low, c.high) for c in CHECKS[:5]
-) + " union all select 'nonnull_volume', 'orders', 'no_such_column', -99, null)"
+    [_vol_sql(c.table, c.field, c.date_column, c.low, c.high) for c in CHECKS[:5]]
+    + [
+        "select 'nonnull_volume', 'orders', 'no_such_column', -99, null",
+        "select 'out_of_range', 'lineitem', 'l_discount', -99, null",
+        "select 'no_such_metric', 'lineitem', 'l_discount', -99, null",
+        _metric_sql("aggregate_drift", "orders", "o_totalprice", f"""select round((coalesce(sum(o_totalprice) filter (cast(o_orderdate as date) = date '{_BEFORE}'), 0)
+          - sum(o_totalprice) filter (cast(o_orderdate as date) = date '{_END}')) / nullif(sum(o_totalprice) filter (cast(o_orderdate as date) = date '{_END}'), 0), 5) from orders""", -0.5, 0.5),
+        _metric_sql("freshness", "lineitem", "l_shipdate", "select date '1998-07-14' - max(cast(l_shipdate as date)) from lineitem", -9999, 0, "date '1998-07-14'"),
+        _metric_sql("nonnull_ratio", "lineitem", "l_tax", f"""select round(count(nullif(cast(l_tax as varchar), '')) / nullif(count(*), 0), 6) from lineitem
+          where cast(l_shipdate as date) between date '{_BEFORE}' and date '{_END}'""", 1, 1),
+        _metric_sql("out_of_range", "lineitem", "l_quantity", "select count(*) filter (not l_quantity between 1 and 10) from lineitem", 0, 0),
+        _metric_sql("stability_categorical", "lineitem", "l_returnflag", _psi_categ_sql(
+            "l_returnflag", "lineitem", "l_shipdate", (str(_SHIFT.first), str(_SHIFT.last)), (str(_BEFORE), str(_END))), 0, 0.5),
+    ]
+) + ")"
 
 
 @query("Q12_check_suite", fx.with_sql(_SUITE_SQL) + "select * from suite")
@@ -215,7 +254,8 @@ def check_suite(t):
     fx.with_sql(_SUITE_SQL)
     + """select 'True ' || count(*) filter (res > 0) || ', False ' || count(*) filter (res = 0) || ', Error ' || count(*) filter (res < 0) as msg,
          min(res) as worst, count(*) as cnt, count(distinct tbl) as tbl_cnt, count(distinct fn) as fn_cnt, count(distinct dt) as dt_cnt,
-         count(distinct metric) as mt_cnt, 'Error' as verdict, cast(-1 as int) as res from suite""",
+         count(distinct metric) as mt_cnt, case when min(res) < 0 then 'Error' when min(res) > 0 then 'True' else 'False' end as verdict,
+         cast(case when min(res) > 0 then 1 else -1 end as int) as res from suite""",
 )
 def suite_summary(t):
     return ops.suite_summary(_suite(t))
@@ -224,8 +264,8 @@ def suite_summary(t):
 @query(
     "Q12_suite_report",
     fx.with_sql(_SUITE_SQL)
-    + """select metric, tbl, res, dt, case when count(*) > case when any_value(res) = 0 then 100 else 1 end then 'Count: ' || count(*)
-         else string_agg(fn, ', ' order by fn) end as feature from suite group by metric, tbl, res, dt, case when res > 0 then '' else fn end""",
+    + """select metric, tbl, res, dt, cast(count(*) as int) as features, string_agg(fn, ', ' order by fn) as feature
+         from suite group by metric, tbl, res, dt, case when res > 0 then '' else fn end""",
 )
 def suite_report(t):
     return ops.suite_report(_suite(t)).drop("msg")
