@@ -8,7 +8,7 @@ from collections.abc import Iterator, Sequence
 from types import SimpleNamespace
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.keys import newest_per_key
@@ -27,19 +27,11 @@ def z_table_rows(top: int = 40) -> list[tuple[float, float]]:
     return [(i / 10, round(math.erfc(i / 10 / math.sqrt(2)) / 2, 5)) for i in range(top + 1)]
 
 
-def z_table(spark: SparkSession) -> DataFrame:
-    rows = spark.createDataFrame(z_table_rows(), "zscore double, p_value double")
-    return rows.select(F.col("zscore").cast("decimal(3,1)"), F.col("p_value").cast("decimal(6,5)"))
-
-
-def with_p_value(df: DataFrame, table: DataFrame, z: str = "zscore", name: str = "p_value") -> DataFrame:
-    """Two-sided p from the lookup table at |z| rounded to 0.1; 0 when the table has no entry.
-
-    A |z| too large for the lookup type also gives 0."""
-    rounded = F.abs(F.round(F.col(z), 1)).try_cast("decimal(3,1)")
-    lookup = table.select(F.col("zscore").alias("_z"), F.col("p_value").alias("_p"))
-    joined = df.join(lookup, rounded == F.col("_z"), "left")
-    return joined.withColumn(name, F.coalesce(2 * F.col("_p"), F.lit(0)).cast("double")).drop("_z", "_p")
+def with_p_value(df: DataFrame, z: str = "zscore", name: str = "p_value") -> DataFrame:
+    """Two-sided p of |z| rounded to 0.1, as the lookup table has it; 0 beyond the table."""
+    tails = F.array(*[F.lit(p) for _, p in z_table_rows()])
+    place = F.round(F.abs(F.round(F.col(z).cast("double"), 1)) * 10).try_cast("int")
+    return df.withColumn(name, F.coalesce(2 * F.get(tails, place), F.lit(0.0)))
 
 
 def _score(value: Column, avg: Column, std: Column) -> Column:
@@ -61,7 +53,6 @@ def z_of_date(
     day: dt.date,
     unit: str,
     quantity: int,
-    table: DataFrame,
     distinct_points: bool = True,
     report_as: str | None = None,
 ) -> DataFrame:
@@ -80,7 +71,7 @@ def z_of_date(
         points = points.distinct() if distinct_points else points
         stats = points.agg(F.struct(avg, std)).scalar()
         scored = points.where(F.col("day") == F.lit(day)).select("*", stats.getField("avg").alias("avg"), stats.getField("std").alias("std"))
-    out = with_p_value(scored.withColumn("zscore", _score(F.col("value"), F.col("avg"), F.col("std"))), table)
+    out = with_p_value(scored.withColumn("zscore", _score(F.col("value"), F.col("avg"), F.col("std"))))
     return out.select(
         *([F.lit(report_as).alias("object_name")] if report_as else []),
         F.col("day").alias("date_field_value"),
@@ -94,9 +85,9 @@ def z_of_date(
     )
 
 
-def z_of_helper(df, value, date_column, day, unit, quantity, table, report_as) -> DataFrame:
+def z_of_helper(df, value, date_column, day, unit, quantity, report_as) -> DataFrame:
     """As ``z_of_date`` over a helper table, reported under another object's name."""
-    return z_of_date(df, value, date_column, day, unit, quantity, table, False, report_as)
+    return z_of_date(df, value, date_column, day, unit, quantity, False, report_as)
 
 
 def max_z_of_means(df: DataFrame, column: str, date_column: str, day: dt.date, unit: str, quantity: int) -> DataFrame:
@@ -118,7 +109,6 @@ def rolling_z(
     start: dt.date,
     end: dt.date,
     days: int,
-    table: DataFrame,
 ) -> DataFrame:
     """Scores over a date range with a rolling sum of ``days`` days, all objects at once.
 
@@ -139,7 +129,7 @@ def rolling_z(
         F.avg("rolled").over(every).alias("avg"),
         F.stddev_pop("rolled").over(every).alias("std"),
     ).withColumn("zscore", _score(F.col("rolled"), F.col("avg"), F.col("std")))
-    inside = with_p_value(scored.where(F.col("day").between(F.lit(start), F.lit(end))), table)
+    inside = with_p_value(scored.where(F.col("day").between(F.lit(start), F.lit(end))))
     return inside.select(
         "object",
         F.col("day").alias("date_field_value"),
@@ -484,8 +474,11 @@ def _half_up(x: float) -> int:
 
 
 def upsert_config(config: DataFrame, updates: DataFrame) -> DataFrame:
-    """Merge settings by object; a NULL in ``updates`` keeps the old value."""
-    new = updates.select(*[F.col(c).alias(f"_n_{c}") for c in updates.columns])
+    """Merge settings by object; a NULL in ``updates`` keeps the old value.
+
+    Of several updates of one object the largest value of each setting counts."""
+    settings = [c for c in updates.columns if c != "object"]
+    new = updates.groupBy(F.col("object").alias("_n_object")).agg(*[F.max(c).alias(f"_n_{c}") for c in settings])
     joined = config.join(new, F.col("object") == F.col("_n_object"), "full_outer")
     defaults = {
         "active": F.lit(True),
@@ -502,16 +495,15 @@ def upsert_config(config: DataFrame, updates: DataFrame) -> DataFrame:
 
 
 def toggle_dates(config: DataFrame, changes: DataFrame, column: str) -> DataFrame:
-    """Add the date of ``changes`` (object, day) to an array column, or remove it when present.
+    """Add the dates of ``changes`` (object, day) to an array column, or remove those that are present.
 
-    The arrays stay distinct, newest first."""
-    hit = changes.select(F.col("object").alias("_o"), F.col("day").alias("_day"))
+    A date that is changed an even number of times stays as it is.  The arrays stay distinct, newest first."""
+    odd = changes.groupBy(F.col("object").alias("_o"), "day").agg(F.count(F.lit(1)).alias("_n")).where("_n % 2 = 1")
+    hit = odd.groupBy("_o").agg(F.collect_set("day").alias("_days"))
     dates = F.coalesce(F.col(column), F.array().cast("array<date>"))
-    flipped = F.when(F.array_contains(dates, F.col("_day")), F.array_remove(dates, F.col("_day"))).otherwise(
-        F.array_append(dates, F.col("_day"))
-    )
+    flipped = F.array_union(F.array_except(dates, F.col("_days")), F.array_except(F.col("_days"), dates))
     joined = config.join(hit, F.col("object") == F.col("_o"), "left")
-    value = F.when(F.col("_day").isNotNull(), F.sort_array(F.array_distinct(flipped), asc=False)).otherwise(F.col(column))
+    value = F.when(F.col("_days").isNotNull(), F.sort_array(flipped, asc=False)).otherwise(F.col(column))
     return joined.withColumn(column, value).select(*config.columns)
 
 

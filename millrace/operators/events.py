@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.keys import keep_matching
+from millrace.functions.lineage import cut_lineage
 from millrace.functions.parsing import json_field
 
 ELEMENT = "array<struct<schema string, payload string>>"
@@ -53,11 +54,16 @@ def registry_fields(registry: DataFrame) -> dict[str, list[str]]:
     return {r[0]: list(r[1] or ()) for r in newest.select("schema_name", names).collect()}
 
 
-def payload_fields(messages: DataFrame) -> dict[str, list[str]]:
-    """{event type: fields} seen in the payloads: distinct keys, found by one aggregate."""
+def payload_fields(messages: DataFrame, most: int = 10_000) -> dict[str, list[str]]:
+    """{event type: fields} seen in the payloads: distinct keys, found by one aggregate.
+
+    Keys made from data would not end: more than ``most`` of them are an error."""
     keys = messages.select(F.lower("schema_name").alias("t"), F.explode(F.json_object_keys("payload_json")).alias("k")).distinct()
+    found = keys.limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"the payloads have more than {most} different fields")
     out: dict[str, list[str]] = {}
-    for r in keys.orderBy("t", "k").collect():
+    for r in sorted(found):
         out.setdefault(r["t"], []).append(r["k"])
     return out
 
@@ -141,17 +147,21 @@ def shred(messages: DataFrame, event_type: str, fields: Sequence[str]) -> DataFr
 
 
 def _typed(parsed: Column, name: str) -> Column:
-    kind, value = field_type(name), parsed.getField(name)
+    return _typed_value(parsed.getField(name), name)
+
+
+def _typed_value(value: Column, name: str) -> Column:
+    kind = field_type(name)
     return (value if kind == "string" else value.try_cast(kind)).alias(name)
 
 
 def shred_all(messages: DataFrame, registry: Mapping[str, Sequence[str]]) -> dict[str, DataFrame]:
-    """One frame per event type of the registry; the nested type is exploded."""
-    return {
-        t: shred_nested(messages, fields) if t == NESTED_EVENT else shred(messages, t, fields)
-        for t, fields in registry.items()
-        if t in EVENT_TYPES
-    }
+    """One frame per event type of the registry; the nested type is exploded.
+
+    The messages are read and parsed once (``route``); the types are taken from the stored result."""
+    known = {t: fields for t, fields in registry.items() if t in EVENT_TYPES}
+    routed = cut_lineage(route(messages, list(known)))
+    return {t: routed_nested(routed, fields) if t == NESTED_EVENT else routed_fields(routed, fields, t) for t, fields in known.items()}
 
 
 def route(messages: DataFrame, event_types: Sequence[str] = EVENT_TYPES) -> DataFrame:
@@ -168,6 +178,14 @@ def route(messages: DataFrame, event_types: Sequence[str] = EVENT_TYPES) -> Data
     )
 
 
+def routed_fields(routed: DataFrame, fields: Sequence[str], event_type: str | None = None) -> DataFrame:
+    """Typed columns from the map of ``route``, of one event type or (with schema_name) of all."""
+    columns = [_typed_value(F.col("fields")[f], f) for f in fields]
+    if event_type is None:
+        return routed.select("schema_name", "load_date", "file_name", "hash", *columns)
+    return routed.where(F.col("schema_name") == event_type).select("load_date", "file_name", "hash", *columns)
+
+
 def shred_nested(
     messages: DataFrame,
     fields: Sequence[str],
@@ -178,7 +196,21 @@ def shred_nested(
     """As ``shred``, with one row per element of the nested array beside the envelope columns.
 
     A message with an empty array yields no row here; ``mark_routed`` still counts it."""
-    outer = shred(messages, event_type, [f for f in fields if f not in nested_fields])
+    return _exploded(shred(messages, event_type, [f for f in fields if f not in nested_fields]), nested, nested_fields)
+
+
+def routed_nested(
+    routed: DataFrame,
+    fields: Sequence[str],
+    event_type: str = NESTED_EVENT,
+    nested: str = NESTED_FIELD,
+    nested_fields: Sequence[str] = NESTED_FIELDS,
+) -> DataFrame:
+    """As ``shred_nested`` from the result of ``route``."""
+    return _exploded(routed_fields(routed, [f for f in fields if f not in nested_fields], event_type), nested, nested_fields)
+
+
+def _exploded(outer: DataFrame, nested: str, nested_fields: Sequence[str]) -> DataFrame:
     element = "array<struct<" + ", ".join(f"`{f}`: string" for f in nested_fields) + ">>"
     exploded = outer.withColumn("_u", F.explode(F.from_json(nested, element)))
     return exploded.select(*outer.columns, *[F.col("_u").getField(f).alias(f) for f in nested_fields])

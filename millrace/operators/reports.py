@@ -347,13 +347,21 @@ def latest_failures(view: DataFrame, as_of, hours: int = 24) -> DataFrame:
     return last.where(~F.col("ztest_ok") & young)
 
 
-def failure_details(view: DataFrame, since, objects: int = 10, points: int = 30) -> DataFrame:
-    """The objects that failed most recently, each with its last points.
+def failure_details(view: DataFrame, since, objects: int | None = None, points: int | None = None) -> DataFrame:
+    """The failed objects, the most recent first (``n``), each with its points, the newest first (``nn``).
 
-    Both limits are the feature of the report; the ranks are limited before the shuffle."""
+    ``objects`` and ``points`` limit the report when they are given."""
     failed = view.where(~F.col("ztest_ok") & (F.col("ts") >= _ts(since)))
-    head = failed.groupBy(F.col("object").alias("_o")).agg(F.max("ts").alias("last")).orderBy(F.col("last").desc(), "_o").limit(objects)
-    head = head.withColumn("n", F.row_number().over(Window.orderBy(F.col("last").desc(), "_o")))
-    rows = view.join(head, F.col("object") == F.col("_o")).drop("_o")
+    head = failed.groupBy(F.col("object").alias("_o")).agg(F.max("ts").alias("last"))
+    if objects is not None:
+        head = head.orderBy(F.col("last").desc(), "_o").limit(objects)
+    # One row per failed object: a count of those before it, by a join of days and a window within each day.
+    head = head.withColumn("_day", F.to_date("last"))
+    later = Window.orderBy(F.col("_day").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    days = head.groupBy("_day").agg(F.count(F.lit(1)).alias("_k")).withColumn("_before", F.coalesce(F.sum("_k").over(later), F.lit(0)))
+    within = F.row_number().over(Window.partitionBy("_day").orderBy(F.col("last").desc(), "_o"))
+    head = head.withColumn("_in", within).join(days.drop("_k"), "_day").withColumn("n", (F.col("_before") + F.col("_in")).cast("int"))
+    rows = view.join(head.drop("_day", "_in", "_before"), F.col("object") == F.col("_o")).drop("_o")
     nth = F.dense_rank().over(Window.partitionBy("object").orderBy(F.col("ts").desc()))
-    return rows.withColumn("nn", nth).where(F.col("nn") <= points)
+    rows = rows.withColumn("nn", nth)
+    return rows if points is None else rows.where(F.col("nn") <= points)

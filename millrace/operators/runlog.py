@@ -77,7 +77,7 @@ def pair_runs(log: DataFrame) -> DataFrame:
     )
 
 
-def run_journal(log: DataFrame, stats: DataFrame, verdicts: DataFrame, table: DataFrame, config: DataFrame) -> DataFrame:
+def run_journal(log: DataFrame, stats: DataFrame, verdicts: DataFrame, config: DataFrame) -> DataFrame:
     """Runs with load statistics, the newest verdict of each run, p-value and configuration flags.
 
     ``log``: id, parent, ts, action, message.  ``stats``: log_id, rw_cnt and the period, load and key
@@ -100,7 +100,7 @@ def run_journal(log: DataFrame, stats: DataFrame, verdicts: DataFrame, table: Da
         .join(s, F.col("end_id") == F.col("_stat_id"), "left")
         .join(z, F.col("end_id") == F.col("_z_id"), "left")
     )
-    scored = with_p_value(joined, table).join(c, F.col("_object") == F.col("_c_object"), "left")
+    scored = with_p_value(joined).join(c, F.col("_object") == F.col("_c_object"), "left")
     low = F.coalesce(json_field("z_cfg", "min").try_cast("double"), F.lit(-3.0))
     high = F.coalesce(json_field("z_cfg", "max").try_cast("double"), F.lit(3.0))
     return scored.withColumns(

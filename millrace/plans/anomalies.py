@@ -33,7 +33,7 @@ def _z_sql(points, lo, hi, extra=""):
     ),
 )
 def z_of_date(t):
-    return ops.z_of_date(t.events, "count(*)", "ts", DAY, "week", 2, ops.z_table(t.spark))
+    return ops.z_of_date(t.events, "count(*)", "ts", DAY, "week", 2)
 
 
 @query(
@@ -45,7 +45,7 @@ def z_of_date(t):
     ),
 )
 def z_of_plain_values(t):
-    return ops.z_of_date(t.events, "user_id", "ts", DAY, "day", 1, ops.z_table(t.spark))
+    return ops.z_of_date(t.events, "user_id", "ts", DAY, "day", 1)
 
 
 @query(
@@ -68,7 +68,7 @@ def max_z(t):
     ),
 )
 def z_of_helper(t):
-    return ops.z_of_helper(t.events, "count(distinct user_id)", "ts", DAY, "day", 10, ops.z_table(t.spark), "stg.users")
+    return ops.z_of_helper(t.events, "count(distinct user_id)", "ts", DAY, "day", 10, "stg.users")
 
 
 def _rolling_inputs(t):
@@ -96,13 +96,13 @@ def _rolling_sql(days, lo, hi):
 @query("Z4_rolling_z", _rolling_sql(3, "2024-01-05", "2024-01-28"))
 def rolling_z(t):
     fresh, stored = _rolling_inputs(t)
-    return ops.rolling_z(fresh, stored, dt.date(2024, 1, 5), dt.date(2024, 1, 28), 3, ops.z_table(t.spark))
+    return ops.rolling_z(fresh, stored, dt.date(2024, 1, 5), dt.date(2024, 1, 28), 3)
 
 
 @query("Z5_daily_z_range", _rolling_sql(0, "2024-01-10", "2024-01-20"))
 def daily_z_range(t):
     fresh, stored = _rolling_inputs(t)
-    return ops.rolling_z(fresh, stored, dt.date(2024, 1, 10), dt.date(2024, 1, 20), 0, ops.z_table(t.spark))
+    return ops.rolling_z(fresh, stored, dt.date(2024, 1, 10), dt.date(2024, 1, 20), 0)
 
 
 def _row_totals(t):
@@ -260,14 +260,13 @@ def upsert_config(t):
 @query(
     "Z8_toggle_dates",
     fx.with_sql(_CONFIG_SQL)
-    + """select object, case when cast(substr(object, 4) as int) % 5 = 0 then '2024-01-01' when cast(substr(object, 4) as int) % 5 = 1 then '2024-02-01,2024-01-02,2024-01-01'
+    + """select object, case when cast(substr(object, 4) as int) % 5 = 0 then '2024-03-01,2024-01-01' when cast(substr(object, 4) as int) % 5 = 1 then '2024-02-01,2024-01-02,2024-01-01'
            else '2024-01-02,2024-01-01' end as z_except from cfg""",
 )
 def toggle_dates(t):
     users = t.events.select("user_id").distinct()
-    changes = users.where("user_id % 5 < 2").selectExpr(
-        "concat('tb_', user_id) as object", "case user_id % 5 when 0 then date '2024-01-02' else date '2024-02-01' end as day"
-    )
+    days = "case user_id % 5 when 0 then array(date '2024-01-02', date '2024-03-01') when 1 then array(date '2024-02-01') else array(date '2024-02-05', date '2024-02-05') end"
+    changes = users.where("user_id % 5 < 3").selectExpr("concat('tb_', user_id) as object", f"explode({days}) as day")
     out = ops.toggle_dates(_config(t), changes, "z_except")
     return out.select("object", F.concat_ws(",", F.col("z_except").cast("array<string>")).alias("z_except"))
 

@@ -57,7 +57,7 @@ def run_journal(t):
     config = log.select("workflow").distinct().where("cast(substr(workflow, 4) as int) % 3 = 0").selectExpr(
         "workflow as object", "case when cast(substr(workflow, 4) as int) % 2 = 0 then '{\"min\": -1.0}' end as z_cfg", "array(date '2024-01-10') as z_except"
     )
-    out = ops.run_journal(named, stats, newest.unionByName(older), anomaly.z_table(t.spark), config)
+    out = ops.run_journal(named, stats, newest.unionByName(older), config)
     return out.select(
         "start_id", "workflow", "end_id", "end_action", "duration_s", "rows_count", F.round("zscore", 6).alias("zscore"), "ztest_ok", "is_except",
         "confidence", F.round("stable", 6).alias("stable"),

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.parsing import json_field
@@ -13,9 +15,15 @@ from millrace.plans.registry import query
 _TYPES = ", ".join(f"'{x}'" for x in ops.EVENT_TYPES)
 _SCHEMA = """concat('{{"name":"', upper({t}), '","fields":[{{"name":"event_type"}},{{"name":"message_id"}},{{"name":"message_serial_number"}},{{"name":"user_id"}}]}}')"""
 _USERS = """case when event_id % 3 = 0 then '[]' else concat('[{"user_id":"', user_id, '","last_name":"L', event_id % 11, '"},{"user_id":"', user_id + 1, '"}]') end"""
+# Whole numbers and decimals with some values that are no number.
+_WHOLE = "case when event_id % {m} = 0 then 'none' else concat(event_id * {m}, '') end"
+_PART = "case when event_id % {m} = 0 then '' else concat('0.', event_id % 90 + {m}) end"
+_NUMBER = {f: (_PART if f in ops.DECIMAL_FIELDS else _WHOLE).format(m=k) for k, f in enumerate((*ops.INTEGER_FIELDS, *ops.DECIMAL_FIELDS), start=3)}
+_NUMBERS = "'\"', " + ", ".join(f"',\"{f}\":\"', {e}, '\"'" for f, e in _NUMBER.items() if f != "message_serial_number")
 _PAYLOAD = f"""concat('{{"event_type":"', event_type, '","message_id":"', event_id, '","message_serial_number":"', case when event_id % 13 = 0 then 'x' else concat(event_id % 100, '') end,
-  '","user_id":"', user_id, '","user_info":', {_USERS}, '}}')"""
+  '","user_id":"', user_id, {_NUMBERS}, ',"user_info":', {_USERS}, '}}')"""
 FIELDS = ["event_type", "message_id", "message_serial_number", "user_id", "user_info"]
+NUMBERS = [f for f in (*ops.INTEGER_FIELDS, *ops.DECIMAL_FIELDS) if f != "message_serial_number"]
 
 
 def _elements(t):
@@ -85,27 +93,39 @@ _SHRED_COLUMNS = """file_name, md5(event_id || payload) as hash, event_type, cas
   case when event_id % 13 = 0 then null else event_id % 100 end as message_serial_number, cast(user_id as varchar) as user_id"""
 
 
+_NUMBERS_SQL = ", ".join(f"try_cast({_NUMBER[f]} as {'decimal(38,18)' if f in ops.DECIMAL_FIELDS else 'bigint'}) as {f}" for f in NUMBERS)
+
+
 @query(
     "J3_shred_event_types",
-    f"""with {_ELEMENTS} select type as schema_name, {_SHRED_COLUMNS} from (select e.*, v.event_type, v.user_id from elements e join events v on v.event_id = e.event_id)
+    f"""with {_ELEMENTS} select type as schema_name, {_SHRED_COLUMNS}, {_NUMBERS_SQL} from (select e.*, v.event_type, v.user_id from elements e join events v on v.event_id = e.event_id)
         where event_id % 4 <> 0 and type <> '{ops.NESTED_EVENT}'""",
 )
 def shred_event_types(t):
-    messages = _messages(t)
-    registry = {name: FIELDS for name in ops.EVENT_TYPES if name != ops.NESTED_EVENT}
+    """All types but the nested one, read and parsed once."""
+    routed = ops.route(_messages(t), [x for x in ops.EVENT_TYPES if x != ops.NESTED_EVENT])
+    return ops.routed_fields(routed, ["event_type", "message_id", "message_serial_number", "user_id", *NUMBERS]).drop("load_date")
+
+
+@query(
+    "J3_shred_all",
+    f"""with {_ELEMENTS} select type as schema_name, count(*) as messages, count(distinct event_id) as ids, sum(try_cast({_NUMBER['sl_sec_max']} as bigint)) as total
+        from elements where event_id % 4 <> 0 and (type <> '{ops.NESTED_EVENT}' or event_id % 3 <> 0) group by type""",
+)
+def shred_all(t):
+    """One frame per type through one stored pass; the nested type counts messages with elements."""
+    registry = {name: [*FIELDS, "sl_sec_max"] for name in ops.EVENT_TYPES}
     frames = [
-        df.select(F.lit(name).alias("schema_name"), "file_name", "hash", "event_type", "message_id", "message_serial_number", "user_id")
-        for name, df in ops.shred_all(messages, registry).items()
+        df.select("message_id", "sl_sec_max").distinct().agg(F.count("*").alias("messages"), F.count_distinct("message_id").alias("ids"), F.sum("sl_sec_max").alias("total"))
+        .select(F.lit(name).alias("schema_name"), "*")
+        for name, df in ops.shred_all(_messages(t), registry).items()
     ]
-    out = frames[0]
-    for frame in frames[1:]:
-        out = out.unionByName(frame)
-    return out
+    return reduce(DataFrame.unionByName, frames)
 
 
 @query(
     "J3_route",
-    f"""with {_ELEMENTS} select type as schema_name, file_name, md5(event_id || payload) as hash, cast(event_id as varchar) as message_id, cast(5 as int) as fields
+    f"""with {_ELEMENTS} select type as schema_name, file_name, md5(event_id || payload) as hash, cast(event_id as varchar) as message_id, cast(16 as int) as fields
         from elements where event_id % 4 <> 0""",
 )
 def route(t):

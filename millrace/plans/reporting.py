@@ -301,8 +301,8 @@ def latest_failures(t):
     "R23_failure_details",
     fx.with_sql(_ROW_TOTALS)
     + """, head as (select user_id as u, row_number() over (order by last desc, 'tb_' || user_id) as n from (select user_id, max(ts) as last from totals where not coalesce(ztest, true) and ts >= timestamp '2024-01-20' group by 1)
-           order by last desc, 'tb_' || user_id limit 10)
-         select cast(n as int) as n, 'tb_' || user_id as object, log_id, cast(nn as int) as nn from (select h.n, t.*, dense_rank() over (partition by user_id order by ts desc) as nn from totals t join head h on h.u = t.user_id) where nn <= 5""",
+           order by last desc, 'tb_' || user_id)
+         select cast(n as int) as n, 'tb_' || user_id as object, log_id, cast(nn as int) as nn from (select h.n, t.*, dense_rank() over (partition by user_id order by ts desc) as nn from totals t join head h on h.u = t.user_id)""",
 )
 def failure_details(t):
-    return ops.failure_details(_view(t), dt.datetime(2024, 1, 20), 10, 5).select("n", "object", "log_id", "nn")
+    return ops.failure_details(_view(t), dt.datetime(2024, 1, 20)).select("n", "object", "log_id", "nn")
