@@ -24,6 +24,7 @@ other; null ids stay null; extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
+from array import array
 from functools import cmp_to_key, lru_cache
 
 import numpy as np
@@ -36,7 +37,8 @@ from millrace.llm.storage import stored
 
 LENGTH = 400
 GRAM = 100
-BLOCK = 128
+BLOCK = 8192
+_LEADS = 64
 CHUNK = 1 << 22
 _NO_ID = -(2**63)
 _POSITION_BITS = 24
@@ -124,7 +126,7 @@ def document_runs(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Da
     return rows.select("_id", "_th", "text").mapInArrow(go, _RUN)
 
 
-def common_prefix(one: list[int], other: list[int]) -> int:
+def common_prefix(one: array, other: array) -> int:
     """Longest common extension of two texts, given their prefix hashes."""
     low, high = 0, min(len(one), len(other)) - 1
     while low < high:
@@ -144,7 +146,7 @@ def _true_prefix(one: bytes, other: bytes) -> int:
 
 def sorted_with_extensions(texts: list[bytes]) -> tuple[list[int], np.ndarray]:
     """Order of the texts and the longest common extension of each with the one before it (0 for the first)."""
-    hashes = [prefix_hashes(np.frombuffer(t, np.uint8)).tolist() for t in texts]
+    hashes = [array("Q", prefix_hashes(np.frombuffer(t, np.uint8)).tobytes()) for t in texts]
 
     def compare(a: int, b: int) -> int:
         n = common_prefix(hashes[a], hashes[b])
@@ -160,25 +162,24 @@ def sorted_with_extensions(texts: list[bytes]) -> tuple[list[int], np.ndarray]:
     return order, np.array(found, np.int64)
 
 
-def window_classes(texts: list[bytes], offsets: list[int], windows: list[int], length: int) -> tuple[np.ndarray, np.ndarray, int]:
-    """(class, valid, least lead): for each run and each lead (bytes of a window before the anchor) the class of equal windows.
+class Block:
+    """Sorted runs of one anchor; tells which windows are equal, lead by lead (a lead: bytes of a window before the anchor)."""
 
-    ``valid[m, j]`` says that run m has a window with lead ``least + j``.
-    """
-    count = len(texts)
-    high = np.array(offsets)
-    low = high - np.array(windows) + 1
-    least, most = int(low.min()), int(high.max())
-    leads = np.arange(least, most + 1)
-    valid = (leads >= low[:, None]) & (leads <= high[:, None])
-    right_order, right = sorted_with_extensions([t[a:] for t, a in zip(texts, offsets, strict=True)])
-    left_order, left = sorted_with_extensions([t[:a][::-1] for t, a in zip(texts, offsets, strict=True)])
-    classes = np.empty((count, len(leads)), np.int64)
-    classes[right_order] = np.cumsum(right[:, None] < (length - leads)[None, :], axis=0)
-    lefts = np.empty_like(classes)
-    lefts[left_order] = np.cumsum(left[:, None] < leads[None, :], axis=0)
-    classes += lefts * (count + 1)
-    return classes, valid, least
+    def __init__(self, texts: list[bytes], offsets: list[int], windows: list[int], length: int):
+        self.length = length
+        self.high = np.array(offsets)
+        self.low = self.high - np.array(windows) + 1
+        self.right_order, self.right = sorted_with_extensions([t[a:] for t, a in zip(texts, offsets, strict=True)])
+        self.left_order, self.left = sorted_with_extensions([t[:a][::-1] for t, a in zip(texts, offsets, strict=True)])
+
+    def classes(self, leads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(class, valid) by run and lead: runs of one class have equal windows there, if valid says that they have one."""
+        valid = (leads >= self.low[:, None]) & (leads <= self.high[:, None])
+        classes = np.empty((len(self.high), len(leads)), np.int64)
+        classes[self.right_order] = np.cumsum(self.right[:, None] < (self.length - leads)[None, :], axis=0)
+        lefts = np.empty_like(classes)
+        lefts[self.left_order] = np.cumsum(self.left[:, None] < leads[None, :], axis=0)
+        return classes + lefts * (len(self.high) + 1), valid
 
 
 def repeated_windows(classes: np.ndarray, valid: np.ndarray) -> np.ndarray:
@@ -206,26 +207,33 @@ _FOUND = "_id long, _th long, b long, e long, h1 long, h2 long, wanted boolean"
 
 def _judge_block(rows: list[dict], length: int):
     """Removed stretches of the runs of one block, and for blocks of a split anchor the windows left to the merge."""
-    texts, offsets = [r["bytes"] for r in rows], [r["offset"] for r in rows]
-    classes, valid, least = window_classes(texts, offsets, [r["windows"] for r in rows], length)
-    twice = repeated_windows(classes, valid) & valid
+    block = Block([r["bytes"] for r in rows], [r["offset"] for r in rows], [r["windows"] for r in rows], length)
+    least, most = int(block.low.min()), int(block.high.max())
     merge = rows[0]["blocks"] > 1
-    told: set[tuple[int, int]] = set()
+    twice = np.zeros((len(rows), most - least + 1), bool)
+    for j in range(least, most + 1, _LEADS):
+        leads = np.arange(j, min(j + _LEADS, most + 1))
+        classes, valid = block.classes(leads)
+        found = repeated_windows(classes, valid) & valid
+        twice[:, leads - least] = found
+        if not merge:
+            continue
+        told: set[tuple[int, int]] = set()
+        for m, k in zip(*(x.tolist() for x in np.nonzero(valid)), strict=True):
+            row = rows[m]
+            if found[m, k]:
+                if (k, classes[m, k]) in told:
+                    continue
+                told.add((k, classes[m, k]))
+            at = row["offset"] - j - k
+            window = row["bytes"][at : at + length]
+            h1, h2 = _signed(xxh3_64_intdigest(window, 1)), _signed(xxh3_64_intdigest(window, 2))
+            yield row["_id"], row["_th"], row["start"] + at, row["start"] + at + length, h1, h2, not (row["twice"] or found[m, k])
     for m, row in enumerate(rows):
-        anchor = row["start"] + row["offset"]
         if not row["twice"]:
+            anchor = row["start"] + row["offset"]
             for a, b in _stretches(twice[m]):
                 yield row["_id"], row["_th"], anchor - least - b, anchor - least - a + length, None, None, False
-        if merge:
-            for j in np.flatnonzero(valid[m]).tolist():
-                if twice[m, j] and (j, classes[m, j]) in told:
-                    continue
-                told.add((j, classes[m, j]))
-                at = row["offset"] - least - j
-                window = row["bytes"][at : at + length]
-                h1, h2 = _signed(xxh3_64_intdigest(window, 1)), _signed(xxh3_64_intdigest(window, 2))
-                wanted = not row["twice"] and not twice[m, j]
-                yield row["_id"], row["_th"], row["start"] + at, row["start"] + at + length, h1, h2, wanted
 
 
 def _judge_blocks(length: int):
@@ -262,7 +270,7 @@ def repeated_stretches(rows: DataFrame, length: int = LENGTH, gram: int = GRAM,
     found = document_runs(rows, length, gram)
     first = F.min(F.struct("_id", "_th", "start", "windows", "offset")).alias("first")
     counted = stored(found.groupBy("anchor", "run").agg(F.count("*").alias("n"), first))
-    kinds = counted.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1").withColumnRenamed("anchor", "_anchor")
+    kinds = stored(counted.groupBy(F.col("anchor").alias("_anchor")).agg(F.count("*").alias("kinds")).where("kinds > 1"))
     whole = counted.where("n > 1").select(F.col("anchor").alias("_anchor"), F.col("run").alias("_run"))
     again = found.join(whole, (F.col("anchor") == F.col("_anchor")) & (F.col("run") == F.col("_run")), "left_semi")
     again = again.select("_id", "_th", F.col("start").alias("b"), (F.col("start") + F.col("windows") + (length - 1)).alias("e"))
