@@ -48,19 +48,40 @@ def merge_available(stream: DataFrame, merge: Callable[[DataFrame, int], None],
     return stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def stream_envelopes(files: DataFrame, arrived: str, delay: str = "2 days") -> DataFrame:
-    """Exploded envelopes of a file stream without repeated messages within the watermark.
+def append_first_copies(stream: DataFrame, target: str, checkpoint: str, key: Sequence[str] | Column, order: str) -> StreamingQuery:
+    """Append the rows of a stream whose natural key the target does not hold, and stop.
+
+    Of equal keys in one micro-batch the row with the smallest ``order`` stays.  The target itself is the memory, so
+    a copy is recognised however late it comes, and no late row is lost.  Every micro-batch writes its own partition
+    ``batch``; a replayed one writes it again."""
+    hashed = key if isinstance(key, Column) else natural_key(key)
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark, columns = batch.sparkSession, batch.columns
+        first = batch.groupBy(hashed.alias("_key")).agg(F.min(F.struct(F.col(order).alias("_order"), *columns)).alias("_row"))
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+        if path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+            held = spark.read.parquet(target).where(F.col("batch") != batch_id).select(F.col("_key").alias("_held")).distinct()
+            first = first.join(held, F.col("_key") == F.col("_held"), "left_anti")
+        rows = first.select("_key", *[F.col("_row").getField(c).alias(c) for c in columns])
+        rows.write.mode("overwrite").option("compression", "zstd").parquet(f"{target}/batch={batch_id}")
+
+    return stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def read_copies(spark: SparkSession, target: str) -> DataFrame:
+    """The rows that :func:`append_first_copies` has kept."""
+    return spark.read.parquet(target).drop("_key", "batch")
+
+
+def stream_envelopes(files: DataFrame, arrived: str) -> DataFrame:
+    """Exploded envelopes of a file stream; ``append_first_copies`` by ENVELOPE_KEY drops repeated messages.
 
     ``files``: file_name, json_text, is_parsed and the arrival timestamp."""
-    marked = files.withWatermark(arrived, delay)
-    rows = envelope_rows(marked, keep=[arrived])
-    return rows.dropDuplicatesWithinWatermark(["file_name", "hash"])
+    return envelope_rows(files, keep=[arrived])
 
 
-def stream_first_copies(log: DataFrame, ts: str, key: Sequence[str] | Column, delay: str = "2 days") -> DataFrame:
-    """Rows of a stream without later copies of the same natural key within the watermark."""
-    hashed = key if isinstance(key, Column) else natural_key(key)
-    return log.withColumn("_key", hashed).withWatermark(ts, delay).dropDuplicatesWithinWatermark(["_key"]).drop("_key")
+ENVELOPE_KEY = ("file_name", "hash")
 
 
 def stream_above_mark(stream: DataFrame, key: str, mark, where: Column | None = None) -> DataFrame:

@@ -62,14 +62,55 @@ def test_stream_appends_each_file_once(spark, tmp_path):
         spark.range(5, 8).toDF("k").write.mode("append").parquet(source)
 
 
-def test_stream_merge_and_duplicates(spark, tmp_path):
-    source, state = str(tmp_path / "log"), str(tmp_path / "state")
-    rows = [(1, "a", dt.datetime(2024, 1, 1)), (2, "a", dt.datetime(2024, 1, 1, 5)), (3, "b", dt.datetime(2024, 1, 2))]
-    spark.createDataFrame(rows, "id int, k string, ts timestamp").coalesce(1).write.parquet(source)
-    table = str(tmp_path / "table")
-    stream = increments.stream_first_copies(increments.read_files(spark, source, "parquet", "id int, k string, ts timestamp"), "ts", ["k"])
-    increments.merge_available(stream, lambda batch, _: sink.publish(batch, table), state).awaitTermination()
-    assert sorted(r.k for r in sink.read_table(spark, table).collect()) == ["a", "b"]
+def test_a_dead_write_does_not_hinder_the_next(spark, tmp_path):
+    path = str(tmp_path / "table")
+    sink.publish(spark.range(3).toDF("k"), path)
+    spark.range(9).write.parquet(f"{path}/v2-dead")  # a writer that died before it switched
+    (tmp_path / "table" / "_current" / "v2").touch()  # and one that died while it switched
+    assert sink.read_table(spark, path).count() == 3
+    sink.publish(spark.range(4).toDF("k"), path)
+    assert sink.read_table(spark, path).count() == 4 and sink.current_version(spark, path) == 3
+
+
+def test_a_replayed_batch_is_published_once(spark, tmp_path):
+    path = str(tmp_path / "table")
+    first = sink.publish(spark.range(3).toDF("k"), path, batch=7)
+    assert sink.publish(spark.range(5).toDF("k"), path, batch=7) == first and sink.current_version(spark, path) == 1
+    sink.publish(spark.range(5).toDF("k"), path, batch=8)
+    assert sink.read_table(spark, path).count() == 5
+
+
+def test_stream_merge(spark, tmp_path):
+    source, state, table = (str(tmp_path / n) for n in ("log", "state", "table"))
+    spark.range(4).toDF("k").write.parquet(source)
+    for expected in (4, 6):
+        stream = increments.read_files(spark, source, "parquet", "k bigint")
+
+        def merge(batch, batch_id):
+            before = sink.read_table(spark, table) if sink.current_version(spark, table) else batch.limit(0)
+            sink.publish(before.unionByName(batch), table, batch=batch_id)
+
+        increments.merge_available(stream, merge, state).awaitTermination()
+        assert sink.read_table(spark, table).count() == expected
+        spark.range(4, 6).toDF("k").write.mode("append").parquet(source)
+
+
+def test_stream_keeps_first_copies_and_late_rows(spark, tmp_path):
+    source, state, target = (str(tmp_path / n) for n in ("log", "state", "out"))
+    schema = "id int, k string, ts timestamp"
+
+    def arrive(*rows):
+        spark.createDataFrame([(i, k, dt.datetime(2024, 1, day)) for i, k, day in rows], schema).coalesce(1).write.mode("append").parquet(source)
+
+    def run():
+        stream = increments.read_files(spark, source, "parquet", schema)
+        increments.append_first_copies(stream, target, state, ["k"], "ts").awaitTermination()
+        return sorted((r.id, r.k) for r in increments.read_copies(spark, target).collect())
+
+    arrive((1, "a", 20), (2, "a", 21), (3, "b", 22))
+    assert run() == [(1, "a"), (3, "b")]
+    arrive((4, "c", 1), (5, "a", 2))  # weeks late: the new key is kept, the copy is still known
+    assert run() == [(1, "a"), (3, "b"), (4, "c")]
 
 
 def test_stream_of_envelopes(spark, tmp_path):
@@ -78,5 +119,5 @@ def test_stream_of_envelopes(spark, tmp_path):
     schema = "file_name string, json_text string, is_parsed boolean, add_dtts timestamp"
     spark.createDataFrame([("f", text, False, dt.datetime(2024, 1, 1)), ("g", text, True, dt.datetime(2024, 1, 1))], schema).write.parquet(source)
     stream = increments.stream_envelopes(increments.read_files(spark, source, "parquet", schema), "add_dtts")
-    increments.append_available(stream, target, state).awaitTermination()
-    assert [(r.file_name, r.schema_name, r.message_id) for r in spark.read.parquet(target).collect()] == [("f", "agent_events", "1")]
+    increments.append_first_copies(stream, target, state, increments.ENVELOPE_KEY, "add_dtts").awaitTermination()
+    assert [(r.file_name, r.schema_name, r.message_id) for r in increments.read_copies(spark, target).collect()] == [("f", "agent_events", "1")]
