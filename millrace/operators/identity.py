@@ -105,12 +105,12 @@ def consensus(resolved: DataFrame) -> DataFrame:
     return stats.select("ai_id", "i_pernr", F.when(F.col("_lo") == F.col("i_pernr"), "true").otherwise("false").alias("kind"))
 
 
-def resolve(log: DataFrame, payload: DataFrame, resolved: DataFrame) -> DataFrame:
-    """All stages in order; each skips the messages resolved by the earlier ones.
+def resolved_until(log: DataFrame, payload: DataFrame, resolved: DataFrame, stages: int = 6) -> DataFrame:
+    """Ids known after the first ``stages`` stages; each skips the messages resolved by the earlier ones.
 
     Every stage is written to a reliable checkpoint, because all later stages read it."""
     known = drop_out_of_range(resolved.where("kind not in ('true', 'false')")).select(*RESOLVED)
-    stages = [
+    steps = [
         lambda k: from_search_user(log, k),
         lambda k: from_payload(payload, k),
         lambda k: by_session(log, k),
@@ -118,8 +118,14 @@ def resolve(log: DataFrame, payload: DataFrame, resolved: DataFrame) -> DataFram
         lambda k: by_suffix(log, k),
         lambda k: by_plain_user(log, k),
     ]
-    for stage in stages:
-        known = known.unionByName(cut_lineage(stage(known).select(*RESOLVED)))
+    for step in steps[:stages]:
+        known = known.unionByName(cut_lineage(step(known).select(*RESOLVED)))
+    return known
+
+
+def resolve(log: DataFrame, payload: DataFrame, resolved: DataFrame) -> DataFrame:
+    """All stages in order and the consensus of each message."""
+    known = resolved_until(log, payload, resolved)
     return known.unionByName(consensus(known))
 
 
@@ -161,8 +167,10 @@ def sliding_duplicates(
 def cascade_delete(
     duplicates: DataFrame, ident: str, tables: dict[str, tuple[DataFrame, Sequence[str]]]
 ) -> dict[str, DataFrame]:
-    """Each table without the rows that reference a duplicate in any of its key columns."""
-    gone = duplicates.select(F.col(ident).alias("_gone")).distinct()
+    """Each table without the rows that reference a duplicate in any of its key columns.
+
+    The ids are written once; every anti join reads them."""
+    gone = cut_lineage(duplicates.select(F.col(ident).alias("_gone")).distinct())
     out = {}
     for name, (df, columns) in tables.items():
         for c in columns:

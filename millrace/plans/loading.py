@@ -272,6 +272,52 @@ def unknown_rows(t):
     return ops.unknown_rows(fx.orders_new(t).select(*HASHED), fx.orders_old(t).select(*HASHED))
 
 
+_SAME = " and ".join(f"o.{c} = n.{c}" for c in HASHED)
+
+
+@query(
+    "L13_full_reload",
+    fx.with_sql(fx.ORDERS_OLD, fx.ORDERS_NEW)
+    + f""", fresh as (select count(*) as k from orders_new n where not exists (select 1 from orders_old o where {_SAME})),
+         gone as (select count(*) as k from orders_old n where not exists (select 1 from orders_new o where {_SAME}))
+       select 'new batch' as load, case when k > 0 then 'Ok' else 'No New data' end as status, {_COLS} from orders_new, fresh where k > 0
+       union all select 'new batch', 'No New data', {_COLS} from orders_old, fresh where k = 0
+       union all select 'same batch', 'No New data', {_COLS} from orders_old
+       union all select 'with deletes', case when fresh.k + gone.k > 0 then 'Ok' else 'No New data' end, {_COLS} from orders_new, fresh, gone where fresh.k + gone.k > 0
+       union all select 'no batch', 'No data', {_COLS} from orders_old""",
+)
+def full_reload(t):
+    """Status and new content for a new batch, the same batch, a batch checked for deletes, and none."""
+    old, new = fx.orders_old(t).select(*HASHED), fx.orders_new(t).select(*HASHED)
+    loads = {
+        "new batch": ops.full_reload_if_changed(new, old),
+        "same batch": ops.full_reload_if_changed(old, old),
+        "with deletes": ops.full_reload_if_changed(new, old, detect_deletes=True),
+        "no batch": ops.full_reload_if_changed(new, old, where="o_orderkey < 0"),
+    }
+    return reduce(DataFrame.union, [df.select(F.lit(name).alias("load"), F.lit(status).alias("status"), *HASHED) for name, (status, df) in loads.items()])
+
+
+@query(
+    "L14_reload_status",
+    """with d as (select o_orderkey, cast(o_orderdate as date) as o_orderdate from orders)
+       select 'newer' as load, 'Ok' as status, * from d where o_orderdate > date '1995-12-31' and exists (select 1 from d where o_orderdate > date '1995-12-31')
+       union all select 'none newer', 'No New data', * from d
+       union all select 'no data', 'No data', * from d""",
+)
+def reload_status(t):
+    days = t.orders.selectExpr("o_orderkey", "cast(o_orderdate as date) as o_orderdate")
+    before = days.where("o_orderdate <= date '1995-12-31'")
+    # The target's newest day is the last of 1995, whichever orders it holds.
+    before = before.unionByName(before.limit(1).selectExpr("o_orderkey", "date '1995-12-31' as o_orderdate"))
+    loads = {"newer": (days, before), "none newer": (days, days), "no data": (days.where("o_orderkey < 0"), days)}
+    frames = []
+    for name, (raw, target) in loads.items():
+        status, out = ops.reload_newer(raw, target, "o_orderdate")
+        frames.append(out.select(F.lit(name).alias("load"), F.lit(status).alias("status"), "*"))
+    return reduce(DataFrame.union, frames)
+
+
 @query(
     "L14_reload_newer",
     """select o_orderkey, cast(o_orderdate as date) as o_orderdate from orders where cast(o_orderdate as date) >

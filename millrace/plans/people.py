@@ -61,17 +61,8 @@ def _sql(last: str) -> str:
 
 
 def _known(t, upto: int):
-    """Resolved ids after the stages up to number ``upto``."""
-    log, known = _log(t), ops.drop_out_of_range(_seed(t))
-    stages = {
-        2: lambda k: ops.from_search_user(log, k),
-        3: lambda k: ops.from_payload(_payload(t), k),
-        4: lambda k: ops.by_session(log, k),
-        5: lambda k: ops.by_uuid_user(log, k),
-    }
-    for number in range(2, upto + 1):
-        known = known.unionByName(stages[number](known))
-    return known
+    """Resolved ids after the stages up to number ``upto`` (the first stage is the range check)."""
+    return ops.resolved_until(_log(t), _payload(t), _seed(t), upto - 1)
 
 
 @query("I1_drop_out_of_range", _sql("r0"))
