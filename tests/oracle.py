@@ -6,6 +6,7 @@ import datetime as dt
 import decimal
 import os
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -26,6 +27,8 @@ def session(cores: int = 8):
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tests-"))
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.autoBroadcastJoinThreshold", os.environ.get("BROADCAST_LIMIT", "10MB"))
         .getOrCreate()
     )
