@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.lineage import ensure_checkpoint_dir
@@ -29,6 +29,15 @@ def drop_stored(df: DataFrame) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Delete all tables that :func:`stored` has left in the shared folder; for the end of a job, when its results are written."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(ensure_checkpoint_dir(spark))
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in fs.listStatus(folder):
+        if status.getPath().getName().startswith("table-"):
+            fs.delete(status.getPath(), True)
+
+
 def row_key(id_col: str = "doc_id", text_col: str = "text") -> list[Column]:
     """Two key columns ``_id`` and ``_th``: the id (null as -1) and a hash of the text.
 

@@ -93,3 +93,10 @@ def test_cuckoo_filter(n):
     half = n // 2
     left = cuckoo.remove(table, k1[:half], k2[:half])
     assert int((left > 0).sum()) == n - half and cuckoo.contains(left, k1[half:], k2[half:]).all()
+
+
+def test_query_matches_sql(spark, duck, sf_dir):
+    from millrace.llm.queries import ORACLES, QUERIES
+    from tests.oracle import compare
+
+    assert compare(spark, duck, QUERIES["op3_line_dedup"], ORACLES["op3_line_dedup"], sf_dir) == ""

@@ -68,11 +68,16 @@ def test_probabilities_sum_to_one_and_score_sums_logs(spark):
         assert r["score"] == pytest.approx(want, rel=1e-6)
 
 
-def test_partitions_do_not_change_counts(spark):
-    docs = documents(spark, prose(60, 8)).select("doc_id", "text").coalesce(1)
-    whole = sorted(tuple(r) for r in lm.pair_counts(docs).collect())
-    parts = sorted(tuple(r) for r in lm.pair_counts(docs.repartition(40)).collect())
-    assert whole == parts
+def test_partitions_and_flushes_do_not_change_counts(spark):
+    docs = documents(spark, prose(60, 8)).select("doc_id", "text")
+    rows = lambda df: sorted((r["wh"], bytes(r["us"]), bytes(r["cs"])) for r in lm.word_rows(lm.pair_counts(df)).collect())
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        small = rows(docs.repartition(40))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    whole = rows(docs.coalesce(1))
+    assert small == whole and len({r[0] for r in whole}) == len(whole)
 
 
 def test_blocks_do_not_change_scores(spark):

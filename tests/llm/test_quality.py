@@ -70,3 +70,10 @@ def test_keep_good_keeps_columns_and_rows(spark):
 def test_measure_covers_every_rule(spark):
     found = q.measure(documents(spark, texts() * 30), q.METHOD, sample_rows=500)
     assert set(found) == {r.name for r in q.METHOD} and any(rate > 0 for rate, _ in found.values())
+
+
+def test_query_matches_sql(spark, duck, sf_dir):
+    from millrace.llm.queries import ORACLES, QUERIES
+    from tests.oracle import compare
+
+    assert compare(spark, duck, QUERIES["op8_quality_rules"], ORACLES["op8_quality_rules"], sf_dir) == ""

@@ -69,3 +69,10 @@ def test_boundary_rows_hold_the_best(dropped):
         exact[q] = -(10**9)
         assert sorted(scores)[-5:] == sorted(exact)[-5:]
         assert set(np.flatnonzero(exact >= np.sort(exact)[-5])) <= set(at)
+
+
+def test_query_matches_sql(spark, duck, sf_dir):
+    from millrace.llm.queries import ORACLES, QUERIES
+    from tests.oracle import compare
+
+    assert compare(spark, duck, QUERIES["op1_topk_search"], ORACLES["op1_topk_search"], sf_dir) == ""
