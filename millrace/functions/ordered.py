@@ -81,6 +81,18 @@ class RankedCounts:
     nulls: dict[str, int]
 
 
+def quantile_chunk(df: DataFrame, value: str, buckets: int = 1024) -> Column:
+    """A chunk number that does not decrease along ``value`` and splits the rows of ``df`` about evenly (one pass over ``df``)."""
+    side = max(2, isqrt(buckets))
+    splits = _splits(df, value, side)
+    return _bucket_of(value, splits, side, df.schema[value].dataType.simpleString())
+
+
+def _splits(df: DataFrame, value: str, side: int) -> list:
+    points = [i / (side * side) for i in range(1, side * side)]
+    return sorted(set(df.agg(F.percentile_approx(value, points, 10 * side * side)).first()[0] or ()))
+
+
 def preceding_counts(counts: DataFrame, value: str, weights: Sequence[str], buckets: int = 1024) -> RankedCounts:
     """For one row per distinct ``value``: the sum of each weight over all smaller values, exactly.
 
@@ -89,9 +101,8 @@ def preceding_counts(counts: DataFrame, value: str, weights: Sequence[str], buck
     driver), and a window inside each bucket finishes the sums.  NULL values rank after all others.
     """
     side = max(2, isqrt(buckets))
-    points = [i / (side * side) for i in range(1, side * side)]
     stored = cut_lineage(counts)
-    splits = sorted(set(stored.agg(F.percentile_approx(value, points, 10 * side * side)).first()[0] or ()))
+    splits = _splits(stored, value, side)
     cut = stored.withColumn("_bucket", _bucket_of(value, splits, side, stored.schema[value].dataType.simpleString()))
     totals = {
         r["_bucket"]: r for r in cut.groupBy("_bucket").agg(*[F.sum(w).alias(w) for w in weights]).collect()

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from millrace.functions.keys import keep_matching, newest_per_key
 from millrace.functions.lineage import cut_lineage
-from millrace.functions.ordered import running
+from millrace.functions.ordered import quantile_chunk, running
 from millrace.functions.parsing import extract, is_json, safe_cast
 
 FAR_PAST, FAR_FUTURE = "2000-01-01", "9999-12-31"  # fixed values: open ends of a mapping
@@ -425,17 +425,16 @@ def range_bucket_frequency(
     """Key-range buckets: ntile per distribution unit, then per bucket number min, max, rows and days
     with the next bucket's lower bound; bounds rounded to ``digits``.
 
-    ntile(n) of the i-th of m rows follows from i and m, and i comes from counts of distinct values, so
-    a unit with very many rows is not sorted in one task.
+    ntile(n) of the i-th of m rows follows from i and m, and i comes from counts of distinct values in chunks
+    of about equal size, so a unit with very many rows is not sorted in one task.  The source is read once.
     """
-    per_day = (
+    per_day = cut_lineage(
         df.where(F.col(value).isNotNull())
         .groupBy(unit.alias("_u"), F.col(value).cast("bigint").alias("_v"), F.col(day).alias("_day"))
         .agg(F.count(F.lit(1)).alias("_c"))
     )
     per_value = per_day.groupBy("_u", "_v").agg(F.sum("_c").alias("_c"))
-    width = F.floor(F.col("_v") / F.lit(_width(df, value, buckets)))
-    ranked = running(per_value, ["_u"], ["_v"], {"_upto": ("sum", "_c")}, width)
+    ranked = running(per_value, ["_u"], ["_v"], {"_upto": ("sum", "_c")}, quantile_chunk(per_value, "_v", buckets))
     totals = per_value.groupBy(F.col("_u").alias("_tu")).agg(F.sum("_c").alias("_m"))
     joined = ranked.join(totals, F.col("_u").eqNullSafe(F.col("_tu")))
     first, last = F.col("_upto") - F.col("_c") + 1, F.col("_upto")
@@ -462,13 +461,6 @@ def range_bucket_frequency(
     )
 
 
-def _width(df: DataFrame, value: str, buckets: int) -> int:
-    span = df.agg(F.min(value), F.max(value)).first()
-    if span[0] is None:
-        return 1
-    return max(1, (int(span[1]) - int(span[0])) // buckets + 1)
-
-
 def _tile(i: Column, n: int) -> Column:
     """ntile number of the i-th of ``_m`` rows: the first m % n tiles hold one row more."""
     small, extra = F.expr(f"_m div {n}"), F.col("_m") % n
