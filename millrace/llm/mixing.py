@@ -21,11 +21,11 @@ from collections.abc import Sequence
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from millrace.llm.storage import row_key, stored
+from millrace.llm.storage import stored
 
 WEIGHTS = (1, 2, 3)
 MAX_COPIES = 3
@@ -34,9 +34,13 @@ FAN_IN = 256
 SEED = 20240607
 
 
+def _row_hash(text_col: str, source_col: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")), F.col(source_col).cast("string")).alias("_th")
+
+
 def sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """doc_id, text hash, source and size in words of every row."""
-    kept = docs.select(F.col(id_col).cast("long").alias("doc_id"), row_key(id_col, text_col)[1], F.col(source_col).cast("string").alias("source"), F.col(text_col).alias("text"))
+    """doc_id, hash of text and source, source and size in words of every row."""
+    kept = docs.select(F.col(id_col).cast("long").alias("doc_id"), _row_hash(text_col, source_col), F.col(source_col).cast("string").alias("source"), F.col(text_col).alias("text"))
 
     def run(batches):
         for batch in batches:
@@ -144,11 +148,11 @@ def repeat_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Rows of the same id, text and source are one document that stands for the copies of all of them.
     """
     mixed = mix(stored(sizes(docs, id_col, text_col, source_col)), weights, max_copies)
-    keys = [F.coalesce("doc_id", F.lit(-1)).alias("_cid"), F.col("_th").alias("_cth"), F.col("source").alias("_csource")]
+    keys = [F.coalesce("doc_id", F.lit(-1)).alias("_id"), F.col("_th")]
     copies = mixed.groupBy(*keys).agg(F.sum("copies").alias("copies"))
-    keyed = docs.select(F.struct("*").alias("row"), *row_key(id_col, text_col), F.col(source_col).cast("string").alias("_source"))
-    once = W.partitionBy("_id", "_th", "_source").orderBy("_th")
-    first = keyed.withColumn("nth", F.row_number().over(once)).where("nth = 1")
-    match = (F.col("_id") == F.col("_cid")) & (F.col("_th") == F.col("_cth")) & F.col("_source").eqNullSafe(F.col("_csource"))
+    key = F.coalesce(F.col(id_col).cast("long"), F.lit(-1)).alias("_id")
+    keyed = docs.select(F.struct("*").alias("row"), key, _row_hash(text_col, source_col))
+    once = W.partitionBy("_id", "_th").orderBy("_th")
+    joined = keyed.join(copies, ["_id", "_th"]).withColumn("nth", F.row_number().over(once)).where("nth = 1")
     again = F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))
-    return first.join(copies, match).select("row", again.alias("again")).select("row.*")
+    return joined.select("row", again.alias("again")).select("row.*")
