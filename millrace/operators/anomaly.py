@@ -332,10 +332,10 @@ def recalculate(loads: DataFrame, history: DataFrame, config: DataFrame, since,
 
     ``loads``: log_id, object, key_dates array<date>, rows_count, ts.  History rows before ``since``
     seed the state, later ones are dropped.  Rows of an object stream through one task in order;
-    the state holds one point per key date.
+    the state holds the rows of every key date.  History rows without a key date can be no baseline.
     """
     cfg = _settings(config)
-    old = history.where(F.col("ts") < F.lit(since)).select(
+    old = history.where((F.col("ts") < F.lit(since)) & F.col("key_date").isNotNull()).select(
         "object", F.lit(0).alias("step"), "log_id", "ts", "key_date", "rows_count", "value", "ztest", "avg", "std", "cnt", "min", "max",
     )
     judged = old.select(F.col("log_id").alias("_seen")).distinct()

@@ -54,6 +54,7 @@ def normalise_columns(df: DataFrame, arrays: Sequence[str] = (), jsons: Sequence
 
 def repair_stages(c: Column) -> list[tuple[str, Column]]:
     """Candidate texts of the JSON repair in the order they are tried; each covers the whole text."""
+    # The replacement pairs and the patterns.
     escapes = c
     for old, new in (("\\\\", "\\"), ("\\'", ""), ("\\\\о", "\\\\nо"), ("\\\\\\", "\\\\")):
         escapes = F.replace(escapes, F.lit(old), F.lit(new))
@@ -74,12 +75,10 @@ def repair_stages(c: Column) -> list[tuple[str, Column]]:
 def repair_json(df: DataFrame, column: str) -> DataFrame:
     """Add ``repaired`` and ``stage``: the first stage whose text is valid JSON; NULL when none is.
 
-    Valid texts are recognised first, so only broken ones go through the repair stages."""
-    (first, c), *later = repair_stages(F.col(column))
-    valid = is_json(c)
-    candidates = F.array(*[F.struct(text.alias("repaired"), F.lit(name).alias("stage")) for name, text in later])
-    helped = F.get(F.filter(candidates, lambda x: F.coalesce(is_json(x["repaired"]), F.lit(False))), F.lit(0))
-    chosen = F.when(valid, F.struct(c.alias("repaired"), F.lit(first).alias("stage"))).otherwise(helped)
+    A stage is built and parsed only for texts that all stages before it left broken."""
+    chosen = F.lit(None).cast("struct<repaired:string,stage:string>")
+    for name, text in reversed(repair_stages(F.col(column))):
+        chosen = F.when(F.coalesce(is_json(text), F.lit(False)), F.struct(text.alias("repaired"), F.lit(name).alias("stage"))).otherwise(chosen)
     return df.withColumn("_r", chosen).select(*df.columns, F.col("_r.repaired").alias("repaired"), F.col("_r.stage").alias("stage"))
 
 

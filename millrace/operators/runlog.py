@@ -343,8 +343,8 @@ def _load_state(loads: DataFrame) -> DataFrame:
 
 
 def exchange_ids(batches: DataFrame, loads: DataFrame, as_of) -> DataFrame:
-    """Per (workflow, batch): totals, key list, load state and whether to retry: finished but unsuccessful
-    or incomplete, or still incomplete after thirty minutes."""
+    """Per (workflow, batch): totals, load state and whether to retry: finished but unsuccessful or incomplete,
+    or still incomplete after thirty minutes.  Its keys are the rows of ``attempts``."""
     totals = batches.groupBy("wf_name", "id").agg(
         (F.min(F.col("completed").cast("int")) == 1).alias("completed"),
         F.max("ts").alias("ts"),
@@ -352,24 +352,28 @@ def exchange_ids(batches: DataFrame, loads: DataFrame, as_of) -> DataFrame:
         F.sum("cnt").alias("cnt"),
         F.sum("sum_len").alias("sum_len"),
         F.max("time_s").alias("time_s"),
-        F.sort_array(F.collect_list("wf_key"), asc=False).alias("wf_keys"),
     )
     joined = totals.join(_load_state(loads), F.col("id") == F.col("_lid"), "left").drop("_lid")
     return joined.withColumn("retry", _retry(as_of))
 
 
+def attempts(batches: DataFrame) -> DataFrame:
+    """One row per (workflow, batch, key), with the newest time: the keys of a batch and the attempts of a key."""
+    return batches.where(F.col("wf_key").isNotNull()).groupBy("wf_name", "id", "wf_key").agg(F.max("ts").alias("ts"))
+
+
 def exchange_keys(batches: DataFrame, loads: DataFrame, as_of) -> DataFrame:
-    """Per (workflow, key): the newest attempt that is complete or decided, with the list of attempts."""
+    """Per (workflow, key): the newest attempt that is complete or decided, with the number of attempts (the rows of ``attempts``)."""
     last = newest_per_key(batches, ["wf_name", "id", "wf_key"], ["ts"])
     log = last.join(_load_state(loads), F.col("id") == F.col("_lid"), "left").drop("_lid").withColumn("retry", _retry(as_of))
     decided = newest_per_key(
         log.where(F.col("completed") | F.col("retry").isNotNull()).drop("wf_data", "type"), ["wf_name", "wf_key"], ["id"]
     )
-    attempts = last.groupBy(F.col("wf_name").alias("_w"), F.col("wf_key").alias("_k")).agg(
-        F.count(F.lit(1)).alias("ids_cnt"), F.sort_array(F.collect_list("id"), asc=False).alias("ids")
+    counted = last.groupBy(F.col("wf_name").alias("_w"), F.col("wf_key").alias("_k")).agg(
+        F.count(F.lit(1)).alias("ids_cnt"), F.min("id").alias("first_id")
     )
-    return decided.join(attempts, (F.col("wf_name") == F.col("_w")) & (F.col("wf_key") == F.col("_k"))).select(
-        "wf_name", "wf_key", "completed", "retry", F.col("ts").alias("last_ts"), F.col("id").alias("last_id"), "ids_cnt", "ids",
+    return decided.join(counted, (F.col("wf_name") == F.col("_w")) & (F.col("wf_key") == F.col("_k"))).select(
+        "wf_name", "wf_key", "completed", "retry", F.col("ts").alias("last_ts"), F.col("id").alias("last_id"), "first_id", "ids_cnt",
         "cnt", "sum_len", "time_s", "status_dttm", "auto", "alive", "status", "status_log",
     )
 

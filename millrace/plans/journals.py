@@ -235,27 +235,35 @@ def _exchange(t):
 @query(
     "R9_exchange_ids",
     f"""with {_BATCHES}, {LOADS}, g as (select wf_name, id, min(cast(completed as int)) = 1 as completed, max(ts) as ts, count(wf_key) as keys_cnt, cast(sum(cnt) as bigint) as cnt,
-          cast(sum(sum_len) as bigint) as sum_len, max(time_s) as time_s, string_agg(wf_key, ',' order by wf_key desc) as wf_keys from batches group by 1, 2)
-        select wf_name, g.id, completed, g.ts, keys_cnt, cnt, sum_len, time_s, wf_keys, alive, status,
+          cast(sum(sum_len) as bigint) as sum_len, max(time_s) as time_s from batches group by 1, 2)
+        select wf_name, g.id, completed, g.ts, keys_cnt, cnt, sum_len, time_s, alive, status,
           (case when alive <> 'ACTIVE' then alive end in ('COMPLETED', 'ABORTED') and (status <> 'SUCCESS' or not completed)) or (not completed and g.ts < timestamp '2024-01-31' - interval 30 minute) as retry
         from g left join loads l on l.id = g.id""",
 )
 def exchange_ids(t):
     out = ops.exchange_ids(*_exchange(t), NOW)
-    return out.withColumn("wf_keys", F.concat_ws(",", "wf_keys")).drop("status_dttm", "auto", "status_log")
+    return out.drop("status_dttm", "auto", "status_log")
+
+
+@query(
+    "R9_attempts",
+    f"with {_BATCHES} select wf_name, id, wf_key, max(ts) as ts from batches where wf_key is not null group by 1, 2, 3",
+)
+def attempts(t):
+    return ops.attempts(ops.exchange_batches(_exchange_log(t)))
 
 
 @query(
     "R10_exchange_keys",
     f"""with {_BATCHES}, {_STATE},
         best as (select * from retry_of where completed or retry is not null qualify row_number() over (partition by wf_name, wf_key order by id desc) = 1),
-        n as (select wf_name, wf_key, count(*) as ids_cnt, string_agg(id, ',' order by id desc) as ids from batches group by 1, 2)
-        select b.wf_name, b.wf_key, completed, retry, ts as last_ts, id as last_id, ids_cnt, ids, cnt, alive, status from best b join n on n.wf_name = b.wf_name and n.wf_key = b.wf_key""",
+        n as (select wf_name, wf_key, count(*) as ids_cnt, min(id) as first_id from batches group by 1, 2)
+        select b.wf_name, b.wf_key, completed, retry, ts as last_ts, id as last_id, first_id, ids_cnt, cnt, alive, status from best b join n on n.wf_name = b.wf_name and n.wf_key = b.wf_key""",
 )
 def exchange_keys(t):
     out = ops.exchange_keys(*_exchange(t), NOW)
     return out.select(
-        "wf_name", "wf_key", "completed", "retry", "last_ts", "last_id", "ids_cnt", F.concat_ws(",", F.col("ids").cast("array<string>")).alias("ids"), "cnt", "alive", "status"
+        "wf_name", "wf_key", "completed", "retry", "last_ts", "last_id", "first_id", "ids_cnt", "cnt", "alive", "status"
     )
 
 
