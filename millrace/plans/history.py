@@ -180,7 +180,7 @@ def events_to_intervals(t):
     fx.with_sql(
         _PAIRS,
         fx.intervals_sql(overlaps=False),
-        "reports as (select event_id, user_id, cast(ts as date) as report_date, event_id % 25 as nation from events where event_type = 'click')",
+        "reports as (select event_id, user_id, cast(ts as date) as report_date, event_id % 25 as nation from events)",
     )
     + """select r.event_id, r.user_id, r.report_date, r.nation, t.date_start, t.date_finish, i.event_type as state, i.event_id as state_id, n.n_name as nation_name
          from terms t join reports r on r.user_id = t.user_id and r.report_date between t.date_start and t.date_finish
@@ -188,7 +188,7 @@ def events_to_intervals(t):
          left join nation n on n.n_nationkey = r.nation""",
 )
 def enrichment(t):
-    reports = t.events.where("event_type = 'click'").selectExpr(
+    reports = t.events.selectExpr(
         "event_id", "user_id", "cast(ts as date) as report_date", "event_id % 25 as nation"
     )
     states = ops.Dictionary(

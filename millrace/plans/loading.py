@@ -121,7 +121,7 @@ _SNAP_HASH = fx.hash_sql(["o_orderkey", "o_orderstatus", "price"])
         fx.ORDERS_OLD,
         fx.ORDERS_NEW,
         _SNAP_SQL.format(name="old_s", hash=_SNAP_HASH, day="2024-01-01", src="orders_old"),
-        _SNAP_SQL.format(name="new_s", hash=_SNAP_HASH, day="2024-01-08", src="orders_new where o_orderdate >= date '1998-01-01'"),
+        _SNAP_SQL.format(name="new_s", hash=_SNAP_HASH, day="2024-01-08", src="orders_new"),
         """staged as (select * from new_s union all
           select o.* from old_s o where exists (select 1 from new_s n where n.o_orderkey = o.o_orderkey and n.report_date = o.report_date))""",
         """ranked as (select *, row_number() over (partition by o_orderkey, report_date order by actual_date desc, ctl_loading desc, load_date desc) as rn,
@@ -134,7 +134,7 @@ _SNAP_HASH = fx.hash_sql(["o_orderkey", "o_orderstatus", "price"])
          from old_s where report_date not in (select report_date from staged)""",
 )
 def snapshot_replace(t):
-    new = _snapshot(fx.orders_new(t).where("o_orderdate >= date '1998-01-01'"), dt.date(2024, 1, 8))
+    new = _snapshot(fx.orders_new(t), dt.date(2024, 1, 8))
     old = _snapshot(fx.orders_old(t), dt.date(2024, 1, 1))
     return ops.snapshot_replace(new, old, ["o_orderkey", "report_date"], "report_date")
 

@@ -162,13 +162,13 @@ def shred_nested(t):
 
 @query(
     "J5_mark_parsed",
-    f"""with {_ELEMENTS} select event_id, file_name, cast(case when type in ('agent_events', 'services_events') and event_id % 4 <> 0 then 1
-          when event_id % 4 = 0 then 1 when event_id % 4 = 1 then 0 end as int) as is_parsed from elements""",
+    f"""with {_ELEMENTS} select event_id, file_name, cast(case when event_id % 4 = 0 or (event_id % 4 <> 0 and (type <> '{ops.NESTED_EVENT}' or event_id % 3 <> 0)) then 1
+          when event_id % 4 = 1 then 0 end as int) as is_parsed from elements""",
 )
 def mark_parsed(t):
     messages = _messages(t)
-    targets = [ops.shred(messages, name, FIELDS) for name in ("agent_events", "services_events")]
-    return ops.mark_parsed(messages, targets).select("event_id", "file_name", "is_parsed")
+    targets = ops.shred_all(messages, {name: FIELDS for name in ops.EVENT_TYPES})
+    return ops.mark_parsed(messages, list(targets.values())).select("event_id", "file_name", "is_parsed")
 
 
 def _parsed_by_file(t):

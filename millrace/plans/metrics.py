@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.periods import interval_start, interval_start_sql
@@ -57,12 +59,14 @@ def grouped_drift(t):
     """with m as (select max(cast(ts as date)) as d from events)
        select 'day' as unit, d as max_date, cast(date '2024-05-02' - d as double) as date_diff from m
        union all select 'week', d, round((date '2024-05-02' - d) / 7, 6) from m
-       union all select 'month', d, cast(5 - month(d) as double) from m""",
+       union all select 'month', d, cast(5 - month(d) as double) from m
+       union all select unit, d, round((12 * (2024 - year(d)) + 5 - month(d) + case when day(d) = 2 then 0 else (2 - day(d)) / 31.0 end) / k, 6)
+         from m, (values ('quarter', 4), ('year', 12)) as u(unit, k)""",
 )
 def freshness(t):
     at = dt.date(2024, 5, 2)
-    frames = [ops.freshness(t.events, "ts", at, u).select(F.lit(u).alias("unit"), "*") for u in ("day", "week", "month")]
-    return frames[0].unionByName(frames[1]).unionByName(frames[2])
+    frames = [ops.freshness(t.events, "ts", at, u).select(F.lit(u).alias("unit"), "*") for u in ("day", "week", "month", "quarter", "year")]
+    return reduce(DataFrame.unionByName, frames)
 
 
 @query(

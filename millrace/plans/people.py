@@ -21,7 +21,7 @@ def _log(t):
 
 
 def _payload(t):
-    return t.conversations.where("turn > 0").selectExpr("conv_id * 100 + turn as ai_id", f"{_KEY} as payload_key", f"{_PAYVAL} as payload_value")
+    return t.conversations.selectExpr("conv_id * 100 + turn as ai_id", f"{_KEY} as payload_key", f"{_PAYVAL} as payload_value")
 
 
 def _seed(t):
@@ -33,7 +33,7 @@ def _seed(t):
 _UUID = "regexp_full_match(user_text, '[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}')"
 _STEPS = [
     f"log as (select conv_id * 100 + turn as id, conv_id // 2 as sessionid, {_USER} as user_text from conversations)",
-    f"pay as (select conv_id * 100 + turn as ai_id, {_KEY} as k, {_PAYVAL} as v from conversations where turn > 0)",
+    f"pay as (select conv_id * 100 + turn as ai_id, {_KEY} as k, {_PAYVAL} as v from conversations)",
     "r0 as (select conv_id * 100 + turn as ai_id, cast(1000 + conv_id % 40 as int) as i_pernr, 'seed' as kind from conversations where turn = 1 and conv_id % 5 = 0 and conv_id % 10 <> 0)",
     "s2 as (select id as ai_id, cast(substr(user_text, 8) as int) as i_pernr, 'search' as kind from log where regexp_full_match(user_text, 'search_[0-9]{4,7}'))",
     "r2 as (select * from r0 union all select * from s2)",
