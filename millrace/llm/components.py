@@ -37,23 +37,24 @@ def connected(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
 
     Each round contracts the partitions on their own, then hangs every neighbour of a node on the smallest one
     (large star) and every smaller neighbour too (small star); the rounds grow with the logarithm of the longest path.
-    The smallest neighbour comes from a partial aggregate and its spreading from an equi join, so a node with very
-    many neighbours never meets them in one task.  Every round is a table in the shared folder.
+    The smallest neighbour comes from a partial aggregate, is written, and is spread by a join of two plain shuffles,
+    which Spark can split at a node with very many neighbours.  Every round is a table in the shared folder.
     """
     a, b = edges.columns
     now = stored(edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a <> b").mapInArrow(_contract, "a long, b long").distinct())
     for _ in range(max_rounds):
         both = now.union(now.select("b", "a"))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("_a"), F.least("a", "m").alias("m"))
+        least = stored(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("_a"), F.least("a", "m").alias("m")))
         large = both.join(least, F.col("a") == F.col("_a")).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = stored(large.where("a <> b").distinct())
-        least = large.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "_a")
+        drop_stored(least)
+        least = stored(large.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "_a"))
         spread = large.join(least, F.col("a") == F.col("_a")).select(F.explode(F.array("a", "b")).alias("n"), "m")
         small = spread.select(F.col("n").alias("a"), F.col("m").alias("b")).where("a <> b")
         new = stored(small.mapInArrow(_contract, "a long, b long").distinct())
         settled = _same(now, new)
-        drop_stored(large)
-        drop_stored(now)
+        for table in (large, least, now):
+            drop_stored(table)
         now = new
         if settled:
             return now.select(F.col("a").alias("node"), F.col("b").alias("root"))

@@ -109,7 +109,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     found = stored(fingerprints(rows, ["doc_id"], "_t", width))
     smallest = found.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
     placed = stored(classes(found, max_bits).join(smallest, "fp"))
-    by_root = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    by_root = stored(placed.groupBy("root").agg(F.min("first_id").alias("component_id")))
     by_fp = placed.join(by_root, "root").select(F.col("fp").alias("_fp"), "component_id")
     joined = found.join(by_fp, F.col("fp") == F.col("_fp"))
     return joined.select("doc_id", hex_text(F.col("fp")).alias("fingerprint"), "component_id")
