@@ -168,13 +168,12 @@ def snapshot_rows(
 ) -> DataFrame:
     """The rows a snapshot replace inserts: the content of the affected partition values.
 
-    With the partition column among the keys only the target partitions between the batch's first
-    and last value are read, and ``replace_partitions`` can publish this frame alone."""
+    With the partition column among the keys only the target partitions that the batch names are read (beyond
+    ``PRUNED`` of them those between its first and last value), and ``replace_partitions`` can publish this
+    frame alone."""
     old = target
     if partition_column in keys:
-        low, high = span(new, partition_column)
-        if low is not None:
-            old = target.where(F.col(partition_column).between(low, high) | F.col(partition_column).isNull())
+        old = target.where(_partitions_of(new, partition_column))
     staged = new.unionByName(keep_matching(old, new, keys).select(*new.columns))
     versions = newest_per_key(staged, [*keys, "hash"], order, {"mod_date": F.min("mod_date")})
     rows = newest_per_key(versions, keys, order).select(*new.columns)
@@ -185,6 +184,18 @@ def snapshot_rows(
     return rows.join(tops, (F.col(group) == F.col("_g")) & (F.col(day) == F.col("_d")), "left_semi")
 
 
+PRUNED = 1000
+
+
+def _partitions_of(new: DataFrame, column: str) -> Column:
+    """Literal filter on the partitions of a batch; it only spares reading, the join by keys decides."""
+    named = [r[0] for r in new.where(F.col(column).isNotNull()).select(F.col(column).cast("string")).distinct().limit(PRUNED + 1).collect()]
+    if len(named) <= PRUNED:
+        return F.col(column).isin([F.lit(v).cast(new.schema[column].dataType) for v in named]) | F.col(column).isNull()
+    low, high = span(new, column)
+    return F.col(column).between(low, high) | F.col(column).isNull()
+
+
 def target_without(new, target, keys, partition_column) -> DataFrame:
     """Target rows outside the partition values that a snapshot replace rewrites."""
     touched = new.select(partition_column)

@@ -159,31 +159,42 @@ _MART_SQL = """select o_custkey, cast(date_trunc('month', o_orderdate) as date)
   sum(price) as revenue, max(actual_date) as actual_date, date '{day}' as load_date, date '{day}' as mod_date from {src} group by 1, 2"""
 
 
-@query(
-    "L9_mart_refresh",
-    fx.with_sql(
+def _refresh_sql(test):
+    tables = fx.with_sql(
         fx.ORDERS_OLD,
         "src as (select *, o_orderdate + 10 as actual_date from orders_old)",
         f"mart as (select *, {fx.hash_sql(['o_custkey', 'report_date', 'orders_cnt', 'revenue'])} as hash from ("
         + _MART_SQL.format(day="2024-01-01", src="src where actual_date <= date '2000-06-20'")
         + "))",
         f"changed as (select *, {fx.hash_sql(['o_custkey', 'report_date', 'orders_cnt', 'revenue'])} as hash from ("
-        + _MART_SQL.format(day="2024-01-08", src="src where actual_date >= (select max(actual_date) from mart)")
+        + _MART_SQL.format(day="2024-01-08", src=f"src where actual_date {test} (select max(actual_date) from mart)")
         + "))",
         """staged as (select * from changed union all select m.* from mart m where exists
              (select 1 from changed c where c.o_custkey = m.o_custkey and c.report_date = m.report_date))""",
         """ranked as (select *, row_number() over (partition by o_custkey, report_date order by actual_date desc, load_date desc) as rn,
              min(mod_date) over (partition by o_custkey, report_date, hash) as first_seen from staged)""",
     )
-    + """select o_custkey, report_date, orders_cnt, revenue, actual_date, load_date, first_seen as mod_date from ranked where rn = 1
+    return tables + """select o_custkey, report_date, orders_cnt, revenue, actual_date, load_date, first_seen as mod_date from ranked where rn = 1
          union all select o_custkey, report_date, orders_cnt, revenue, actual_date, load_date, mod_date from mart
-         where report_date not in (select report_date from staged)""",
-)
+         where report_date not in (select report_date from staged)"""
+
+
+@query("L9_mart_refresh", _refresh_sql(">="))
 def mart_refresh(t):
+    return _refreshed(t, inclusive=True)
+
+
+@query("L9_mart_refresh_strict", _refresh_sql(">"))
+def mart_refresh_strict(t):
+    """Only the slices after the watermark."""
+    return _refreshed(t, inclusive=False)
+
+
+def _refreshed(t, inclusive):
     source = fx.orders_old(t).withColumn("actual_date", F.date_add("o_orderdate", 10))
     mart = _mart_template("2024-01-01")(source.where("actual_date <= date '2000-06-20'"))
     out = ops.refresh_mart(
-        source, mart, _mart_template("2024-01-08"), ["o_custkey", "report_date"], "report_date", limiter=None
+        source, mart, _mart_template("2024-01-08"), ["o_custkey", "report_date"], "report_date", limiter=None, inclusive=inclusive
     )
     return out.drop("hash")
 
