@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from millrace.llm.textstats import TextView
 
 SAMPLE_ROWS = 256
+SAMPLE_CHARS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -67,29 +68,19 @@ METHOD = (
 
 
 def measure(docs: DataFrame, rules: Sequence[Rule], text_col: str = "text", sample_rows: int = SAMPLE_ROWS) -> dict[str, tuple[float, float]]:
-    """(rejection rate, seconds per text) of each rule on at most ``sample_rows`` texts, spread by hash."""
+    """(rejection rate, seconds per text) of each rule on ``sample_rows`` texts of at most ``SAMPLE_CHARS`` characters.
 
-    def run(batches):
-        seen, hits, spent = 0, [0] * len(rules), [0.0] * len(rules)
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                seen += 1
-                for k, rule in enumerate(rules):
-                    view = TextView(text)  # a fresh view: no rule gains from another one's counts
-                    began = time.perf_counter()
-                    hits[k] += rule.rejects(view)
-                    spent[k] += time.perf_counter() - began
-        yield pa.RecordBatch.from_pydict({"rule": list(range(len(rules))), "seen": [seen] * len(rules), "hits": hits, "spent": spent})
-
-    sample = docs.select(F.col(text_col).alias("_t")).where(F.pmod(F.xxhash64("_t"), F.lit(8)) == 0).limit(sample_rows)
-    rows = (
-        sample.mapInArrow(run, "rule long, seen long, hits long, spent double")
-        .groupBy("rule")
-        .agg(F.sum("seen").alias("seen"), F.sum("hits").alias("hits"), F.sum("spent").alias("spent"))
-        .collect()  # one row per rule
-    )
-    found = {rules[r["rule"]].name: (r["hits"] / r["seen"], r["spent"] / r["seen"]) for r in rows if r["seen"]}
-    return {rule.name: found.get(rule.name, (0.0, 0.0)) for rule in rules}
+    Only as many partitions are read as it takes to find them; they decide the order of the rules and nothing else."""
+    sample = docs.select(F.col(text_col).alias("t")).where(F.coalesce(F.length("t"), F.lit(0)) <= SAMPLE_CHARS).limit(sample_rows).collect()
+    hits, spent = dict.fromkeys((r.name for r in rules), 0), dict.fromkeys((r.name for r in rules), 0.0)
+    for row in sample:
+        for rule in rules:
+            view = TextView(row["t"])  # a fresh view: no rule gains from another one's counts
+            began = time.perf_counter()
+            hits[rule.name] += rule.rejects(view)
+            spent[rule.name] += time.perf_counter() - began
+    n = max(1, len(sample))
+    return {rule.name: (hits[rule.name] / n, spent[rule.name] / n) for rule in rules}
 
 
 def cascade_order(rules: Sequence[Rule], measured: dict[str, tuple[float, float]]) -> list[Rule]:
@@ -140,3 +131,31 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampl
     return kept.mapInArrow(
         run, "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean"
     )
+
+
+def oracle() -> str:
+    """DuckDB text of :func:`judge` with all rules tried on every text."""
+    word, blank = "[^\\x20\\x09-\\x0D]+", "[\\x20\\x09-\\x0D]"
+    return f"""
+    with t as (
+        select row_number() over () as r, doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '{word}') as w,
+            list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_replace(x, '{blank}', '', 'g') <> '') as lines from documents
+    ), win as (
+        select r, unnest(list_transform(range(1, greatest(len(w) - 6, 1)), lambda i: {{'i': i, 'x': array_to_string(w[i:i + 7], ' ')}})) as s from t where len(w) >= 9
+    ), hit as (
+        select r, s.i as i from win qualify count(*) over (partition by r, s.x) > 1
+    ), cover as (
+        select r, count(distinct k) as n from (select r, unnest(range(i, i + 8)) as k from hit) group by r
+    ), counted as (
+        select doc_id, len(w) as n_words, length(array_to_string(w, '')) as word_chars, length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) as n_symbols,
+            len(lines) - len(list_distinct(lines)) as n_dup_lines, coalesce(cover.n, 0) as n_repeat_words, len(lines) as n_lines,
+            len(list_filter(w, lambda x: regexp_matches(x, '[A-Za-z]|[^\\x00-\\x7F]'))) as n_alpha
+        from t left join cover using (r)
+    ), judged as (
+        select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed from counted
+    )
+    select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+        not base_failed and 10 * n_symbols <= n_words and word_chars between 2 * n_words and 15 * n_words
+            and 10 * n_alpha >= 7 * n_words and 2 * n_dup_lines <= n_lines as kept
+    from judged
+    """
