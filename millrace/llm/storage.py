@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,6 +31,17 @@ def drop_stored(df: DataFrame) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def forget_shuffles(spark: SparkSession) -> None:
+    """Ask the driver to collect its garbage, so that shuffle files that nothing refers to any more leave the executors' disks
+    now and not at the next collection; for the end of a step that has moved much data.
+
+    What the first round unlinks, the second one finds; the cleaner works beside them."""
+    for _ in range(2):
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.5)
+
+
 def release(spark: SparkSession) -> None:
     """Delete all tables that :func:`stored` has left in the shared folder; for the end of a job, when its results are written."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(ensure_checkpoint_dir(spark))

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from millrace.llm.storage import stored
+from millrace.llm.storage import forget_shuffles, stored
 
 LENGTH = 400
 GRAM = 100
@@ -270,6 +270,7 @@ def repeated_stretches(rows: DataFrame, length: int = LENGTH, gram: int = GRAM,
     found = document_runs(rows, length, gram)
     first = F.min(F.struct("_id", "_th", "start", "windows", "offset")).alias("first")
     counted = stored(found.groupBy("anchor", "run").agg(F.count("*").alias("n"), first))
+    forget_shuffles(rows.sparkSession)
     kinds = stored(counted.groupBy(F.col("anchor").alias("_anchor")).agg(F.count("*").alias("kinds")).where("kinds > 1"))
     whole = counted.where("n > 1").select(F.col("anchor").alias("_anchor"), F.col("run").alias("_run"))
     again = found.join(whole, (F.col("anchor") == F.col("_anchor")) & (F.col("run") == F.col("_run")), "left_semi")
@@ -296,6 +297,7 @@ def repeated_stretches(rows: DataFrame, length: int = LENGTH, gram: int = GRAM,
 
     dealt = with_text.mapInArrow(cut, _PART).repartition("anchor", "block").sortWithinPartitions("anchor", "block", "_id", "_th", "start")
     judged = stored(dealt.mapInArrow(_judge_blocks(length), _FOUND))
+    forget_shuffles(rows.sparkSession)
     merged = judged.where("h1 is not null")
     shared = merged.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").select("h1", "h2")
     late = merged.where("wanted").join(shared, ["h1", "h2"], "left_semi")
