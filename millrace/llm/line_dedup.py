@@ -218,8 +218,8 @@ def _lost_set(value) -> set[tuple[int, int]]:
 def dedup_lines(docs: DataFrame, index: LineIndex, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the lines that the index calls repeated left out, except at their owner; null texts stay null."""
     others = [c for c in docs.columns if c != text_col]
-    rest = F.struct(*[docs[c] for c in others], F.lit(True).alias("_row")).alias("_rest")
-    rows = docs.select(rest, docs[text_col].alias("_text"), document_id(id_col).alias("_owner"))
+    rest = F.struct(*[docs[f"`{c}`"] for c in others], F.lit(True).alias("_row")).alias("_rest")
+    rows = docs.select(rest, docs[f"`{text_col}`"].alias("_text"), document_id(id_col).alias("_owner"))
 
     def run(batches):
         for batch in batches:
