@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from millrace.llm import pitman_yor as py
-from millrace.llm.storage import block_count, drop_stored, stored
+from millrace.llm.storage import block_count, drop_stored, forget_shuffles, stored
 
 BURN_IN = 2
 KEEP = 2
@@ -52,32 +52,56 @@ def is_held_out(doc_id: int | None) -> bool:
     return doc_id is not None and zlib.crc32(str(doc_id).encode()) % 7 == 2
 
 
+class _Numbers(dict):
+    """Numbers words as they come."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = len(self)
+        return n
+
+
 class Numbered:
     """Texts as numbers of words, each token with its context; words are numbered as they come."""
 
     def __init__(self):
-        self.number: dict[bytes, int] = {}
+        self.number = _Numbers()
         self.ids: list[np.ndarray] = []
         self.n_tokens = 0
 
     def add(self, text: str | None) -> None:
         words = tokens(text)
-        number = self.number
-        self.ids.append(np.fromiter((number.setdefault(w, len(number)) for w in words), np.int32, len(words)))
+        self.ids.append(np.fromiter(map(self.number.__getitem__, words), np.int32, len(words)))
         self.n_tokens += len(words)
 
     def hashes(self) -> np.ndarray:
         return np.fromiter(map(xxh64_intdigest, self.number), np.uint64, len(self.number)).view(np.int64)
 
-    def tokens(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Word number and context of all tokens, text after text; a text starts in the context of an end."""
-        words = np.concatenate(self.ids) if self.ids else np.zeros(0, np.int32)
+    def keys(self, hashes: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """place of the word * CONTEXTS + context, of all tokens, text after text; a text starts in the context of an end."""
+        if not self.ids:
+            return np.zeros(0, np.int64)
+        words = np.concatenate(self.ids)
         kinds = _context(hashes)
+        out = place[words] * CONTEXTS
         before = np.empty(len(words), np.int64)
-        if len(words):
-            before[1:] = kinds[words[:-1]]
-            before[np.cumsum([0, *map(len, self.ids[:-1])])] = _context(np.array([xxh64_intdigest(END)], np.uint64).view(np.int64))[0]
-        return words.astype(np.int64), before
+        before[1:] = kinds[words[:-1]]
+        before[np.cumsum([0, *map(len, self.ids[:-1])])] = _context(np.array([xxh64_intdigest(END)], np.uint64).view(np.int64))[0]
+        out += before
+        return out
+
+
+def _bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of a binary column, and the length of each row."""
+    _, offsets, data = column.buffers()
+    cuts = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column) + 1] if len(column) else np.zeros(1, np.int32)
+    whole = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return whole[cuts[0] : cuts[-1]], np.diff(cuts).astype(np.int64)
+
+
+def _binary(data: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    cuts = np.zeros(len(lengths) + 1, np.int32)
+    np.cumsum(lengths, out=cuts[1:])
+    return pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(cuts), pa.py_buffer(np.ascontiguousarray(data))])
 
 
 def _context(hashes: np.ndarray) -> np.ndarray:
@@ -85,20 +109,20 @@ def _context(hashes: np.ndarray) -> np.ndarray:
 
 
 def pair_counts(docs: DataFrame) -> DataFrame:
-    """(wh, u, c): how often a word comes in a context, over the training rows of ``docs`` (doc_id, text)."""
+    """(wh, u, c): how often a word comes in a context, over the training rows of ``docs`` (doc_id, text), summed per task."""
 
     def go(batches):
         seen = Numbered()
 
         def counted():
             hashes = seen.hashes()
-            words, contexts = seen.tokens(hashes)
-            keys, c = np.unique(words * CONTEXTS + contexts, return_counts=True)
-            for at in range(0, len(keys), 200_000):
-                part = keys[at : at + 200_000]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(hashes[part // CONTEXTS]), pa.array((part % CONTEXTS).astype(np.int32)), pa.array(c[at : at + 200_000])], names=["wh", "u", "c"]
-                )
+            keys = seen.keys(hashes, np.arange(len(hashes)))
+            for low in range(0, len(hashes), 100_000):  # some words at a time: the counts are dense
+                inside = keys[(keys >= low * CONTEXTS) & (keys < (low + 100_000) * CONTEXTS)] - low * CONTEXTS
+                c = np.bincount(inside, minlength=1)
+                part = np.flatnonzero(c)
+                columns = [pa.array(hashes[part // CONTEXTS + low]), pa.array((part % CONTEXTS).astype(np.int32)), pa.array(c[part])]
+                yield pa.RecordBatch.from_arrays(columns, names=["wh", "u", "c"])
 
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -109,7 +133,38 @@ def pair_counts(docs: DataFrame) -> DataFrame:
                     seen = Numbered()
         yield from counted()
 
-    return docs.select("doc_id", "text").mapInArrow(go, "wh long, u int, c long").groupBy("wh", "u").agg(F.sum("c").alias("c"))
+    return docs.select("doc_id", "text").mapInArrow(go, "wh long, u int, c long")
+
+
+def _words(batches):
+    """One row per word from rows sorted by word: its contexts with their sums; the last word of a batch may go on."""
+    names = [c.split()[0] for c in _STATE.split(", ")]
+
+    def rows(wh: np.ndarray, u: np.ndarray, c: np.ndarray):
+        first = np.flatnonzero(np.concatenate([[True], wh[1:] != wh[:-1]]))
+        n, ones = np.diff(np.append(first, len(wh))), np.ones(len(wh), np.int64)
+        pairs = [_binary(v.view(np.uint8), 8 * n) for v in (c, ones, ones - 1)]
+        none = _binary(np.zeros(0, np.uint8), np.zeros(len(n), np.int64))
+        return pa.RecordBatch.from_arrays([pa.array(wh[first]), _binary(u.astype(np.uint8), n), *pairs, pa.array(ones[: len(n)]), none], names=names)
+
+    held = tuple(np.zeros(0, np.int64) for _ in range(3))
+    for batch in batches:
+        wh, u, c = (np.concatenate([h, batch.column(k).to_numpy()]) for k, h in enumerate(held))
+        order = np.lexsort((u, wh))
+        wh, u, c = wh[order], u[order], c[order]
+        first = np.flatnonzero(np.concatenate([[True], (wh[1:] != wh[:-1]) | (u[1:] != u[:-1])])) if len(wh) else np.zeros(0, np.int64)
+        wh, u, c = wh[first], u[first], np.add.reduceat(c, first) if len(first) else c
+        done = np.searchsorted(wh, wh[-1]) if len(wh) else 0
+        if done:
+            yield rows(wh[:done], u[:done], c[:done])
+        held = wh[done:], u[done:], c[done:]  # one word, at most CONTEXTS rows
+    if len(held[0]):
+        yield rows(*held)
+
+
+def word_rows(counts: DataFrame) -> DataFrame:
+    """The state before the first sweep from :func:`pair_counts`: one table per word and context."""
+    return counts.repartition("wh").sortWithinPartitions("wh").mapInArrow(_words, _STATE)
 
 
 @dataclass
@@ -145,18 +200,34 @@ class Setting:
         return (self.strength + self.d * sums.tables) / (self.strength + self.customers)
 
 
-_STATE = "wh long, u array<int>, c array<long>, t array<long>, kept array<long>, root_t long, root_p array<double>"
+#: A word and, as bytes: its contexts, customers, tables and tables over the kept sweeps; the parent's tables, and its
+#: probabilities in the kept sweeps.
+_STATE = "wh long, us binary, cs binary, ts binary, kept binary, root_t long, root_p binary"
+
+
+@dataclass
+class _Rows:
+    """One batch of the state as arrays over all (word, context) pairs; ``row`` is the word of a pair."""
+
+    batch: pa.RecordBatch
 
+    def __post_init__(self):
+        self.u, self.n = _bytes(self.batch.column(1))
+        self.row = np.repeat(np.arange(len(self.n)), self.n)
+        self.c, self.t, self.kept = (_bytes(self.batch.column(k))[0].view(np.int64) for k in (2, 3, 4))
+        self.root_t = self.batch.column(5).to_numpy()
+        self.root_c = self.sums(self.t)
 
-def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Values of a list column, and the row of each."""
-    lengths = np.diff(column.offsets.to_numpy())
-    return column.flatten().to_numpy(), np.repeat(np.arange(len(column)), lengths)
+    def sums(self, values: np.ndarray) -> np.ndarray:
+        return np.bincount(self.row, values, len(self.n)).astype(np.int64)
 
+    def pairs(self, values: np.ndarray) -> pa.Array:
+        return _binary(values.astype(np.int64).view(np.uint8), 8 * self.n)
 
-def _like(column: pa.Array, values: np.ndarray) -> pa.Array:
-    offsets = column.offsets.to_numpy()
-    return pa.ListArray.from_arrays(pa.array((offsets - offsets[0]).astype(np.int32)), pa.array(values))
+    def root_p(self, now: np.ndarray) -> np.ndarray:
+        """The parent's probabilities of the kept sweeps with those of now, one row per word."""
+        before = _bytes(self.batch.column(6))[0].view(np.float64)
+        return np.column_stack([before.reshape(len(self.n), -1), now]) if len(before) else now[:, None]
 
 
 def _sweep(state: DataFrame, setting: Setting, sums: Sums, turn: int, keep: bool) -> DataFrame:
@@ -164,44 +235,43 @@ def _sweep(state: DataFrame, setting: Setting, sums: Sums, turn: int, keep: bool
 
     def go(batches):
         for batch in batches:
-            wh = batch.column(0).to_numpy()
-            u, row = _lists(batch.column(1))
-            c, t, kept = (_lists(batch.column(k))[0] for k in (2, 3, 4))
-            root_t = batch.column(5).to_numpy()
-            root_p = batch.column(6)
-            here = setting.root(sums, np.bincount(row, t, len(wh)), root_t)
+            x = _Rows(batch)
+            here = setting.root(sums, x.root_c, x.root_t)
+            kept, root_p = batch.column(4), batch.column(6)
             if keep:
-                kept = kept + t
-                old, old_row = _lists(root_p)
-                values = np.concatenate([old, here])[np.argsort(np.concatenate([old_row, np.arange(len(wh))]), kind="stable")]
-                count = len(values) // max(1, len(wh))
-                root_p = pa.ListArray.from_arrays(pa.array(np.arange(len(wh) + 1, dtype=np.int32) * count), pa.array(values))
-            rng = np.random.default_rng([SEED, turn, abs(int(wh[0])) if len(wh) else 0, len(wh)])
-            t = py.draw_tables(c, setting.d, setting.strength + setting.d * (sums.tables[u] - t), np.log(here)[row], rng)
-            customers = np.bincount(row, t, len(wh)).astype(np.int64)
-            strength = setting.root_strength + setting.root_d * (sums.root_tables - root_t)
-            root_t = py.draw_tables(customers, setting.root_d, strength, np.full(len(wh), -math.log(setting.n_words + 1)), rng)
-            like = batch.column(1)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), like, batch.column(2), _like(like, t), _like(like, kept), pa.array(root_t), root_p], names=batch.schema.names
-            )
+                told = x.root_p(here)
+                kept, root_p = x.pairs(x.kept + x.t), _binary(told.view(np.uint8).ravel(), np.full(len(x.n), 8 * told.shape[1]))
+            first = batch.column(0)[0].as_py() if len(x.n) else 0
+            rng = np.random.default_rng([SEED, turn, abs(first), len(x.n)])
+            strength = setting.strength + setting.d * (sums.tables[x.u] - x.t)
+            t = py.draw_tables(x.c, setting.d, strength, np.log(here)[x.row], rng)
+            strength = setting.root_strength + setting.root_d * (sums.root_tables - x.root_t)
+            root_t = py.draw_tables(x.sums(t), setting.root_d, strength, np.full(len(x.n), -math.log(setting.n_words + 1)), rng)
+            arrays = [batch.column(0), batch.column(1), batch.column(2), x.pairs(t), kept, pa.array(root_t), root_p]
+            yield pa.RecordBatch.from_arrays(arrays, names=batch.schema.names)
 
     return state.mapInArrow(go, _STATE)
 
 
-def _by_context(state: DataFrame, column: str) -> tuple[np.ndarray, int]:
-    """Sums of a list column by context, and the tables of the parent; one row per context reaches the driver."""
+def _totals(state: DataFrame) -> dict[str, np.ndarray]:
+    """Sums over the state, one row per context and kind of sum: customers, tables, the parent's tables and words, and
+    how many pairs have one and two customers, and words one and two contexts (``few``)."""
 
     def go(batches):
-        total, root = np.zeros(CONTEXTS), 0
+        customers, tables, few = np.zeros(CONTEXTS, np.int64), np.zeros(CONTEXTS, np.int64), np.zeros(6, np.int64)
         for batch in batches:
-            total += np.bincount(_lists(batch.column(0))[0], _lists(batch.column(1))[0], CONTEXTS)
-            root += int(batch.column(2).to_numpy().sum())
-        yield pa.RecordBatch.from_pydict({"u": np.arange(CONTEXTS + 1), "n": np.append(total.astype(np.int64), root)})
+            x = _Rows(batch)
+            customers += np.bincount(x.u, x.c, CONTEXTS).astype(np.int64)
+            tables += np.bincount(x.u, x.t, CONTEXTS).astype(np.int64)
+            few += [x.root_t.sum(), len(x.n), (x.c == 1).sum(), (x.c == 2).sum(), (x.n == 1).sum(), (x.n == 2).sum()]
+        sums = np.concatenate([customers, tables, few])
+        yield pa.RecordBatch.from_pydict({"k": np.arange(len(sums)), "n": sums})
 
-    rows = state.select("u", column, "root_t").mapInArrow(go, "u long, n long").groupBy("u").agg(F.sum("n").alias("n")).collect()
-    found = {r["u"]: r["n"] for r in rows}
-    return np.array([found.get(k, 0) for k in range(CONTEXTS)], np.int64), found.get(CONTEXTS, 0)
+    rows = state.mapInArrow(go, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).collect()
+    out = np.zeros(2 * CONTEXTS + 6, np.int64)
+    for r in rows:
+        out[r["k"]] = r["n"]
+    return {"customers": out[:CONTEXTS], "tables": out[CONTEXTS : 2 * CONTEXTS], "few": out[2 * CONTEXTS :]}
 
 
 STRENGTHS = tuple(10.0**k for k in range(8))
@@ -215,19 +285,18 @@ def _strength(state: DataFrame, customers: np.ndarray, dishes: np.ndarray, d: fl
     def go(batches):
         sums = np.zeros(len(STRENGTHS))
         for batch in batches:
-            u, row = _lists(batch.column(0))
-            c = _lists(batch.column(1))[0]
-            parent = ((np.bincount(row, c, len(batch.column(0))) + 1) / (total + n_words + 1))[row]
-            sums += [py.left_out_log(c, customers[u], dishes[u], parent, d, s).sum() for s in STRENGTHS]
+            x = _Rows(batch)
+            parent = ((x.sums(x.c) + 1) / (total + n_words + 1))[x.row]
+            sums += [py.left_out_log(x.c, customers[x.u], dishes[x.u], parent, d, s).sum() for s in STRENGTHS]
         yield pa.RecordBatch.from_pydict({"k": np.arange(len(STRENGTHS)), "s": sums})
 
-    rows = state.select("u", "c").mapInArrow(go, "k long, s double").groupBy("k").agg(F.sum("s").alias("s")).collect()
+    rows = state.mapInArrow(go, "k long, s double").groupBy("k").agg(F.sum("s").alias("s")).collect()
     return STRENGTHS[max(rows, key=lambda r: r["s"])["k"]] if rows else STRENGTHS[0]
 
 
 def _root_strength(state: DataFrame, d: float, n_words: int) -> float:
     """The same for the parent, whose dishes start with one customer per context."""
-    rows = state.groupBy(F.size("u").alias("c")).count().collect()  # at most CONTEXTS rows
+    rows = state.groupBy(F.octet_length("us").alias("c")).count().collect()  # at most CONTEXTS rows
     c, n = (np.array([r[k] for r in rows], np.float64) for k in (0, 1))
     total = float((c * n).sum())
 
@@ -239,7 +308,7 @@ def _root_strength(state: DataFrame, d: float, n_words: int) -> float:
 
 @dataclass
 class Model:
-    table: DataFrame | None  # wh, c and as bytes: u, customers less discounted tables by context, parent's probabilities
+    table: DataFrame  # the rows of ``_packed``
     n_tokens: int
     n_words: int
     own: np.ndarray  # by context: what one customer is worth
@@ -249,51 +318,54 @@ class Model:
 
 def learn(docs: DataFrame, burn_in: int = BURN_IN, keep: int = KEEP) -> Model:
     """Model of the training rows of ``docs`` (doc_id, text)."""
-    pairs = pair_counts(docs).groupBy("wh").agg(F.sort_array(F.collect_list(F.struct("u", "c"))).alias("x"))  # CONTEXTS at most
-    ones = F.transform("x", lambda _: F.lit(1).cast("long"))
-    zeros = F.transform("x", lambda _: F.lit(0).cast("long"))
-    state = stored(pairs.select("wh", F.col("x.u").alias("u"), F.col("x.c").alias("c"), ones.alias("t"), zeros.alias("kept"), F.lit(1).cast("long").alias("root_t"), F.array().cast("array<double>").alias("root_p")))
-    count = lambda k: F.sum(F.size(F.filter("c", lambda c: c == k)))
-    first = state.agg(F.count("*").alias("v"), count(1).alias("once"), count(2).alias("twice"), F.count_if(F.size("u") == 1).alias("r1"), F.count_if(F.size("u") == 2).alias("r2")).first()
-    n_words = first["v"]
-    customers = _by_context(state, "c")[0]
-    tables, root_tables = _by_context(state, "t")
-    d, root_d = py.discount(first["once"] or 0, first["twice"] or 0), py.discount(first["r1"], first["r2"])
+    state = stored(word_rows(pair_counts(docs)))
+    forget_shuffles(docs.sparkSession)
+    first = _totals(state)
+    root_tables, n_words, once, twice, root_once, root_twice = (int(x) for x in first["few"])
+    customers, tables = first["customers"], first["tables"]
+    d, root_d = py.discount(once, twice), py.discount(root_once, root_twice)
     setting = Setting(customers, n_words, d, _strength(state, customers, tables, d, n_words), root_d, _root_strength(state, root_d, n_words))
     sums, back, unknown = Sums(tables, root_tables), [], []
     for turn in range(burn_in + keep):
-        kept = turn >= burn_in
-        if kept:
+        if turn >= burn_in:
             back.append(setting.back(sums))
             unknown.append(setting.root(sums, 0, 0))
-        new = stored(_sweep(state, setting, sums, turn, kept))
+        if turn == burn_in + keep - 1:
+            break
+        new = stored(_sweep(state, setting, sums, turn, turn >= burn_in))
         drop_stored(state)
-        state, sums = new, Sums(*_by_context(new, "t"))
-    return Model(_packed(state, d, keep), int(customers.sum()), n_words, 1 / (setting.strength + customers), np.array(back), np.array(unknown))
+        state, found = new, _totals(new)
+        sums = Sums(found["tables"], int(found["few"][0]))
+    own = 1 / (setting.strength + customers)
+    table = _packed(state, setting, sums, keep)
+    return Model(table, int(customers.sum()), n_words, own, np.array(back), np.array(unknown))
+
+
+def _pairs(u: np.ndarray, worth: np.ndarray) -> np.ndarray:
+    """Five bytes a pair: its context, and its customers less discounted tables."""
+    out = np.empty((len(u), 5), np.uint8)
+    out[:, 0] = u
+    out[:, 1:] = worth.astype("<f4").view(np.uint8).reshape(-1, 4)
+    return out
 
 
-def _packed(state: DataFrame, d: float, keep: int) -> DataFrame:
-    """Rows of the model as bytes, to be small in a shuffle."""
+def _roots(kept: int) -> list[str]:
+    """Columns of the parent's probability in the kept sweeps."""
+    return [f"q{k}" for k in range(kept)]
+
+
+def _packed(state: DataFrame, setting: Setting, sums: Sums, keep: int) -> DataFrame:
+    """Rows of the model with the last kept sweep: a word, its customers, the parent's probabilities, its pairs as bytes."""
 
     def go(batches):
         for batch in batches:
-            (u, row), c, kept = _lists(batch.column(1)), _lists(batch.column(2))[0], _lists(batch.column(3))[0]
-            cuts = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(batch.column(0))))]).tolist()
-            u_bytes, e_bytes = u.astype(np.uint8).tobytes(), (c - d * kept / keep).astype("<f4").tobytes()
-            q_bytes = _lists(batch.column(4))[0].astype("<f4").tobytes()
-            ends = list(zip(cuts, cuts[1:], strict=False))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array(np.bincount(row, c, len(ends)).astype(np.int64)),
-                    pa.array([u_bytes[a:b] for a, b in ends], pa.binary()),
-                    pa.array([e_bytes[4 * a : 4 * b] for a, b in ends], pa.binary()),
-                    pa.array([q_bytes[4 * keep * k : 4 * keep * (k + 1)] for k in range(len(ends))], pa.binary()),
-                ],
-                names=["wh", "c", "us", "es", "qs"],
-            )
+            x = _Rows(batch)
+            pairs = _pairs(x.u, x.c - setting.d * (x.kept + x.t) / keep)
+            root = x.root_p(setting.root(sums, x.root_c, x.root_t)).astype(np.float32)
+            arrays = [batch.column(0), pa.array(x.sums(x.c)), *(pa.array(q) for q in np.ascontiguousarray(root.T)), _binary(pairs.ravel(), 5 * x.n)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["wh", "c", *_roots(keep), "pairs"])
 
-    return state.select("wh", "u", "c", "kept", "root_p").mapInArrow(go, "wh long, c long, us binary, es binary, qs binary")
+    return state.mapInArrow(go, "wh long, c long, " + "".join(f"{q} float, " for q in _roots(keep)) + "pairs binary")
 
 
 def _asked(batches):
@@ -302,33 +374,31 @@ def _asked(batches):
     for batch in batches:
         for text, block in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
             seen.setdefault(block, Numbered()).add(text)
-    for block, numbered in seen.items():
+    while seen:
+        block, numbered = seen.popitem()
         hashes = numbered.hashes()
-        words, contexts = numbered.tokens(hashes)
         distinct, place = np.unique(hashes, return_inverse=True)
-        keys = np.unique(place[words] * CONTEXTS + contexts)
-        place = keys // CONTEXTS
-        masks = np.bitwise_or.reduceat(np.uint64(1) << (keys % CONTEXTS).astype(np.uint64), np.searchsorted(place, np.arange(len(distinct))))
+        stands = np.zeros(len(distinct) * CONTEXTS, bool)
+        stands[numbered.keys(hashes, place)] = True
+        masks = np.packbits(stands, bitorder="little").view("<i8")
         for at in range(0, len(distinct), 100_000):
             part = slice(at, min(len(distinct), at + 100_000))
             n = part.stop - at
             yield pa.RecordBatch.from_pydict(
-                {"block": np.full(n, block, np.int32), "place": np.arange(at, part.stop, dtype=np.int32), "h": distinct[part], "mask": masks[part].view(np.int64)}
+                {"block": np.full(n, block, np.int32), "place": np.arange(at, part.stop, dtype=np.int32), "h": distinct[part], "mask": masks[part]}
             )
 
 
 def _answered(batches):
-    """Of each word only the contexts that were asked for."""
+    """Of each word only the contexts that were asked for; the last two columns are the mask and the pairs."""
     for batch in batches:
-        us, es = [], []
-        for mask, u, e in zip(batch.column(2).to_pylist(), batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True):
-            if len(u) > 1 or not mask >> u[0] & 1:
-                wanted = [k for k, x in enumerate(u) if mask >> x & 1]
-                u, e = bytes(u[k] for k in wanted), b"".join(e[4 * k : 4 * k + 4] for k in wanted)
-            us.append(u)
-            es.append(e)
-        arrays = [batch.column(0), batch.column(1), batch.column(3), pa.array(us, pa.binary()), pa.array(es, pa.binary()), batch.column(6)]
-        yield pa.RecordBatch.from_arrays(arrays, names=["block", "place", "c", "us", "es", "qs"])
+        mask = batch.column(batch.num_columns - 2).to_numpy().view(np.uint64)
+        data, size = _bytes(batch.column(batch.num_columns - 1))
+        pairs, row = data.reshape(-1, 5), np.repeat(np.arange(len(size)), size // 5)
+        wanted = (mask[row] >> pairs[:, 0].astype(np.uint64)) & np.uint64(1) > 0
+        left = _binary(pairs[wanted].ravel(), 5 * np.bincount(row[wanted], minlength=len(size)))
+        names = batch.schema.names
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-2], left], names=[*names[:-2], names[-1]])
 
 
 def score(docs: DataFrame, model: Model, chars_per_block: int = BLOCK_CHARS) -> DataFrame:
@@ -337,8 +407,9 @@ def score(docs: DataFrame, model: Model, chars_per_block: int = BLOCK_CHARS) ->
     block = F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(blocks)).cast("int")
     dealt = docs.select("doc_id", "text", block.alias("block")).repartition(blocks, "block")
     asked = dealt.mapInArrow(_asked, "block int, place int, h long, mask long")
-    found = asked.join(model.table, F.col("h") == F.col("wh")).select("block", "place", "mask", "c", "us", "es", "qs")
-    answers = found.mapInArrow(_answered, "block int, place int, c long, us binary, es binary, qs binary")
+    roots = _roots(len(model.unknown))
+    found = asked.join(model.table.hint("shuffle_hash"), F.col("h") == F.col("wh")).select("block", "place", "c", *roots, "mask", "pairs")
+    answers = found.mapInArrow(_answered, "block int, place int, c long, " + "".join(f"{q} float, " for q in roots) + "pairs binary")
     n, base_total = model.n_tokens, model.n_tokens + model.n_words + 1
     own, back, unknown = model.own, model.back, model.unknown
 
@@ -347,21 +418,20 @@ def score(docs: DataFrame, model: Model, chars_per_block: int = BLOCK_CHARS) ->
         for text in texts.column("text").to_pylist():
             numbered.add(text)
         hashes = numbered.hashes()
-        words, contexts = numbered.tokens(hashes)
         distinct, place = np.unique(hashes, return_inverse=True)
-        words = place[words]
+        keys = numbered.keys(hashes, place)
         at = answers.column("place").to_numpy()
         c = np.zeros(len(distinct), np.int64)
-        c[at] = answers.column("c").to_numpy()
-        parent = np.tile(unknown, (len(distinct), 1))
-        parent[at] = np.frombuffer(b"".join(answers.column("qs").to_pylist()), "<f4").reshape(len(at), -1) if len(at) else parent[at]
-        us = answers.column("us").to_pylist()
-        keys = np.repeat(at.astype(np.int64), np.fromiter(map(len, us), np.int64, len(us))) * CONTEXTS + np.frombuffer(b"".join(us), np.uint8)
-        worth = np.frombuffer(b"".join(answers.column("es").to_pylist()), "<f4")[np.argsort(keys, kind="stable")].astype(np.float64)
-        keys = np.sort(keys)
-        asked_keys = words * CONTEXTS + contexts
-        hit = np.minimum(np.searchsorted(keys, asked_keys), max(0, len(keys) - 1))
-        p = np.where(keys[hit] == asked_keys, worth[hit], 0.0) * own[contexts] if len(keys) else np.zeros(len(words))
+        parent = np.tile(unknown.astype("<f4"), (len(distinct), 1))
+        known = np.zeros(len(distinct) * CONTEXTS, "<f4")  # dense by word and context of the block
+        if len(at):
+            c[at] = answers.column("c").to_numpy()
+            parent[at] = np.column_stack([answers.column(q).to_numpy() for q in roots])
+            data, size = _bytes(answers.column("pairs").combine_chunks())
+            pairs = data.reshape(-1, 5)
+            known[np.repeat(at.astype(np.int64), size // 5) * CONTEXTS + pairs[:, 0]] = np.ascontiguousarray(pairs[:, 1:]).view("<f4").ravel()
+        words, contexts = keys // CONTEXTS, keys % CONTEXTS
+        p = known[keys] * own[contexts]
         for k in range(len(unknown)):
             p += back[k][contexts] * parent[words, k] / len(unknown)
         ends = np.cumsum([len(k) for k in numbered.ids])
