@@ -253,6 +253,22 @@ def _sweep(state: DataFrame, setting: Setting, sums: Sums, turn: int, keep: bool
     return state.mapInArrow(go, _STATE)
 
 
+def _seated(state: DataFrame) -> Sums:
+    """Tables by context and of the parent; one row per context reaches the driver."""
+
+    def go(batches):
+        sums = np.zeros(CONTEXTS + 1, np.int64)
+        for batch in batches:
+            u, t = _bytes(batch.column(0))[0], _bytes(batch.column(1))[0].view(np.int64)
+            sums[:-1] += np.bincount(u, t, CONTEXTS).astype(np.int64)
+            sums[-1] += batch.column(2).to_numpy().sum()
+        yield pa.RecordBatch.from_pydict({"k": np.arange(len(sums)), "n": sums})
+
+    rows = state.select("us", "ts", "root_t").mapInArrow(go, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).collect()
+    found = {r["k"]: r["n"] for r in rows}
+    return Sums(np.array([found.get(k, 0) for k in range(CONTEXTS)], np.int64), found.get(CONTEXTS, 0))
+
+
 def _totals(state: DataFrame) -> dict[str, np.ndarray]:
     """Sums over the state, one row per context and kind of sum: customers, tables, the parent's tables and words, and
     how many pairs have one and two customers, and words one and two contexts (``few``)."""
@@ -287,7 +303,13 @@ def _strength(state: DataFrame, customers: np.ndarray, dishes: np.ndarray, d: fl
         for batch in batches:
             x = _Rows(batch)
             parent = ((x.sums(x.c) + 1) / (total + n_words + 1))[x.row]
-            sums += [py.left_out_log(x.c, customers[x.u], dishes[x.u], parent, d, s).sum() for s in STRENGTHS]
+            # Pairs seen once differ by their context and their parent only, so they are summed by context.
+            once = np.bincount(x.u[x.c == 1], minlength=CONTEXTS)
+            more = np.flatnonzero(x.c > 1)
+            c, u, p = x.c[more], x.u[more], parent[more]
+            alike = [(once * py.left_out_log(np.ones(CONTEXTS), customers, dishes, np.ones(CONTEXTS), d, s))[once > 0].sum() for s in STRENGTHS]
+            sums += np.log(parent[x.c == 1]).sum() + alike
+            sums += [py.left_out_log(c, customers[u], dishes[u], p, d, s).sum() for s in STRENGTHS]
         yield pa.RecordBatch.from_pydict({"k": np.arange(len(STRENGTHS)), "s": sums})
 
     rows = state.mapInArrow(go, "k long, s double").groupBy("k").agg(F.sum("s").alias("s")).collect()
@@ -334,8 +356,7 @@ def learn(docs: DataFrame, burn_in: int = BURN_IN, keep: int = KEEP) -> Model:
             break
         new = stored(_sweep(state, setting, sums, turn, turn >= burn_in))
         drop_stored(state)
-        state, found = new, _totals(new)
-        sums = Sums(found["tables"], int(found["few"][0]))
+        state, sums = new, _seated(new)
     own = 1 / (setting.strength + customers)
     table = _packed(state, setting, sums, keep)
     return Model(table, int(customers.sum()), n_words, own, np.array(back), np.array(unknown))

@@ -85,7 +85,10 @@ def draw_tables(c: np.ndarray, d: float, strength: np.ndarray, log_parent: np.nd
         step = max(1, 2_000_000 // size) if size <= EXACT else 10_000
         for k in range(a, b, step):
             at = order[k : min(b, k + step)]
-            if size <= EXACT:
+            if size == 2:
+                second = (strength[at] + d) * np.exp(log_parent[at]) / (1 - d)
+                out[at] = 1 + (rng.random(len(at)) * (1 + second) < second)
+            elif size <= EXACT:
                 out[at] = _draw_exact(size, d, strength[at], log_parent[at], rng)
             else:
                 out[at] = _draw_large(c[at].astype(np.float64), d, strength[at], log_parent[at], rng)
