@@ -109,7 +109,9 @@ def _context(hashes: np.ndarray) -> np.ndarray:
 
 
 def pair_counts(docs: DataFrame) -> DataFrame:
-    """(wh, u, c): how often a word comes in a context, over the training rows of ``docs`` (doc_id, text), summed per task."""
+    """(wh, pairs): how often a word comes in a context, over the training rows of ``docs`` (doc_id, text), summed per task.
+
+    A row is a word with five bytes per pair: its context and its count, which a task keeps below ``_FLUSH_TOKENS``."""
 
     def go(batches):
         seen = Numbered()
@@ -121,8 +123,11 @@ def pair_counts(docs: DataFrame) -> DataFrame:
                 inside = keys[(keys >= low * CONTEXTS) & (keys < (low + 100_000) * CONTEXTS)] - low * CONTEXTS
                 c = np.bincount(inside, minlength=1)
                 part = np.flatnonzero(c)
-                columns = [pa.array(hashes[part // CONTEXTS + low]), pa.array((part % CONTEXTS).astype(np.int32)), pa.array(c[part])]
-                yield pa.RecordBatch.from_arrays(columns, names=["wh", "u", "c"])
+                words, n = np.unique(part // CONTEXTS, return_counts=True)
+                pairs = np.empty((len(part), 5), np.uint8)
+                pairs[:, 0] = part % CONTEXTS
+                pairs[:, 1:] = c[part].astype("<u4").view(np.uint8).reshape(-1, 4)
+                yield pa.RecordBatch.from_arrays([pa.array(hashes[words + low]), _binary(pairs.ravel(), 5 * n)], names=["wh", "pairs"])
 
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -133,7 +138,7 @@ def pair_counts(docs: DataFrame) -> DataFrame:
                     seen = Numbered()
         yield from counted()
 
-    return docs.select("doc_id", "text").mapInArrow(go, "wh long, u int, c long")
+    return docs.select("doc_id", "text").mapInArrow(go, "wh long, pairs binary")
 
 
 def _words(batches):
@@ -149,7 +154,10 @@ def _words(batches):
 
     held = tuple(np.zeros(0, np.int64) for _ in range(3))
     for batch in batches:
-        wh, u, c = (np.concatenate([h, batch.column(k).to_numpy()]) for k, h in enumerate(held))
+        data, size = _bytes(batch.column(1))
+        pairs = data.reshape(-1, 5)
+        new = np.repeat(batch.column(0).to_numpy(), size // 5), pairs[:, 0].astype(np.int64), np.ascontiguousarray(pairs[:, 1:]).view("<u4").ravel().astype(np.int64)
+        wh, u, c = (np.concatenate([h, x]) for h, x in zip(held, new, strict=True))
         order = np.lexsort((u, wh))
         wh, u, c = wh[order], u[order], c[order]
         first = np.flatnonzero(np.concatenate([[True], (wh[1:] != wh[:-1]) | (u[1:] != u[:-1])])) if len(wh) else np.zeros(0, np.int64)
