@@ -101,8 +101,8 @@ def update_ledger(docs: DataFrame, rules: Sequence[SecretRule] = RULES, ledger:
     todo = stored(unseen(paths, rules, ledger))
     right = todo.select(F.col("blob").alias("_blob"), F.col("first").alias("_first"), "asked")
     texts = hashed.join(right, (F.col("blob") == F.col("_blob")) & (F.col("id") == F.col("_first"))).select("blob", "text", "asked")
-    found = scan(texts, rules).distinct()  # equal rows of one id were scanned alike
-    spans = stored(found.groupBy("blob", "kind").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans")))
+    one = texts.dropDuplicates(["blob"])  # the smallest id may come more than once
+    spans = stored(scan(one, rules).groupBy("blob", "kind").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans")))
     asked = todo.select("blob", F.explode("asked").alias("kind"))
     versions = F.create_map(*[F.lit(x) for r in rules for x in (r.kind, r.version)])
     none = F.array().cast("array<struct<start:bigint,end:bigint>>")

@@ -68,6 +68,13 @@ def test_repeated_rows_null_ids_and_empty(spark):
     assert ss.report(docs.limit(0)).collect() == []
 
 
+def test_equal_rows_are_scanned_once(spark):
+    text = "token=abcdefgh and password: 12345678"
+    given = [text, text, text + "!", text + "!"]
+    rows = ss.report(documents(spark, given, [1, 1, None, None])).collect()
+    assert sorted((tuple(r) for r in rows), key=repr) == sorted(((i, *plain(t)) for i, t in zip([1, 1, None, None], given, strict=True)), key=repr)
+
+
 def test_no_python_in_the_plan(spark, sf_dir):
     plan = QUERIES["op9_secret_scans"](spark, sf_dir)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow|ExistingRDD|CartesianProduct|NestedLoop", plan)
