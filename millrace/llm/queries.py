@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from millrace.llm import line_dedup, lm_scoring, mixing, packing, quality_rules, secret_scan, simhash, suffix_dedup, topk, url_filter
+from millrace.llm import line_dedup, mixing, packing, quality_rules, secret_scan, simhash, suffix_dedup, topk, url_filter, word_contexts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -106,7 +106,7 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op10_lm_scoring")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm_scoring.score_documents(table(spark, sf_dir, "documents"))
+    return word_contexts.score_documents(table(spark, sf_dir, "documents"))
 
 
 query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
