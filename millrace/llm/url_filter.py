@@ -70,7 +70,7 @@ PATTERN_RULES = (
     PatternRule(_IN_HOST.format("payday-loans"), ("payday", "loans")),
     PatternRule(_IN_HOST.format("porn"), ("porn",)),
     PatternRule(_IN_HOST.format("xxx"), ("xxx",)),
-    PatternRule("/wp-login[.]php", ("wp", "login", "php")),
+    PatternRule("/wp-login[.]php", ("wp", "login")),  # "php" may go on
     PatternRule("[?&]affiliate_id=[0-9]", ("affiliate", "id")),
 )
 

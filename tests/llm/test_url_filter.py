@@ -1,5 +1,6 @@
 """URL rules: the SQL counterpart covers the query; here the odd cases and other rules."""
 
+import random
 import re
 
 import pytest
@@ -57,6 +58,24 @@ def test_many_rules(spark):
     check(spark, [f"http://www.h{i % 70}.net/p{i % 9}/x?{'q=123' if i % 5 else 'zzz'}" for i in range(300)], hosts, patterns)
 
 
+def test_a_match_may_go_on_behind_its_pattern(spark):
+    check(spark, ["http://a.net/wp-login.php5", "http://wp.net/login/wp-login"] + ["http://wp.net/login"] * 5)
+
+
+@pytest.mark.parametrize("rule", uf.PATTERN_RULES, ids=lambda r: r.pattern)
+def test_every_match_holds_all_literals(rule):
+    rng = random.Random(5)
+    word = "/wp-login.php" if "wp-login" in rule.pattern else "affiliate_id=" if "affiliate" in rule.pattern else re.search(r"[)][?](.*)[[]", rule.pattern)[1]
+    around = ["a", "z9", "5", ".", "-", "/", "?", "&", ":", "_", "http://", "://", ""]
+    matches = 0
+    for _ in range(4000):
+        url = "".join([*rng.choices(around, k=3), word, *rng.choices(around, k=2)])
+        if re.search(rule.pattern, url):
+            matches += 1
+            assert set(rule.literals) <= set(re.findall("[a-z0-9]+", url)), url
+    assert matches > 20
+
+
 def test_each_rule_is_filed_under_its_rarest_token(spark):
     urls = frame(spark, ["http://spam.net/"] * 5 + ["http://farm.net/", "http://spam-farm.net/"])
     rules = uf.rule_table(spark, (uf.HostRule("farm.net", "/", "block"),), (uf.PatternRule("spam-farm", ("spam", "farm")),))
