@@ -112,3 +112,9 @@ def test_plain_counts_and_odd_rows(spark):
     assert wc.score_documents(documents(spark, ["a"]).limit(0)).collect() == []
     only_held = [i for i in range(100) if held(i)][:2]
     assert all(math.isfinite(r["score"]) for r in wc.score_documents(documents(spark, ["a b", ""], only_held)).collect())
+
+
+def test_more_sweeps_change_little(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    few, many = (lm.perplexity(wc.score_documents(docs, burn_in=burn_in, keep=keep)) for burn_in, keep in ((wc.BURN_IN, wc.KEEP), (6, 1)))
+    assert few <= many * 1.005
