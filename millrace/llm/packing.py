@@ -3,9 +3,11 @@
 Documents become pieces of at most ``capacity`` tokens.  Groups of pieces are packed on their own by best-fit
 decreasing.  For each group, dual feasible functions over the histogram of lengths give a lower bound on its number of
 sequences; a group that reaches it is certified, no order of its pieces does better.  The least filled sequences of
-every group that has gaps go to the next round, where groups meet in fewer, larger exchanges and best-fit decreasing
-runs again; the new sequences count only if they are fewer.  What a group sends on is limited (``SPARE`` sequences),
-so no exchange grows with the data, and sequences that are not sent on stay as they are.
+every group that has gaps go to the next round, where best-fit decreasing runs again; the new sequences count only if they
+are fewer, and sequences that are not sent on stay as they are.  First a group sends in proportion to its waste, the
+sequences it uses beyond its tokens, and what is sent is dealt out to as many groups as hold ``PER_GROUP`` pieces each;
+a certified group has waste too if other pieces would fill its gaps.  Once a round saves less than a sequence per group,
+each sends ``SPARE`` sequences, and ``FAN_IN`` groups meet until one is left.  So no exchange grows with the data.
 
 Defined cases: a null or empty text is the end token alone; repeated rows are packed one by one; null ids stay null.
 """
@@ -27,6 +29,7 @@ CAPACITY = 2048
 PER_GROUP = 16_384
 SPARE = 16
 FAN_IN = 16
+WIDE_ROUNDS = 64  # the number of a round has seven bits
 END = 0
 
 # Texts that both tokenizer libraries split alike: Latin letters, and no text that names the special token.
@@ -135,7 +138,7 @@ def _number(round_no: int, group: int, bins: np.ndarray) -> np.ndarray:
     return (np.int64(round_no) << np.int64(56)) + (np.int64(group) << np.int64(24)) + bins
 
 
-def _round(round_no: int, capacity: int):
+def _round(round_no: int, capacity: int, wide: bool):
     """Pack one group; ``open`` marks the pieces of the sequences that go to the next round."""
 
     def run(table: pa.Table) -> pa.Table:
@@ -157,7 +160,8 @@ def _round(round_no: int, capacity: int):
             offset = np.empty(len(bins), np.int64)
             offset[order] = ends - lengths[order] - (ends - lengths[order])[start][bins[order]]
         fill = np.bincount(bins, weights=lengths, minlength=n_bins).astype(np.int64)
-        gaps = np.argsort(fill, kind="stable")[:SPARE]
+        waste = n_bins - -(-int(lengths.sum()) // capacity)
+        gaps = np.argsort(fill, kind="stable")[: SPARE * (1 + waste) if wide else SPARE]
         to_next = np.zeros(n_bins, bool)
         to_next[gaps[fill[gaps] < capacity]] = True
         done = {"sequence_id": names[bins], "offset": offset, "open": to_next[bins], "certified": np.full(len(bins), n_bins == bound)}
@@ -179,15 +183,24 @@ def pack(items: DataFrame, capacity: int = CAPACITY, per_group: int = PER_GROUP)
     spread = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(groups)).cast("long")
     names = [c.split()[0] for c in _STATE.split(", ")]
     state = items.withColumns({**fresh, "grp": spread}).select(*names)
-    done, round_no = None, 0
+    done, round_no, wide, before = None, 0, groups > 1, None
     while True:
-        state = stored(state.groupBy("grp").applyInArrow(_round(round_no, capacity), _STATE))
+        state = stored(state.groupBy("grp").applyInArrow(_round(round_no, capacity, wide), _STATE))
+        used = state.agg(F.count_distinct("sequence_id")).first()[0] if wide else None
+        if before is not None and before - used < groups:
+            wide = False
         settled = state if groups == 1 else state.where("not open")
         done = settled if done is None else done.union(settled)
         if groups == 1:
             return done.select(*(c.split()[0] for c in PACKED.split(", ")))
-        groups, round_no = -(-groups // FAN_IN), round_no + 1
-        state = state.where("open").withColumn("grp", F.floor(F.col("grp") / FAN_IN).cast("long"))
+        state, round_no, before = state.where("open"), round_no + 1, None
+        if wide and round_no < WIDE_ROUNDS:
+            sent = state.agg(F.count("*").alias("n"), F.count_distinct("sequence_id").alias("used")).first()
+            groups, before = max(1, -(-sent["n"] // per_group)), sent["used"]
+            state = state.withColumn("grp", F.pmod(F.xxhash64("sequence_id"), F.lit(groups)).cast("long"))
+        else:
+            wide, groups = False, -(-groups // FAN_IN)
+            state = state.withColumn("grp", F.floor(F.col("grp") / FAN_IN).cast("long"))
 
 
 def certificate(packed: DataFrame, capacity: int = CAPACITY) -> tuple[int, int]:

@@ -80,6 +80,17 @@ def test_small_capacity_and_many_groups(spark):
     assert bound <= alone <= used <= bound * 1.05 + 1
 
 
+def test_groups_exchange_all_they_waste(spark):
+    """Groups that hold long or short pieces only: each is certified, together they need a third less."""
+    rows = spark.range(1200).select(F.col("id").alias("doc_id"), F.lit(0).alias("piece"), F.lit(0).cast("long").alias("start"), F.col("id").alias("ids_crc32"))
+    group = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(6)).cast("long")
+    pieces = rows.withColumn("length", F.when(group < 3, 40).otherwise(24).cast("long")).select("doc_id", "piece", "start", "length", "ids_crc32")
+    packed = packing.pack(pieces, capacity=64, per_group=200)
+    used, bound = packing.certificate(packed, 64)
+    assert packed.count() == 1200 and packed.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 64").count() == 0
+    assert bound <= used <= bound * 1.05
+
+
 def test_repeated_rows_null_ids_and_empty(spark):
     docs = documents(spark, ["same text"] * 4 + [None], [1, 1, 1, None, None])
     rows = packing.pack_documents(docs).collect()
