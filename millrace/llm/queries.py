@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from millrace.llm import line_dedup, mixing, packing, quality_rules, secret_scan, simhash, suffix_dedup, topk, url_filter, word_contexts
+from millrace.llm import line_dedup, minhash, mixing, packing, quality_rules, secret_scan, simhash, suffix_dedup, topk, url_filter, word_contexts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -109,4 +109,9 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_contexts.score_documents(table(spark, sf_dir, "documents"))
 
 
+@query("op13_minhash_near_dedup")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
