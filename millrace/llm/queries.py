@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from millrace.llm import line_dedup, minhash, mixing, packing, quality_rules, secret_scan, simhash, suffix_dedup, topk, url_filter, word_contexts
+from millrace.llm import conversations, importance, line_dedup, minhash, mixing, packing, quality_rules, secret_scan, simhash, suffix_dedup, topk, url_filter, word_contexts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -109,6 +109,16 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_contexts.score_documents(table(spark, sf_dir, "documents"))
 
 
+@query("op11_conversation_repair")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.report(table(spark, sf_dir, "conversations"))
+
+
+@query("op12_target_resampling", importance.oracle())
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op13_minhash_near_dedup")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
