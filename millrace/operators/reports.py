@@ -104,18 +104,44 @@ def outcome_pivot(runs: DataFrame, by: Sequence[str] = ("res", "category", "wf_p
 def concurrency_load(runs: DataFrame, day: dt.date, capacity: int, key: str = "workflow") -> DataFrame:
     """Hour by ten-minute slot: distinct running workflows and busy share of ``capacity``.
 
-    Every run is exploded only into the slots it touches, at most 144 of a day."""
+    A sweep over the slots of the day: a run adds its full slots where it starts and takes them away after its last one,
+    what it misses of the two end slots is taken off there.  So a run is four edges, however long it is.  A workflow
+    counts once a slot: its runs, at most one per start slot after the first aggregate, are merged into stretches.
+    """
     start, end = F.lit(dt.datetime.combine(day, dt.time())), F.lit(dt.datetime.combine(day + dt.timedelta(days=1), dt.time()))
     first, last = F.unix_timestamp(start.cast("timestamp")), F.unix_timestamp(end.cast("timestamp"))
     beg, fin = F.unix_timestamp("start_ts"), F.unix_timestamp("end_ts")
     low = F.floor(F.greatest(beg, first) / SLOT_S) * SLOT_S
     high = F.floor((F.least(fin, last) - 1) / SLOT_S) * SLOT_S
     touched = runs.where(F.col("end_ts").isNotNull() & (beg < last) & (fin > first)).select(
-        key, beg.alias("_b"), fin.alias("_f"), low.alias("_lo"), F.greatest(low, high).alias("_hi")
+        F.col(key).alias("_key"), beg.alias("_b"), fin.alias("_f"), low.alias("_lo"), F.greatest(low, high).alias("_hi")
+    ).where("_f > _lo")
+
+    def edge(at, step, here):
+        return F.struct(at.alias("_s"), step.alias("step"), here.alias("here"))
+
+    none, slot = F.lit(0).cast("bigint"), F.lit(SLOT_S).cast("bigint")
+    lo, hi = F.col("_lo"), F.col("_hi")
+    early, late = F.greatest("_b", lo) - lo, hi + slot - F.least(F.col("_f"), hi + slot)
+    edges = F.array(edge(lo, slot, -early), edge(hi, none, -late), edge(hi + slot, -slot, none))
+    busy = touched.select(F.explode(edges).alias("e")).groupBy("e._s").agg(F.sum("e.step").alias("step"), F.sum("e.here").alias("here"))
+
+    reach = touched.where("_key is not null").groupBy("_key", "_lo").agg(F.max("_hi").alias("_hi"))  # at most 144 rows a workflow
+    before = Window.partitionBy("_key").orderBy("_lo").rowsBetween(Window.unboundedPreceding, -1)
+    covered = F.greatest("_lo", F.coalesce(F.max("_hi").over(before) + slot, F.lit(0)))
+    fresh = reach.withColumn("_from", covered).where("_from <= _hi")
+    stretches = fresh.select(F.explode(F.array(edge(F.col("_from"), F.lit(1), F.lit(0)), edge(hi + slot, F.lit(-1), F.lit(0)))).alias("e"))
+    running = stretches.groupBy("e._s").agg(F.sum("e.step").alias("_count"))
+
+    slots = runs.sparkSession.range(24 * 3600 // SLOT_S).select((first + F.col("id") * SLOT_S).alias("_s"))
+    upto = Window.orderBy("_s")  # the slots of one day
+
+    def total(name):
+        return F.coalesce(F.sum(name).over(upto), F.lit(0))
+
+    per_slot = slots.join(busy, "_s", "left").join(running, "_s", "left").select(
+        "_s", total("_count").alias("_wf"), (total("step") + F.coalesce("here", F.lit(0))).alias("_busy")
     )
-    slots = touched.withColumn("_s", F.explode(F.sequence("_lo", "_hi", F.lit(SLOT_S).cast("bigint")))).where("_f > _s")
-    busy = F.least("_f", F.col("_s") + SLOT_S) - F.greatest("_b", "_s")
-    per_slot = slots.groupBy("_s").agg(F.countDistinct(key).alias("_wf"), F.sum(busy).alias("_busy"))
     offset = F.col("_s") - first
     cells = per_slot.select(
         F.expr("0").alias("_zero"), F.floor(offset / 3600).cast("int").alias("hour"), (offset % 3600 / 60).cast("int").alias("_m"),
@@ -251,7 +277,8 @@ def load_times(
     """Newest load per workflow with waiting and running time and its exchange batch.
 
     Waiting runs from the load's start to the first RUNNING status, running from there to the last
-    status.  ``errors`` lists failed loads instead of finished ones."""
+    status.  ``errors`` lists failed loads instead of finished ones.  A load that several exchange
+    workflows (``wf_name``) served has a row for each of them."""
     if errors:
         wanted = F.col("status").isin("ABORTED", "ERROR", "ERRORCHECK") | (F.col("alive") == "ABORTED")
     else:
@@ -260,10 +287,10 @@ def load_times(
         wanted & (F.col("category") == category) & F.col("status_dttm").between(_ts(first), _ts(last))
     )
     newest = newest_per_key(_waits(rows), ["wf_id"], ["id"])
-    x = exchange.select(F.col("id").alias("_x"), "keys_cnt", F.col("cnt").alias("rows_count"), "sum_len", "time_s", "completed", "retry")
+    x = exchange.select(F.col("id").alias("_x"), "wf_name", "keys_cnt", F.col("cnt").alias("rows_count"), "sum_len", "time_s", "completed", "retry")
     return newest.join(x, F.col("id") == F.col("_x"), "left").select(
         "id", "auto", "alive", "status_dttm", "wait_s", "run_s", "status", "wf_id", "category", "name", "scheduled",
-        "keys_cnt", "rows_count", "sum_len", "time_s", "completed", "retry",
+        "wf_name", "keys_cnt", "rows_count", "sum_len", "time_s", "completed", "retry",
     )
 
 

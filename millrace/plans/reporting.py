@@ -184,24 +184,23 @@ def timeline(t):
     return ops.status_timeline(_loads(t), _catalogue(t), DAY, "hr").select("id", "name", "nn", "status_dttm", "status")
 
 
-_LOAD_TIMES = """select l.id, alive, status_dttm, cast(wait_min * 60 as bigint) as wait_s, cast(epoch(status_dttm) - epoch(began) as bigint) as run_s, status, wf_id, keys_cnt, completed
-  from loads l left join (select id, count(*) as keys_cnt, min(cast(completed as int)) = 1 as completed from batches where wf_name = 'x_1' group by 1) x on x.id = l.id"""
+_LOAD_TIMES = """select l.id, alive, status_dttm, cast(wait_min * 60 as bigint) as wait_s, cast(epoch(status_dttm) - epoch(began) as bigint) as run_s, status, wf_id, wf_name, keys_cnt, completed
+  from loads l left join (select wf_name, id, count(*) as keys_cnt, min(cast(completed as int)) = 1 as completed from batches group by 1, 2) x on x.id = l.id"""
 
 
 def _exchange_ids(t):
-    batches = runlog.exchange_batches(_exchange_log(t)).where("wf_name = 'x_1'")
-    return runlog.exchange_ids(batches, _loads(t), NOW)
+    return runlog.exchange_ids(runlog.exchange_batches(_exchange_log(t)), _loads(t), NOW)
 
 
 def _times(t, errors):
     out = ops.load_times(_loads(t), _catalogue(t), _exchange_ids(t), "hr.cat_2", dt.datetime(2024, 1, 5), dt.datetime(2024, 1, 21), errors)
-    return out.select("id", "alive", "status_dttm", "wait_s", "run_s", "status", "wf_id", "keys_cnt", "completed")
+    return out.select("id", "alive", "status_dttm", "wait_s", "run_s", "status", "wf_id", "wf_name", "keys_cnt", "completed")
 
 
 def _times_sql(where):
     return f"""with {_BATCHES}, {LOADS}, {_CATALOGUE}, w as ({_LOAD_TIMES})
       select w.* from w join cat on wf = wf_id where category = 'hr.cat_2' and status_dttm between timestamp '2024-01-05' and timestamp '2024-01-21' and {where}
-      qualify row_number() over (partition by wf_id order by w.id desc) = 1"""
+      qualify dense_rank() over (partition by wf_id order by w.id desc) = 1"""
 
 
 @query("R19_load_times", _times_sql("status not in ('EVENT-WAIT', 'TIME-WAIT', 'ABORTED') and alive <> 'ACTIVE'"))
@@ -216,9 +215,10 @@ def load_errors(t):
 
 @query(
     "R19_exchange_times",
-    f"""with {_BATCHES}, {LOADS}, g as (select wf_name, id, max(ts) as ts, count(*) as keys_cnt from batches where wf_name = 'x_1' group by 1, 2)
+    f"""with {_BATCHES}, {LOADS}, g as (select wf_name, id, max(ts) as ts, count(*) as keys_cnt from batches group by 1, 2)
         select g.wf_name, g.id, g.ts, keys_cnt, cast(wait_min * 60 as bigint) as wait_s, cast(epoch(status_dttm) - epoch(began) as bigint) as run_s
-        from g left join loads l on l.id = g.id where g.ts >= timestamp '2024-01-20' order by g.ts desc limit 1""",
+        from g left join loads l on l.id = g.id where g.ts >= timestamp '2024-01-20'
+        qualify row_number() over (partition by g.wf_name order by g.ts desc) = 1""",
 )
 def exchange_times(t):
     out = ops.exchange_times(_exchange_ids(t), _loads(t), dt.datetime(2024, 1, 20))
