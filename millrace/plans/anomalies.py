@@ -157,10 +157,7 @@ def _verdict_inputs(t):
     return cand, hist, config
 
 
-_VERDICT_SQL = (
-    fx.with_sql(
-        _ROW_TOTALS,
-        """cfg as (select distinct user_id, user_id % 30 <> 0 as active, user_id % 2 = 0 as back,
+_SETTINGS = """cfg as (select distinct user_id, user_id % 30 <> 0 as active, user_id % 2 = 0 as back,
              case user_id % 4 when 0 then 5 else 90 end as dots, case user_id % 4 when 0 then 1 end as cmax,
              case user_id % 4 when 1 then 3 else 1 end as iv, case user_id % 4 when 1 then 1 end as cmin,
              case user_id % 4 when 2 then -0.5 end as zfr, case user_id % 4 when 2 then 0.5 end as zto,
@@ -168,7 +165,12 @@ _VERDICT_SQL = (
              case user_id % 4 when 3 then 110 end as hist, case user_id % 4 when 3 then date '2024-01-28' end as fin,
              case when user_id % 5 = 0 then [date '2024-01-12', date '2024-01-30'] else [] end as z_except,
              case when user_id % 7 = 0 then [date '2024-01-11', date '2024-01-30'] else [] end as z_error
-           from events where user_id % 3 = 0)""",
+           from events where user_id % 3 = 0)"""
+
+_VERDICT_SQL = (
+    fx.with_sql(
+        _ROW_TOTALS,
+        _SETTINGS,
         """cand as (select t.user_id, t.key_date as kd, t.rows_count as rc, t.log_id as lid, coalesce(c.dots, 90) as dots, c.cmax, coalesce(c.iv, 1) as iv, c.cmin,
              c.zfr, c.zto, coalesce(c.skip, true) as skip, c.beg, c.hist, c.fin, coalesce(c.z_except, []) as z_except, coalesce(c.z_error, []) as z_error, c.back,
              case when t.rows_count <= c.hist then c.hist else 9000000000000000000 end as rmax, case when t.rows_count > c.hist then c.hist + 1 else 0 end as rmin
@@ -213,7 +215,46 @@ def rejected(t):
     return ops.rejected_loads(ops.growth_verdicts(*_verdict_inputs(t), TODAY)).drop("error")
 
 
-@query("Z7_recalculate")
+# One step per load of an object; the points of the object known so far travel with it as a list.
+_RECALC_SQL = f"""with recursive {_ROW_TOTALS}, {_SETTINGS},
+  known as (select user_id, list(struct_pack(kd := key_date, nz := ztest is null, zt := ztest, ts := ts, lid := log_id, rc := rows_count, val := cast(value as bigint),
+      a := cast(1 as bigint), s := cast(2 as bigint), n := cast(3 as bigint), mn := cast(4 as bigint), mx := cast(5 as bigint))) as pts
+    from totals where ts < timestamp '2024-01-15' group by 1),
+  loads as (select t.user_id, row_number() over (partition by t.user_id order by log_id) as k, log_id + 10000000 as lid, key_date as kd, rows_count as rc, ts,
+      coalesce(dots, 90) as dots, coalesce(cmin, -9000000000000000000) as low, coalesce(cmax, 9000000000000000000) as high, coalesce(iv, 1) as iv,
+      coalesce(zfr, -10) as z1, coalesce(zto, 10) as z2, coalesce(zfr, -5) as z3, coalesce(zto, 5) as z4, coalesce(skip, true) as skip,
+      coalesce(beg, date '1900-01-01') as beg, fin, coalesce(z_except, []) as z_except, coalesce(z_error, []) as z_error,
+      case when rows_count <= hist then hist else 9000000000000000000 end as rmax, case when rows_count > hist then hist + 1 else 0 end as rmin
+    from totals t left join cfg c on c.user_id = t.user_id where ts >= timestamp '2024-01-15' and rows_count <> 0 and coalesce(active, true)),
+  steps as (
+    select distinct l.user_id, cast(0 as bigint) as k, known.pts, cast(null as double) as zz, cast(null as bigint) as dif, cast(null as varchar) as msg
+    from loads l left join known on known.user_id = l.user_id
+    union all
+    select user_id, k, list_append(coalesce(pts, []), struct_pack(kd := kd, nz := ok is null, zt := ok, ts := ts, lid := lid, rc := rc, val := val,
+        a := case when keep then lst.a else cast(round(round(a, 9)) as bigint) end, s := case when keep then lst.s else cast(round(round(s, 9)) as bigint) end,
+        n := case when keep then lst.n else cast(len(sample) as bigint) end, mn := case when keep then lst.mn else list_min(sample) end,
+        mx := case when keep then lst.mx else list_max(sample) end)) as pts, z, dif, msg
+    from (select *, coalesce(ok = false and has, false) as keep from (
+      select *, case when msg[1:2] = 'Ok' then true when msg[1:2] = 'No' then false end as ok from (
+        select *, case when list_contains(z_except, kd) then 'Ok z_except' when list_contains(z_error, kd) then 'No z_error' when kd > fin then 'Key_date > end'
+            when kd < beg then 'Key_date < beg' when not has then 'Ok first' when val < low then 'No < min' when val > high then 'No > max'
+            when abs(s / nullif(a, 0)) < 0.01 and z between z1 and z2 then 'Ok' when z between z3 and z4 then 'Ok' else 'No' end as msg
+        from (select *, (val - a) / coalesce(nullif(s, 0), 1) as z from (
+          select *, list_avg(sample) as a, list_aggregate(sample, 'stddev_pop') as s from (
+            select *, case when has then list_append(list_transform(list_slice(base, 1, dots), lambda p: p.val), val) end as sample from (
+              select *, lst is not null as has, cast(kd - lst.kd as bigint) as dif, cast(trunc((rc - lst.rc) / (kd - lst.kd)) as bigint) as val,
+                  list_filter(hits, lambda p, i: i = 1 or hits[i - 1].kd <> p.kd) as base from (
+                select *, list_filter(able, lambda p: p.kd <= kd - cast(iv as int) and (p.val is null or (not (skip and p.val = 0) and p.val between low and high)))[1] as lst,
+                    list_filter(able, lambda p: p.val is not null and not (skip and p.val = 0) and p.val between low and high
+                      and (coalesce(p.zt, true) or list_contains(z_except, p.kd))) as hits from (
+                  select l.*, pts, list_reverse_sort(list_filter(coalesce(pts, []), lambda p: p.kd < l.kd and not list_contains(l.z_error, p.kd) and p.kd >= l.beg
+                    and p.rc between l.rmin and l.rmax)) as able from steps join loads l on l.user_id = steps.user_id and l.k = steps.k + 1)))))))))
+  )
+  select round(zz, 6) as zscore, p.ts as ts, 'tb_' || user_id as object, p.kd as key_date, p.rc as rows_count, cast(dif as int) as key_diff, p.val as value, p.a as avg,
+    p.s as std, p.n as cnt, p.mn as min, p.mx as max, p.lid as log_id, p.zt as ztest, msg from (select *, pts[len(pts)] as p from steps where k > 0)"""
+
+
+@query("Z7_recalculate", _RECALC_SQL)
 def recalculate(t):
     _, hist, config = _verdict_inputs(t)
     totals = _row_totals(t)
@@ -224,7 +265,8 @@ def recalculate(t):
         "rows_count",
         "ts",
     )
-    return ops.recalculate(loads, hist, config, dt.datetime(2024, 1, 15), TODAY)
+    out = ops.recalculate(loads, hist, config, dt.datetime(2024, 1, 15), TODAY)
+    return out.withColumn("zscore", F.round("zscore", 6))
 
 
 _CONFIG_SQL = """cfg as (select 'tb_' || user_id as object, user_id % 4 <> 0 as active, user_id % 2 = 0 as rollback, cast(null as varchar) as z_cfg,
