@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.keys import keep_matching, newest_per_key
+from millrace.functions.keys import keep_matching, newest_per_key, row_hash
 from millrace.functions.lineage import cut_lineage
 from millrace.functions.ordered import quantile_chunk, running
 from millrace.functions.parsing import extract, is_json, safe_cast
@@ -121,27 +121,65 @@ def mapping_duplicates(df: DataFrame, key: str, start: str, end: str, as_of) ->
 def fingerprint(df: DataFrame, period: str | None = None, load: str | None = None, key: str | None = None) -> DataFrame:
     """Order-free content hash, row count and min/max of the period, load and key dates; one pass.
 
-    The date columns are found by name when not given.  Row hashes are combined by xor and by sum,
-    so equal rows do not cancel out."""
+    The date columns are found by name when not given.  Row hashes are combined by xor and by sum, so equal rows do not
+    cancel out; it is the hash that :func:`merged_fingerprint` makes from the parts of a table."""
+    found = _date_columns(df, period, load, key)
+    out = df.agg(*_content(df.columns), *_ranges(found))
+    return out.select(_content_hash().alias("hash"), "cnt", *[f"{role}{side}" for role in found for side in ("min", "max")])
+
+
+def partition_fingerprints(df: DataFrame, by: Sequence[str], load: str | None = None, key: str | None = None) -> DataFrame:
+    """One row per partition (columns ``by``): ``cnt``, the xor ``x`` and sum ``s`` of row hashes, min/max of the dates found.
+
+    The rows are small enough to be stored beside a table; they merge to its fingerprint and show which partitions changed.
+    A partial aggregate runs before the shuffle, so a partition with a third of all rows sends one row per map task."""
+    found = _date_columns(df, None, load, key)
+    return df.groupBy(*by).agg(*_content(df.columns), *_ranges(found))
+
+
+def merged_fingerprint(parts: DataFrame) -> DataFrame:
+    """Fingerprint of the whole table from its partitions."""
+    ranges = [F.min(c).alias(c) if c.endswith("min") else F.max(c).alias(c) for c in parts.columns if c in _RANGES]
+    out = parts.agg(F.sum("cnt").alias("cnt"), F.bit_xor("x").alias("x"), F.sum("s").alias("s"), *ranges)
+    return out.select(_content_hash().alias("hash"), F.coalesce("cnt", F.lit(0)).alias("cnt"), *[c for c in out.columns if c in _RANGES])
+
+
+def changed_partitions(current: DataFrame, accepted: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Partitions that differ between two tables of partition fingerprints: ``by``, ``change`` (new, gone, changed), both counts."""
+    now = current.select(*by, F.struct("cnt", "x", "s").alias("_now"))
+    old = accepted.select(*[F.col(c).alias(f"_{c}") for c in by], F.struct("cnt", "x", "s").alias("_old"))
+    same_key = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by])
+    both = now.join(old, same_key, "full_outer").where(~F.col("_now").eqNullSafe(F.col("_old")))
+    change = F.when(F.col("_old").isNull(), "new").when(F.col("_now").isNull(), "gone").otherwise("changed")
+    keys = [F.when(F.col("_now").isNull(), F.col(f"_{c}")).otherwise(F.col(c)).alias(c) for c in by]
+    return both.select(*keys, change.alias("change"), F.col("_now.cnt").alias("cnt"), F.col("_old.cnt").alias("old_cnt"))
+
+
+_ROLES = {"r": PERIOD_DATE, "l": LOAD_DATE, "k": KEY_DATE}
+_RANGES = {f"{role}{side}" for role in _ROLES for side in ("min", "max")}
+
+
+def _date_columns(df: DataFrame, *given: str | None) -> dict[str, str]:
     found = {}
-    for role, given, name in (("r", period, PERIOD_DATE), ("l", load, LOAD_DATE), ("k", key, KEY_DATE)):
-        column = given or (name if name in df.columns and _is_date(df, name) else None)
+    for (role, name), column in zip(_ROLES.items(), given, strict=True):
+        column = column or (name if name in df.columns and _is_date(df, name) else None)
         if column:
             found[role] = column
-    # Hash of the column texts, so that another engine or a re-typed copy gives the same value.
-    h = F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\u0002")) for c in df.columns])
-    aggs = [
-        F.count(F.lit(1)).alias("cnt"),
-        F.bit_xor(h).alias("_x"),
-        F.sum(F.pmod(h, F.lit(1_000_000_007))).alias("_s"),
-    ]
-    for role, column in found.items():
-        aggs += [F.min(column).cast("string").alias(f"{role}min"), F.max(column).cast("string").alias(f"{role}max")]
-    out = df.agg(*aggs)
-    return out.select(
-        F.md5(F.concat_ws("|", F.coalesce("_x", F.lit(0)).cast("string"), F.coalesce("_s", F.lit(0)).cast("string"), F.col("cnt").cast("string"))).alias("hash"),
-        *[c for c in out.columns if not c.startswith("_")],
-    )
+    return found
+
+
+def _content(columns: Sequence[str]) -> list[Column]:
+    # 60 bits of the MD5 of the column texts: any engine, and a re-typed copy, gives the same value.
+    h = F.conv(F.substring(row_hash(columns), 1, 15), 16, 10).cast("bigint")
+    return [F.count(F.lit(1)).alias("cnt"), F.bit_xor(h).alias("x"), F.sum(F.pmod(h, F.lit(1_000_000_007))).alias("s")]
+
+
+def _content_hash() -> Column:
+    return F.md5(F.concat_ws("|", *[F.coalesce(c, F.lit(0)).cast("string") for c in ("x", "s", "cnt")]))
+
+
+def _ranges(found: dict[str, str]) -> list[Column]:
+    return [f(c).cast("string").alias(f"{role}{side}") for role, c in found.items() for side, f in (("min", F.min), ("max", F.max))]
 
 
 def _is_date(df: DataFrame, name: str) -> bool:

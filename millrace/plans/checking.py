@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from millrace.functions.parsing import FALSE_WORDS, TRUE_WORDS
 from millrace.operators import checks as ops
 from millrace.plans import fixtures as fx
 from millrace.plans.registry import query
@@ -87,13 +88,55 @@ def change_status(t):
     return ops.change_status(top.drop("low").unionByName(none), accepted, dt.datetime(2024, 1, 15))
 
 
+_STORED = [*fx.ORDER_COLUMNS, "load_date"]
+_PARTS = """select {by} count(*) as cnt, bit_xor(h) as x, cast(sum(h % 1000000007) as bigint) as s from
+  (select *, cast('0x' || left({hash}, 15) as bigint) as h from {table}) {group}"""
+_CONTENT = "md5(concat_ws('|', coalesce(x, 0), coalesce(s, 0), cnt))"
+
+
+def _parts_sql(table, columns, by=None, group="group by 1"):
+    return _PARTS.format(by=f"{by}," if by else "", hash=fx.hash_sql(columns), table=table, group=group if by else "")
+
+
 @query(
     "C4_fingerprint_ranges",
     fx.with_sql(fx.ORDERS_OLD)
-    + "select count(*) as cnt, cast(min(load_date) as varchar) as lmin, cast(max(load_date) as varchar) as lmax, cast(min(o_orderdate) as varchar) as kmin, cast(max(o_orderdate) as varchar) as kmax from orders_old",
+    + f"""select {_CONTENT} as hash, cnt, lmin, lmax, kmin, kmax from ({_parts_sql("orders_old", _STORED)}),
+          (select cast(min(load_date) as varchar) as lmin, cast(max(load_date) as varchar) as lmax, cast(min(o_orderdate) as varchar) as kmin,
+             cast(max(o_orderdate) as varchar) as kmax from orders_old)""",
 )
 def fingerprint_ranges(t):
-    return ops.fingerprint(fx.orders_old(t), key="o_orderdate").drop("hash")
+    return ops.fingerprint(fx.orders_old(t), key="o_orderdate")
+
+
+@query(
+    "C4_merged_fingerprint",
+    fx.with_sql(fx.ORDERS_OLD) + f"select {_CONTENT} as hash, cnt from ({_parts_sql('orders_old', _STORED)})",
+)
+def merged_fingerprint(t):
+    parts = ops.partition_fingerprints(fx.orders_old(t), ["o_orderpriority"])
+    return ops.merged_fingerprint(parts).select("hash", "cnt")
+
+
+_TOUCHED = "o_orderkey % 3 <> 0 and not (o_orderpriority = '4-NOT SPECIFIED' and o_orderkey % 64 = 1) and o_orderpriority <> '5-LOW'"
+
+
+@query(
+    "C4_changed_partitions",
+    fx.with_sql(
+        fx.ORDERS_OLD,
+        f"touched as (select * from orders_old where {_TOUCHED})",
+        f"old as ({_parts_sql('orders_old', _STORED, 'o_orderpriority')})",
+        f"now as ({_parts_sql('touched', _STORED, 'o_orderpriority')})",
+    )
+    + """select coalesce(now.o_orderpriority, old.o_orderpriority) as o_orderpriority, case when old.cnt is null then 'new' when now.cnt is null then 'gone' else 'changed' end as change,
+         now.cnt as cnt, old.cnt as old_cnt from now full outer join old on now.o_orderpriority = old.o_orderpriority
+         where now.cnt is distinct from old.cnt or now.x is distinct from old.x or now.s is distinct from old.s""",
+)
+def changed_partitions(t):
+    old = fx.orders_old(t)
+    by = ["o_orderpriority"]
+    return ops.changed_partitions(ops.partition_fingerprints(old.where(_TOUCHED), by), ops.partition_fingerprints(old, by), by)
 
 
 @query(
@@ -105,11 +148,20 @@ def load_statistics(t):
     return ops.load_statistics(t.orders, "stg.orders", period="o_orderdate", key="o_orderkey")
 
 
+_WORDS = ", ".join(f"'{w}'" for w in (*TRUE_WORDS, *FALSE_WORDS))
+
+
 def _profile_sql(table, num, column, kind, numeric):
     low, high = ("cast(min({c}) as varchar)", "cast(max({c}) as varchar)") if numeric else ("min(cast({c} as varchar))", "max(cast({c} as varchar))")
     return f"""select {num} as fld_num, '{column}' as fld_name, '{kind}' as fld_type, count(*) as dist_cnt, cast(sum(case when v is null then n else 0 end) as bigint) as null_cnt,
       cast(sum(n) as bigint) as cnt, min(n) as min_cnt, max(n) as max_cnt, cast(round(avg(n)) as bigint) as avg_cnt, cast(min(length(v)) as int) as min_len, cast(max(length(v)) as int) as max_len,
-      cast(round(avg(length(v))) as int) as avg_len, count(*) filter (regexp_full_match(v, '\\d+')) as cnt_int, (select {low.format(c=column)} from {table}) as min,
+      cast(round(avg(length(v))) as int) as avg_len, cast(round(stddev(length(v))) as int) as std_len, cast(min(octet_length(encode(v))) as int) as min_size,
+      cast(round(avg(octet_length(encode(v)))) as int) as avg_size, cast(max(octet_length(encode(v))) as int) as max_size,
+      count(*) filter (lower(trim(v)) in ({_WORDS})) as cnt_bool, count(*) filter (regexp_full_match(v, '\\d{{4,6}}')) as cnt_dt,
+      count(*) filter (regexp_full_match(v, '\\d+')) as cnt_int, count(try_cast(nullif(trim(v), '') as double)) as cnt_float,
+      count(*) filter (regexp_full_match(lower(v), '[0-9a-f]{{8}}(-[0-9a-f]{{4}}){{3}}-[0-9a-f]{{12}}')) as cnt_uuid, count(*) filter (v like '[%]' or v like '{{%}}') as cnt_array,
+      count(*) filter (regexp_full_match(v, '\\d+([.]\\d+)?')) as cnt_json, count(*) = count(v) as is_not_null, count(*) = sum(n) as is_uniq,
+      (select {low.format(c=column)} from {table}) as min,
       (select {high.format(c=column)} from {table}) as max
       from (select cast({column} as varchar) as v, count(*) as n from {table} group by 1)"""
 
@@ -120,15 +172,13 @@ def _profile_sql(table, num, column, kind, numeric):
     + " union all ".join(
         _profile_sql("part_nulls", i, c, k, num)
         for i, (c, k, num) in enumerate(
-            [("p_partkey", "bigint", True), ("p_name", "string", False), ("p_brand", "string", False), ("p_type", "string", False), ("p_size", "int", True)], 1
+            [("p_partkey", "bigint", True), ("p_name", "string", False), ("p_brand", "string", False), ("p_type", "string", False), ("p_size", "int", True), ("p_retailprice", "double", True)], 1
         )
     ),
 )
 def profile(t):
-    out = ops.profile_columns(fx.part_nulls(t), ["p_partkey", "p_name", "p_brand", "p_type", "p_size"])
-    return out.select(
-        "fld_num", "fld_name", "fld_type", "dist_cnt", "null_cnt", "cnt", "min_cnt", "max_cnt", "avg_cnt", "min_len", "max_len", "avg_len", "cnt_int", "min", "max"
-    )
+    columns = ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"]
+    return ops.profile_columns(fx.part_nulls(t), columns).drop("fld_stat")
 
 
 @query(
@@ -144,15 +194,23 @@ def inferred_classes(t):
     return ops.profile_columns(rows).select("fld_name", "fld_stat")
 
 
+_LINEITEM = (
+    "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax l_returnflag l_linestatus l_shipdate"
+).split()
+
+
 @query(
     "C7_skew_statistics",
-    """with u as (select l_suppkey, count(*) as n from lineitem group by 1)
+    """with u as (select l_suppkey, count(*) as n, sum(size) as size from (select l_suppkey, list_sum([coalesce(octet_length(encode(cast(c as varchar))), 0) for c in
+         [{texts}]]) as size from lineitem) group by 1)
        select 'lineitem' as tbl, count(*) as segments, cast(sum(n) as bigint) as sum, min(n) as min, max(n) as max, cast(round(avg(n)) as bigint) as avg,
          cast(round(stddev(n)) as bigint) as std, round(round(stddev(n)) / nullif(round(avg(n)), 0), 6) as skew, round(1 - min(n) / avg(n), 6) as min_rate,
-         round(max(n) / avg(n) - 1, 6) as max_rate from u""",
+         round(max(n) / avg(n) - 1, 6) as max_rate, cast(sum(size) as bigint) as data_size from u""".replace(
+        "{texts}", ", ".join(f"cast({c} as varchar)" for c in _LINEITEM)
+    ),
 )
 def skew(t):
-    return ops.skew_statistics(t.lineitem, "lineitem", ["l_suppkey"]).drop("data_size")
+    return ops.skew_statistics(t.lineitem.select(*_LINEITEM), "lineitem", ["l_suppkey"])
 
 
 @query(

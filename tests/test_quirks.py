@@ -271,3 +271,37 @@ def test_rows_to_append(spark):
     target = a.where("k = 2")
     assert loads.rows_to_append(a, target, loads.LoadConfig("INSERT")).count() == 3
     assert rows_of(loads.rows_to_append(a, target, loads.LoadConfig("EXCEPT"))) == [(1, "x")]
+
+
+def test_partition_fingerprints_merge_and_show_the_touched_partition(spark):
+    rows = [(i % 40, i, f"v{i}") for i in range(4000)] + [(None, 1, "x")] * 3
+    table = spark.createDataFrame(rows, "part int, k int, v string")
+    touched = table.withColumn("v", F.when(F.col("k") == 57, "other").otherwise(F.col("v"))).where("part is null or part <> 5")
+    before, after = (checks.partition_fingerprints(f, ["part"]) for f in (table, touched))
+    assert checks.merged_fingerprint(before).first() == checks.fingerprint(table).first()
+    assert checks.merged_fingerprint(before.limit(0)).first().cnt == 0
+    assert sorted(map(tuple, checks.changed_partitions(after, before, ["part"]).collect())) == [(5, "gone", None, 100), (17, "changed", 100, 100)]
+    assert checks.changed_partitions(before, before, ["part"]).isEmpty()
+
+
+def test_concurrency_sweep_equals_slots(spark):
+    """Long, short, empty and overlapping runs of few workflows against a plain count per slot."""
+    import random
+
+    from millrace.operators import reports
+
+    rng, day = random.Random(4), dt.date(2024, 1, 20)
+    start = dt.datetime(2024, 1, 19, 20)
+    runs = []
+    for i in range(200):
+        at = start + dt.timedelta(seconds=rng.randrange(30 * 3600))
+        runs.append((rng.choice(["a", "b", "c", None]), at, rng.choice([None, at, at + dt.timedelta(seconds=rng.choice([1, 599, 600, 4000, 90000]))])))
+    runs.append(("d", dt.datetime(2024, 1, 20, 3), dt.datetime(2024, 1, 20, 3)))
+    got = reports.concurrency_load(spark.createDataFrame(runs, "workflow string, start_ts timestamp, end_ts timestamp"), day, 4).collect()
+    for row in got:
+        for m in range(0, 60, 10):
+            lo = dt.datetime.combine(day, dt.time(row.hour, m))
+            hi = lo + dt.timedelta(minutes=10)
+            inside = [(w, (min(e, hi) - max(s, lo)).total_seconds()) for w, s, e in runs if e and s < hi and e > lo]
+            assert row[f"cnt_{m:02d}"] == len({w for w, _ in inside if w})
+            assert abs(row[f"rate_{m:02d}"] - sum(b for _, b in inside) / 2400) < 0.0051
