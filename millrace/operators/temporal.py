@@ -34,41 +34,62 @@ def tree_paths(edges: DataFrame, roots: DataFrame) -> DataFrame:
     org_id, parent_org_id, lvl, date_start, date_finish (of the last edge), valid_from, valid_to (of the
     whole path), lvl_0_org_id and ``path``, one (id, s, e) struct per level.
 
-    The recursion runs over edges once, level by level, not once per day, until a level is empty.  Each
-    level is written to a reliable checkpoint, so a level is computed once and an executor may be lost.
-    An edge must overlap its parent edge; a node that occurs on its own path is not followed, so it ends.
+    Chains of edges are doubled: those of 2^k edges are joined with themselves, and below those that end at a root, so a
+    tree of depth n takes about log2(n) rounds, once for all days.  Each round is a reliable checkpoint, computed once and
+    safe from a lost executor.  An edge must overlap its parent edge; a node that occurs on its own path is not followed,
+    so a cycle ends; paths without limit of length.
     """
-    step = edges.select(
-        F.col("child").alias("_c"), F.col("parent").alias("_p"), F.col("date_start").alias("_s"), F.col("date_finish").alias("_e")
-    )
-    link = F.struct(F.col("_c").alias("id"), F.col("_s").alias("s"), F.col("_e").alias("e"))
-    top = roots.select(F.col("root").alias("_root")).distinct()
-    level = step.join(top, F.col("_p") == F.col("_root")).select(
-        F.col("_c").alias("org_id"), F.col("_p").alias("parent_org_id"), F.lit(1).alias("lvl"),
-        F.col("_s").alias("date_start"), F.col("_e").alias("date_finish"),
-        F.col("_s").alias("valid_from"), F.col("_e").alias("valid_to"),
-        F.col("_p").alias("lvl_0_org_id"), F.array(link).alias("path"),
+    link = F.struct(F.col("child").alias("id"), F.col("date_start").alias("s"), F.col("date_finish").alias("e"))
+    open_ = cut_lineage(
+        edges.select(
+            F.col("child").alias("org_id"), F.col("parent").alias("parent_org_id"), "date_start", "date_finish",
+            F.col("date_start").alias("valid_from"), F.col("date_finish").alias("valid_to"),
+            F.col("parent").alias("_top"), F.array(link).alias("path"),
+        )
     )
-    levels = [cut_lineage(level)]
+    wanted = roots.select(F.col("root").alias("_root")).distinct()
+    done = [open_.join(wanted, F.col("_top") == F.col("_root"), "left_semi")]
     while True:
-        above, depth = levels[-1], len(levels) + 1
-        grown = above.join(step, F.col("org_id") == F.col("_p")).where(
-            overlaps(F.col("date_start"), F.col("date_finish"), F.col("_s"), F.col("_e"))
-            & (F.greatest("valid_from", "_s") <= F.least("valid_to", "_e"))
-            & ~F.exists("path", lambda x: x["id"] == F.col("_c"))
-            & (F.col("lvl_0_org_id") != F.col("_c"))
-        )
-        below = cut_lineage(
-            grown.select(
-                F.col("_c").alias("org_id"), F.col("_p").alias("parent_org_id"), F.lit(depth).alias("lvl"),
-                F.col("_s").alias("date_start"), F.col("_e").alias("date_finish"),
-                F.greatest("valid_from", "_s").alias("valid_from"), F.least("valid_to", "_e").alias("valid_to"),
-                "lvl_0_org_id", F.array_append("path", link).alias("path"),
-            )
-        )
-        if below.isEmpty():
-            return reduce(DataFrame.unionByName, levels)
-        levels.append(below)
+        rooted = _chained(open_, reduce(DataFrame.unionByName, done)).where(~F.exists("path", lambda x: x["id"] == F.col("_top")) | _root_loop())
+        longer = cut_lineage(_chained(open_, open_))
+        done.append(cut_lineage(rooted))
+        if longer.isEmpty():
+            break
+        open_ = longer
+    every = reduce(DataFrame.unionByName, done)
+    return every.select(
+        "org_id", "parent_org_id", F.size("path").alias("lvl"), "date_start", "date_finish", "valid_from", "valid_to",
+        F.col("_top").alias("lvl_0_org_id"), "path",
+    )
+
+
+def _root_loop() -> Column:
+    """The root is on the path only as its first node, by an edge to itself."""
+    return (F.get("path", F.lit(0)).getField("id") == F.col("_top")) & (F.size(F.filter("path", lambda x: x["id"] == F.col("_top"))) == 1)
+
+
+def _chained(lower: DataFrame, upper: DataFrame) -> DataFrame:
+    """Every ``lower`` chain hung on the ``upper`` ones that end at the node it starts from."""
+    above = upper.select(
+        F.col("org_id").alias("_node"), F.col("valid_from").alias("_from"), F.col("valid_to").alias("_to"), F.col("_top").alias("_above"),
+        F.col("date_start").alias("_s"), F.col("date_finish").alias("_e"), F.col("path").alias("_path"),
+    )
+    head = F.get("path", F.lit(0))
+
+    def ids(path):
+        return F.transform(path, lambda x: x["id"])
+
+    fits = (
+        (F.col("_top") == F.col("_node"))
+        & overlaps(F.col("_s"), F.col("_e"), head.getField("s"), head.getField("e"))
+        & (F.greatest("valid_from", "_from") <= F.least("valid_to", "_to"))
+        & ~F.arrays_overlap(ids("_path"), ids("path"))
+    )
+    return lower.join(above, fits).select(
+        "org_id", "parent_org_id", "date_start", "date_finish",
+        F.greatest("valid_from", "_from").alias("valid_from"), F.least("valid_to", "_to").alias("valid_to"),
+        F.col("_above").alias("_top"), F.concat("_path", "path").alias("path"),
+    )
 
 
 def _days(first: dt.date, last: dt.date) -> Column:

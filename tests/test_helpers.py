@@ -139,3 +139,18 @@ def test_tree_levels_and_cycles(spark):
     daily = temporal.daily_tree(paths, day, dt.date(2024, 1, 6))
     assert daily.where("org_id = 4").count() == 2
     assert daily.where("org_id = 3 and lvl <> 2").isEmpty()
+
+
+def test_deep_chain_takes_few_rounds(spark, monkeypatch):
+    """A chain of 1000 nodes, a cycle on its way and a side branch: about ten rounds, paths as by single steps."""
+    from millrace.operators import temporal
+
+    always = (dt.date(2024, 1, 1), dt.date(9999, 12, 31))
+    edges = [(i + 1, i, *always) for i in range(1, 1001)] + [(500, 700, *always), (5000, 998, dt.date(2024, 2, 1), dt.date(2024, 3, 1))]
+    rounds = []
+    real = temporal.cut_lineage
+    monkeypatch.setattr(temporal, "cut_lineage", lambda df: rounds.append(1) or real(df))
+    paths = temporal.tree_paths(spark.createDataFrame(edges, "child int, parent int, date_start date, date_finish date"), spark.createDataFrame([(1,)], "root int"))
+    got = {(r.org_id, r.lvl, r.valid_from) for r in paths.select("org_id", "lvl", "valid_from").collect()}
+    assert got == {(i + 1, i, always[0]) for i in range(1, 1001)} | {(5000, 998, dt.date(2024, 2, 1))}
+    assert len(rounds) <= 2 * 11 + 1
