@@ -473,12 +473,18 @@ def _half_up(x: float) -> int:
 # --- configuration and view ----------------------------------------------------------------
 
 
-def upsert_config(config: DataFrame, updates: DataFrame) -> DataFrame:
+def upsert_config(config: DataFrame, updates: DataFrame, order: str | None = None) -> DataFrame:
     """Merge settings by object; a NULL in ``updates`` keeps the old value.
 
-    Of several updates of one object the largest value of each setting counts."""
-    settings = [c for c in updates.columns if c != "object"]
-    new = updates.groupBy(F.col("object").alias("_n_object")).agg(*[F.max(c).alias(f"_n_{c}") for c in settings])
+    Of several updates of one object the last one by the column ``order`` that gives a setting counts for it, as if they
+    were applied one after the other.  Without ``order`` an object must be updated once only; of more the largest value counts.
+    """
+    settings = [c for c in updates.columns if c not in ("object", order)]
+
+    def newest(c):
+        return F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order))) if order else F.max(c)
+
+    new = updates.groupBy(F.col("object").alias("_n_object")).agg(*[newest(c).alias(f"_n_{c}") for c in settings])
     joined = config.join(new, F.col("object") == F.col("_n_object"), "full_outer")
     defaults = {
         "active": F.lit(True),

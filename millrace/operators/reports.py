@@ -318,10 +318,11 @@ def repeated_key_dates(journal: DataFrame, since, as_of) -> DataFrame:
     """Objects whose newest key date has been loaded on several days.
 
     ``journal``: object, ts, key_date, rows_count.  One row per (object, load day) keeps the newest key date;
-    per object and key date the load days after the last day of the previous key date are counted."""
+    per object and key date the load days after the last day of the previous key date are counted.  ``rows_counts``
+    lists the different row counts of these days as text, thousands apart, in text order."""
     rows = journal.where(F.col("ts") > _ts(since)).select("object", "ts", F.to_date("ts").alias("day"), "key_date", "rows_count")
     daily = newest_per_key(rows, ["object", "day"], ["key_date", "ts"])
-    return _repeats(daily, "key_date", "day", as_of, False)
+    return _repeats(daily, "key_date", "day", as_of, False, listed="rows_count")
 
 
 def repeated_row_counts(journal: DataFrame, since, as_of) -> DataFrame:
@@ -331,14 +332,19 @@ def repeated_row_counts(journal: DataFrame, since, as_of) -> DataFrame:
     return _repeats(daily, "rows_count", "day", as_of, True)
 
 
-def _repeats(daily: DataFrame, value: str, day: str, as_of, only_longer: bool) -> DataFrame:
+def _repeats(daily: DataFrame, value: str, day: str, as_of, only_longer: bool, listed: str | None = None) -> DataFrame:
     # One row per object and day: the windows below hold the days of one object.
+    texts = []
+    if listed:
+        spaced = F.translate(F.format_number(F.col(listed).cast("bigint"), 0), ",", " ")
+        texts = [F.array_join(F.array_sort(F.collect_set(spaced)), "; ").alias(f"{listed}s")]
     groups = daily.groupBy("object", value).agg(
         F.sort_array(F.collect_list(day), asc=False).alias("keys"),
         F.min(day).alias("_min"),
         F.max(day).alias("_max"),
         F.max("ts").alias("ts"),
         F.count(F.lit(1)).alias("_rows"),
+        *texts,
     )
     by_object = Window.partitionBy("object")
     order = by_object.orderBy(F.col("_max").desc())
@@ -361,6 +367,7 @@ def _repeats(daily: DataFrame, value: str, day: str, as_of, only_longer: bool) -
         "object", value, "ts", F.col("_max").alias("last_day"), "key_from", "days", "cnt", "cnt_uniq",
         (F.col("cnt") - F.col("cnt_uniq")).alias("not_uniq"), F.round(usual, 1).alias("avg_uniq"), "max_days",
         F.round(F.col("days") * (F.col("cnt_uniq") - 1) / F.nullif(F.col("cnt") - F.col("days"), F.lit(0)), 1).alias("ratio"),
+        *([f"{listed}s"] if listed else []),
     )
 
 

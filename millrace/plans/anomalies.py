@@ -299,6 +299,33 @@ def upsert_config(t):
     return out.select("object", "active", "rollback", "z_cfg", F.concat_ws(",", F.col("z_except").cast("array<string>")).alias("z_except"))
 
 
+_UPDATES = """select concat('tb_', user_id) as object, event_id as seq, case event_id % 5 when 0 then true when 1 then false end as active,
+  case event_id % 7 when 0 then true when 1 then false end as rollback, case when event_id % 4 <> 0 then concat('{"dots": ', event_id % 9, '}') end as z_cfg
+  from events where user_id % 2 = 0 and event_id % 13 < 4"""
+
+
+@query(
+    "Z8_upsert_in_order",
+    fx.with_sql(
+        _CONFIG_SQL,
+        f"upd as ({_UPDATES})",
+        """new as (select object, arg_max(active, seq) filter (active is not null) as active, arg_max(rollback, seq) filter (rollback is not null) as rollback,
+             arg_max(z_cfg, seq) filter (z_cfg is not null) as z_cfg from upd group by 1)""",
+    )
+    + """select coalesce(c.object, n.object) as object, case when n.object is null then c.active else coalesce(n.active, c.active, true) end as active,
+         case when n.object is null then c.rollback else coalesce(n.rollback, c.rollback, false) end as rollback, coalesce(n.z_cfg, c.z_cfg) as z_cfg
+         from cfg c full outer join new n on c.object = n.object""",
+)
+def upsert_in_order(t):
+    updates = t.events.selectExpr("user_id", "event_id").where("user_id % 2 = 0 and event_id % 13 < 4").selectExpr(
+        "concat('tb_', user_id) as object", "event_id as seq", "case event_id % 5 when 0 then true when 1 then false end as active",
+        "case event_id % 7 when 0 then true when 1 then false end as rollback",
+        "case when event_id % 4 <> 0 then concat('{\"dots\": ', event_id % 9, '}') end as z_cfg",
+        "cast(null as array<date>) as z_except", "cast(null as array<date>) as z_error",
+    )
+    return ops.upsert_config(_config(t), updates, "seq").select("object", "active", "rollback", "z_cfg")
+
+
 @query(
     "Z8_toggle_dates",
     fx.with_sql(_CONFIG_SQL)

@@ -251,19 +251,21 @@ _KEYED = """j as (select 'tb_' || user_id as object, ts, cast(ts as date) as day
   cast(floor((cast(ts as date) - date '2024-01-01') / (user_id % 7 + 1)) as bigint) as rows_count from events where ts > timestamp '2024-01-02')"""
 
 
-def _repeat_sql(source, value, longer):
-    return fx.with_sql(_KEYED) + f"""select object, {value}, ts, last_day, key_from, cast(days as int) as days, cnt, cnt_uniq, cnt - cnt_uniq as not_uniq, round((cnt - days) / (cnt_uniq - 1), 1) as avg_uniq,
+def _repeat_sql(source, value, longer, listed=False):
+    texts = "string_agg(distinct t, '; ' order by t)" if listed else "null"
+    return fx.with_sql(_KEYED) + f"""select object, {value}, {"texts as rows_counts," if listed else ""} ts, last_day, key_from, cast(days as int) as days, cnt, cnt_uniq, cnt - cnt_uniq as not_uniq, round((cnt - days) / (cnt_uniq - 1), 1) as avg_uniq,
       max_days, round(days * (cnt_uniq - 1) / (cnt - days), 1) as ratio from (
       select m.*, len(list_filter(keys, lambda k: k > coalesce(nxt, lo - 1))) as days, list_min(list_filter(keys, lambda k: k > coalesce(nxt, lo - 1))) as key_from from (
         select *, row_number() over w as rn, lead(last_day) over w as nxt, cast(sum(n) over o as bigint) as cnt, cast(max(len(keys)) over o as int) as max_days, count({value}) over o as cnt_uniq from (
-          select object, {value}, list(day) as keys, min(day) as lo, max(day) as last_day, max(ts) as ts, count(*) as n from ({source}) group by 1, 2)
+          select object, {value}, list(day) as keys, min(day) as lo, max(day) as last_day, max(ts) as ts, count(*) as n, {texts} as texts
+            from (select *, replace(format('{{:,}}', rows_count), ',', ' ') as t from ({source})) group by 1, 2)
         window w as (partition by object order by last_day desc), o as (partition by object)) m
       where len(keys) > 1 and rn = 1 and ts >= timestamp '2024-01-28') where days > 1 and cnt_uniq > 1 {longer}"""
 
 
 @query(
     "R21_repeated_key_dates",
-    _repeat_sql("select * from j qualify row_number() over (partition by object, day order by key_date desc, ts desc) = 1", "key_date", ""),
+    _repeat_sql("select * from j qualify row_number() over (partition by object, day order by key_date desc, ts desc) = 1", "key_date", "", listed=True),
 )
 def repeated_key_dates(t):
     return ops.repeated_key_dates(_keyed_journal(t), dt.datetime(2024, 1, 2), dt.datetime(2024, 1, 30))
