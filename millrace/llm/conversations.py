@@ -357,3 +357,66 @@ def report(rows: DataFrame) -> DataFrame:
     counts = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in "gaps blank duplicate truncated illegal cost".split()]
     empty = F.sha2(F.lit(""), 256)
     return joined.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", empty).alias("repaired_sha256"))
+
+
+def oracle() -> str:
+    """DuckDB SQL for the query's rows: one recursion backward over the rows for the costs, one forward for the edits."""
+    return r"""
+    with recursive tab as (
+        select list(list_reduce(list_prepend(b, range(8)), lambda c, i: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) order by b) as tab
+        from (select unnest(range(256)) as b)
+    ), keyed as (
+        select *, coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') as k from conversations
+    ), kinds as (
+        select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text, xor(list_reduce(list_prepend(4294967295,
+            list_transform(range(length(k)), lambda i: ascii(substr(k, (i + 1)::int, 1))::bigint)), lambda c, b: xor(c >> 8, tab[((xor(c, b)) & 255) + 1])), 4294967295) % 20 as kind
+        from keyed, tab
+    ), damaged as (
+        select coalesce('c' || conv_id, '') as conv, turn, case when kind = 4 then 'user' else role end as role,
+            case when kind = 1 then '' when kind = 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
+            unnest(range(case kind when 0 then 0 when 3 then 2 else 1 end)) as nth
+        from kinds
+    ), placed as (
+        select conv, turn, role, text, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as bare, left(role, 1) as r,
+            row_number() over (partition by conv order by turn nulls first, role, substr(text, 1, 64), md5(text), nth) as i
+        from damaged
+    ), told as (
+        select *, case when bare = '' then 1 when row_number() over (partition by conv, role, text order by i) > 1 then 2
+            when right(bare, 1) not in ('.', '!', '?') then 3 else 0 end as fault, lag(r) over (partition by conv order by i) as before
+        from placed
+    ), row as (select *, fault in (0, 3) as free, case fault when 3 then 1 else 0 end as late from told
+    ), back as (
+        select conv, max(i) + 1 as i, [0, 4, 2, 0]::bigint[] as b from row group by conv
+        union all
+        select conv, i, [least(c0, 2 + c2, 4 + c3), least(c1, 2 + c2, 4 + c3), least(c2, 2 + c3), least(c3, 2 + c2)] as b from (
+            select row.conv, row.i,
+                least(3 + b[1], case when free and r = 's' then late + b[2] when free and r = 'u' then late + b[3] end, case when free then 2 + late + b[3] end) as c0,
+                least(3 + b[2], case when free and r = 'u' then late + b[3] end, case when free then 2 + late + b[3] end) as c1,
+                least(3 + b[3], case when free and r = 'a' then late + b[4] end, case when free then 2 + late + b[4] end) as c2,
+                least(3 + b[4], case when free and r = 'u' then late + b[3] end, case when free then 2 + late + b[3] end) as c3
+            from back join row on row.conv = back.conv and row.i = back.i - 1)
+    ), edit as (
+        select conv, 1::bigint as i, 0 as q, '' as audit, []::varchar[] as given from back where i = 1
+        union all
+        select conv, case when x = 'I' then i else i + 1 end, case x when 'D' then q when 'K' then kept else nx end, audit || x,
+            case x when 'D' then given when 'K' then list_append(given, role || ':' || text)
+                else list_append(given, case nx when 2 then 'user:' else 'assistant:' end || case x when 'R' then text else '' end) end
+        from (select *, case when role is null then 'I' when 3 + later[q + 1] = now[q + 1] then 'D' when 2 + now[nx + 1] = now[q + 1] then 'I'
+                when kept is not null and free and late + later[kept + 1] = now[q + 1] then 'K' else 'R' end as x
+            from (select e.*, role, text, free, late, b.b as now, a.b as later, case q when 2 then 3 else 2 end as nx,
+                    case when r = 's' and q = 0 then 1 when r = 'u' and q in (0, 1, 3) then 2 when r = 'a' and q = 2 then 3 end as kept
+                from edit e join back b on b.conv = e.conv and b.i = e.i left join back a on a.conv = e.conv and a.i = e.i + 1
+                left join row on row.conv = e.conv and row.i = e.i where not (row.conv is null and q in (0, 3))))
+    ), ended as (
+        select edit.conv, audit, sha256(array_to_string(given, chr(10))) as digest from edit
+        join (select conv, max(i) as n from row group by conv) l on l.conv = edit.conv and edit.i = n + 1 where q in (0, 3)
+    ), counts as (
+        select conv, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (fault = 1) as blank, count(*) filter (fault = 2) as duplicate,
+            count(*) filter (fault = 3) as truncated, count(*) filter (before is not null and before || r not in ('su', 'ua', 'au')) as illegal
+        from row group by conv
+    )
+    select o.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate, coalesce(truncated, 0) as truncated,
+        coalesce(illegal, 0) as illegal, coalesce(b[1], 0) as cost, coalesce(audit, '') as audit, coalesce(digest, sha256('')) as repaired_sha256
+    from (select distinct conv_id from conversations) o left join counts c on c.conv = coalesce('c' || o.conv_id, '')
+        left join ended on ended.conv = c.conv left join back on back.conv = c.conv and back.i = 1
+    """

@@ -109,7 +109,7 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_contexts.score_documents(table(spark, sf_dir, "documents"))
 
 
-@query("op11_conversation_repair")
+@query("op11_conversation_repair", conversations.oracle())
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.report(table(spark, sf_dir, "conversations"))
 

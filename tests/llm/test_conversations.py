@@ -188,3 +188,10 @@ def test_no_rows_left(spark):
     gone = next(c for c in range(1000) if zlib.crc32(f"{c}:0".encode()) % 20 == 0)
     got = conversations.report(spark.createDataFrame([(gone, 0, "user", "x.")], SCHEMA)).collect()
     assert [tuple(r) for r in got] == [(gone, 0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest())]
+
+
+def test_query_against_sql(spark, duck, sf_dir):
+    from millrace.llm.queries import ORACLES, QUERIES
+    from tests.oracle import compare
+
+    assert compare(spark, duck, QUERIES["op11_conversation_repair"], ORACLES["op11_conversation_repair"], sf_dir) == ""
