@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 import math
-from collections.abc import Iterator, Sequence
-from types import SimpleNamespace
+from collections.abc import Sequence
+from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.keys import newest_per_key
+from millrace.functions.lineage import cut_lineage
 from millrace.functions.parsing import json_field
 from millrace.functions.periods import interval_start
 
@@ -192,97 +192,88 @@ def choose_key_date(key_dates: str | Column, position: Column, as_of) -> Column:
     return F.least(picked, today)
 
 
-def growth_verdicts(candidates: DataFrame, history: DataFrame, config: DataFrame, as_of) -> DataFrame:
-    """Verdict on the row growth of every candidate load.
-
-    ``candidates``: object, key_dates array<date>, rows_count, log_id, ts, one row per object.
-    ``history``: object, key_date, rows_count, value, ztest boolean, ts, log_id and the stored
-    avg, std, cnt, min, max.  Objects whose config is inactive are left out.
-
-    The newest history row per (object, date) is found by a partial aggregate and the baseline
-    by a row_number limit that Spark also applies before the shuffle.
-    """
-    cfg = _settings(config)
-    cand = candidates.join(cfg, F.col("object") == F.col("_object"), "left").where(
-        F.coalesce("active", F.lit(True))
-    )
+def _candidates(loads: DataFrame, config: DataFrame, key_dates: str | Column, as_of) -> DataFrame:
+    """Loads with the settings of their object and their key date; loads of inactive objects are left out."""
     none = F.array().cast("array<date>")
-    cand = cand.withColumns(
+    joined = loads.join(_settings(config), F.col("object") == F.col("_object"), "left").where(F.coalesce("active", F.lit(True)))
+    return joined.withColumns(
         {
-            "key_date": choose_key_date("key_dates", F.col("cfg_key"), as_of),
+            "key_date": choose_key_date(key_dates, F.col("cfg_key"), as_of),
             "z_except": F.coalesce("z_except", none),
             "z_error": F.coalesce("z_error", none),
-            "row_max": F.when(F.col("rows_count") <= F.col("hist"), F.col("hist")).otherwise(F.lit(2**63 - 1)),
-            "row_min": F.when(F.col("rows_count") > F.col("hist"), F.col("hist") + 1).otherwise(F.lit(0)),
         }
-    ).drop("_object", "active", "key_dates")
+    ).drop("_object", "active", "cfg_key", "key_dates")
 
-    limits = cand.select(
-        F.col("object").alias("_o"), F.col("key_date").alias("_key"), "z_except", "z_error", "skip", "beg",
-        "row_min", "row_max", "cfg_min", "cfg_max", "cfg_interval", "dots",
-    )
-    h = history.select(
-        "object", "key_date", "rows_count", "value", "ztest", "ts", "log_id",
-        *[F.col(c).alias(f"h_{c}") for c in ("avg", "std", "cnt", "min", "max")],
-    ).join(limits, F.col("object") == F.col("_o"))
+
+STATS = ("avg", "std", "cnt", "min", "max")
+LIMITS = ("z_except", "z_error", "skip", "beg", "cfg_min", "cfg_max")
+
+
+def _marked(points: DataFrame) -> DataFrame:
+    """Add what a judged load may serve later ones as: ``last`` (the load to compare with) and ``base`` (a baseline value), NULL if
+    it may not.  Both start with the rank among the loads of one key date, so the largest counts.  Needs the columns ``LIMITS``."""
     low = F.coalesce("cfg_min", F.lit(-(2**63 - 1)))
     high = F.coalesce("cfg_max", F.lit(2**63 - 1))
-    skip_zero = F.coalesce("skip", F.lit(True)) & (F.col("value") == 0)
-    usable = (
-        ~F.array_contains("z_error", F.col("key_date"))
-        & (F.col("key_date") >= F.coalesce("beg", F.lit(FIRST_DAY)))
-        & F.col("rows_count").between(F.col("row_min"), F.col("row_max"))
-    )
-    before = F.col("_key") - F.coalesce("cfg_interval", F.lit("1 day")).cast("interval")
-    rank = F.struct(F.col("ztest").isNull().alias("n"), F.col("ztest").alias("z"), F.col("ts").alias("t"), F.col("log_id").alias("l"))
-
-    last = (
-        h.where(
-            usable
-            & (F.col("key_date") <= before)
-            & (F.col("value").isNull() | (~skip_zero & F.col("value").between(low, high)))
-        )
-        .groupBy(F.col("object").alias("_lo"))
-        .agg(
-            F.max_by(
-                F.struct("key_date", "rows_count", "h_avg", "h_std", "h_cnt", "h_min", "h_max"),
-                F.struct("key_date", rank),
-            ).alias("lst")
-        )
-    )
+    good = ~(F.coalesce("skip", F.lit(True)) & (F.col("value") == 0)) & F.col("value").between(low, high)
+    usable = ~F.array_contains("z_error", F.col("key_date")) & (F.col("key_date") >= F.coalesce("beg", F.lit(FIRST_DAY)))
     passed = F.coalesce("ztest", F.lit(True)) | F.array_contains("z_except", F.col("key_date"))
-    per_date = (
-        h.where(usable & (F.col("key_date") < F.col("_key")) & ~skip_zero & F.col("value").between(low, high) & passed)
-        .groupBy("object", "key_date", "dots")
-        .agg(F.max_by("value", rank).alias("value"))
+    rank = [F.col("ztest").isNull().alias("n"), F.col("ztest").alias("z"), F.col("ts").alias("t"), F.col("log_id").alias("l")]
+    return points.withColumns(
+        {
+            "last": F.when(usable & (F.col("value").isNull() | good), F.struct(*rank, "key_date", "rows_count", *STATS)),
+            "base": F.when(usable & good & passed, F.struct(*rank, "value")),
+        }
+    )
+
+
+def _before(key: str) -> Column:
+    return F.col(key) - F.coalesce("cfg_interval", F.lit("1 day")).cast("interval")
+
+
+def _baseline(best: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Per candidate the newest ``last`` and the moments of its newest ``dots`` baseline values; ``best`` has one row per key date."""
+    newest_first = Window.partitionBy(*keys).orderBy(F.col("key_date").desc())
+    near = F.count("base").over(newest_first) <= F.coalesce("dots", F.lit(DOTS))
+    used = F.when(F.col("_near"), F.col("base.value"))
+    return best.withColumn("_near", near).groupBy(*[F.col(k).alias(f"_b_{k}") for k in keys]).agg(
+        F.max_by("last", F.when(F.col("last").isNotNull(), F.col("key_date"))).alias("lst"),
+        F.count(used).alias("_n"), F.sum(used.cast("double")).alias("_sum"), F.var_pop(used).alias("_var"),
+        F.min(used).alias("_low"), F.max(used).alias("_high"),
     )
-    nth = F.row_number().over(Window.partitionBy("object").orderBy(F.col("key_date").desc()))
-    baseline = per_date.withColumn("_n", nth).where(F.col("_n") <= F.coalesce("dots", F.lit(DOTS)))
 
-    linked = cand.join(last, F.col("object") == F.col("_lo"), "left").drop("_lo")
+
+def _decided(cand: DataFrame, baseline: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Candidates with score, statistics, verdict and message.  The candidate's own value counts among those of the baseline."""
+    linked = cand.join(baseline, [F.col(k) == F.col(f"_b_{k}") for k in keys], "left").drop(*[f"_b_{k}" for k in keys])
     linked = linked.withColumn("key_diff", F.datediff("key_date", "lst.key_date"))
     linked = linked.withColumn("value", F.expr("(rows_count - lst.rows_count) div key_diff"))
-    points = baseline.select("object", "value").unionByName(
-        linked.where("lst is not null").select("object", "value")
-    )
-    stats = points.groupBy(F.col("object").alias("_so")).agg(
-        F.avg("value").alias("avg"), F.stddev_pop("value").alias("std"), F.count("value").alias("cnt"),
-        F.min("value").alias("min"), F.max("value").alias("max"),
-    )
-    scored = linked.join(stats, (F.col("object") == F.col("_so")) & F.col("lst").isNotNull(), "left").withColumns(
+    has, value, key_date = F.col("lst").isNotNull(), F.col("value"), F.col("key_date")
+    count = F.col("_n") + value.isNotNull().cast("bigint")
+    size = F.nullif(count, F.lit(0))
+    apart = value - F.col("_sum") / F.nullif(F.col("_n"), F.lit(0))
+    # Variance of a set and one more value, from the moments of the set.
+    squares = F.coalesce(F.col("_var") * F.col("_n"), F.lit(0.0)) + F.coalesce(apart * apart * F.col("_n") / size, F.lit(0.0))
+    moments = {
+        "avg": (F.coalesce("_sum", F.lit(0.0)) + F.coalesce(value, F.lit(0))) / size,
+        "std": F.sqrt(squares / size),
+        "cnt": count,
+        "min": F.least("_low", value),
+        "max": F.greatest("_high", value),
+    }
+    scored = linked.withColumns({name: F.when(has, c) for name, c in moments.items()}).withColumns(
         {
-            "zscore": _score(F.col("value"), F.col("avg"), F.col("std")),
+            "zscore": _score(value, F.col("avg"), F.col("std")),
             "stable": F.col("std") / F.nullif(F.col("avg"), F.lit(0.0)),
         }
     )
-    z, value, key_date = F.col("zscore"), F.col("value"), F.col("key_date")
+    z = F.col("zscore")
     within = [z.between(F.coalesce("zfr", F.lit(-k)), F.coalesce("zto", F.lit(k))) for k in (WIDE, NORMAL)]
     steps = [
         (F.array_contains("z_except", key_date), "Ok z_except", True),
         (F.array_contains("z_error", key_date), "No z_error", False),
         (key_date > F.col("end_day"), "Key_date > end", None),
         (key_date < F.col("beg"), "Key_date < beg", None),
-        (F.col("lst").isNull(), "Ok first", True),
+        (~has, "Ok first", True),
         (value < F.col("cfg_min"), "No < min", False),
         (value > F.col("cfg_max"), "No > max", False),
         ((F.abs("stable") < STEADY) & within[0], "Ok", True),
@@ -294,15 +285,45 @@ def growth_verdicts(candidates: DataFrame, history: DataFrame, config: DataFrame
         verdict = F.when(condition, flag) if verdict is None else verdict.when(condition, flag)
         message = F.when(condition, text) if message is None else message.when(condition, text)
     judged = scored.withColumn("ztest", verdict.otherwise(F.lit(False))).withColumn("msg", message.otherwise("No"))
-    restore = (F.col("ztest") == F.lit(False)) & F.col("lst").isNotNull()
+    restore = (F.col("ztest") == F.lit(False)) & has
 
     def kept(name):
         now = F.round(F.round(F.col(name), 9)).cast("bigint")  # binary noise must not decide a half
-        return F.when(restore, F.col(f"lst.h_{name}").cast("bigint")).otherwise(now).alias(name)
+        return F.when(restore, F.col(f"lst.{name}").cast("bigint")).otherwise(now)
+
+    return judged.withColumns({c: kept(c) for c in STATS})
+
+
+def growth_verdicts(candidates: DataFrame, history: DataFrame, config: DataFrame, as_of) -> DataFrame:
+    """Verdict on the row growth of every candidate load.
+
+    ``candidates``: object, key_dates array<date>, rows_count, log_id, ts, one row per object.
+    ``history``: object, key_date, rows_count, value, ztest boolean, ts, log_id and the stored
+    avg, std, cnt, min, max.  Objects whose config is inactive are left out.
 
+    The history is read once: a partial aggregate finds the best rows of every (object, date), the windows and
+    the statistics run over one row per date.
+    """
+    cand = _candidates(candidates, config, "key_dates", as_of)
+    limits = cand.select(
+        F.col("object").alias("_o"), F.col("key_date").alias("_key"), "cfg_interval", "dots", *LIMITS,
+        F.when(F.col("rows_count") <= F.col("hist"), F.col("hist")).otherwise(F.lit(2**63 - 1)).alias("row_max"),
+        F.when(F.col("rows_count") > F.col("hist"), F.col("hist") + 1).otherwise(F.lit(0)).alias("row_min"),
+    )
+    rows = history.select("object", "key_date", "rows_count", "value", "ztest", "ts", "log_id", *STATS).join(
+        limits, F.col("object") == F.col("_o")
+    )
+    near = rows.where(F.col("rows_count").between(F.col("row_min"), F.col("row_max")) & ((F.col("key_date") < F.col("_key")) | (F.col("key_date") <= _before("_key"))))
+    marked = _marked(near).withColumns(
+        {
+            "last": F.when(F.col("key_date") <= _before("_key"), F.col("last")),
+            "base": F.when(F.col("key_date") < F.col("_key"), F.col("base")),
+        }
+    ).where("last is not null or base is not null")
+    best = marked.groupBy("object", "key_date", "dots").agg(F.max("last").alias("last"), F.max("base").alias("base"))
+    judged = _decided(cand, _baseline(best, ["object"]), ["object"])
     return judged.select(
-        "zscore", "ts", "object", "key_date", "rows_count", "key_diff", "value",
-        *[kept(c) for c in ("avg", "std", "cnt", "min", "max")],
+        "zscore", "ts", "object", "key_date", "rows_count", "key_diff", "value", *STATS,
         F.abs("log_id").alias("log_id"), "ztest", "back", "msg", "stable",
     )
 
@@ -321,153 +342,83 @@ def accepted(verdicts: DataFrame) -> bool:
 
 # --- recalculation -------------------------------------------------------------------------
 
-VERDICT_SCHEMA = (
-    "zscore double, ts timestamp, object string, key_date date, rows_count bigint, key_diff int, value bigint, "
-    "avg bigint, std bigint, cnt bigint, min bigint, max bigint, log_id bigint, ztest boolean, msg string"
-)
+VERDICT = ("zscore", "ts", "object", "key_date", "rows_count", "key_diff", "value", *STATS, "log_id", "ztest", "msg")
 
 
 def recalculate(loads: DataFrame, history: DataFrame, config: DataFrame, since, as_of) -> DataFrame:
     """Re-judge the loads from ``since`` on in log order; every verdict feeds the next baseline.
 
     ``loads``: log_id, object, key_dates array<date>, rows_count, ts.  History rows before ``since``
-    seed the state, later ones are dropped.  Rows of an object stream through one task in order;
-    the state holds the rows of every key date.  History rows without a key date can be no baseline.
+    seed the state, later ones are dropped.  History rows without a key date can be no baseline.
+
+    A load is compared with loads of earlier key dates that come before it in the log.  So the n-th key dates of all objects
+    are judged together, in as many steps as an object has key dates, however many loads a date has.  Each step is stored.
     """
-    cfg = _settings(config)
+    number = ("log_id", "rows_count", "value", *STATS)
     old = history.where((F.col("ts") < F.lit(since)) & F.col("key_date").isNotNull()).select(
-        "object", F.lit(0).alias("step"), "log_id", "ts", "key_date", "rows_count", "value", "ztest", "avg", "std", "cnt", "min", "max",
+        "object", "key_date", "ts", "ztest", *[F.col(c).cast("bigint").alias(c) for c in number]
     )
     judged = old.select(F.col("log_id").alias("_seen")).distinct()
     new = (
         loads.where((F.col("ts") >= F.lit(since)) & (F.col("rows_count") != 0))
         .join(judged, F.col("log_id") == F.col("_seen"), "left_anti")
-        .join(cfg.select(F.col("_object").alias("_c"), "cfg_key"), F.col("object") == F.col("_c"), "left")
-        .select(
-            "object", F.lit(1).alias("step"), "log_id", "ts",
-            choose_key_date(F.array_append("key_dates", F.to_date("ts")), F.col("cfg_key"), as_of).alias("key_date"),
-            "rows_count",
-            *[F.lit(None).cast(t).alias(n) for n, t in (("value", "bigint"), ("ztest", "boolean"), ("avg", "bigint"), ("std", "bigint"), ("cnt", "bigint"), ("min", "bigint"), ("max", "bigint"))],
-        )
+        .select("object", "ts", F.col("log_id").cast("bigint").alias("log_id"), F.col("rows_count").cast("bigint").alias("rows_count"),
+                F.array_append("key_dates", F.to_date("ts")).alias("key_dates"))
     )
-    keyed = old.unionByName(new).join(cfg, F.col("object") == F.col("_object"), "left").where(
-        F.coalesce("active", F.lit(True))
-    )
-    days = F.regexp_extract(F.col("cfg_interval"), r"(\d+)", 1).try_cast("int")
-    ready = keyed.withColumn("gap_days", F.coalesce(days, F.lit(1))).drop("_object", "active", "back", "cfg_key", "cfg_interval")
-    ordered = ready.repartition("object").sortWithinPartitions("object", "step", "log_id")
-    return ordered.mapInPandas(_judge_in_order, VERDICT_SCHEMA)
-
-
-def _judge_in_order(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    current, points = None, {}
-    for batch in batches:
-        out = []
-        for row in batch.itertuples(index=False):
-            if row.object != current:
-                current, points = row.object, {}
-            if row.step == 0:
-                _remember(points, row.key_date, (row.ztest, row.ts, row.log_id), row)
-                continue
-            verdict = _judge(row, points)
-            out.append(verdict)
-            _remember(points, row.key_date, (verdict["ztest"], row.ts, row.log_id), SimpleNamespace(**verdict))
-        frame = pd.DataFrame(out, columns=[c.split()[0] for c in VERDICT_SCHEMA.split(", ")])
-        for c in ("key_diff", "value", "avg", "std", "cnt", "min", "max"):
-            frame[c] = frame[c].astype("Int64")
-        yield frame
-
-
-def _remember(points, key_date, rank, row) -> None:
-    points.setdefault(key_date, []).append((_rank(rank), row))
-
-
-def _rank(rank):
-    ztest, ts, log_id = rank
-    missing = ztest is None or pd.isna(ztest)
-    return (missing, False if missing else bool(ztest), ts, log_id)
-
-
-def _judge(row, points) -> dict:
-    def given(x):
-        return x is not None and not (pd.api.types.is_scalar(x) and pd.isna(x))
-
-    errors = set(row.z_error) if row.z_error is not None else set()
-    excepts = set(row.z_except) if row.z_except is not None else set()
-    skip = bool(row.skip) if given(row.skip) else True
-    beg = row.beg if given(row.beg) else FIRST_DAY
-    hist = row.hist if given(row.hist) else None
-    row_max = hist if hist is not None and row.rows_count <= hist else float("inf")
-    row_min = hist + 1 if hist is not None and row.rows_count > hist else 0
-    low = row.cfg_min if given(row.cfg_min) else -float("inf")
-    high = row.cfg_max if given(row.cfg_max) else float("inf")
-
-    def usable(p):
-        return p.key_date not in errors and p.key_date >= beg and row_min <= p.rows_count <= row_max
-
-    def good_value(p):
-        return given(p.value) and not (skip and p.value == 0) and low <= p.value <= high
-
-    last_day = row.key_date - dt.timedelta(days=int(row.gap_days))
-    last, base = None, []
-    dots = int(row.dots) if given(row.dots) else DOTS
-    for day in sorted(points, reverse=True):
-        if day >= row.key_date:
-            continue
-        ranked = sorted(points[day], key=lambda p: p[0], reverse=True)
-        if last is None and day <= last_day:
-            last = next((p for _, p in ranked if usable(p) and (not given(p.value) or good_value(p))), None)
-        if len(base) < dots:
-            hit = next(
-                (p for r, p in ranked if usable(p) and good_value(p) and (r[0] or r[1] or day in excepts)), None
-            )
-            if hit is not None:
-                base.append(int(hit.value))
-        elif last is not None:
-            break
-    out = dict.fromkeys(c.split()[0] for c in VERDICT_SCHEMA.split(", "))
-    out.update(ts=row.ts, object=row.object, key_date=row.key_date, rows_count=row.rows_count, log_id=abs(row.log_id))
-    z = stable = value = None
-    if last is not None:
-        gap = (row.key_date - last.key_date).days
-        delta = int(row.rows_count) - int(last.rows_count)
-        value = abs(delta) // gap * (1 if delta >= 0 else -1)
-        sample = [*base, value]
-        avg = sum(sample) / len(sample)
-        std = math.sqrt(sum((x - avg) ** 2 for x in sample) / len(sample))
-        z = (value - avg) / (std or 1.0)
-        stable = std / avg if avg else None
-        out.update(key_diff=gap, value=value, zscore=z, avg=_half_up(avg), std=_half_up(std), cnt=len(sample), min=min(sample), max=max(sample))
-
-    def within(k):
-        return (row.zfr if given(row.zfr) else -k) <= z <= (row.zto if given(row.zto) else k)
-
-    if row.key_date in excepts:
-        ok, msg = True, "Ok z_except"
-    elif row.key_date in errors:
-        ok, msg = False, "No z_error"
-    elif given(row.end_day) and row.key_date > row.end_day:
-        ok, msg = None, "Key_date > end"
-    elif row.key_date < beg:
-        ok, msg = None, "Key_date < beg"
-    elif last is None:
-        ok, msg = True, "Ok first"
-    elif value < low:
-        ok, msg = False, "No < min"
-    elif value > high:
-        ok, msg = False, "No > max"
-    elif (stable is not None and abs(stable) < STEADY and within(WIDE)) or within(NORMAL):
-        ok, msg = True, "Ok"
-    else:
-        ok, msg = False, "No"
-    if ok is False and last is not None:
-        out.update({c: (int(getattr(last, c)) if given(getattr(last, c)) else None) for c in ("avg", "std", "cnt", "min", "max")})
-    out.update(ztest=ok, msg=msg)
-    return out
+    cand = _candidates(new, config, "key_dates", as_of).withColumn("side", _side())
+    dates = cand.select(F.col("object").alias("_o"), F.col("key_date").alias("_d")).distinct()
+    nth = F.row_number().over(Window.partitionBy("_o").orderBy("_d"))
+    cand = cut_lineage(cand.join(dates.withColumn("_step", nth), (F.col("object") == F.col("_o")) & (F.col("key_date") == F.col("_d"))).drop("_o", "_d"))
+    limits = cand.groupBy(F.col("object").alias("_o")).agg(*[F.first(c).alias(c) for c in (*LIMITS, "hist")])
+    seeds = _marked(old.join(limits, F.col("object") == F.col("_o")).withColumn("side", _side()))
+    # One row per object, key date and side of the row limit, before everything in the log.
+    state = [
+        cut_lineage(
+            seeds.where("rows_count >= 0 and (last is not null or base is not null)")
+            .groupBy("object", "key_date", "side")
+            .agg(F.max("last").alias("last"), F.max("base").alias("base"))
+            .withColumn("_log", F.lit(None).cast("bigint"))
+        )
+    ]
+    steps = cand.agg(F.max("_step")).first()[0] or 0
+    done = []
+    for step in range(1, steps + 1):
+        judged = cut_lineage(_judged_step(cand.where(F.col("_step") == step), reduce(DataFrame.unionByName, state)))
+        done.append(judged)
+        served = judged.where("rows_count >= 0 and (last is not null or base is not null)")
+        state.append(served.select("object", "key_date", "side", "last", "base", F.col("log_id").alias("_log")))
+        if len(state) > STEPS_APART:
+            state = [cut_lineage(reduce(DataFrame.unionByName, state))]
+    if not done:
+        done = [_judged_step(cand, state[0])]
+    return reduce(DataFrame.unionByName, done).withColumn("log_id", F.abs("log_id")).select(*VERDICT)
+
+
+STEPS_APART = 16  # so many stored steps are read side by side before they become one
+
 
+def _side() -> Column:
+    """1 up to the row limit ``hist``, 2 above it, 0 without one: a load is only compared with loads of its side."""
+    return F.when(F.col("hist").isNull(), 0).when(F.col("rows_count") <= F.col("hist"), 1).otherwise(2)
 
-def _half_up(x: float) -> int:
-    return int(math.floor(round(abs(x), 9) + 0.5)) * (1 if x >= 0 else -1)
+
+def _judged_step(cand: DataFrame, state: DataFrame) -> DataFrame:
+    """Verdicts of candidates that do not feed each other, with their own ``last`` and ``base``.
+
+    Each candidate asks every earlier key date of its object once; the answer is the largest mark before it in the log, found by
+    one running maximum per (object, key date, side), so no load meets all loads of its object.
+    """
+    mine = state.join(cand.select("object").distinct(), "object", "left_semi")
+    known = mine.select(F.col("object").alias("_o"), F.col("side").alias("_s"), F.col("key_date").alias("_d")).distinct()
+    asks = cand.select("object", "side", "log_id", "key_date", _before("key_date").alias("_until"), "dots").distinct().join(
+        known, (F.col("object") == F.col("_o")) & (F.col("side") == F.col("_s")) & (F.col("_d") < F.col("key_date"))
+    ).select("object", "side", F.col("_d").alias("key_date"), "log_id", F.col("log_id").alias("_log"), "_until", "dots", F.lit(0).alias("_place"))
+    both = mine.withColumn("_place", F.lit(1)).unionByName(asks, allowMissingColumns=True)
+    so_far = Window.partitionBy("object", "key_date", "side").orderBy(F.col("_log").asc_nulls_first(), "_place").rowsBetween(Window.unboundedPreceding, 0)
+    best = both.withColumns({"last": F.max("last").over(so_far), "base": F.max("base").over(so_far)}).where("_place = 0")
+    best = best.withColumn("last", F.when(F.col("key_date") <= F.col("_until"), F.col("last")))
+    keys = ["object", "side", "log_id"]
+    return _marked(_decided(cand, _baseline(best, keys), keys)).select(*VERDICT, "side", "last", "base")
 
 
 # --- configuration and view ----------------------------------------------------------------
