@@ -4,14 +4,15 @@ from __future__ import annotations
 
 import datetime as dt
 import math
-from collections.abc import Sequence
-from functools import reduce
+from collections.abc import Iterator, Sequence
+from types import SimpleNamespace
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.keys import newest_per_key
-from millrace.functions.lineage import cut_lineage
+from millrace.functions.lineage import new_folder, store_rows
 from millrace.functions.parsing import json_field
 from millrace.functions.periods import interval_start
 
@@ -342,18 +343,170 @@ def accepted(verdicts: DataFrame) -> bool:
 
 # --- recalculation -------------------------------------------------------------------------
 
-VERDICT = ("zscore", "ts", "object", "key_date", "rows_count", "key_diff", "value", *STATS, "log_id", "ztest", "msg")
+VERDICT_SCHEMA = (
+    "zscore double, ts timestamp, object string, key_date date, rows_count bigint, key_diff int, value bigint, "
+    "avg bigint, std bigint, cnt bigint, min bigint, max bigint, log_id bigint, ztest boolean, msg string"
+)
 
 
 def recalculate(loads: DataFrame, history: DataFrame, config: DataFrame, since, as_of) -> DataFrame:
     """Re-judge the loads from ``since`` on in log order; every verdict feeds the next baseline.
 
     ``loads``: log_id, object, key_dates array<date>, rows_count, ts.  History rows before ``since``
-    seed the state, later ones are dropped.  History rows without a key date can be no baseline.
+    seed the state, later ones are dropped.  Rows of an object stream through one task in order;
+    the state holds the rows of every key date.  History rows without a key date can be no baseline.
+    For many objects with few loads each; ``recalculate_by_steps`` returns the same and splits an object with very many loads.
+    """
+    cfg = _settings(config)
+    old = history.where((F.col("ts") < F.lit(since)) & F.col("key_date").isNotNull()).select(
+        "object", F.lit(0).alias("step"), "log_id", "ts", "key_date", "rows_count", "value", "ztest", "avg", "std", "cnt", "min", "max",
+    )
+    judged = old.select(F.col("log_id").alias("_seen")).distinct()
+    new = (
+        loads.where((F.col("ts") >= F.lit(since)) & (F.col("rows_count") != 0))
+        .join(judged, F.col("log_id") == F.col("_seen"), "left_anti")
+        .join(cfg.select(F.col("_object").alias("_c"), "cfg_key"), F.col("object") == F.col("_c"), "left")
+        .select(
+            "object", F.lit(1).alias("step"), "log_id", "ts",
+            choose_key_date(F.array_append("key_dates", F.to_date("ts")), F.col("cfg_key"), as_of).alias("key_date"),
+            "rows_count",
+            *[F.lit(None).cast(t).alias(n) for n, t in (("value", "bigint"), ("ztest", "boolean"), ("avg", "bigint"), ("std", "bigint"), ("cnt", "bigint"), ("min", "bigint"), ("max", "bigint"))],
+        )
+    )
+    keyed = old.unionByName(new).join(cfg, F.col("object") == F.col("_object"), "left").where(
+        F.coalesce("active", F.lit(True))
+    )
+    days = F.regexp_extract(F.col("cfg_interval"), r"(\d+)", 1).try_cast("int")
+    ready = keyed.withColumn("gap_days", F.coalesce(days, F.lit(1))).drop("_object", "active", "back", "cfg_key", "cfg_interval")
+    ordered = ready.repartition("object").sortWithinPartitions("object", "step", "log_id")
+    return ordered.mapInPandas(_judge_in_order, VERDICT_SCHEMA)
+
+
+def _judge_in_order(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    current, points = None, {}
+    for batch in batches:
+        out = []
+        for row in batch.itertuples(index=False):
+            if row.object != current:
+                current, points = row.object, {}
+            if row.step == 0:
+                _remember(points, row.key_date, (row.ztest, row.ts, row.log_id), row)
+                continue
+            verdict = _judge(row, points)
+            out.append(verdict)
+            _remember(points, row.key_date, (verdict["ztest"], row.ts, row.log_id), SimpleNamespace(**verdict))
+        frame = pd.DataFrame(out, columns=[c.split()[0] for c in VERDICT_SCHEMA.split(", ")])
+        for c in ("key_diff", "value", "avg", "std", "cnt", "min", "max"):
+            frame[c] = frame[c].astype("Int64")
+        yield frame
+
+
+def _remember(points, key_date, rank, row) -> None:
+    points.setdefault(key_date, []).append((_rank(rank), row))
+
+
+def _rank(rank):
+    ztest, ts, log_id = rank
+    missing = ztest is None or pd.isna(ztest)
+    return (missing, False if missing else bool(ztest), ts, log_id)
+
+
+def _judge(row, points) -> dict:
+    def given(x):
+        return x is not None and not (pd.api.types.is_scalar(x) and pd.isna(x))
+
+    errors = set(row.z_error) if row.z_error is not None else set()
+    excepts = set(row.z_except) if row.z_except is not None else set()
+    skip = bool(row.skip) if given(row.skip) else True
+    beg = row.beg if given(row.beg) else FIRST_DAY
+    hist = row.hist if given(row.hist) else None
+    row_max = hist if hist is not None and row.rows_count <= hist else float("inf")
+    row_min = hist + 1 if hist is not None and row.rows_count > hist else 0
+    low = row.cfg_min if given(row.cfg_min) else -float("inf")
+    high = row.cfg_max if given(row.cfg_max) else float("inf")
+
+    def usable(p):
+        return p.key_date not in errors and p.key_date >= beg and row_min <= p.rows_count <= row_max
+
+    def good_value(p):
+        return given(p.value) and not (skip and p.value == 0) and low <= p.value <= high
+
+    last_day = row.key_date - dt.timedelta(days=int(row.gap_days))
+    last, base = None, []
+    dots = int(row.dots) if given(row.dots) else DOTS
+    for day in sorted(points, reverse=True):
+        if day >= row.key_date:
+            continue
+        ranked = sorted(points[day], key=lambda p: p[0], reverse=True)
+        if last is None and day <= last_day:
+            last = next((p for _, p in ranked if usable(p) and (not given(p.value) or good_value(p))), None)
+        if len(base) < dots:
+            hit = next(
+                (p for r, p in ranked if usable(p) and good_value(p) and (r[0] or r[1] or day in excepts)), None
+            )
+            if hit is not None:
+                base.append(int(hit.value))
+        elif last is not None:
+            break
+    out = dict.fromkeys(c.split()[0] for c in VERDICT_SCHEMA.split(", "))
+    out.update(ts=row.ts, object=row.object, key_date=row.key_date, rows_count=row.rows_count, log_id=abs(row.log_id))
+    z = stable = value = None
+    if last is not None:
+        gap = (row.key_date - last.key_date).days
+        delta = int(row.rows_count) - int(last.rows_count)
+        value = abs(delta) // gap * (1 if delta >= 0 else -1)
+        sample = [*base, value]
+        avg = sum(sample) / len(sample)
+        std = math.sqrt(sum((x - avg) ** 2 for x in sample) / len(sample))
+        z = (value - avg) / (std or 1.0)
+        stable = std / avg if avg else None
+        out.update(key_diff=gap, value=value, zscore=z, avg=_half_up(avg), std=_half_up(std), cnt=len(sample), min=min(sample), max=max(sample))
+
+    def within(k):
+        return (row.zfr if given(row.zfr) else -k) <= z <= (row.zto if given(row.zto) else k)
+
+    if row.key_date in excepts:
+        ok, msg = True, "Ok z_except"
+    elif row.key_date in errors:
+        ok, msg = False, "No z_error"
+    elif given(row.end_day) and row.key_date > row.end_day:
+        ok, msg = None, "Key_date > end"
+    elif row.key_date < beg:
+        ok, msg = None, "Key_date < beg"
+    elif last is None:
+        ok, msg = True, "Ok first"
+    elif value < low:
+        ok, msg = False, "No < min"
+    elif value > high:
+        ok, msg = False, "No > max"
+    elif (stable is not None and abs(stable) < STEADY and within(WIDE)) or within(NORMAL):
+        ok, msg = True, "Ok"
+    else:
+        ok, msg = False, "No"
+    if ok is False and last is not None:
+        out.update({c: (int(getattr(last, c)) if given(getattr(last, c)) else None) for c in ("avg", "std", "cnt", "min", "max")})
+    out.update(ztest=ok, msg=msg)
+    return out
+
+
+def _half_up(x: float) -> int:
+    return int(math.floor(round(abs(x), 9) + 0.5)) * (1 if x >= 0 else -1)
+
+
+VERDICT = ("zscore", "ts", "object", "key_date", "rows_count", "key_diff", "value", *STATS, "log_id", "ztest", "msg")
+
+
+def recalculate_by_steps(loads: DataFrame, history: DataFrame, config: DataFrame, since, as_of) -> DataFrame:
+    """Re-judge the loads from ``since`` on in log order; every verdict feeds the next baseline.
+
+    ``loads``: log_id, object, key_dates array<date>, rows_count, ts.  History rows before ``since``
+    seed the state, later ones are dropped, as in ``recalculate``, with the same result.
 
     A load is compared with loads of earlier key dates that come before it in the log.  So the n-th key dates of all objects
-    are judged together, in as many steps as an object has key dates, however many loads a date has.  Each step is stored.
+    are judged together, in as many steps as an object has key dates, however many loads a date has.
+    Each step is one plan without Python and is stored; it costs some seconds whatever its size.
     """
+    spark = loads.sparkSession
     number = ("log_id", "rows_count", "value", *STATS)
     old = history.where((F.col("ts") < F.lit(since)) & F.col("key_date").isNotNull()).select(
         "object", "key_date", "ts", "ztest", *[F.col(c).cast("bigint").alias(c) for c in number]
@@ -367,34 +520,25 @@ def recalculate(loads: DataFrame, history: DataFrame, config: DataFrame, since,
     )
     cand = _candidates(new, config, "key_dates", as_of).withColumn("side", _side())
     dates = cand.select(F.col("object").alias("_o"), F.col("key_date").alias("_d")).distinct()
-    nth = F.row_number().over(Window.partitionBy("_o").orderBy("_d"))
-    cand = cut_lineage(cand.join(dates.withColumn("_step", nth), (F.col("object") == F.col("_o")) & (F.col("key_date") == F.col("_d"))).drop("_o", "_d"))
-    limits = cand.groupBy(F.col("object").alias("_o")).agg(*[F.first(c).alias(c) for c in (*LIMITS, "hist")])
+    every = Window.partitionBy("_o")
+    dates = dates.withColumns({"_step": F.row_number().over(every.orderBy("_d")), "_steps": F.count(F.lit(1)).over(every)})
+    cand = store_rows(cand.join(dates, (F.col("object") == F.col("_o")) & (F.col("key_date") == F.col("_d"))).drop("_o", "_d"), new_folder(spark))
+    limits = cand.groupBy(F.col("object").alias("_o")).agg(*[F.first(c).alias(c) for c in (*LIMITS, "hist", "_steps")])
     seeds = _marked(old.join(limits, F.col("object") == F.col("_o")).withColumn("side", _side()))
     # One row per object, key date and side of the row limit, before everything in the log.
-    state = [
-        cut_lineage(
-            seeds.where("rows_count >= 0 and (last is not null or base is not null)")
-            .groupBy("object", "key_date", "side")
-            .agg(F.max("last").alias("last"), F.max("base").alias("base"))
-            .withColumn("_log", F.lit(None).cast("bigint"))
-        )
-    ]
+    seeds = (
+        seeds.where("rows_count >= 0 and (last is not null or base is not null)")
+        .groupBy("object", "key_date", "side", "_steps")
+        .agg(F.max("last").alias("last"), F.max("base").alias("base"))
+    )
+    folder = new_folder(spark)
     steps = cand.agg(F.max("_step")).first()[0] or 0
-    done = []
+    known = _judged_step(cand.where("false"), None).withColumn("_seed", F.lit(False))
+    state = store_rows(known.unionByName(seeds.withColumn("_seed", F.lit(True)), allowMissingColumns=True), folder)
     for step in range(1, steps + 1):
-        judged = cut_lineage(_judged_step(cand.where(F.col("_step") == step), reduce(DataFrame.unionByName, state)))
-        done.append(judged)
-        served = judged.where("rows_count >= 0 and (last is not null or base is not null)")
-        state.append(served.select("object", "key_date", "side", "last", "base", F.col("log_id").alias("_log")))
-        if len(state) > STEPS_APART:
-            state = [cut_lineage(reduce(DataFrame.unionByName, state))]
-    if not done:
-        done = [_judged_step(cand, state[0])]
-    return reduce(DataFrame.unionByName, done).withColumn("log_id", F.abs("log_id")).select(*VERDICT)
-
-
-STEPS_APART = 16  # so many stored steps are read side by side before they become one
+        judged = _judged_step(cand.where(F.col("_step") == step), state.where(F.col("_steps") >= step))
+        state = store_rows(judged.withColumn("_seed", F.lit(False)), folder)
+    return state.where(~F.col("_seed")).withColumn("log_id", F.abs("log_id")).select(*VERDICT)
 
 
 def _side() -> Column:
@@ -402,23 +546,29 @@ def _side() -> Column:
     return F.when(F.col("hist").isNull(), 0).when(F.col("rows_count") <= F.col("hist"), 1).otherwise(2)
 
 
-def _judged_step(cand: DataFrame, state: DataFrame) -> DataFrame:
+def _judged_step(cand: DataFrame, state: DataFrame | None) -> DataFrame:
     """Verdicts of candidates that do not feed each other, with their own ``last`` and ``base``.
 
     Each candidate asks every earlier key date of its object once; the answer is the largest mark before it in the log, found by
     one running maximum per (object, key date, side), so no load meets all loads of its object.
     """
-    mine = state.join(cand.select("object").distinct(), "object", "left_semi")
-    known = mine.select(F.col("object").alias("_o"), F.col("side").alias("_s"), F.col("key_date").alias("_d")).distinct()
-    asks = cand.select("object", "side", "log_id", "key_date", _before("key_date").alias("_until"), "dots").distinct().join(
+    keys = ["object", "side", "log_id"]
+    if state is None:
+        none = _marked(cand.withColumns({"value": F.lit(None).cast("bigint"), "ztest": F.lit(None).cast("boolean")} | {c: F.lit(None).cast("bigint") for c in STATS}))
+        best = none.select(*keys, "key_date", "dots", "last", "base")
+        return _marked(_decided(cand, _baseline(best, keys), keys)).select(*VERDICT, "side", "_steps", "last", "base")
+    marks = state.where("_seed or (rows_count >= 0 and (last is not null or base is not null))").select(
+        "object", "side", "key_date", F.when(~F.col("_seed"), F.col("log_id")).alias("_log"), "last", "base"
+    )
+    known = marks.select(F.col("object").alias("_o"), F.col("side").alias("_s"), F.col("key_date").alias("_d")).distinct()
+    asks = cand.select(*keys, "key_date", _before("key_date").alias("_until"), "dots").distinct().join(
         known, (F.col("object") == F.col("_o")) & (F.col("side") == F.col("_s")) & (F.col("_d") < F.col("key_date"))
     ).select("object", "side", F.col("_d").alias("key_date"), "log_id", F.col("log_id").alias("_log"), "_until", "dots", F.lit(0).alias("_place"))
-    both = mine.withColumn("_place", F.lit(1)).unionByName(asks, allowMissingColumns=True)
+    both = marks.withColumn("_place", F.lit(1)).unionByName(asks, allowMissingColumns=True)
     so_far = Window.partitionBy("object", "key_date", "side").orderBy(F.col("_log").asc_nulls_first(), "_place").rowsBetween(Window.unboundedPreceding, 0)
-    best = both.withColumns({"last": F.max("last").over(so_far), "base": F.max("base").over(so_far)}).where("_place = 0")
-    best = best.withColumn("last", F.when(F.col("key_date") <= F.col("_until"), F.col("last")))
-    keys = ["object", "side", "log_id"]
-    return _marked(_decided(cand, _baseline(best, keys), keys)).select(*VERDICT, "side", "last", "base")
+    best = both.select(*both.columns[:4], "log_id", "_until", "dots", "_place", F.max("last").over(so_far).alias("last"), F.max("base").over(so_far).alias("base"))
+    best = best.where("_place = 0").withColumn("last", F.when(F.col("key_date") <= F.col("_until"), F.col("last")))
+    return _marked(_decided(cand, _baseline(best, keys), keys)).select(*VERDICT, "side", "_steps", "last", "base")
 
 
 # --- configuration and view ----------------------------------------------------------------

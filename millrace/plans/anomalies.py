@@ -254,19 +254,26 @@ _RECALC_SQL = f"""with recursive {_ROW_TOTALS}, {_SETTINGS},
     p.s as std, p.n as cnt, p.mn as min, p.mx as max, p.lid as log_id, p.zt as ztest, msg from (select *, pts[len(pts)] as p from steps where k > 0)"""
 
 
-@query("Z7_recalculate", _RECALC_SQL)
-def recalculate(t):
+def _recalc_inputs(t):
     _, hist, config = _verdict_inputs(t)
-    totals = _row_totals(t)
-    loads = totals.select(
+    loads = _row_totals(t).select(
         (F.col("log_id") + 10_000_000).alias("log_id"),
         F.concat(F.lit("tb_"), "user_id").alias("object"),
         F.array("key_date").alias("key_dates"),
         "rows_count",
         "ts",
     )
-    out = ops.recalculate(loads, hist, config, dt.datetime(2024, 1, 15), TODAY)
-    return out.withColumn("zscore", F.round("zscore", 6))
+    return loads, hist, config, dt.datetime(2024, 1, 15), TODAY
+
+
+@query("Z7_recalculate", _RECALC_SQL)
+def recalculate(t):
+    return ops.recalculate(*_recalc_inputs(t)).withColumn("zscore", F.round("zscore", 6))
+
+
+@query("Z7_recalculate_by_steps", _RECALC_SQL)
+def recalculate_by_steps(t):
+    return ops.recalculate_by_steps(*_recalc_inputs(t)).withColumn("zscore", F.round("zscore", 6))
 
 
 _CONFIG_SQL = """cfg as (select 'tb_' || user_id as object, user_id % 4 <> 0 as active, user_id % 2 = 0 as rollback, cast(null as varchar) as z_cfg,

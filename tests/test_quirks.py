@@ -2,6 +2,7 @@
 
 import datetime as dt
 import math
+import random
 
 from pyspark.sql import functions as F
 
@@ -134,6 +135,46 @@ def test_recalculation_equals_one_verdict_at_a_time(spark):
     assert got == expected
 
 
+def test_both_recalculations_agree_on_an_object_with_a_third_of_all_loads(spark):
+    pick = random.Random(5)
+    names = ["hot"] * 60 + [f"o{i % 12}" for i in range(120)]
+    pick.shuffle(names)
+    loads = []
+    for i, name in enumerate(names):
+        # Several loads a date, dates out of log order, dates that go back, negative and repeated sizes.
+        day = D(2024, 1, 1 + pick.randrange(9))
+        loads.append((1000 + i, name, [day], pick.choice([-5, 40, 90, 100, 100, 120, 400, 2000]), dt.datetime(2024, 1, 20, i % 24)))
+    hist = [
+        (name, D(2023, 12, d), 80 + d, pick.choice([None, 0, 1, 2, 3]), pick.choice([None, True, False]), dt.datetime(2023, 12, d, h), 10 * d + h, 1, 2, 3, 4, 5)
+        for name in ("hot", "o1", "o2", "unseen") for d in range(20, 31) for h in (1, 2)
+    ]
+    config = [
+        ("hot", True, False, '{"dots": 3, "hist": 99}', [D(2024, 1, 3)], [D(2024, 1, 5)]),
+        ("o1", True, False, '{"interval": "2 days", "min": 0, "skip": false}', None, None),
+        ("o2", False, False, None, None, None),
+        ("o3", True, False, '{"beg": "2024-01-03", "end": "2024-01-07", "max": 50, "zfr": -1}', None, None),
+    ]
+    inputs = (
+        spark.createDataFrame(loads, "log_id bigint, object string, key_dates array<date>, rows_count bigint, ts timestamp"),
+        spark.createDataFrame(hist, HIST), spark.createDataFrame(config, anomaly.CONFIG_SCHEMA), dt.datetime(2024, 1, 1), D(2024, 2, 1),
+    )
+
+    def rows(df):
+        shown = df.select(*anomaly.VERDICT).withColumn("zscore", F.round("zscore", 6)).collect()
+        return sorted((tuple(None if isinstance(v, float) and math.isnan(v) else v for v in r) for r in shown), key=lambda r: r[anomaly.VERDICT.index("log_id")])
+
+    stepwise = anomaly.recalculate_by_steps(*inputs)
+    assert "Python" not in stepwise._jdf.queryExecution().executedPlan().toString()
+    got = rows(stepwise)
+    assert len(got) == sum(n != "o2" for n in names) and got == rows(anomaly.recalculate(*inputs))
+
+
+def test_recalculation_by_steps_of_nothing(spark):
+    none = spark.createDataFrame([], "log_id bigint, object string, key_dates array<date>, rows_count bigint, ts timestamp")
+    out = anomaly.recalculate_by_steps(none, _hist(spark), spark.createDataFrame([], anomaly.CONFIG_SCHEMA), dt.datetime(2024, 1, 1), D(2024, 2, 1))
+    assert out.columns == list(anomaly.VERDICT) and out.isEmpty()
+
+
 def test_toggle_twice_restores(spark):
     config = spark.createDataFrame([("o", True, False, None, [D(2024, 1, 2)], [])], anomaly.CONFIG_SCHEMA)
     change = spark.createDataFrame([("o", D(2024, 1, 9))], "object string, day date")
