@@ -14,6 +14,7 @@ from millrace.functions.lineage import cut_lineage
 from millrace.functions.marks import above, edge, span
 from millrace.functions.ordered import previous_row
 from millrace.functions.parsing import json_field
+from millrace.operators.anomaly import daily_points, rolling_z
 
 
 @dataclass(frozen=True)
@@ -226,6 +227,18 @@ def refresh_mart(
     return snapshot_replace(cut_lineage(template(changed)), mart, keys, partition_column, order, limiter)
 
 
+def refresh_scores(
+    refreshed: DataFrame, changed: DataFrame, stored: DataFrame, object_name: str, partition_column: str, calc_dt
+) -> DataFrame:
+    """Closing test of a mart refresh: scores of the mart's daily row counts between the first and the last value of
+    ``partition_column`` in the changed source rows.  ``stored`` holds earlier counts (object, day, calc_dt, value); mean and
+    deviation run over all known days.  No changed rows, no scores."""
+    low, high = changed.agg(F.min(partition_column).cast("date"), F.max(partition_column).cast("date")).first()
+    touched = refreshed.where(F.col(partition_column).cast("date").between(F.lit(low).cast("date"), F.lit(high).cast("date")))
+    fresh = daily_points(touched, F.lit(object_name), partition_column, "count(1)", calc_dt)
+    return rolling_z(fresh, stored.where(F.col("object") == object_name), low, high, 0)
+
+
 def changed_slices(source: DataFrame, mart: DataFrame, watermark: str, inclusive: bool = True) -> DataFrame:
     """Source rows at or after the largest watermark of the mart (all rows if it is empty)."""
     return above(source, watermark, edge(mart, watermark), inclusive)

@@ -406,11 +406,13 @@ def _quoted(name: str) -> Column:
 
 
 def _psi(function, **options):
-    """Stability of a field over the period that ends at the check date against the period before it."""
+    """Stability of a field over the period that ends at the check date against the period before it.
+
+    The parameters ``target_units`` and ``bench_units`` of a check give the lengths in its unit, one by default."""
 
     def metric(df: DataFrame, c: VolumeCheck, end: dt.date) -> DataFrame:
-        target = Period.ending(end, c.unit, 1)
-        bench = Period.ending(target.first - dt.timedelta(days=1), c.unit, 1)
+        target = Period.ending(end, c.unit, c.params.get("target_units", 1))
+        bench = Period.ending(target.first - dt.timedelta(days=1), c.unit, c.params.get("bench_units", 1))
         out = function(df, c.field, c.date_column, bench, target, **options)
         return out.where("group_cd = '9999'").select("psi") if "group_cd" in out.columns else out.select("psi")
 
@@ -427,6 +429,9 @@ METRICS: dict[str, Callable[[DataFrame, VolumeCheck, dt.date], DataFrame]] = {
     "insane_dates": lambda df, c, end: insane_dates(df, c.field),
     "stability_categorical": _psi(lambda *a, **o: stability_categorical(*a, **o)),
     "stability_continuous": _psi(lambda *a, **o: stability_continuous(*a, **o)),
+    "stability_date": _psi(stability_date),
+    # The text of the check reads the table as {t}.
+    "sql_metric": lambda df, c, end: sql_metric(df.sparkSession, c.params["sql"], {"t": df}, c.date_column, end, c.unit, c.params.get("target_units", 1)),
 }
 
 

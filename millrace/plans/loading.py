@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from millrace.functions.keys import newest_per_key, row_hash
 from millrace.operators import loads as ops
+from millrace.operators.anomaly import daily_points
 from millrace.plans import fixtures as fx
 from millrace.plans.registry import query
 from millrace.sources.ingest import backfill_mark, typed_ingest
@@ -199,6 +200,38 @@ def _refreshed(t, inclusive):
     return out.drop("hash")
 
 
+_REFRESH_SCORES_SQL = (
+    fx.with_sql(
+        fx.z_table_sql(),
+        fx.ORDERS_OLD,
+        "src as (select *, o_orderdate + 10 as actual_date from orders_old)",
+        f"refreshed as ({_refresh_sql('>=')})",
+        f"mart as ({_MART_SQL.format(day='2024-01-01', src="src where actual_date <= date '2000-06-20'")})",
+        """touched as (select cast(date_trunc('month', min(o_orderdate)) as date) as lo, cast(date_trunc('month', max(o_orderdate)) as date) as hi
+             from src where actual_date >= (select max(actual_date) from mart))""",
+        """pts as (select report_date as day, 2 as calc, count(*) as v from refreshed, touched where report_date between lo and hi group by 1
+             union all select report_date, 1, count(*) from mart group by 1)""",
+        "newest as (select * from pts qualify row_number() over (partition by day order by calc desc) = 1)",
+        "sc as (select day, v, avg(v) over () as a, stddev_pop(v) over () as s from newest)",
+        "zz as (select *, (v - a) / coalesce(nullif(s, 0), 1) as z0 from sc)",
+    )
+    + """select 'mart' as object, day as date_field_value, v as field_value, round(a, 6) as avg_value, round(s, 6) as stddev_value,
+         round(z0, 6) as zscore, round(100 * cast(coalesce(2 * z.p_value, 0) as double), 4) as confidence_percentage
+         from touched, zz left join ztable z on z.zscore = abs(cast(z0 as decimal(12,1))) where day between lo and hi"""
+)
+
+
+@query("L9_refresh_scores", _REFRESH_SCORES_SQL)
+def refresh_scores(t):
+    """The refresh as a whole: changed slices, merge, and the test of the counts of the touched months against those stored before."""
+    source = fx.orders_old(t).withColumn("actual_date", F.date_add("o_orderdate", 10))
+    mart = _mart_template("2024-01-01")(source.where("actual_date <= date '2000-06-20'"))
+    refreshed = ops.refresh_mart(source, mart, _mart_template("2024-01-08"), ["o_custkey", "report_date"], "report_date", limiter=None)
+    changed = ops.changed_slices(source, mart, "actual_date").withColumn("report_date", F.trunc("o_orderdate", "MM"))
+    stored = daily_points(mart, F.lit("mart"), "report_date", "count(1)", dt.datetime(2024, 1, 1))
+    return ops.refresh_scores(refreshed, changed, stored, "mart", "report_date", dt.datetime(2024, 1, 8))
+
+
 @query(
     "L10_append_above_mark",
     """select o_orderkey, o_custkey, cast(o_totalprice as decimal(15,2)) as price from orders

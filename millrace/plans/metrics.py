@@ -275,6 +275,27 @@ def suite_report(t):
     return ops.suite_report(_suite(t)).drop("msg")
 
 
+@query(
+    "Q12_suite_stability_and_sql",
+    "with p as (select psi from ("
+    + _psi_cont_sql("(cast(o_orderdate as date) - date '2000-01-01')", "orders", "o_orderdate", ("1998-03-29", "1998-05-29"), ("1998-05-30", "1998-06-30"))
+    + """) where group_cd = '9999'),
+       v as (select 'stability_date' as metric, 'o_orderdate' as fn, cast(psi as double) as value, 0 as low, 0.25 as high from p
+         union all select 'sql_metric', 'o_custkey', cast(count(distinct o_custkey) as double), 1, 20 from orders
+         where cast(o_orderdate as date) between date '1998-05-30' and date '1998-06-30')
+       select metric, 'orders' as tbl, fn, cast(case when value is null then -1 when value between low and high then 1 else 0 end as int) as res,
+         date '1998-06-30' as dt, round(value, 6) as ratio_1 from v""",
+)
+def suite_stability_and_sql(t):
+    checks = [
+        VolumeCheck("orders", "o_orderdate", "o_orderdate", low=0, high=0.25, metric="stability_date", params={"bench_units": 2}),
+        VolumeCheck("orders", "o_custkey", "o_orderdate", low=1, high=20, metric="sql_metric",
+                    params={"sql": "select cast(count(distinct o_custkey) as double) from {t}"}),
+    ]
+    out = ops.check_suite(t.spark, checks, {"orders": t.orders}, dt.date(1998, 7, 15))
+    return out.select("metric", "tbl", "fn", "res", "dt", "ratio_1")
+
+
 @query(
     "Q13_stability_suite",
     "select 'r_type' as rule_name, 'stab_categ' as rule_type, psi from ("

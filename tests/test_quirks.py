@@ -175,6 +175,15 @@ def test_recalculation_by_steps_of_nothing(spark):
     assert out.columns == list(anomaly.VERDICT) and out.isEmpty()
 
 
+def test_refresh_scores_judge_touched_days_only(spark):
+    points = spark.createDataFrame([("m", D(2024, 1, d), dt.datetime(2024, 1, 9), 4) for d in range(1, 5)], "object string, day date, calc_dt timestamp, value bigint")
+    mart = spark.createDataFrame([(D(2024, 1, 1 + i % 4),) for i in range(16)] + [(D(2024, 1, 4),)] * 8, "day date")
+    changed = mart.where("day >= date '2024-01-03'")
+    got = loads.refresh_scores(mart, changed, points, "m", "day", dt.datetime(2024, 1, 10)).orderBy("date_field_value").collect()
+    assert [(r.date_field_value.day, r.field_value, r.avg_value) for r in got] == [(3, 4, 6.0), (4, 12, 6.0)]
+    assert loads.refresh_scores(mart, changed.where("false"), points, "m", "day", dt.datetime(2024, 1, 10)).isEmpty()
+
+
 def test_toggle_twice_restores(spark):
     config = spark.createDataFrame([("o", True, False, None, [D(2024, 1, 2)], [])], anomaly.CONFIG_SCHEMA)
     change = spark.createDataFrame([("o", D(2024, 1, 9))], "object string, day date")
