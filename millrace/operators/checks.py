@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.keys import keep_matching, newest_per_key, row_hash
-from millrace.functions.lineage import cut_lineage
+from millrace.functions.lineage import cut_lineage, new_folder, store_rows
 from millrace.functions.ordered import quantile_chunk, running
 from millrace.functions.parsing import extract, is_json, safe_cast
 
@@ -464,28 +464,31 @@ def range_bucket_frequency(
     with the next bucket's lower bound; bounds rounded to ``digits``.
 
     ntile(n) of the i-th of m rows follows from i and m, and i comes from counts of distinct values in chunks
-    of about equal size, so a unit with very many rows is not sorted in one task.  The source is read once.
+    of about equal size, so a unit with very many rows is not sorted in one task.  The source is read once; the counts per day
+    and per value are stored, and one join gives sizes and days of the tiles.
     """
-    per_day = cut_lineage(
+    spark = df.sparkSession
+    per_day = store_rows(
         df.where(F.col(value).isNotNull())
         .groupBy(unit.alias("_u"), F.col(value).cast("bigint").alias("_v"), F.col(day).alias("_day"))
-        .agg(F.count(F.lit(1)).alias("_c"))
+        .agg(F.count(F.lit(1)).alias("_c")),
+        new_folder(spark),
     )
-    per_value = per_day.groupBy("_u", "_v").agg(F.sum("_c").alias("_c"))
+    per_value = store_rows(per_day.groupBy("_u", "_v").agg(F.sum("_c").alias("_c")), new_folder(spark))
     ranked = running(per_value, ["_u"], ["_v"], {"_upto": ("sum", "_c")}, quantile_chunk(per_value, "_v", buckets))
     totals = per_value.groupBy(F.col("_u").alias("_tu")).agg(F.sum("_c").alias("_m"))
     joined = ranked.join(totals, F.col("_u").eqNullSafe(F.col("_tu")))
     first, last = F.col("_upto") - F.col("_c") + 1, F.col("_upto")
     spread = joined.withColumn("_n", F.explode(F.sequence(_tile(first, n), _tile(last, n))))
     inside = F.least(last, _tile_end(F.col("_n"), n)) - F.greatest(first, _tile_end(F.col("_n") - 1, n) + 1) + 1
-    sizes = spread.groupBy("_u", "_n").agg(F.min("_v").alias("min"), F.max("_v").alias("max"), F.sum(inside).alias("cnt"))
-    days = (
-        spread.select("_u", "_v", "_n")
-        .join(per_day.select(F.col("_u").alias("_du"), F.col("_v").alias("_dv"), "_day"), (F.col("_u").eqNullSafe(F.col("_du"))) & (F.col("_v") == F.col("_dv")))
-        .groupBy(F.col("_u").alias("_xu"), F.col("_n").alias("_xn"))
-        .agg(F.countDistinct("_day").alias("days"))
+    sized = spread.select("_u", "_v", "_n", inside.alias("_rows"))
+    by_day = sized.join(per_day.select(F.col("_u").alias("_du"), F.col("_v").alias("_dv"), "_day", "_c"), F.col("_u").eqNullSafe(F.col("_du")) & (F.col("_v") == F.col("_dv")))
+    # Of the days of a value only its first carries the value's rows, so they count once.
+    once = F.row_number().over(Window.partitionBy("_u", "_v", "_n").orderBy("_day")) == 1
+    of_day = by_day.withColumn("_rows", F.when(once, F.col("_rows"))).groupBy("_u", "_n", "_day").agg(
+        F.min("_v").alias("min"), F.max("_v").alias("max"), F.sum("_rows").alias("cnt")
     )
-    tiles = sizes.join(days, F.col("_u").eqNullSafe(F.col("_xu")) & (F.col("_n") == F.col("_xn")))
+    tiles = of_day.groupBy("_u", "_n").agg(F.min("min").alias("min"), F.max("max").alias("max"), F.sum("cnt").alias("cnt"), F.count("_day").alias("days"))
     merged = tiles.groupBy(F.col("_n").cast("int").alias("n")).agg(
         F.min("min").alias("min"), F.max("max").alias("_max"), F.sum("cnt").cast("bigint").alias("sum"), F.round(F.avg("days")).cast("bigint").alias("dt_cnt")
     )
