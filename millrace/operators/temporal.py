@@ -6,11 +6,13 @@ import datetime as dt
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 
-from millrace.functions.lineage import cut_lineage
+from millrace.functions.lineage import cut_lineage, new_folder, store_rows
 from millrace.functions.ordered import previous_row
 
 LEVELS = 16  # fixed value: level columns of the flat table
@@ -185,6 +187,101 @@ def day_span(rows: DataFrame, day: str, back: int = 0) -> tuple[Column, Column]:
     return F.lit(low - dt.timedelta(days=back)), F.lit(high)
 
 
+@dataclass(frozen=True)
+class Timeline:
+    """Periods ``start`` to ``end`` (dates, both included) of ``keys``, with the values to take {new name: column}.
+
+    ``exclusive`` states whether the periods of a key have no day in common; None leaves it to ``exclusive_periods``.
+    """
+
+    frame: DataFrame
+    keys: Sequence[str]
+    take: Mapping[str, str]
+    start: str
+    end: str
+    exclusive: bool | None = None
+
+
+def exclusive_periods(sides: Sequence[Timeline]) -> list[bool]:
+    """For each side: whether no day of a key lies in two of its periods; sides that are not dated by dates give False.
+
+    One job for all sides that do not state it.  Periods are reduced to one row per (key, start), so a window holds at most one row per
+    day of a key; one row per side reaches the driver.
+    """
+    dated = [isinstance(s.frame.schema[c].dataType, DateType) for s in sides for c in (s.start, s.end)]
+    usable = [i for i, s in enumerate(sides) if s.exclusive is not False and dated[2 * i] and dated[2 * i + 1]]
+    faults = []
+    for i in (i for i in usable if sides[i].exclusive is None):
+        side, own = sides[i], [f"_k{j}" for j in range(len(sides[i].keys))]
+        periods = _periods(side, own).select(*own, "_at", F.col(side.end).alias("_to"))
+        starts = periods.groupBy(*own, "_at").agg(F.max("_to").alias("_to"), F.count(F.lit(1)).alias("_n"))
+        earlier = F.lag("_to").over(Window.partitionBy(*own).orderBy("_at"))
+        fault = starts.select(((F.col("_n") > 1) | F.coalesce(earlier >= F.col("_at"), F.lit(False))).alias("_fault"))
+        faults.append(fault.agg(F.lit(i).alias("_side"), F.coalesce(F.max("_fault"), F.lit(False)).alias("_fault")))
+    found = {r["_side"] for r in reduce(DataFrame.unionByName, faults).where("_fault").collect()} if faults else set()
+    return [i in usable and i not in found for i in range(len(sides))]
+
+
+def _periods(side: Timeline, own: Sequence[str]) -> DataFrame:
+    """The periods of a side that can hold a day of a key, with the key columns named ``own`` and the start ``_at``."""
+    named = {n: F.col(k) for n, k in zip(own, side.keys)}
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in side.keys])
+    return side.frame.where(known & (F.col(side.start) <= F.col(side.end))).withColumns({**named, "_at": F.col(side.start)})
+
+
+def values_on_days(asks: DataFrame, keys: Sequence[str], day: str, sides: Sequence[Timeline]) -> DataFrame:
+    """One row per distinct (``keys``, ``day``) of ``asks``: what every side holds for the key on that day, NULL if nothing.
+
+    The sides have no overlaps (``exclusive_periods``).  Asked days and period starts of all sides are put in one
+    order per key and the newest period is carried forward, so they are shuffled once whatever their number.  A key
+    holds at most one row per day and side here, however many rows ask.  NULL keys and days are left out.
+    """
+    own = [f"_k{j}" for j in range(len(keys))]
+    asked = asks.select(*[F.col(k).alias(n) for k, n in zip(keys, own)], F.col(day).cast("date").alias("_at"))
+    merged = asked.na.drop().distinct().withColumn("_asked", F.lit(True))
+    for i, side in enumerate(sides):
+        values = [F.col(c).alias(f"v{j}") for j, c in enumerate(side.take.values())]
+        period = F.struct(F.col(side.end).alias("to"), *values).alias(f"_p{i}")
+        merged = merged.unionByName(_periods(side, own).select(*own, "_at", period), allowMissingColumns=True)
+    # A period that starts on the asked day is a peer of the asking row, so it counts.
+    until = Window.partitionBy(*own).orderBy("_at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    newest = {f"_p{i}": F.last(f"_p{i}", ignorenulls=True).over(until) for i in range(len(sides))}
+    found = merged.withColumns(newest).where("_asked")
+    return found.select(
+        *[F.col(n).alias(k) for n, k in zip(own, keys)],
+        F.col("_at").alias(day),
+        *[
+            F.when(F.col("_at") <= F.col(f"_p{i}")["to"], F.col(f"_p{i}")[f"v{j}"]).alias(name)
+            for i, side in enumerate(sides)
+            for j, name in enumerate(side.take)
+        ],
+    )
+
+
+def timeline_join(
+    rows: DataFrame, keys: Sequence[str], day: str, sides: Sequence[Timeline], asks: DataFrame | None = None
+) -> DataFrame:
+    """Left join of ``rows`` to sides without overlaps: the rows are shuffled once, by (``keys``, ``day``), for all sides.
+
+    ``asks``: a frame with the same keys and days that is cheaper to read, the rows themselves by default.
+    """
+    answers = values_on_days(rows if asks is None else asks, keys, day, sides)
+    return _add_answers(rows, answers, dict(zip(keys, keys)), day, day, {n: n for s in sides for n in s.take})
+
+
+def _add_answers(
+    rows: DataFrame, answers: DataFrame, keys: Mapping[str, str], day: str, answer_day: str, names: Mapping[str, str]
+) -> DataFrame:
+    own = {theirs: f"_a{j}" for j, theirs in enumerate(keys.values())}
+    side = answers.select(
+        *[F.col(c).alias(n) for c, n in own.items()], F.col(answer_day).alias("_aday"), *[F.col(c).alias(n) for c, n in names.items()]
+    )
+    match = F.col(day).cast("date") == F.col("_aday")
+    for mine, theirs in keys.items():
+        match = match & (F.col(mine) == F.col(own[theirs]))
+    return rows.join(side, match, "left").drop("_aday", *own.values())
+
+
 @dataclass(frozen=True)
 class RelationKinds:
     """Relation codes of the edge list."""
@@ -195,22 +292,35 @@ class RelationKinds:
 
 
 def movement_detail(
-    movements: DataFrame, edges: DataFrame, permanent: DataFrame, kinds: RelationKinds | None = None
+    movements: DataFrame,
+    edges: DataFrame,
+    permanent: DataFrame,
+    kinds: RelationKinds | None = None,
+    exclusive: bool | None = None,
 ) -> DataFrame:
     """Position, job and reference position on the day of each movement and the day before.
 
     ``movements``: i_pernr, action_date, action_type, action_reason, org_id.  ``edges``: id_object,
     id_connection_object, connection_type, date_start, date_finish.  ``permanent``: code_movement_type,
     movement_motive, permanent_movement.  An old value equal to the current one is NULL.
+    ``exclusive`` states whether an object has at most one relation of a kind on a day; None has it checked.
     """
     kinds = kinds or RelationKinds()
-    span = day_span(movements, "action_date", back=1)
 
-    def history(kind: str, prefix: str, key: str, value: str) -> DataFrame:
-        return edges.where(F.col("connection_type") == kind).select(
-            F.col(key).alias(f"{prefix}_key"), F.col(value).alias(f"{prefix}_value"),
-            F.col("date_start").alias(f"{prefix}_from"), F.col("date_finish").alias(f"{prefix}_to"),
-        )
+    def history(kind: str, name: str, key: str, value: str) -> Timeline:
+        return Timeline(edges.where(F.col("connection_type") == kind), [key], {name: value}, "date_start", "date_finish", exclusive)
+
+    position = history(kinds.person_position, "pp_value", "id_connection_object", "id_object")
+    job = history(kinds.position_job, "pj_value", "id_object", "id_connection_object")
+    reference = history(kinds.position_reference, "pe_value", "id_object", "id_connection_object")
+    alone = exclusive_periods([position, job, reference])
+
+    # All values depend on person and day alone, so they are looked up once per person and day.
+    now = F.col("action_date").cast("date")
+    days = movements.select(F.col("i_pernr").alias("_person"), now.alias("_now"), F.date_sub(now, 1).alias("_before")).distinct()
+    span = None if all(alone) else day_span(movements, "action_date", back=1)
+    days = store_rows(_on_both_days(days, "_person", "_person", [position], alone[:1], span), new_folder(days.sparkSession))
+    days = _on_both_days(days, "pp_value", "oldpp_value", [job, reference], alone[1:], span)
 
     tie = ["action_date", "action_type", "action_reason", "org_id"]
     rows = previous_row(movements, ["i_pernr"], tie, {"_previous_org": "org_id"}, F.col("action_date"))
@@ -218,21 +328,7 @@ def movement_detail(
         F.col("code_movement_type").alias("_code"), F.col("movement_motive").alias("_motive"), "permanent_movement"
     )
     rows = rows.join(flags, (F.col("action_type") == F.col("_code")) & (F.col("action_reason") == F.col("_motive")), "left")
-    today, before = F.col("action_date"), F.date_sub("action_date", 1)
-    plan = [
-        ("pp", kinds.person_position, "i_pernr", today),
-        ("pj", kinds.position_job, "pp_value", today),
-        ("pe", kinds.position_reference, "pp_value", today),
-        ("oldpp", kinds.person_position, "i_pernr", before),
-        ("oldpj", kinds.position_job, "oldpp_value", before),
-        ("oldpe", kinds.position_reference, "oldpp_value", before),
-    ]
-    for prefix, kind, key, day in plan:
-        by_person = kind == kinds.person_position
-        side = history(
-            kind, prefix, *(("id_connection_object", "id_object") if by_person else ("id_object", "id_connection_object"))
-        )
-        rows = interval_join(rows, side, {key: f"{prefix}_key"}, day, f"{prefix}_from", f"{prefix}_to", span)
+    rows = rows.join(days, (F.col("i_pernr") == F.col("_person")) & (now == F.col("_now")), "left")
 
     def old(name):
         return F.nullif(F.col(f"old{name}_value"), F.col(f"{name}_value"))
@@ -254,6 +350,34 @@ def movement_detail(
     )
 
 
+def _on_both_days(
+    days: DataFrame,
+    key: str,
+    old_key: str,
+    sides: Sequence[Timeline],
+    exclusive: Sequence[bool],
+    span: tuple[Column, Column] | None,
+) -> DataFrame:
+    """Add the values of ``sides`` for (``key``, _now), and for (``old_key``, _before) under names that start with old."""
+    merged = [s for s, alone in zip(sides, exclusive) if alone]
+    asked = (("", key, "_now"), ("old", old_key, "_before"))
+    out = days
+    if merged:
+        both = F.array(*[F.struct(F.col(k).alias("_key"), F.col(d).alias("_day")) for _, k, d in asked])
+        answers = values_on_days(days.select(F.inline(both)), ["_key"], "_day", merged)
+        for prefix, k, d in asked:
+            names = {n: f"{prefix}{n}" for s in merged for n in s.take}
+            out = _add_answers(out, answers, {k: "_key"}, d, "_day", names)
+    for side in (s for s, alone in zip(sides, exclusive) if not alone):
+        for prefix, k, d in asked:
+            values = [F.col(c).alias(f"{prefix}{n}") for n, c in side.take.items()]
+            periods = side.frame.select(
+                F.col(side.keys[0]).alias("_pkey"), F.col(side.start).alias("_pfrom"), F.col(side.end).alias("_pto"), *values
+            )
+            out = interval_join(out, periods, {k: "_pkey"}, F.col(d), "_pfrom", "_pto", span).drop("_pkey", "_pfrom", "_pto")
+    return out
+
+
 def events_to_intervals(
     movements: DataFrame,
     key: str,
@@ -300,32 +424,47 @@ class Dictionary:
     take: Mapping[str, str]
     start: str | None = None
     end: str | None = None
+    exclusive: bool | None = None  # as in Timeline
 
 
 def enrich_intervals(
     intervals: DataFrame, reports: DataFrame, key: str, report_day: str, dictionaries: Sequence[Dictionary]
 ) -> DataFrame:
-    """Report rows that fall inside an interval of their key, with the dictionary values of the day."""
+    """Report rows that fall inside an interval of their key, with the dictionary values of the day.
+
+    Dated dictionaries without overlaps that follow each other with the same key share one timeline; those with
+    overlaps give a row per period that holds the day.
+    """
     span = day_span(reports, report_day)
-    periods = intervals.select(
-        F.col(key).alias("_ikey"), "date_start", "date_finish"
-    )
+    periods = intervals.select(F.col(key).alias("_ikey"), "date_start", "date_finish")
     rows = interval_join(reports, periods, {key: "_ikey"}, F.col(report_day), "date_start", "date_finish", span, "inner")
     rows = rows.drop("_ikey")
-    for i, d in enumerate(dictionaries):
-        names = {mine: f"_k{i}_{j}" for j, mine in enumerate(d.keys)}
-        columns = [F.col(theirs).alias(names[mine]) for mine, theirs in d.keys.items()]
-        columns += [F.col(source).alias(new) for new, source in d.take.items()]
-        if d.start:
-            side = d.frame.select(*columns, F.col(d.start).alias("_from"), F.col(d.end).alias("_to"))
-            rows = interval_join(rows, side, names, F.col(report_day), "_from", "_to", span).drop("_from", "_to")
-        else:
-            match = reduce(lambda a, b: a & b, [F.col(mine) == F.col(n) for mine, n in names.items()])
-            rows = rows.join(d.frame.select(*columns), match, "left")
-        rows = rows.drop(*names.values())
+    dated = [d for d in dictionaries if d.start]
+    lines = [Timeline(d.frame, list(d.keys.values()), d.take, d.start, d.end, d.exclusive) for d in dated]
+    alone = {id(d): line for d, line, ok in zip(dated, lines, exclusive_periods(lines)) if ok}
+    for keys, group in groupby(dictionaries, lambda d: tuple(d.keys) if id(d) in alone else None):
+        if keys:
+            asks = reports if set(keys) <= set(reports.columns) else None
+            rows = timeline_join(rows, keys, report_day, [alone[id(d)] for d in group], asks)
+            continue
+        for d in group:
+            rows = _add_dictionary(rows, d, report_day, span)
     return rows
 
 
+def _add_dictionary(rows: DataFrame, d: Dictionary, report_day: str, span: tuple[Column, Column]) -> DataFrame:
+    names = {mine: f"_k{j}" for j, mine in enumerate(d.keys)}
+    columns = [F.col(theirs).alias(names[mine]) for mine, theirs in d.keys.items()]
+    columns += [F.col(source).alias(new) for new, source in d.take.items()]
+    if d.start:
+        side = d.frame.select(*columns, F.col(d.start).alias("_from"), F.col(d.end).alias("_to"))
+        joined = interval_join(rows, side, names, F.col(report_day), "_from", "_to", span).drop("_from", "_to")
+    else:
+        match = reduce(lambda a, b: a & b, [F.col(mine) == F.col(n) for mine, n in names.items()])
+        joined = rows.join(d.frame.select(*columns), match, "left")
+    return joined.drop(*names.values())
+
+
 # --- calendars -----------------------------------------------------------------------------
 
 _STEPS = {"day": "interval 1 day", "month": "interval 1 month", "10 minutes": "interval 10 minutes"}

@@ -155,7 +155,8 @@ def movement_detail(t):
     permanent = moves.where("action_type = 'signup' and action_reason = 'm1'").selectExpr(
         "action_type as code_movement_type", "action_reason as movement_motive", "1 as permanent_movement"
     )
-    return ops.movement_detail(moves, _relations(t), permanent.distinct())
+    # The relations of the fixture have one value a day by construction, so nothing is checked.
+    return ops.movement_detail(moves, _relations(t), permanent.distinct(), exclusive=True)
 
 
 _ACTIONS = "case event_id % 5 when 0 then 'S4' when 1 then 'S2' when 2 then 'S1' when 3 then 'S2' else 'S3' end"
@@ -191,9 +192,8 @@ def enrichment(t):
     reports = t.events.selectExpr(
         "event_id", "user_id", "cast(ts as date) as report_date", "event_id % 25 as nation"
     )
-    states = ops.Dictionary(
-        fx.intervals(t, overlaps=False), {"user_id": "user_id"}, {"state": "event_type", "state_id": "event_id"}, "date_start", "date_finish"
-    )
+    taken = {"state": "event_type", "state_id": "event_id"}
+    states = ops.Dictionary(fx.intervals(t, overlaps=False), {"user_id": "user_id"}, taken, "date_start", "date_finish", exclusive=True)
     names = ops.Dictionary(t.nation, {"nation": "n_nationkey"}, {"nation_name": "n_name"})
     return ops.enrich_intervals(_terms(t), reports, "user_id", "report_date", [states, names])
 

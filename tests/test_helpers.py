@@ -154,3 +154,86 @@ def test_deep_chain_takes_few_rounds(spark, monkeypatch):
     got = {(r.org_id, r.lvl, r.valid_from) for r in paths.select("org_id", "lvl", "valid_from").collect()}
     assert got == {(i + 1, i, always[0]) for i in range(1, 1001)} | {(5000, 998, dt.date(2024, 2, 1))}
     assert len(rounds) <= 2 * 11 + 1
+
+
+def test_timeline_join_equals_interval_join(spark):
+    """Random periods without overlaps on two keys, a key that holds most rows, NULL keys and days, two sides in one order."""
+    rnd, day = random.Random(5), dt.date(2020, 1, 1)
+    sides, held = [], []
+    for _ in range(2):
+        rows = []
+        for k in range(6):
+            at = 0
+            while at < 900:
+                first = at + rnd.randint(0, 40)
+                last = first + rnd.randint(0, 60)
+                rows.append((k, k % 2, day + dt.timedelta(first), day + dt.timedelta(last), rnd.randint(0, 99) or None))
+                at = last + 1
+            rows.append((k, k % 2, day + dt.timedelta(5000), dt.date(9999, 12, 31), 7))
+            rows.append((k, k % 2, day + dt.timedelta(3), day + dt.timedelta(2), 13))  # holds no day
+        rows.append((None, 0, day, day, 1))
+        held.append(rows)
+        sides.append(spark.createDataFrame(rows, "a int, b int, s date, e date, v int"))
+    asked = [(0 if i % 3 else rnd.randint(0, 7), rnd.randint(0, 1), day + dt.timedelta(rnd.randint(-5, 950)), i) for i in range(900)]
+    asked += [(None, 0, day, -1), (1, 1, None, -2), (0, 0, dt.date(2300, 1, 1), -3)] + asked[:5]
+    rows = spark.createDataFrame(asked, "x int, y int, d date, n int")
+    lines = [temporal.Timeline(f, ["a", "b"], {f"v{i}": "v", f"s{i}": "s"}, "s", "e") for i, f in enumerate(sides)]
+    assert temporal.exclusive_periods(lines) == [True, True]
+    out = temporal.timeline_join(rows, ["x", "y"], "d", lines)
+
+    def at(rows, x, y, d):
+        fits = [(v, s) for a, b, s, e, v in rows if None not in (x, d) and (a, b) == (x, y) and s <= d <= e]
+        return fits[0] if fits else (None, None)
+
+    want = sorted(((*r, *at(held[0], *r[:3]), *at(held[1], *r[:3])) for r in asked), key=repr)
+    assert sorted((tuple(r) for r in out.select("x", "y", "d", "n", "v0", "s0", "v1", "s1").collect()), key=repr) == want
+
+
+def test_exclusive_periods(spark):
+    def line(*periods, **stated):
+        rows = [(k, dt.date(2020, 1, s), dt.date(2020, 1, e)) for k, s, e in periods]
+        return temporal.Timeline(spark.createDataFrame(rows, "k int, s date, e date"), ["k"], {"v": "s"}, "s", "e", **stated)
+
+    touching, same_start, inside = line((1, 1, 5), (1, 5, 9)), line((1, 1, 5), (1, 1, 2)), line((1, 1, 9), (2, 2, 3), (1, 4, 5))
+    apart, empty = line((1, 1, 4), (1, 5, 9), (2, 1, 9), (1, 7, 6)), line()
+    stated = line((1, 1, 5), (1, 5, 9), exclusive=True)
+    timed = temporal.Timeline(apart.frame.withColumn("s", F.col("s").cast("timestamp")), ["k"], {"v": "e"}, "s", "e")
+    sides = [touching, same_start, inside, apart, empty, stated, line(exclusive=False), timed]
+    assert temporal.exclusive_periods(sides) == [False, False, False, True, True, True, False, False]
+
+
+def test_dictionaries_with_and_without_overlaps(spark):
+    """Overlaps are noticed: such a dictionary gives a row per period, the others one row per report."""
+    day = dt.date(2024, 1, 10)
+    reports = spark.createDataFrame([(1, day, "x"), (2, day, "y")], "k int, d date, note string")
+    terms = spark.createDataFrame([(1, dt.date(2024, 1, 1), dt.date(9999, 12, 31)), (2, day, day)], "k int, date_start date, date_finish date")
+    twice = spark.createDataFrame([(1, day, day, "a"), (1, dt.date(2024, 1, 2), day, "b")], "k int, s date, e date, v string")
+    once = spark.createDataFrame([(1, dt.date(2024, 1, 2), day, "c"), (2, dt.date(2024, 1, 11), dt.date(9999, 12, 31), "z")], "k int, s date, e date, v string")
+    dictionaries = [
+        temporal.Dictionary(once, {"k": "k"}, {"first": "v"}, "s", "e"),
+        temporal.Dictionary(twice, {"k": "k"}, {"second": "v"}, "s", "e"),
+        temporal.Dictionary(spark.createDataFrame([("c", "see")], "v string, w string"), {"first": "v"}, {"third": "w"}),
+    ]
+    out = temporal.enrich_intervals(terms, reports, "k", "d", dictionaries)
+    assert rows_of(out.select("k", "note", "first", "second", "third"), "k", "second") == [(1, "x", "c", "a", "see"), (1, "x", "c", "b", "see"), (2, "y", None, None, None)]
+
+
+def test_movement_detail_is_the_same_by_either_join(spark):
+    """A position held twice on a day is noticed and gives a row per position; without it both joins agree."""
+    moves = spark.createDataFrame(
+        [(1, dt.date(2024, 1, d), "t", "r", d) for d in (1, 5, 5, 9)] + [(2, None, "t", "r", 1), (None, dt.date(2024, 1, 5), "t", "r", 1)],
+        "i_pernr int, action_date date, action_type string, action_reason string, org_id int",
+    )
+    end = dt.date(9999, 12, 31)
+    rows = [
+        (10, 1, "A008", dt.date(2024, 1, 1), dt.date(2024, 1, 4)), (11, 1, "A008", dt.date(2024, 1, 5), end),
+        (10, 100, "B007", dt.date(2024, 1, 1), end), (11, 101, "B007", dt.date(2024, 1, 6), end), (11, 201, "BZ71", dt.date(2024, 1, 1), end),
+    ]
+    schema = "id_object int, id_connection_object int, connection_type string, date_start date, date_finish date"
+    flags = spark.createDataFrame([("t", "r", 1)], "code_movement_type string, movement_motive string, permanent_movement int")
+    edges = spark.createDataFrame(rows, schema)
+    found = {e: sorted(map(repr, temporal.movement_detail(moves, edges, flags, exclusive=e).collect())) for e in (None, False, True)}
+    assert found[None] == found[False] == found[True] and len(found[None]) == 6
+    double = spark.createDataFrame([*rows, (12, 1, "A008", dt.date(2024, 1, 9), end)], schema)
+    out = temporal.movement_detail(moves, double, flags)
+    assert sorted(r.pos_id for r in out.where("org_id = 9").collect()) == [11, 12]
