@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from fnmatch import fnmatchcase
@@ -81,7 +82,12 @@ def freshness(
 
     ``month`` compares calendar months and ignores the year unless ``full_months``; ``quarter``
     divides the months by four."""
-    newest, at = F.max(_day(column)), F.lit(control)
+    newest = F.max(_day(column))
+    return df.agg(newest.alias("max_date"), _lag_behind(newest, control, unit, full_months).alias("date_diff"))
+
+
+def _lag_behind(newest: Column, control: dt.date, unit: str, full_months: bool = False) -> Column:
+    at = F.lit(control)
     months = F.months_between(at, newest)
     match unit:
         case "year":
@@ -96,7 +102,7 @@ def freshness(
             gap = F.datediff(at, newest)
         case _:
             raise ValueError(f"unknown unit {unit}")
-    return df.agg(newest.alias("max_date"), F.round(gap.cast("double"), 6).alias("date_diff"))
+    return F.round(gap.cast("double"), 6)
 
 
 def non_null_ratio(
@@ -108,7 +114,7 @@ def non_null_ratio(
     rows = df.where(_day(date_column).between(_lit(first), _lit(last)))
     counted = rows.agg(
         F.count(F.lit(1)).alias("_n"),
-        *[F.count(F.nullif(F.col(c).cast("string"), F.lit(""))).alias(f"_c{i}") for i, c in enumerate(columns)],
+        *[F.count(_filled(F.col(c))).alias(f"_c{i}") for i, c in enumerate(columns)],
     )
     pairs = F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"_c{i}").alias("_c")) for i, c in enumerate(columns)]))
     return counted.select("_n", pairs).select(
@@ -116,10 +122,17 @@ def non_null_ratio(
     )
 
 
+def _filled(value: Column) -> Column:
+    return F.nullif(value.cast("string"), F.lit(""))
+
+
 def out_of_range(df: DataFrame, column: str, kind: str, low, high) -> DataFrame:
     """Number of values outside [low, high]; NULLs are not counted."""
-    inside = F.col(column).between(F.lit(low).cast(kind), F.lit(high).cast(kind))
-    return df.agg(F.count_if(~inside).alias("cnt_not_in_range"))
+    return df.agg(_outside(F.col(column), kind, low, high).alias("cnt_not_in_range"))
+
+
+def _outside(value: Column, kind: str, low, high) -> Column:
+    return F.count_if(~value.between(F.lit(low).cast(kind), F.lit(high).cast(kind)))
 
 
 def insane_dates(df: DataFrame, column: str) -> DataFrame:
@@ -435,18 +448,80 @@ METRICS: dict[str, Callable[[DataFrame, VolumeCheck, dt.date], DataFrame]] = {
 }
 
 
-def metric_verdict(df: DataFrame, check: VolumeCheck, as_of: dt.date) -> DataFrame:
-    """Verdict row of one check by a metric of METRICS: 1 or 0 (value inside or outside the bounds), -1 without a value."""
-    end = volume_dates(as_of, check.unit, check.offset)[0]
-    out = METRICS[check.metric](df, check, end)
-    found = out.agg(F.max(out.columns[-1]).cast("double").alias("value"))
-    inside = F.col("value").between(F.lit(check.low).cast("double"), F.lit(check.high).cast("double"))
-    return found.select(
+@dataclass(frozen=True)
+class RowMetric:
+    """A metric that is one expression of aggregates over rows, so that many of them share a scan.
+
+    ``ranges`` are the closed date ranges whose rows it needs, none for the whole table; the aggregates keep to them."""
+
+    value: Column
+    ranges: tuple[tuple[dt.date, dt.date], ...] = ()
+
+
+def _drift(c: VolumeCheck, end: dt.date) -> RowMetric | None:
+    text = c.params.get("aggregate", f"sum({c.field})")
+    if not re.fullmatch(r"\s*\w+\((?!\s*distinct\b)[^()]*\)\s*", text, re.IGNORECASE):
+        return None  # only a plain aggregate call takes a filter
+    earlier, name = interval_start(end, c.unit, 1), "`" + c.date_column.replace("`", "``") + "`"
+    now, then = (F.expr(f"{text} filter (where cast({name} as date) = date '{d}')").cast("double") for d in (end, earlier))
+    drift = (F.coalesce(then, F.lit(0.0)) - now) / F.nullif(now, F.lit(0.0))
+    return RowMetric(F.round(drift, 5), ((end, end), (earlier, earlier)))
+
+
+def _filled_share(c: VolumeCheck, end: dt.date) -> RowMetric:
+    first = interval_start(end, c.unit, 1)
+    inside = _quoted(c.date_column).cast("date").between(F.lit(first), F.lit(end))
+    share = F.count_if(inside & _filled(_quoted(c.field)).isNotNull()) / F.nullif(F.count_if(inside), F.lit(0))
+    return RowMetric(F.round(share, 6), ((first, end),))
+
+
+#: The metrics of METRICS that need no grouping of their own; None sends a check to METRICS.
+ROW_METRICS: dict[str, Callable[[VolumeCheck, dt.date], RowMetric | None]] = {
+    "aggregate_drift": _drift,
+    "nonnull_ratio": _filled_share,
+    "freshness": lambda c, end: RowMetric(_lag_behind(F.max(_quoted(c.field).cast("date")), end, c.unit)),
+    "out_of_range": lambda c, end: RowMetric(_outside(_quoted(c.field), c.params.get("kind", "double"), c.params["low"], c.params["high"])),
+    "insane_dates": lambda c, end: RowMetric(_outside(_quoted(c.field), "date", *DATE_SANITY)),
+}
+
+
+def _row_metric(check: VolumeCheck, as_of: dt.date) -> RowMetric | None:
+    found = ROW_METRICS.get(check.metric)
+    return found(check, volume_dates(as_of, check.unit, check.offset)[0]) if found else None
+
+
+def row_verdicts(df: DataFrame, checks: Sequence[VolumeCheck], as_of: dt.date) -> DataFrame:
+    """Verdict rows of checks by metrics of ROW_METRICS on one table and date column; one scan and one aggregate for all."""
+    metrics = [_row_metric(c, as_of) for c in checks]
+    ranges = sorted({r for m in metrics for r in m.ranges})
+    if all(m.ranges for m in metrics):
+        day = _quoted(checks[0].date_column).cast("date")
+        df = df.where(reduce(lambda a, b: a | b, [day.between(F.lit(first), F.lit(last)) for first, last in ranges]))
+    wide = df.agg(*[m.value.cast("double").alias(f"v{i}") for i, m in enumerate(metrics)])
+    rows = [_found(c, as_of, F.col(f"v{i}")) for i, c in enumerate(checks)]
+    return _judged(wide.select(F.inline(F.array(*rows))))
+
+
+def _found(check: VolumeCheck, as_of: dt.date, value: Column) -> Column:
+    return F.struct(
         F.lit(check.metric).alias("metric"),
         F.lit(check.table).alias("tbl"),
         F.lit(check.field).alias("fn"),
+        F.lit(check.low).cast("double").alias("low"),
+        F.lit(check.high).cast("double").alias("high"),
+        F.lit(volume_dates(as_of, check.unit, check.offset)[0]).alias("dt"),
+        value.alias("value"),
+    )
+
+
+def _judged(found: DataFrame) -> DataFrame:
+    inside = F.col("value").between(F.col("low"), F.col("high"))
+    return found.select(
+        "metric",
+        "tbl",
+        "fn",
         F.when(F.col("value").isNull(), F.lit(-1)).when(inside, F.lit(1)).otherwise(F.lit(0)).alias("res"),
-        F.lit(end).alias("dt"),
+        "dt",
         F.lit(None).cast("bigint").alias("val2chk"),
         F.round("value", 6).alias("ratio_1"),
         F.lit(None).cast("double").alias("ratio_3"),
@@ -454,6 +529,14 @@ def metric_verdict(df: DataFrame, check: VolumeCheck, as_of: dt.date) -> DataFra
     )
 
 
+def metric_verdict(df: DataFrame, check: VolumeCheck, as_of: dt.date) -> DataFrame:
+    """Verdict row of one check by a metric of METRICS: 1 or 0 (value inside or outside the bounds), -1 without a value."""
+    end = volume_dates(as_of, check.unit, check.offset)[0]
+    out = METRICS[check.metric](df, check, end)
+    found = out.agg(F.max(out.columns[-1]).cast("double").alias("value"))
+    return _judged(found.select(F.inline(F.array(_found(check, as_of, F.col("value"))))))
+
+
 def check_suite(
     spark: SparkSession,
     checks: Sequence[VolumeCheck],
@@ -464,10 +547,12 @@ def check_suite(
 ) -> DataFrame:
     """One verdict row per active check under the masks.
 
-    Volume checks on the same table and period share a scan; other metrics are found by name.  A check that
-    cannot be analysed gives res -99 and does not touch the others."""
+    Volume checks on the same table and period share a scan.  Metrics of ROW_METRICS share one scan per table for
+    all that keep to date ranges, and one for all that read the whole table; other metrics are found by name and
+    run alone.  A check that cannot be analysed gives res -99 and does not touch the others."""
     chosen = [c for c in checks if c.active and _like(c.metric, metric_mask) and _like(c.table, table_mask)]
     groups: dict[tuple, list[VolumeCheck]] = {}
+    shared: dict[tuple, list[VolumeCheck]] = {}
     frames, failed = [], []
 
     def fail(c: VolumeCheck, text: str) -> None:
@@ -481,15 +566,27 @@ def check_suite(
             groups.setdefault((c.table, c.date_column, c.unit, c.offset), []).append(c)
         elif c.metric not in METRICS:
             fail(c, "unknown metric")
+        elif metric := _shareable(c, as_of):
+            shared.setdefault((c.table, c.date_column if metric.ranges else None), []).append(c)
         else:
             _analysed(frames, [c], lambda part: metric_verdict(tables[part[0].table], part[0], as_of), fail)
     for (table, *_), members in groups.items():
         _analysed(frames, members, lambda part, table=table: period_volume(tables[table], part, as_of), fail)
+    for (table, _), members in shared.items():
+        _analysed(frames, members, lambda part, table=table: row_verdicts(tables[table], part, as_of), fail)
     if failed or not frames:
         frames.append(spark.createDataFrame(failed, VERDICT_SCHEMA))
     return reduce(DataFrame.unionByName, frames)
 
 
+def _shareable(check: VolumeCheck, as_of: dt.date) -> RowMetric | None:
+    """The check as a row metric; a faulty one gives None, so that it runs, and fails, alone."""
+    try:
+        return _row_metric(check, as_of)
+    except (AnalysisException, KeyError):
+        return None
+
+
 def _analysed(frames: list[DataFrame], part: list[VolumeCheck], build, fail) -> None:
     """Add the verdicts of ``part``; if they cannot be analysed together, check by check."""
     try:

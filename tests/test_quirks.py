@@ -67,6 +67,41 @@ def test_volume_verdicts(spark):
     assert (summary.verdict, summary.res, summary.msg) == ("Error", -1, "True 1, Error 1")
 
 
+def test_suite_metrics_share_scans(spark, tmp_path):
+    """Twelve metrics of one table: one scan for those on date ranges, one for those on the whole table, one for a drift
+    that is no plain aggregate call; every verdict is that of the metric alone."""
+    days = [(D(2023, 12, 31), 4.0, "a"), (D(2024, 1, 31), 1.0, ""), (D(2024, 1, 31), None, "b"), (D(2024, 1, 15), 9.0, None), (None, 2.0, "c")]
+    spark.createDataFrame([*days, (D(2199, 1, 1), -1.0, "x")], "d date, `v v` double, t string").write.parquet(str(tmp_path / "t"))
+    df, at = spark.read.parquet(str(tmp_path / "t")), D(2024, 2, 10)
+
+    def check(metric, field, unit="month", **params):
+        return VolumeCheck("t", field, "d", metric=metric, unit=unit, low=-0.9, high=2.5, params=params)
+
+    plain = [
+        check("aggregate_drift", "v v", aggregate="sum(`v v`)"),
+        check("aggregate_drift", "v v", "year", aggregate="count(1)"),
+        check("aggregate_drift", "t", aggregate="max(length(t))"),
+        check("nonnull_ratio", "t"),
+        check("nonnull_ratio", "v v", "quarter"),
+        check("nonnull_ratio", "t", "day"),
+        check("freshness", "d"),
+        check("freshness", "d", "year"),
+        check("out_of_range", "v v", low=0, high=3),
+        check("out_of_range", "v v", kind="int", low=0, high=100),
+        check("insane_dates", "d"),
+        check("aggregate_drift", "t", aggregate="count(distinct t)"),
+    ]
+    faulty = [check("out_of_range", "t", kind="no such type", low=0, high=1), check("out_of_range", "t"), check("aggregate_drift", "t", aggregate="nothing(t)")]
+    suite = quality.check_suite(spark, plain, {"t": df}, at)
+    alone = [tuple(quality.metric_verdict(df, c, at).first()) for c in plain]
+    assert sorted(map(tuple, suite.collect()), key=repr) == sorted(alone, key=repr)
+    assert {r[3] for r in alone} == {-1, 0, 1}
+    plan = suite._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("FileScan") == 4  # the last drift and the one with a nested call run alone
+    both = quality.check_suite(spark, plain + faulty, {"t": df}, at).collect()
+    assert sorted(r.res for r in both) == sorted([-99] * 3 + [r[3] for r in alone])
+
+
 def test_p_value_of_a_huge_score_is_zero(spark):
     df = spark.createDataFrame([(1.96,), (500.0,), (-0.04,)], "zscore double")
     got = [r.p_value for r in anomaly.with_p_value(df).orderBy("zscore").collect()]
