@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.keys import newest_per_key
+from millrace.functions.lineage import new_folder, store_rows
 from millrace.functions.parsing import extract, json_field, safe_cast
 from millrace.operators.anomaly import with_p_value
 
@@ -200,44 +201,71 @@ def latest_loads(snapshots: DataFrame) -> DataFrame:
     )
 
 
+CATALOGUE_FIELDS = (
+    "profile", "category", "name", "scheduled", "deleted", "singleLoading", "engine", "type", "eventAwaitStrategy", "wf_event_sched", "wf_time_sched",
+    "param", "statusNotifications",
+)
+
+
+def _newest_answers(snapshots: DataFrame, category_prefix: str) -> DataFrame:
+    """What the workflow catalogue needs of the snapshots: the newest answer per (kind, key), from one scan and one aggregate.
+
+    Kinds: ``wf`` per workflow of both shapes, ``link`` per (workflow, time, entity) of the entity lists with their number
+    ``n``, ``stat`` per (entity, statistic, profile), ``load`` and ``entity`` per id.  A NULL time counts as newest; url,
+    connections, text and id break ties.  Stored once, because every branch reads it; it holds a row per key, not per snapshot.
+    """
+    url, msg, types = F.col("url"), F.col("msg"), {f.name: f.dataType for f in snapshots.schema}
+    shape_1, shape_2 = F.get_json_object(msg, "$.wf"), F.get_json_object(msg, "$.workflow")
+    fields = {
+        "kind": "string", "id": "bigint", "ref": "bigint", "e": "string", "s": "string", "p": "string", "at": types["ts"],
+        "ts": types["ts"], "url": "string", "connected_ids": "string", "msg": "string", "loading_id": "bigint",
+    }
+
+    def item(kind: str, **values: Column) -> Column:
+        known = {"kind": F.lit(kind), **values}
+        return F.struct(*[known.get(n, F.lit(None)).cast(t).alias(n) for n, t in fields.items()])
+
+    def ours(text: Column) -> Column:
+        return json_field(text, "category").startswith(category_prefix)
+
+    obj, ts, own = F.col("obj"), F.col("ts"), F.col("id")
+    is_load = url.rlike(r"/loading/\d+")
+    items = F.array(
+        F.when((url == "/wf/extended") & ours(shape_1),
+               item("wf", id=own, ts=ts, url=url, connected_ids=F.get_json_object(msg, "$.connectedEntities"), msg=shape_1)),
+        F.when(is_load & ours(shape_2), item("wf", id=json_field(shape_2, "id").try_cast("bigint"), ts=ts, url=url, msg=shape_2)),
+        F.when(url.rlike(r"/entity/wf/\d+") & ts.isNotNull() & own.isNotNull(),
+               item("link", id=extract(url, r"/entity/wf/(\d+)").cast("bigint"), ref=own, at=ts)),
+        F.when(obj == "statval", item("stat", **{k: json_field(msg, n) for k, n in (("e", "entity_id"), ("s", "stat_id"), ("p", "profile"))}, ts=ts, loading_id=own)),
+        F.when(obj == "loading", item("load", id=own, ts=ts, url=url, msg=F.from_json(msg, "end_dttm string")["end_dttm"])),
+        F.when(obj == "entity", item("entity", id=own, ts=ts, url=url, msg=json_field(msg, "name"))),
+    )
+    keys = ["kind", "id", "ref", "e", "s", "p", "at"]
+    rest = [n for n in fields if n not in keys]
+    rows = snapshots.select(F.inline(F.filter(items, lambda x: x.isNotNull())))
+    newest = rows.groupBy(*keys).agg(F.max(F.struct(F.col("ts").isNull().alias("_null"), *rest)).alias("_row"), F.count(F.lit(1)).alias("n"))
+    return store_rows(newest.select(*keys, *[F.col("_row")[c].alias(c) for c in rest], "n"), new_folder(snapshots.sparkSession))
+
+
 def workflow_catalogue(snapshots: DataFrame, category_prefix: str) -> DataFrame:
     """Workflows from the two API shapes (newest wins) with schedule, parameters and connections.
 
     Shape 1: url ``/wf/extended`` with ``wf`` and ``connectedEntities``.  Shape 2: url ``/loading/<n>`` with
     ``workflow``; its connections come from the newest ``/entity/wf/<id>`` answer.  Active event
-    conditions are joined to the newest statistic and its load."""
-    ours = json_field("msg", "category").startswith(category_prefix)
-    extended = snapshots.where("url = '/wf/extended'").select(
-        "ts", "id", "url", F.get_json_object("msg", "$.connectedEntities").alias("connected_ids"), F.get_json_object("msg", "$.wf").alias("msg")
-    ).where(ours)
-    entity_answers = (
-        snapshots.where(F.col("url").rlike(r"/entity/wf/\d+"))
-        .groupBy(extract("url", r"/entity/wf/(\d+)").cast("bigint").alias("_wf"), "ts")
-        .agg(F.sort_array(F.collect_list("id")).alias("_ids"))
-    )
-    connections = entity_answers.groupBy("_wf").agg(F.max_by(F.to_json("_ids"), "ts").alias("connected_ids"))
-    from_loads = (
-        snapshots.where(F.col("url").rlike(r"/loading/\d+"))
-        .select("ts", "url", F.get_json_object("msg", "$.workflow").alias("msg"))
-        .where(ours)
-        .select("ts", json_field("msg", "id").try_cast("bigint").alias("id"), "url", "msg")
-        .join(connections, F.col("id") == F.col("_wf"), "left")
-        .select("ts", "id", "url", "connected_ids", "msg")
-    )
-    wf = newest_per_key(extended.unionByName(from_loads), ["id"], ["ts"])
+    conditions are joined to the newest statistic and its load.  The snapshots are read once."""
+    known = _newest_answers(snapshots, category_prefix)
 
-    conditions = F.from_json(
-        json_field("msg", "wf_event_sched"), "array<struct<active string, profile string, stat_id string, entity_id string>>"
-    )
+    def kind(name: str) -> DataFrame:
+        return known.where(F.col("kind") == name)
+
+    wf = kind("wf").select("id", "ts", "url", "connected_ids", "msg", F.json_tuple("msg", *CATALOGUE_FIELDS).alias(*[f"_{f}" for f in CATALOGUE_FIELDS]))
+
+    conditions = F.from_json("_wf_event_sched", "array<struct<active string, profile string, stat_id string, entity_id string>>")
     active = wf.select("id", F.explode(conditions).alias("c")).where(F.col("c.active").try_cast("boolean")).select(
         "id", F.col("c.profile").alias("profile"), F.col("c.stat_id").alias("stat_id"), F.col("c.entity_id").alias("entity_id")
     )
-    stat = snapshots.where("obj = 'statval'").select(
-        json_field("msg", "entity_id").alias("_e"), json_field("msg", "stat_id").alias("_s"), json_field("msg", "profile").alias("_p"),
-        F.col("id").alias("loading_id"), "ts",
-    )
-    stat = newest_per_key(stat, ["_e", "_s", "_p"], ["ts"]).drop("ts")
-    loads = latest_loads(snapshots).select(F.col("id").alias("_lid"), "end_dttm")
+    stat = kind("stat").select(F.col("e").alias("_e"), F.col("s").alias("_s"), F.col("p").alias("_p"), "loading_id")
+    loads = kind("load").select(F.col("id").alias("_lid"), F.col("msg").try_cast("timestamp").alias("end_dttm"))
     events = (
         active.join(stat, (F.col("entity_id") == F.col("_e")) & (F.col("stat_id") == F.col("_s")) & (F.col("profile") == F.col("_p")), "left")
         .join(loads, F.col("loading_id") == F.col("_lid"), "left")
@@ -252,39 +280,43 @@ def workflow_catalogue(snapshots: DataFrame, category_prefix: str) -> DataFrame:
     schedule = per_stat.groupBy(F.col("id").alias("_sid")).agg(
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("profile", "stat_id", text.alias("t")))), lambda x: x["t"]), ", ").alias("_sched")
     )
-    entities = latest_entities(snapshots).select(F.col("id").alias("_eid"), F.col("name").alias("_ename"))
+
+    # Entities in the order of the list in shape 1, by id in shape 2.
+    is_first = F.col("url") == "/wf/extended"
+    listed = wf.where(is_first).select("id", F.posexplode(F.from_json("connected_ids", "array<bigint>")).alias("_pos", "_ref"))
+    links = kind("link").select(F.col("id").alias("_wf"), "ref", "at", "n")
+    last = links.groupBy(F.col("_wf").alias("_lwf")).agg(F.max("at").alias("_last"))
+    current = links.join(last, (F.col("_wf") == F.col("_lwf")) & (F.col("at") == F.col("_last"))).select("_wf", F.explode(F.expr("array_repeat(ref, int(n))")).alias("_ref"))
+    answered = wf.where(~is_first).join(current, F.col("id") == F.col("_wf")).select("id", F.col("_ref").alias("_pos"), "_ref")
+    entities = kind("entity").select(F.col("id").alias("_eid"), F.col("msg").alias("_ename"))
+    name = F.concat(F.col("_ref").cast("string"), F.lit(": "), F.coalesce("_ename", F.lit("")))
     linked = (
-        wf.select("id", F.posexplode(F.from_json("connected_ids", "array<bigint>")).alias("_pos", "_ref"))
+        listed.select("id", F.col("_pos").cast("bigint").alias("_pos"), "_ref").unionByName(answered)
         .join(entities, F.col("_ref") == F.col("_eid"), "left")
         .groupBy(F.col("id").alias("_cid"))
-        .agg(F.sort_array(F.collect_list(F.struct("_pos", F.concat(F.col("_ref").cast("string"), F.lit(": "), F.coalesce("_ename", F.lit(""))).alias("t")))).alias("_list"))
-        .select("_cid", F.array_join(F.transform("_list", lambda x: x["t"]), ", ").alias("connected"))
+        .agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_pos", name.alias("t")))), lambda x: x["t"]), ", ").alias("connected"))
     )
-    params = F.from_json(json_field("msg", "param"), "array<struct<param string, prior_value string>>")
+    params = F.from_json("_param", "array<struct<param string, prior_value string>>")
     interval = F.get(F.filter(params, lambda p: p["param"] == "wf_interval"), F.lit(0)).getField("prior_value")
-    strategy = json_field("msg", "eventAwaitStrategy")
-
-    def flag(name):
-        return json_field("msg", name).try_cast("boolean")
-
+    strategy = F.col("_eventAwaitStrategy")
     return (
         wf.join(schedule, F.col("id") == F.col("_sid"), "left")
         .join(linked, F.col("id") == F.col("_cid"), "left")
         .select(
             "id", "ts", "url",
-            json_field("msg", "profile").alias("profile"), json_field("msg", "category").alias("category"), json_field("msg", "name").alias("name"),
-            flag("scheduled").alias("scheduled"), flag("deleted").alias("deleted"), flag("singleLoading").alias("singleloading"),
-            json_field("msg", "engine").alias("engine"), json_field("msg", "type").alias("type"),
+            *[F.col(f"_{f}").alias(f) for f in ("profile", "category", "name")],
+            *[F.col(f"_{f}").try_cast("boolean").alias(f.lower()) for f in ("scheduled", "deleted", "singleLoading")],
+            *[F.col(f"_{f}").alias(f) for f in ("engine", "type")],
             "connected",
             strategy.alias("eventawaitstrategy"),
             F.coalesce(
                 F.concat(strategy, F.lit(": "), "_sched"),
-                F.concat(F.lit("sched: "), F.coalesce(F.get_json_object("msg", "$.wf_time_sched.sched"), F.lit(""))),
+                F.concat(F.lit("sched: "), F.coalesce(json_field("_wf_time_sched", "sched"), F.lit(""))),
             ).alias("wf_sched"),
             F.array_join(
                 F.transform(params, lambda p: F.concat(p["param"], F.lit(": "), F.coalesce(F.replace(p["prior_value"], F.lit("$"), F.lit("%")), F.lit("")))), "; "
             ).alias("param"),
-            json_field("msg", "statusNotifications").alias("statusnotifications"),
+            F.col("_statusNotifications").alias("statusnotifications"),
             F.coalesce(interval_seconds(interval), F.lit(86400)).alias("wf_interval_s"),
         )
     )

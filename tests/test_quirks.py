@@ -390,3 +390,46 @@ def test_concurrency_sweep_equals_slots(spark):
             inside = [(w, (min(e, hi) - max(s, lo)).total_seconds()) for w, s, e in runs if e and s < hi and e > lo]
             assert row[f"cnt_{m:02d}"] == len({w for w, _ in inside if w})
             assert abs(row[f"rate_{m:02d}"] - sum(b for _, b in inside) / 2400) < 0.0051
+
+
+def test_workflow_catalogue_from_odd_snapshots(spark, tmp_path):
+    """Both shapes and their connections, repeated ids in an answer, older answers, broken messages; the snapshots are read once."""
+
+    def at(day):
+        return dt.datetime(2024, 1, day)
+
+    def wf(i, name, sched="null", category="hr.a"):
+        return (
+            f'{{"id":{i},"name":"{name}","category":"{category}","scheduled":true,"deleted":"no","eventAwaitStrategy":"and",'
+            f'"wf_event_sched":{sched},"wf_time_sched":{{"sched":"daily"}},"param":[{{"param":"wf_interval","prior_value":"2 days"}}]}}'
+        )
+
+    sched = '[{"active":"true","profile":"HR","stat_id":"5","entity_id":"70"},{"active":"x","profile":"HR","stat_id":"5","entity_id":"71"}]'
+    rows = [
+        (1, "wf", at(1), "/wf/extended", f'{{"wf":{wf(1, "older")},"connectedEntities":[9]}}'),
+        (1, "wf", at(2), "/wf/extended", f'{{"wf":{wf(1, "one", sched)},"connectedEntities":[8,7,7]}}'),
+        (2, "wf", at(1), "/wf/extended", f'{{"wf":{wf(2, "older")},"connectedEntities":[9]}}'),
+        (500, "load", at(3), "/loading/500", f'{{"workflow":{wf(2, "two")}}}'),
+        (3, "wf", at(1), "/wf/extended", f'{{"wf":{wf(3, "other", category="zz")}}}'),
+        (4, "wf", at(1), "/wf/extended", '{"wf":{"id":4,"category"'),
+        (5, "wf", at(1), "/wf/extended", None),
+        (None, None, None, None, None),
+        # The newest answer about workflow 2 lists 6 twice; 9 was only in the older one.
+        *[(i, "entity", at(d), "/entity/wf/2", f'{{"name":"n{i}_{d}"}}') for i, d in ((9, 1), (6, 2), (6, 2), (5, 2))],
+        (7, "entity", at(2), "/entity/7", '{"name":"seven"}'), (7, "entity", at(1), "/entity/7", '{"name":"seventeen"}'),
+        (8, "entity", at(1), "/entity/8", "no json"),
+        (30, "statval", at(1), "/statval", '{"entity_id":"70","stat_id":"5","profile":"HR"}'),
+        (31, "statval", at(2), "/statval", '{"entity_id":"70","stat_id":"5","profile":"HR"}'), (32, "statval", at(3), "/statval", "{"),
+        (31, "loading", at(1), "/l", '{"end_dttm":"2024-01-05 06:07:08"}'), (31, "loading", at(2), "/l", '{"end_dttm":"2024-01-06 06:07:08"}'),
+        (30, "loading", at(2), "/l", '{"end_dttm":"never"}'),
+    ]
+    schema = "id bigint, obj string, ts timestamp, url string, msg string"
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "api"))
+    out = runlog.workflow_catalogue(spark.read.parquet(str(tmp_path / "api")), "hr")
+    got = [(r.id, r.name, r.connected, r.wf_sched, r.scheduled, r.deleted, r.wf_interval_s) for r in out.orderBy("id").collect()]
+    assert got == [
+        (1, "one", "8: , 7: seven, 7: seven", "and: HR [5] {70 (2024-01-06 06:07:08)}", True, False, 172800),
+        (2, "two", "5: n5_2, 6: n6_2, 6: n6_2", "sched: daily", True, False, 172800),
+    ]
+    assert str(tmp_path) not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert runlog.workflow_catalogue(spark.createDataFrame([], schema), "hr").isEmpty()
