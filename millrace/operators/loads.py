@@ -239,9 +239,13 @@ def refresh_scores(
     return rolling_z(fresh, stored.where(F.col("object") == object_name), low, high, 0)
 
 
-def changed_slices(source: DataFrame, mart: DataFrame, watermark: str, inclusive: bool = True) -> DataFrame:
-    """Source rows at or after the largest watermark of the mart (all rows if it is empty)."""
-    return above(source, watermark, edge(mart, watermark), inclusive)
+def changed_slices(
+    source: DataFrame, mart: DataFrame, watermark: str, inclusive: bool = True, mark: Column | None = None
+) -> DataFrame:
+    """Source rows at or after the largest watermark of the mart (all rows if it is empty).
+
+    ``mark``: that watermark if it is known, as ``marks.stored_edge`` reads it from the files of a stored mart."""
+    return above(source, watermark, edge(mart, watermark) if mark is None else mark, inclusive)
 
 
 def cast_to(df: DataFrame, like: DataFrame) -> DataFrame:
@@ -249,9 +253,11 @@ def cast_to(df: DataFrame, like: DataFrame) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in like.schema.fields])
 
 
-def append_above_mark(source: DataFrame, target: DataFrame, key: str, where: Column | str | None = None) -> DataFrame:
-    """Source rows with a key above the target's largest, cast to the target's types."""
-    rows = above(source, key, edge(target, key))
+def append_above_mark(
+    source: DataFrame, target: DataFrame, key: str, where: Column | str | None = None, mark: Column | None = None
+) -> DataFrame:
+    """Source rows with a key above the target's largest (``mark`` if it is known), cast to the target's types."""
+    rows = above(source, key, edge(target, key) if mark is None else mark)
     if where is not None:
         rows = rows.where(where)
     return cast_to(rows, target)
@@ -331,8 +337,9 @@ def reload_newer(raw: DataFrame, target: DataFrame, key: str | None = None) -> t
     return "Ok", cast_to(rows, target)
 
 
-def newer_rows(raw: DataFrame, target: DataFrame, key: str | None = None) -> DataFrame:
-    return raw if key is None else above(raw, key, edge(target, key))
+def newer_rows(raw: DataFrame, target: DataFrame, key: str | None = None, mark: Column | None = None) -> DataFrame:
+    """Rows of ``raw`` with a key above the target's largest (``mark`` if it is known); all rows without a key."""
+    return raw if key is None else above(raw, key, edge(target, key) if mark is None else mark)
 
 
 def date_range_replace(

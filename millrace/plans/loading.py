@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.keys import newest_per_key, row_hash
+from millrace.functions.marks import stored_edge
 from millrace.operators import loads as ops
 from millrace.operators.anomaly import daily_points
 from millrace.plans import fixtures as fx
@@ -245,6 +246,17 @@ def append_above_mark(t):
     return ops.append_above_mark(source, target, "o_orderkey", "o_orderstatus <> 'P'")
 
 
+@query(
+    "L10_append_above_stored_mark",
+    "select o_orderkey as c_custkey, o_totalprice as c_acctbal from orders where o_orderkey > (select max(c_custkey) from customer)",
+)
+def append_above_stored_mark(t):
+    """The largest key of the target comes from the footers of its files."""
+    target = t.customer.select("c_custkey", "c_acctbal")
+    source = t.orders.selectExpr("o_orderkey as c_custkey", "o_totalprice as c_acctbal")
+    return ops.append_above_mark(source, target, "c_custkey", mark=stored_edge(t.spark, f"{t.sf_dir}/customer.parquet", "c_custkey"))
+
+
 def _ended_runs(t):
     return fx.run_log(t).where("parent is not null").select(
         "workflow", F.col("parent").alias("start_id"), F.col("action").alias("end_action"), "message"

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.operators import anomaly
+from millrace.functions import marks
+from millrace.operators import anomaly, loads
 from millrace.sources import ingest, sink
 from millrace.streaming import increments
 
@@ -121,3 +122,41 @@ def test_stream_of_envelopes(spark, tmp_path):
     stream = increments.stream_envelopes(increments.read_files(spark, source, "parquet", schema), "add_dtts")
     increments.append_first_copies(stream, target, state, increments.ENVELOPE_KEY, "add_dtts").awaitTermination()
     assert [(r.file_name, r.schema_name, r.message_id) for r in increments.read_copies(spark, target).collect()] == [("f", "agent_events", "1")]
+
+
+def test_marks_from_file_footers(spark, tmp_path):
+    """Footers give rows and bounds without a scan; files without statistics, texts, times, doubles with NaN and empty tables are right too."""
+    day, nan = dt.date(2024, 1, 1), float("nan")
+    rows = [(i, day + dt.timedelta(i), f"t{i:03d}" + "x" * 80, float(i) if i else nan, dt.datetime(2024, 1, 1, i % 24), None) for i in range(50)]
+    schema = "k bigint, d date, s string, x double, ts timestamp, nothing int"
+    df = spark.createDataFrame([*rows, (None,) * 6], schema)
+    want = {c: spark_bounds for c in df.columns for spark_bounds in [df.agg(F.min(c), F.max(c)).first()]}
+
+    def values(bounds):
+        row = spark.range(1).select(*[(F.lit(None) if b is None else b).alias(f"{c}_{i}") for c, pair in bounds.items() for i, b in enumerate(pair)]).first()
+        return {c: (row[f"{c}_0"], row[f"{c}_1"]) for c in bounds}
+
+    for name, options in (("noted", {}), ("bare", {"parquet.column.statistics.enabled": "false"})):
+        path = str(tmp_path / name)
+        df.repartition(3).write.options(**options).parquet(path)
+        n, bounds = marks.stored_span(spark, path, df.columns)
+        got = values(bounds)
+        assert n == 51 and repr(got) == repr({c: tuple(w) for c, w in want.items()})
+        assert values({"k": (marks.stored_edge(spark, path, "k"), None)})["k"][0] == 49
+    df.limit(0).write.parquet(str(tmp_path / "empty"))
+    assert marks.stored_span(spark, str(tmp_path / "empty"), ["k"]) == (0, {"k": (None, None)})
+    assert marks.stored_edge(spark, str(tmp_path / "empty"), "s") is None
+    fast = marks.footer_session(spark).read.parquet(str(tmp_path / "noted"))
+    plan = marks.bounds(fast, ["k", "d"])._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(*), MIN(k), MAX(k), MIN(d), MAX(d)]" in plan
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") != ""
+
+
+def test_append_with_a_stored_mark(spark, tmp_path):
+    path = str(tmp_path / "target")
+    spark.range(5).toDF("k").write.parquet(path)
+    target, source = spark.read.parquet(path), spark.range(3, 8).toDF("k")
+    mark = marks.stored_edge(spark, path, "k")
+    for out in (loads.append_above_mark(source, target, "k", mark=mark), loads.newer_rows(source, target, "k", mark), loads.append_above_mark(source, target, "k")):
+        assert sorted(r.k for r in out.collect()) == [5, 6, 7]
+    assert sorted(r.k for r in loads.changed_slices(source, target, "k", mark=mark).collect()) == [4, 5, 6, 7]
