@@ -518,8 +518,9 @@ def most_frequent_name(df: DataFrame, row_id: str, text: str, dictionary: DataFr
     """Most frequent dictionary name in the code range named by a text such as ``... коды 10-12)``.
 
     '' when there is none, for NULL and for 'nan'.  A range without an end is its first code; a text without
-    a dash is a code itself.  The dictionary is reduced to counts per (code, name); each distinct range is cut
-    to the codes of the dictionary and meets them bucket by bucket, at most ``BUCKETS`` of them."""
+    a dash is a code itself.  The dictionary is counted by name in blocks of 1, 2, 4, ... codes; each distinct range,
+    cut to the codes of the dictionary, is made of at most two blocks of each width, so a range meets a name a few times
+    however many codes it spans."""
     value = F.col(text)
     low_text = F.when(value.contains("-"), F.regexp_extract(value, _CODES, 1)).otherwise(F.trim(value))
     high_text = F.when(value.contains("-"), F.coalesce(F.nullif(F.regexp_extract(value, _CODES, 2), F.lit("")), low_text)).otherwise(low_text)
@@ -527,24 +528,26 @@ def most_frequent_name(df: DataFrame, row_id: str, text: str, dictionary: DataFr
     counts = dictionary.groupBy(F.col(code).cast("int").alias("_dc"), F.col(name).alias("_name")).agg(F.count(F.lit(1)).alias("_n"))
     first, last = dictionary.agg(F.min(F.col(code).cast("int")), F.max(F.col(code).cast("int"))).first()
     first, last = (0, -1) if first is None else (first, last)
-    width = (last - first) // BUCKETS + 1
+    # Codes count from the first of the dictionary; a range ends before _r.
+    met = (F.col("_lo") <= F.col("_hi")) & (F.col("_hi") >= first) & (F.col("_lo") <= last)
+    start, end = F.lit(first).cast("bigint"), F.lit(last).cast("bigint")
+    cut = ranges.withColumns({"_l": F.when(met, F.greatest("_lo", start) - start), "_r": F.when(met, F.least("_hi", end) - start + 1)})
     # Texts repeat, so the dictionary is searched once per distinct range.
-    wanted = ranges.select("_lo", "_hi").where("_lo <= _hi").where((F.col("_hi") >= first) & (F.col("_lo") <= last)).distinct()
+    wanted = cut.where("_l is not null").select("_l", "_r").distinct()
+    widths = F.explode(F.sequence(F.lit(0), F.lit(max(0, last - first).bit_length()))).alias("_w")  # powers of two
+    inner = wanted.select("_l", "_r", widths).selectExpr("_l", "_r", "_w", "shiftright(_l + shiftleft(1L, _w) - 1, _w) as _a", "shiftright(_r, _w) as _z").where("_a < _z")
+    # Of the whole blocks a to z - 1 of a width, all but an odd first and an even last one belong to blocks of twice the width.
+    ends = F.array(F.when(F.col("_a") % 2 == 1, F.col("_a")), F.when(F.col("_z") % 2 == 1, F.col("_z") - 1))
+    pieces = inner.select("_l", "_r", "_w", F.explode(F.array_compact(ends)).alias("_b"))
+    known = counts.where("_dc is not null").select((F.col("_dc") - start).alias("_place"), "_name", "_n", widths)
+    blocks = known.groupBy(F.col("_w").alias("_bw"), F.expr("shiftright(_place, _w)").alias("_bb"), "_name").agg(F.sum("_n").alias("_n"))
+    joined = pieces.join(blocks, (F.col("_b") == F.col("_bb")) & (F.col("_w") == F.col("_bw")))
+    freq = joined.groupBy("_l", "_r", "_name").agg(F.sum("_n").alias("_n"))
+    best = freq.groupBy(F.col("_l").alias("_bl"), F.col("_r").alias("_br")).agg(F.min_by("_name", F.struct(-F.col("_n"), F.col("_name"))).alias("_best"))
+    found = cut.join(best, (F.col("_l") == F.col("_bl")) & (F.col("_r") == F.col("_br")), "left")
+    return found.select(row_id, text, F.coalesce("_best", F.lit("")).alias("main_name"))
 
-    def bucket(x: Column) -> Column:
-        return F.floor((x - first) / width).cast("int")
 
-    cut = F.sequence(bucket(F.greatest("_lo", F.lit(first))), bucket(F.least("_hi", F.lit(last))))
-    met = wanted.withColumn("_b", F.explode(cut)).join(counts.withColumn("_cb", bucket(F.col("_dc"))), F.col("_b") == F.col("_cb"))
-    freq = met.where(F.col("_dc").between(F.col("_lo"), F.col("_hi"))).groupBy("_lo", "_hi", "_name").agg(F.sum("_n").alias("_n"))
-    best = freq.groupBy(F.col("_lo").alias("_blo"), F.col("_hi").alias("_bhi")).agg(
-        F.min_by("_name", F.struct(-F.col("_n"), F.col("_name"))).alias("_best")
-    )
-    joined = ranges.join(best, (F.col("_lo") == F.col("_blo")) & (F.col("_hi") == F.col("_bhi")), "left")
-    return joined.select(row_id, text, F.coalesce("_best", F.lit("")).alias("main_name"))
-
-
-BUCKETS = 1024
 _CODES = r"коды\s*(\d+)\s*-\s*(\d*)"
 
 

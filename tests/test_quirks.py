@@ -433,3 +433,52 @@ def test_workflow_catalogue_from_odd_snapshots(spark, tmp_path):
     ]
     assert str(tmp_path) not in out._jdf.queryExecution().optimizedPlan().toString()
     assert runlog.workflow_catalogue(spark.createDataFrame([], schema), "hr").isEmpty()
+
+
+def _most_joined(df):
+    """Rows out of the join of ``df`` that puts out most, after a run."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in plan
+    found, open_ = [0], [df._jdf.queryExecution().executedPlan()]
+    while open_:
+        node = open_.pop()
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            open_.append(node.executedPlan())
+        elif "QueryStage" in name:
+            open_.append(node.plan())
+        else:
+            if "Join" in name:
+                found.append(node.metrics().get("numOutputRows").get().value())
+            children = node.children()
+            open_.extend(children.apply(i) for i in range(children.size()))
+    return max(found)
+
+
+def test_most_frequent_name_meets_a_name_a_few_times_per_range(spark):
+    n, names = 4000, 5
+    dictionary = spark.range(n).selectExpr("id as code", f"concat('n', id % {names}) as name")
+    rows = spark.range(300).selectExpr("id", "concat('x (коды ', 100 + id, '-', 3900 - id, ')') as val")
+    got = checks.most_frequent_name(rows, "id", "val", dictionary, "code", "name")
+    assert _most_joined(got) <= 300 * names * 2 * 12
+
+
+def test_most_frequent_name_agrees_with_a_plain_search(spark):
+    rng = random.Random(5)
+    words = [None, "a", "b", "c", "d"]
+    entries = [(rng.choice([None, rng.randint(3, 70), rng.randint(3, 70)]), rng.choice(words)) for _ in range(150)]
+    spans = [(rng.randint(0, 80), rng.randint(0, 90)) for _ in range(200)] + [(3, 70), (0, 2), (70, 70), (0, 2_000_000_000), (71, 99)]
+    dictionary = spark.createDataFrame(entries, "code int, name string")
+    rows = spark.createDataFrame([(i, f"x (коды {lo}-{hi})") for i, (lo, hi) in enumerate(spans)] + [(-1, None), (-2, "nan"), (-3, "12")], "id int, val string")
+
+    def plain(lo, hi):
+        counted = {w: sum(c is not None and lo <= c <= hi and x == w for c, x in entries) for w in words}
+        most = max(counted.values())
+        return "" if not most else min(((w or "") for w in words if counted[w] == most))
+
+    expected = {i: plain(lo, hi) for i, (lo, hi) in enumerate(spans)} | {-1: "", -2: "", -3: plain(12, 12)}
+    got = checks.most_frequent_name(rows, "id", "val", dictionary, "code", "name")
+    assert {r.id: r.main_name for r in got.collect()} == expected
+    empty = checks.most_frequent_name(rows, "id", "val", dictionary.where("false"), "code", "name")
+    assert {r.main_name for r in empty.collect()} == {""}
