@@ -325,6 +325,8 @@ def learn(docs: DataFrame, burn_in: int = BURN_IN, keep: int = KEEP, chars_per_b
         forget_shuffles(spark)
     table = stored(_packed(words, counts, setting, sums, keep))
     drop_stored(words)
+    drop_stored(counts)
+    forget_shuffles(spark)
     return Model(state, table, n_tokens, setting.n_words, d, strength, np.array(back), np.array(unknown), parts)
 
 
@@ -413,8 +415,10 @@ def _answered(width: int):
     return go
 
 
-def score(docs: DataFrame, model: Model, chars_per_block: int = BLOCK_CHARS) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text): counts and log10 probabilities of its tokens."""
+def score(docs: DataFrame, model: Model, chars_per_block: int = BLOCK_CHARS, spent: bool = False) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, text): counts and log10 probabilities of its tokens.
+
+    With ``spent`` the tables of the model are deleted once they have answered."""
     blocks = block_count(docs, chars_per_block=chars_per_block)
     block = F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(blocks)).cast("int")
     dealt = docs.select("doc_id", "text", block.alias("block")).repartition(blocks, "block")
@@ -423,11 +427,18 @@ def score(docs: DataFrame, model: Model, chars_per_block: int = BLOCK_CHARS) ->
     roots, width = lm._roots(keep), 1 + 4 * keep
     floats = "".join(f"{q} float, " for q in roots)
 
+    # The answers are stored one kind after the other, so that what was moved for one is off the disks before the next.
     asked = dealt.mapInArrow(lm._asked, "block int, place int, h long, mask long")
     found = asked.join(model.words.hint("shuffle_hash"), F.col("h") == F.col("wh")).select("block", "place", "c", *roots, "mask", "pairs")
-    by_word = found.mapInArrow(_answered(width), f"block int, place int, c long, {floats}pairs binary")
+    by_word = stored(found.mapInArrow(_answered(width), f"block int, place int, c long, {floats}pairs binary"))
+    if spent:
+        drop_stored(model.words)
+    forget_shuffles(docs.sparkSession)
     pairs = dealt.mapInArrow(_asked_pairs(parts), "b int, block int, v binary, n binary, keys binary")
-    by_pair = model.buckets.groupBy("b").cogroup(pairs.groupBy("b")).applyInArrow(_answer_pairs(model), "b int, block int, worth binary, shares binary")
+    by_pair = stored(model.buckets.groupBy("b").cogroup(pairs.groupBy("b")).applyInArrow(_answer_pairs(model), "b int, block int, worth binary, shares binary"))
+    if spent:
+        drop_stored(model.buckets)
+    forget_shuffles(docs.sparkSession)
     none = [F.lit(None).cast(kind).alias(name) for name, kind in (("b", "int"), ("worth", "binary"), ("shares", "binary"))]
     blank = [F.lit(None).cast(kind).alias(name) for name, kind in (("place", "int"), ("c", "long"), *((q, "float") for q in roots), ("pairs", "binary"))]
     answers = by_word.select("*", *none).unionByName(by_pair.select("*", *blank))
@@ -478,4 +489,4 @@ def score(docs: DataFrame, model: Model, chars_per_block: int = BLOCK_CHARS) ->
 
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", burn_in: int = BURN_IN, keep: int = KEEP) -> DataFrame:
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return score(rows, learn(rows, burn_in, keep))
+    return score(rows, learn(rows, burn_in, keep), spent=True)

@@ -118,3 +118,17 @@ def test_more_sweeps_change_little(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     few, many = (lm.perplexity(wc.score_documents(docs, burn_in=burn_in, keep=keep)) for burn_in, keep in ((wc.BURN_IN, wc.KEEP), (6, 1)))
     assert few <= many * 1.005
+
+
+def test_the_blocks_are_scored_from_stored_answers(spark):
+    """The texts and the answers are all that the last step moves; the tables of the model are gone by then."""
+    docs = documents(spark, ["one two three", "two three", None] * 5, range(15)).select("doc_id", "text")
+    model = wc.learn(docs)
+    scored = wc.score(docs, model, spent=True)
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 2 + plan.count("REPARTITION_BY_COL")
+    assert "Join" not in plan
+    with pytest.raises(Exception, match="(?i)not exist|not found"):
+        model.words.collect()
+    again = wc.score(docs, wc.learn(docs))
+    assert sorted(map(tuple, scored.collect())) == sorted(map(tuple, again.collect()))
