@@ -277,14 +277,17 @@ def _seated(state: DataFrame) -> Sums:
     return Sums(np.array([found.get(k, 0) for k in range(CONTEXTS)], np.int64), found.get(CONTEXTS, 0))
 
 
-def _totals(state: DataFrame) -> dict[str, np.ndarray]:
+def _one_rows(batch: pa.RecordBatch):
+    yield _Rows(batch)
+
+
+def _totals(state: DataFrame, parts=_one_rows) -> dict[str, np.ndarray]:
     """Sums over the state, one row per context and kind of sum: customers, tables, the parent's tables and words, and
-    how many pairs have one and two customers, and words one and two contexts (``few``)."""
+    how many pairs have one and two customers, and words one and two contexts (``few``).  ``parts`` reads a batch."""
 
     def go(batches):
         customers, tables, few = np.zeros(CONTEXTS, np.int64), np.zeros(CONTEXTS, np.int64), np.zeros(6, np.int64)
-        for batch in batches:
-            x = _Rows(batch)
+        for x in (x for batch in batches for x in parts(batch)):
             customers += np.bincount(x.u, x.c, CONTEXTS).astype(np.int64)
             tables += np.bincount(x.u, x.t, CONTEXTS).astype(np.int64)
             few += [x.root_t.sum(), len(x.n), (x.c == 1).sum(), (x.c == 2).sum(), (x.n == 1).sum(), (x.n == 2).sum()]
@@ -302,14 +305,13 @@ STRENGTHS = tuple(10.0**k for k in range(8))
 ROOT_STRENGTHS = (0.001, 0.01, 0.1, 0.2, 0.5, 1.0, 2.0, 5.0, 10.0)  # per word
 
 
-def _strength(state: DataFrame, customers: np.ndarray, dishes: np.ndarray, d: float, n_words: int) -> float:
+def _strength(state: DataFrame, customers: np.ndarray, dishes: np.ndarray, d: float, n_words: int, parts=_one_rows) -> float:
     """Strength of the contexts that predicts every token best from all the others."""
     total = int(customers.sum())
 
     def go(batches):
         sums = np.zeros(len(STRENGTHS))
-        for batch in batches:
-            x = _Rows(batch)
+        for x in (x for batch in batches for x in parts(batch)):
             parent = ((x.sums(x.c) + 1) / (total + n_words + 1))[x.row]
             # Pairs seen once differ by their context and their parent only, so they are summed by context.
             once = np.bincount(x.u[x.c == 1], minlength=CONTEXTS)
@@ -327,7 +329,11 @@ def _strength(state: DataFrame, customers: np.ndarray, dishes: np.ndarray, d: fl
 def _root_strength(state: DataFrame, d: float, n_words: int) -> float:
     """The same for the parent, whose dishes start with one customer per context."""
     rows = state.groupBy(F.octet_length("us").alias("c")).count().collect()  # at most CONTEXTS rows
-    c, n = (np.array([r[k] for r in rows], np.float64) for k in (0, 1))
+    return _best_root_strength(*(np.array([r[k] for r in rows], np.float64) for k in (0, 1)), d, n_words)
+
+
+def _best_root_strength(c: np.ndarray, n: np.ndarray, d: float, n_words: int) -> float:
+    """The same from the numbers ``n`` of words with ``c`` contexts."""
     total = float((c * n).sum())
 
     def predicted(s: float) -> float:

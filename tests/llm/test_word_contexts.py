@@ -132,3 +132,18 @@ def test_the_blocks_are_scored_from_stored_answers(spark):
         model.words.collect()
     again = wc.score(docs, wc.learn(docs))
     assert sorted(map(tuple, scored.collect())) == sorted(map(tuple, again.collect()))
+
+
+def test_texts_read_once_score_as_under_a_model(spark):
+    """Scores of the corpus itself are those of the model on the same rows; only pairs that came twice are swept."""
+    texts = prose(70, 9) + ["never heard of", "", None, "never seen x1 x2"]
+    ids = [*range(70), *[i for i in range(1000, 1100) if held(i)][:2], None, 2000]
+    docs = documents(spark, texts, ids).select("doc_id", "text").repartition(3)
+    once = sorted(map(tuple, wc.score_documents(docs).collect()), key=str)
+    under = sorted(map(tuple, wc.score(docs, wc.learn(docs)).collect()), key=str)
+    assert [r[:5] for r in once] == [r[:5] for r in under]
+    assert [x for r in once for x in r[5:]] == pytest.approx([x for r in under for x in r[5:]], rel=1e-6)
+    state = wc.buckets(wc.bucket_counts(docs, 1, texts=True)).where("b >= 0")
+    total = sum((np.frombuffer(bytes(r["c"]), "<i4") > 1).sum() for r in state.collect())
+    swept = [np.frombuffer(bytes(r["c"]), "<i4") for r in wc.heavy_pairs(state).collect()]
+    assert min(x.min() for x in swept) > 1 and sum(map(len, swept)) == total
